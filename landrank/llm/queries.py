@@ -5,20 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import mixing, shards
-from landrank.llm.common import table
+from landrank.llm import media, mixing, shards, warc
+from landrank.llm.common import small_batches, table
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    records = warc.read_back(warc.archive(table(spark, sf_dir, "pages")), payloads=False).filter("kind = 'record'")
+    number = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) as bigint)")
+    return records.select(number("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), "payload_digest",
+                          "record_type", number("refers_to").alias("refers_to"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_features(table(spark, sf_dir, "documents")).drop("height", "width", "tile_npy")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shards.sharded(table(spark, sf_dir, "documents"), 16)
     return rows.select("doc_id", shards.text_size().alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
                        F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
+QUERIES = {"op1_warc": op1_warc, "op5_media": op5_media, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
 
 SQL: dict[str, str] = {}
