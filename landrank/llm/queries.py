@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import media, mixing, shards, warc
+from landrank.llm import media, mixing, pii, shards, toxicity, vectors, warc
 from landrank.llm.common import small_batches, table
 
 
@@ -21,6 +21,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.DECISION).cast("int").alias("predicted"), "threshold", "rejected")
+
+
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(table(spark, sf_dir, "documents")).drop("height", "width", "tile_npy")
 
@@ -31,6 +42,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit("rows").alias("law"), "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_warc": op1_warc, "op5_media": op5_media, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.surrogates(docs).select("doc_id", "text", F.size("entities").alias("n_entities"), "entities")
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_toxicity": op3_toxicity, "op4_vectors": op4_vectors, "op5_media": op5_media, "op7_pii": op7_pii, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
 
 SQL: dict[str, str] = {}
