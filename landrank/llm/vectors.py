@@ -150,7 +150,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     """
     small_batches(vectors.sparkSession, 4096)
     spark, total = vectors.sparkSession, vectors.count()
-    v = vectors.select("vec_id", "embedding")
+    v = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     bad = F.exists("embedding", lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     good = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("embedding", lambda e: e != 0)
     v = v.withColumn("key", F.when(F.coalesce(good, F.lit(False)), F.md5(F.concat_ws(",", F.col("embedding").cast("array<string>")))))
@@ -178,7 +178,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
                 b["block"] = np.searchsorted(cuts, b["axis"].to_numpy()).astype(np.int32)
                 yield b
 
-    reps = written(reps.mapInPandas(placed, reps.schema.add("axis", "double").add("block", "int")), "reps")
+    reps = written(reps.mapInPandas(placed, "key string, rep long, n long, embedding array<double>, axis double, block int"), "reps")
     # unit vectors of cosine t differ by sqrt(2 - 2t) at most, on any axis
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
     lows = np.concatenate([[-1.0], cuts])
