@@ -15,7 +15,7 @@ from landrank.llm.common import attach, small_batches, written
 from landrank.llm.components import components
 from landrank.llm.vectors import Forest
 
-#: Ratio of the largest to the smallest set of a size band, and classes over those that the pigeonhole needs.
+#: Ratio of the largest to the smallest set of a size band, and classes over those that are needed and often empty.
 BAND, SPARE = 1.5, 2
 #: Text bytes for each bucket of cells, and buckets at most.
 BUCKET_BYTES, BUCKETS = 8 << 20, 1 << 20
@@ -66,34 +66,41 @@ def differing(total: int, threshold: float) -> int:
     return int(total * (1 - threshold) / (1 + threshold) + 1e-9)
 
 
-def bands(n: int, threshold: float) -> list[tuple[int, int]]:
-    """(band, classes) of the bands in which a set of n shingles looks for partners: its own, and the next above if a
-    partner may be there."""
+def bands(n: int, threshold: float) -> list[tuple[int, int, int]]:
+    """(band, largest size, classes) of the bands in which a set of n shingles looks for partners: its own, and the
+    next above if a partner may be there."""
     band = int(np.floor(np.log(n) / np.log(BAND) + 1e-12))
     out = [band]
     if n >= threshold * BAND ** (band + 1) - 1e-6:
         out.append(band + 1)
-    return [(b, differing(2 * int(BAND ** (b + 1)), threshold) + 1 + SPARE) for b in out]
+    found = []
+    for b in out:
+        most = int(BAND ** (b + 1))
+        classes = differing(2 * most, threshold) + 1
+        empty = classes * np.exp(-most / classes)  # classes that are empty in a set of the largest size, on average
+        found.append((b, most, classes + int(np.ceil(empty + 4 * np.sqrt(empty))) + SPARE))
+    return found
 
 
 def cells(hashes: np.ndarray, threshold: float) -> np.ndarray:
     """Keys such that two linked, different sets share one.
 
-    The hash range is cut into more classes than linked sets of the band have differing shingles, so at least
-    1 + SPARE classes hold the same shingles in both.  A key is band, class and the class's shingles.  Empty classes
-    get a key only in sets that have more than SPARE of them: of any two linked sets either both have so many, or they
-    share a class that isn't empty.
+    The hash range is cut into more classes than linked sets of the band have differing shingles, so some classes hold
+    the same shingles in both.  A key is band, class and the class's shingles.  If all classes that are the same are
+    empty, then every other class differs, so the empty ones are at least all classes less the most shingles in which
+    the set can differ from a partner; only sets with so many empty classes, which are rare, get keys for those too.
     """
-    out, sums = [], np.concatenate([np.zeros(1, _U), np.cumsum(mixed(hashes ^ _U(0x9E3779B97F4A7C15)))])
-    for band, classes in bands(len(hashes), threshold):
-        if differing(2 * len(hashes) + 2, threshold) < 1 and classes <= 1 + SPARE:
-            continue  # linked sets are equal
+    n, out = len(hashes), []
+    if not n or differing(n + int(n / threshold), threshold) < 1:
+        return np.empty(0, _U)  # linked sets are equal
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(mixed(hashes ^ _U(0x9E3779B97F4A7C15)))])
+    for band, most, classes in bands(n, threshold):
         edges = (np.arange(1, classes, dtype=np.float64) * (2.0 ** 64 / classes)).astype(_U)
-        at = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
+        at = np.concatenate([[0], np.searchsorted(hashes, edges), [n]])
         keys = mixed(mixed(sums[at[1:]] - sums[at[:-1]]) + _U(band * 1_000_003) + np.arange(classes, dtype=_U) * _U(0x9E3779B97F4A7C15))
         full = at[1:] > at[:-1]
-        out.append(keys if (~full).sum() > SPARE else keys[full])
-    return np.concatenate(out) if out else np.empty(0, _U)
+        out.append(keys if (~full).sum() >= classes - differing(n + min(most, int(n / threshold)), threshold) else keys[full])
+    return np.concatenate(out)
 
 
 def digest(hashes: np.ndarray) -> str:
@@ -314,7 +321,7 @@ def voronoi(many: DataFrame, threshold: float, level: int) -> DataFrame:
     pivots = many.withColumn("k", F.pmod(F.xxhash64(F.lit(-level), "cid"), F.lit(PIVOTS))).groupBy("region", "k").agg(
         F.min_by(F.struct("cid", "shingles"), order).alias("p"))
     chunks = chunk.select("region", "chunk").distinct()
-    pivots = chunks.join(pivots, "region").select("region", "chunk", "k", "p.shingles")
+    pivots = chunks.join(pivots, "region").select(F.col("region").alias("p_region"), F.col("chunk").alias("p_chunk"), "k", "p.shingles")
     eps2 = 2 * (1 - threshold) + 1e-9
 
     def cut(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
@@ -334,7 +341,7 @@ def voronoi(many: DataFrame, threshold: float, level: int) -> DataFrame:
         out["region"] = [(salt + int(k) * 0x9E3779B97F4A7C15) & (1 << 63) - 1 for k in pivots["k"].to_numpy()[j]]
         return out
 
-    return chunk.groupBy("region", "chunk").cogroup(pivots.groupBy("region", "chunk")).applyInPandas(
+    return chunk.groupBy("region", "chunk").cogroup(pivots.groupBy("p_region", "p_chunk")).applyInPandas(
         cut, "region long, cid long, n long, digest string, shingles binary")
 
 
