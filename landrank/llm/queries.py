@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import jaccard, media, mixing, pii, shards, toxicity, vectors, warc
+from landrank.llm import jaccard, media, mixing, pii, segment, shards, toxicity, vectors, warc
 from landrank.llm.common import small_batches, table
 
 
@@ -51,6 +51,12 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, threshold=0.9)
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_toxicity": op3_toxicity, "op4_vectors": op4_vectors, "op5_media": op5_media, "op7_pii": op7_pii, "op8_jaccard": op8_jaccard, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = segment.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return segment.decode(coded).select("doc_id", "ids", F.size("ids").alias("n_pieces"),
+                                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
+QUERIES = {"op1_warc": op1_warc, "op3_toxicity": op3_toxicity, "op4_vectors": op4_vectors, "op5_media": op5_media, "op7_pii": op7_pii, "op8_jaccard": op8_jaccard, "op9_sentencepiece": op9_sentencepiece, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
 
 SQL: dict[str, str] = {}
