@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import jaccard, media, mixing, pii, segment, shards, toxicity, vectors, warc
+from landrank.llm import jaccard, lm, media, mixing, pii, segment, shards, toxicity, vectors, warc
 from landrank.llm.common import small_batches, table
 
 
@@ -57,6 +57,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_toxicity": op3_toxicity, "op4_vectors": op4_vectors, "op5_media": op5_media, "op7_pii": op7_pii, "op8_jaccard": op8_jaccard, "op9_sentencepiece": op9_sentencepiece, "op2_mixing": op2_mixing, "op6_sharding": op6_sharding}
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.mixing_scores(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_toxicity, op4_vectors, op5_media, op6_sharding, op7_pii,
+                                   op8_jaccard, op9_sentencepiece, op10_lm)}
 
 SQL: dict[str, str] = {}
