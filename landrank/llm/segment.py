@@ -22,8 +22,8 @@ LACKING = 1e-6
 SPACE, ESCAPED = 0x2581, 0x110000
 #: Probabilities are multiples of 1 / ONE, so that they add up exactly in any order.
 ONE = float(1 << 30)
-#: States of lattices that a worker keeps from batch to batch.
-KEPT = 1_500_000
+#: States of lattices that a worker keeps from batch to batch, and characters that it segments at a time, about.
+KEPT, AT_ONCE = 600_000, 800_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -302,8 +302,13 @@ def encode(docs: DataFrame, model: str = MODEL, smoothing: float = SMOOTHING, se
         v, kept = vocabulary(model, smoothing), Lattices()
         for b in batches:
             keys = [xxhash.xxh64_intdigest("null" if d is None or d != d else str(int(d)), seed=seed) for d in b["doc_id"]]
-            b["ids"] = sampled(list(b["text"]), keys, v, kept)
-            yield b
+            block = (b["text"].str.len().fillna(0).cumsum() // AT_ONCE).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(b)] if len(b) else [0]
+            texts = list(b["text"])
+            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+                out = b.iloc[s:e].copy()
+                out["ids"] = sampled(texts[s:e], keys[s:e], v, kept)
+                yield out
 
     return docs.mapInPandas(run, schema)
 
