@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,10 +38,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def dropped(df: DataFrame) -> None:
     """Deletes the files of a table made by written()."""
-    spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        removed(df.sparkSession, folder)
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

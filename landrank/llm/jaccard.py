@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landrank.llm.common import attach, small_batches, written
+from landrank.llm.common import attach, freed, removed, scratch, small_batches, written
 from landrank.llm.components import components
 from landrank.llm.vectors import Forest
 
@@ -205,7 +205,10 @@ def region_links(ids: np.ndarray, sets: list[np.ndarray], threshold: float) -> l
 
 # -- the join over tasks ---------------------------------------------------------------------------------------------
 
-HELD = "node long, doc_id long, n long, digest string, bucket int, keys binary, nodes binary, a long, b long"
+#: Bytes of a cell key within its bucket: two cells that fall together only put more documents into a cluster.
+KEY_BYTES = 5
+
+HELD = "node long, doc_id long, n long, digest string, bucket int, keys binary, nodes binary, a long, b long, part int"
 
 
 def sketched(docs: DataFrame, size: int, threshold: float, buckets: int) -> DataFrame:
@@ -225,7 +228,7 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int) -> Data
             for k, (doc_id, text) in enumerate(zip(b["doc_id"], b["text"], strict=True)):
                 h = shingles(text, size, words)
                 known = doc_id is not None and doc_id == doc_id
-                rows.append((base + k, int(doc_id) if known else None, len(h), digest(h) if len(h) and known else None, *none, None))
+                rows.append((base + k, int(doc_id) if known else None, len(h), digest(h) if len(h) and known else None, *none, None, 0))
                 if known and len(h):
                     mine = cells(h, threshold)
                     keys.append(mine)
@@ -237,15 +240,16 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int) -> Data
                 first = np.concatenate([[True], key[1:] != key[:-1]])
                 lead = owner[first][np.cumsum(first) - 1]
                 ties = np.unique(np.stack([owner[~first], lead[~first]], axis=1), axis=0)
-                rows += [(*none, None, None, None, int(x), int(y)) for x, y in ties if x != y]
+                rows += [(*none, None, None, None, int(x), int(y), 1) for x, y in ties if x != y]
                 key, owner = key[first], owner[first]
-                bucket = (key >> _U(20)) % _U(buckets)
+                bucket = (key >> _U(8 * KEY_BYTES)) % _U(buckets)
                 order = np.argsort(bucket, kind="stable")
                 key, owner, bucket = key[order], owner[order], bucket[order].astype(np.int64)
                 cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
                 for s, e in zip(cut, [*cut[1:], len(key)], strict=True):
                     # a node is sent as its distance from the batch's first, which two bytes hold
-                    rows.append((base, *none[:3], int(bucket[s]), key[s:e].tobytes(), (owner[s:e] - base).astype(np.uint16).tobytes(), None, None))
+                    own = np.ascontiguousarray(key[s:e]).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+                    rows.append((base, *none[:3], int(bucket[s]), own.tobytes(), (owner[s:e] - base).astype(np.uint16).tobytes(), None, None, 2))
             base += len(b)
             out = pd.DataFrame(rows, columns=names)
             for c in ("node", "doc_id", "n", "bucket", "a", "b"):
@@ -258,7 +262,10 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int) -> Data
 def cell_edges(packs: DataFrame) -> DataFrame:
     """Ties the documents that share a cell: each to the least of them."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = np.concatenate([np.frombuffer(x, _U) for x in pdf["keys"]])
+        raw = np.frombuffer(b"".join(pdf["keys"]), np.uint8).reshape(-1, KEY_BYTES)
+        key = np.zeros((len(raw), 8), np.uint8)
+        key[:, :KEY_BYTES] = raw
+        key = key.view(_U).ravel()
         node = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + int(base) for x, base in zip(pdf["nodes"], pdf["node"], strict=True)])
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
@@ -270,6 +277,15 @@ def cell_edges(packs: DataFrame) -> DataFrame:
     return packs.select("bucket", "node", "keys", "nodes").groupBy("bucket").applyInPandas(run, "a long, b long")
 
 
+def linked_regions(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """region_links() of each region in pdf (region, cid, shingles)."""
+    out = []
+    for _, part in pdf.groupby("region", sort=False):
+        part = part.drop_duplicates("cid")
+        out += region_links(part["cid"].to_numpy(), [np.frombuffer(x, _U) for x in part["shingles"]], threshold)
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def joined(sets: DataFrame, threshold: float) -> DataFrame:
     """Links of sets (region, cid, n, digest, shingles binary) within each region, as ties (a, b) of cids.
 
@@ -288,11 +304,7 @@ def joined(sets: DataFrame, threshold: float) -> DataFrame:
         few = few.withColumn("task", F.pmod(F.xxhash64("region"), F.lit(tasks)))
 
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            out = []
-            for _, part in pdf.groupby("region", sort=False):
-                part = part.drop_duplicates("cid")
-                out += region_links(part["cid"].to_numpy(), [np.frombuffer(x, _U) for x in part["shingles"]], threshold)
-            return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+            return linked_regions(pdf, threshold)
 
         met = few.select("task", "region", "cid", "shingles").groupBy("task").applyInPandas(run, "a long, b long")
         many = rows.filter(F.col("weight") > TASK_SHINGLES)
@@ -358,30 +370,42 @@ def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> Da
     spark = docs.sparkSession
     small_batches(spark)
     volume = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    held = written(sketched(docs, size, threshold, min(BUCKETS, max(8, volume // BUCKET_BYTES))), "sketches")
-    rows = held.filter("n is not null").select("node", "doc_id", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))
-    ties = held.filter("a is not null").select("a", "b").unionByName(cell_edges(held.filter("bucket is not null")))
+    path = scratch(spark, "sketches")
+    held = sketched(docs, size, threshold, min(BUCKETS, max(8, volume // BUCKET_BYTES)))
+    held.write.partitionBy("part").parquet(path)
+    held = spark.read.schema(held.schema).parquet(path)
+    rows = held.filter("part = 0").select("node", "doc_id", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))
+    ties = held.filter("part = 1").select("a", "b").unionByName(cell_edges(held.filter("part = 2")))
     clusters = components(ties)
+    removed(spark, f"{path}/part=2")
+    freed(spark)
     classes = rows.groupBy("digest").agg(F.min("node").alias("cid"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"),
                                          F.max("n").alias("n_shingles"))
     classes = written(classes, "classes")
     members = classes.drop("n").join(clusters.withColumnRenamed("node", "cid"), "cid").withColumnRenamed("component", "region")
     members = written(members, "members")
-    count = members.groupBy("region").agg(F.count(F.lit(1)).alias("n")).withColumn("classes", F.col("n"))
-    members = attach(members, count, "region", "cid", max(1, members.count())).filter("classes > 1")
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    count = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")).withColumn("classes", F.col("n"))
+    members = written(attach(members, count, "region", "cid", max(1, members.count())).filter("classes > 1"), "clusters")
+    total = members.agg(F.sum("n_shingles").alias("w"), F.max("weight").alias("m")).first()
+    tasks = 4 * max(1, -(-(total["w"] or 0) // TASK_SHINGLES))
+    members = members.withColumn("task", F.when(F.col("weight") <= TASK_SHINGLES, F.pmod(F.xxhash64("region"), F.lit(tasks))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep", "cid", "digest", "region", "task"), "rep")
+
+    def sets(b: pd.DataFrame) -> pd.DataFrame:
         words = Words()
-        for b in batches:
-            own = [shingles(t, size, words) for t in b["text"]]
-            right = np.array([digest(h) == g for h, g in zip(own, b["digest"], strict=True)], bool)
-            out = pd.DataFrame({"region": b["region"], "cid": b["cid"], "n": [len(h) for h in own], "digest": b["digest"],
-                                "shingles": [h.tobytes() for h in own]})
-            yield out[right]
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep", "cid", "digest", "region"), "rep")
-    chosen = texts.mapInPandas(sets, "region long, cid long, n long, digest string, shingles binary")
-    parts = components(joined(chosen, threshold))
+        own = [shingles(t, size, words) for t in b["text"]]
+        right = np.array([digest(h) == g for h, g in zip(own, b["digest"], strict=True)], bool)
+        return pd.DataFrame({"region": b["region"], "cid": b["cid"], "n": [len(h) for h in own], "digest": b["digest"],
+                             "shingles": [h.tobytes() for h in own]})[right]
+
+    def few(pdf: pd.DataFrame) -> pd.DataFrame:
+        return linked_regions(sets(pdf), threshold)
+
+    links = written(texts.filter("task is not null").groupBy("task").applyInPandas(few, "a long, b long"), "links")
+    if (total["m"] or 0) > TASK_SHINGLES:
+        many = texts.filter("task is null").mapInPandas(lambda batches: map(sets, batches), "region long, cid long, n long, digest string, shingles binary")
+        links = links.unionByName(joined(many, threshold))
+    parts = components(links)
     facts = classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = facts.groupBy("component").agg(F.min("rep").alias("component_id"))
     facts = facts.join(least, "component").select("digest", "n", "component_id")
