@@ -17,6 +17,8 @@ from landrank.llm.vectors import Forest
 
 #: Ratio of the largest to the smallest set of a size band, and classes over those that are needed and often empty.
 BAND, SPARE = 1.5, 2
+#: Documents in which frequent shingles are sought, about, in how many of them one must occur, and how many are kept.
+SAMPLE, FREQUENT, MOST_FREQUENT = 8000, 4, 100_000
 #: Text bytes for each bucket of cells, and buckets at most.
 BUCKET_BYTES, BUCKETS = 8 << 20, 1 << 20
 #: Shingles that one task joins: a cluster above is split into regions, small ones go together.
@@ -82,10 +84,11 @@ def bands(n: int, threshold: float) -> list[tuple[int, int, int]]:
     return found
 
 
-def cells(hashes: np.ndarray, threshold: float) -> np.ndarray:
+def cells(hashes: np.ndarray, threshold: float, frequent: np.ndarray | None = None) -> np.ndarray:
     """Keys such that two linked, different sets share one.
 
-    The hash range is cut into more classes than linked sets of the band have differing shingles, so some classes hold
+    Frequent shingles are left out first, from all sets the same ones: sets then differ by no more than before, and
+    passages that many documents quote don't bring those together.  The hash range is cut into more classes than linked sets of the band have differing shingles, so some classes hold
     the same shingles in both.  A key is band, class and the class's shingles.  If all classes that are the same are
     empty, then every other class differs, so the empty ones are at least all classes less the most shingles in which
     the set can differ from a partner; only sets with so many empty classes, which are rare, get keys for those too.
@@ -93,10 +96,12 @@ def cells(hashes: np.ndarray, threshold: float) -> np.ndarray:
     n, out = len(hashes), []
     if not n or differing(n + int(n / threshold), threshold) < 1:
         return np.empty(0, _U)  # linked sets are equal
+    if frequent is not None and len(frequent):
+        hashes = hashes[frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] != hashes]
     sums = np.concatenate([np.zeros(1, _U), np.cumsum(mixed(hashes ^ _U(0x9E3779B97F4A7C15)))])
     for band, most, classes in bands(n, threshold):
         edges = (np.arange(1, classes, dtype=np.float64) * (2.0 ** 64 / classes)).astype(_U)
-        at = np.concatenate([[0], np.searchsorted(hashes, edges), [n]])
+        at = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
         keys = mixed(mixed(sums[at[1:]] - sums[at[:-1]]) + _U(band * 1_000_003) + np.arange(classes, dtype=_U) * _U(0x9E3779B97F4A7C15))
         full = at[1:] > at[:-1]
         out.append(keys if (~full).sum() >= classes - differing(n + min(most, int(n / threshold)), threshold) else keys[full])
@@ -211,7 +216,23 @@ KEY_BYTES = 5
 HELD = "node long, doc_id long, n long, digest string, bucket int, keys binary, nodes binary, a long, b long, part int"
 
 
-def sketched(docs: DataFrame, size: int, threshold: float, buckets: int) -> DataFrame:
+def frequent_shingles(docs: DataFrame, size: int, total: int, seed: int = 8) -> np.ndarray:
+    """Sorted hashes of shingles that many of a sample of documents hold; whatever they are, results are the same."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Words()
+        for b in batches:
+            own = [shingles(t, size, words) for t in b["text"]]
+            if own:
+                yield pd.DataFrame({"h": np.concatenate(own).view(np.int64)})
+
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(1, total)))
+    texts = docs.filter(draw & F.col("text").isNotNull()).select("text").distinct()
+    n = texts.mapInPandas(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT)
+    rows = n.orderBy(F.col("n").desc(), "h").limit(MOST_FREQUENT).select("h").toPandas()["h"]
+    return np.sort(rows.to_numpy(np.int64).view(_U))
+
+
+def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequent: np.ndarray) -> DataFrame:
     """A row for each document (node, doc_id, n, digest), packs of cell keys by bucket, and edges found on the way.
 
     A key that several documents of a batch share is sent on once, and they are tied to each other at once, so a cell
@@ -230,7 +251,7 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int) -> Data
                 known = doc_id is not None and doc_id == doc_id
                 rows.append((base + k, int(doc_id) if known else None, len(h), digest(h) if len(h) and known else None, *none, None, 0))
                 if known and len(h):
-                    mine = cells(h, threshold)
+                    mine = cells(h, threshold, frequent)
                     keys.append(mine)
                     owners.append(np.full(len(mine), base + k, np.int64))
             if keys and sum(map(len, keys)):
@@ -369,9 +390,10 @@ def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> Da
     """
     spark = docs.sparkSession
     small_batches(spark)
-    volume = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    whole = docs.select(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    volume, frequent = whole["bytes"] or 0, frequent_shingles(docs, size, whole["n"])
     path = scratch(spark, "sketches")
-    held = sketched(docs, size, threshold, min(BUCKETS, max(8, volume // BUCKET_BYTES)))
+    held = sketched(docs, size, threshold, min(BUCKETS, max(8, volume // BUCKET_BYTES)), frequent)
     held.write.partitionBy("part").parquet(path)
     held = spark.read.schema(held.schema).parquet(path)
     rows = held.filter("part = 0").select("node", "doc_id", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))

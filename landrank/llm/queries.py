@@ -64,4 +64,42 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_toxicity, op4_vectors, op5_media, op6_sharding, op7_pii,
                                    op8_jaccard, op9_sentencepiece, op10_lm)}
 
-SQL: dict[str, str] = {}
+#: DuckDB SQL for the operators that SQL expresses.  Mixing repeats the same draws; the two joins look at all pairs.
+SQL: dict[str, str] = {
+    "op1_warc": """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY 1 HAVING count(*) > 1)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN first <> page_id THEN first END AS refers_to FROM p LEFT JOIN f ON p.d = f.d""",
+    "op2_mixing": """WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w, 1.5 * sum(source_size) OVER () AS budget, 2 * source_size AS cap FROM s),
+l AS (SELECT *, row_number() OVER o AS n, (budget - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+  (sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lev FROM w WINDOW o AS (ORDER BY cap / w, source)),
+t AS (SELECT source, source_size, least(2.0 * source_size, coalesce(w * (SELECT arg_min(lev, n) FROM l WHERE cap / w > lev), 'inf'::DOUBLE)) AS target FROM l),
+z AS (SELECT d.source, size, count(*) AS k, any_value(target) AS target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WHERE size > 0 GROUP BY 1, 2),
+y AS (SELECT *, log2(1.0 + size) * size * k AS w, 2 * size * k AS cap FROM z),
+x AS (SELECT *, row_number() OVER o AS n, (target - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+  (sum(w) OVER (PARTITION BY source) - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lev FROM y WINDOW o AS (PARTITION BY source ORDER BY cap / w, size)),
+v AS (SELECT source, arg_min(lev, n) AS level FROM x WHERE cap / w > lev GROUP BY 1),
+m AS (SELECT doc_id, d.source, size, source_size, target, CASE WHEN size > 0 THEN least(2.0, coalesce(level * log2(1.0 + size), 2.0)) ELSE 0.0 END AS m,
+  (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5) / 4503599627370496 AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN v ON d.source IS NOT DISTINCT FROM v.source),
+p AS (SELECT *, floor(m) AS whole, m - floor(m) AS p FROM m),
+q AS (SELECT *, target - sum(whole * size) OVER (PARTITION BY source) AS lacking, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS odds FROM p),
+r AS (SELECT *, coalesce(sum(CASE WHEN p > 0 THEN size END) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM q)
+SELECT doc_id, size, source_size, target, ((whole + CASE WHEN p > 0 AND before + size / 2 <= lacking THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM r""",
+    "op4_vectors": """WITH RECURSIVE g AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+c(v, r) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.v),
+m AS (SELECT v, min(r) AS component_id FROM c GROUP BY 1), n AS (SELECT a, count(*) AS k FROM l GROUP BY 1)
+SELECT vec_id, coalesce(k, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN m ON v = vec_id LEFT JOIN n ON a = vec_id""",
+    "op8_jaccard": """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS x FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 90 * (p.n + q.n - k)),
+c(v, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.v)
+SELECT v AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id FROM c LEFT JOIN n ON n.doc_id = c.v GROUP BY v""",
+}
