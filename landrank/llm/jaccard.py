@@ -248,7 +248,7 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequen
             rows, keys, owners = [], [], []
             for k, (doc_id, text) in enumerate(zip(b["doc_id"], b["text"], strict=True)):
                 h = shingles(text, size, words)
-                known = doc_id is not None and doc_id == doc_id
+                known = doc_id is not None
                 rows.append((base + k, int(doc_id) if known else None, len(h), digest(h) if len(h) and known else None, *none, None, 0))
                 if known and len(h):
                     mine = cells(h, threshold, frequent)
@@ -277,7 +277,7 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequen
                 out[c] = out[c].astype("Int64")
             yield out
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, HELD)
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, HELD)
 
 
 def cell_edges(packs: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ PAD, UNIT = 255, 576
 #: Pixels of a row of the stored images, and side of the tiles.
 WIDTH, TILE = 24, 16
 
-STORED = "doc_id long, n_bytes long, media binary"
-FEATURES = ("doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
+STORED = "doc_id string, n_bytes long, media binary"
+FEATURES = ("doc_id string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
             "media_sha256 string, feature string, height int, width int, tile_npy binary")
 
 
@@ -144,7 +144,7 @@ def store(docs: DataFrame) -> DataFrame:
             raw = [b"" if x is None else x.encode("utf-8", "surrogatepass") for x in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": [len(x) for x in raw], "media": [stored_form(padded(x)) for x in raw]})
 
-    return docs.select("doc_id", "text").mapInPandas(put, STORED)
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(put, STORED)
 
 
 def features(media: DataFrame) -> DataFrame:
@@ -161,7 +161,7 @@ def features(media: DataFrame) -> DataFrame:
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "height", "width", "tile_npy"]
             yield pd.concat([b[["doc_id", "n_bytes"]].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
-    return media.select("doc_id", "n_bytes", "media").mapInPandas(get, FEATURES)
+    return media.select("doc_id", "n_bytes", "media").mapInPandas(get, FEATURES).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def media_features(docs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landrank.llm.common import small_batches
@@ -23,7 +24,7 @@ SPACE, ESCAPED = 0x2581, 0x110000
 #: Probabilities are multiples of 1 / ONE, so that they add up exactly in any order.
 ONE = float(1 << 30)
 #: States of lattices that a worker keeps from batch to batch, and characters that it segments at a time, about.
-KEPT, AT_ONCE = 600_000, 800_000
+KEPT, AT_ONCE = 900_000, 1_500_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -295,33 +296,28 @@ def encode(docs: DataFrame, model: str = MODEL, smoothing: float = SMOOTHING, se
     rows that repeat get the same ids; an `ids` column of docs is replaced; no rows give no rows.
     """
     small_batches(docs.sparkSession)
-    docs = docs.drop("ids")
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def segmented(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         v, kept = vocabulary(model, smoothing), Lattices()
-        for b in batches:
-            keys = [xxhash.xxh64_intdigest("null" if d is None or d != d else str(int(d)), seed=seed) for d in b["doc_id"]]
-            block = (b["text"].str.len().fillna(0).cumsum() // AT_ONCE).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(b)] if len(b) else [0]
-            texts = list(b["text"])
+        for doc_ids, texts in batches:
+            keys = [xxhash.xxh64_intdigest(d, seed=seed) for d in doc_ids]
+            block = (texts.str.len().fillna(0).cumsum() // AT_ONCE).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(texts)] if len(texts) else [0]
+            texts, out = list(texts), []
             for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                out = b.iloc[s:e].copy()
-                out["ids"] = sampled(texts[s:e], keys[s:e], v, kept)
-                yield out
+                out += sampled(texts[s:e], keys[s:e], v, kept)
+            yield pd.Series(out, dtype=object)
 
-    return docs.mapInPandas(run, schema)
+    return docs.drop("ids").withColumn("ids", segmented(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text"))
 
 
 def decode(coded: DataFrame, model: str = MODEL) -> DataFrame:
     """coded with `decoded`, the text that its ids spell: the text that was encoded, or empty if that was null."""
-    coded = coded.drop("decoded")
-    schema = T.StructType([*coded.schema.fields, T.StructField("decoded", T.StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(T.StringType())
+    def spelled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = vocabulary(model, SMOOTHING)
-        for b in batches:
-            b["decoded"] = [decoded(x.tolist(), v) for x in b["ids"]]
-            yield b
+        for ids in batches:
+            yield pd.Series([decoded(x.tolist(), v) for x in ids], dtype=object)
 
-    return coded.mapInPandas(run, schema)
+    return coded.drop("decoded").withColumn("decoded", spelled("ids"))

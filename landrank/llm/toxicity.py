@@ -1,7 +1,5 @@
 """Toxicity: a convolutional text classifier over hashed words, trained in numpy, with thresholds by language."""
 
-from __future__ import annotations
-
 import zlib
 from collections.abc import Iterator
 
@@ -223,17 +221,15 @@ def classify(docs: DataFrame, net: Net) -> DataFrame:
     Whole texts are scored, by their words alone; null and empty texts score as texts without a word.  Rows that repeat
     are kept, no rows give no rows, and columns of docs with these names are replaced.
     """
-    cols = [c for c in docs.columns if c not in ("score", "threshold", "rejected")]
-    schema = docs.select(*cols).schema
     model = docs.sparkSession.sparkContext.broadcast(net)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         buckets = Buckets()
-        for b in batches:
-            b["score"] = model.value.scores(list(b["text"]), buckets)
-            yield b
+        for texts in batches:
+            yield pd.Series(model.value.scores(list(texts), buckets))
 
-    out = docs.select(*cols).mapInPandas(run, schema.add("score", "double"))
+    out = docs.drop("score", "threshold", "rejected").withColumn("score", scored("text"))
     threshold = F.lit(DECISION)
     for lang, t in sorted(net.thresholds.items()):
         threshold = F.when(F.coalesce("lang", F.lit("")) == lang, F.lit(float(t))).otherwise(threshold)
