@@ -24,7 +24,7 @@ SPACE, ESCAPED = 0x2581, 0x110000
 #: Probabilities are multiples of 1 / ONE, so that they add up exactly in any order.
 ONE = float(1 << 30)
 #: States of lattices that a worker keeps from batch to batch, and characters that it segments at a time, about.
-KEPT, AT_ONCE = 900_000, 1_500_000
+KEPT, AT_ONCE = 700_000, 1_000_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
