@@ -45,7 +45,11 @@ def external_shuffle(docs: DataFrame, shards: int, seed: int = SEED, bucket_byte
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, **options) -> None:
     """external_shuffle(), written as Parquet with a folder for each shard; files hold rows in the order of slots."""
-    external_shuffle(docs, shards, **options).write.partitionBy("shard").parquet(path)
+    _write(external_shuffle(docs, shards, **options), path)
+
+
+def _write(out: DataFrame, path: str) -> None:
+    out.write.partitionBy("shard").parquet(path)
 
 
 def read_shards(spark, path: str) -> DataFrame:
@@ -54,6 +58,6 @@ def read_shards(spark, path: str) -> DataFrame:
 
 def sharded(docs: DataFrame, shards: int = 16, **options) -> DataFrame:
     """Writes shards to the shared folder and reads them back."""
-    path = scratch(docs.sparkSession, "shards")
-    write_shards(docs, path, shards, **options)
-    return read_shards(docs.sparkSession, path)
+    path, out = scratch(docs.sparkSession, "shards"), external_shuffle(docs, shards, **options)
+    _write(out, path)
+    return docs.sparkSession.read.schema(out.schema).parquet(path)

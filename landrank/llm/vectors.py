@@ -162,13 +162,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     if not d:
         first = v.filter(F.col("key").isNotNull()).select(F.size("embedding").alias("d")).first()
         d = first["d"] if first else 0
+    if not d:  # nothing can link
+        return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     held = np.array([x for x in sample if len(x) == d], np.float64).reshape(-1, d)
     u = unit(held) if len(held) else np.eye(d)[:0]
-    basis = np.linalg.eigh(u.T @ u)[1][:, ::-1].copy() if d else np.zeros((0, 0))
+    basis = np.linalg.eigh(u.T @ u)[1][:, ::-1].copy()
     reps = v.filter(F.col("key").isNotNull() & (F.size("embedding") == d)).groupBy("key").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("embedding").alias("embedding"))
     blocks = max(1, -(-total // block))
-    axis = u @ basis[:, 0] if d else np.empty(0)
+    axis = u @ basis[:, 0]
     cuts = np.quantile(axis, np.arange(1, blocks) / blocks) if blocks > 1 and len(axis) else np.empty(0)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
