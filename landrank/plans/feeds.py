@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from landrank.functions import dates as Y
 from landrank.functions import measured as M
 from landrank.functions import text as X
-from landrank.operators import delta, geometry, keys, quality, search
+from landrank.operators import delta, geometry, keys, publish, quality, search
 from landrank.plans.ranking import table
 from landrank.sources import readers
 from landrank.streaming.changelog import event_counts
@@ -336,3 +336,70 @@ QUERIES = {f.__name__: f for f in (
     key_assign, record_ids, delta_feed, carry_forward, write_counts, ledger_choice, unseen_rows, upsert, point_update, recon_counts, rolling_floor, vintage_join,
     coverage, latest_manifest, freshness, facet_search, facet_counts, denylist, html_titles, html_links, pii_scan, geo_cells, geo_envelope, geo_nearest,
     slope_samples, json_props, label_left, set_diff, conversation_turns, notes_import, watchlist_import, event_windows, seed_gate)}
+
+
+# -- publishing ------------------------------------------------------------------------------------------------------
+
+def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as scored rows: evidenced ones, the first 50 by price, the 30 largest of a status."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    s = o.select(k.alias("record_id"), F.col("o_orderstatus").alias("state"), F.when(k % 5 != 0, k % 977).cast("double").alias("acreage"), (k % 8 == 0).alias("vetoed"),
+                 F.when(k % 4 == 1, k).alias("rank"))
+    return publish.selected(s, s.filter("record_id % 500 = 3"), 50, "F", 30).select("record_id", "priority")
+
+
+def map_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _points(spark, sf_dir).withColumns({"score": F.when(F.col("id") % 3 != 0, F.col("id") % 100), "has_water": F.when(F.col("id") % 5 != 0, F.col("label") == 2)})
+    return publish.clusters(p, 2)
+
+
+def map_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = publish.bounds(_points(spark, sf_dir))
+    return b.select(*[M.js_round(F.col(c), 4).alias(c) for c in b.columns])
+
+
+def county_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return publish.averages(c.select("c_nationkey", M.positive_quantity(F.col("c_acctbal"))["value"].alias("v")), "c_nationkey", "v")
+
+
+def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus")
+    return publish.summary(o, "o_orderpriority", ["F", "O", "P"], "o_orderstatus")
+
+
+def notice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' notices, by nation, with dates in their titles."""
+    s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    k = F.col("s_suppkey")
+    title = F.concat(F.when(k % 3 == 0, "Tax Foreclosure of ").when(k % 3 == 1, "Sale under power, ").otherwise("Notice "), "s_name", F.when(k % 4 != 0, F.concat(F.lit(" on March "), (k % 28 + 1).cast("string"), F.lit(", 2024"))).otherwise(""))
+    found = s.select("s_suppkey", title.alias("title"), F.lit("XX").alias("state"), F.concat(F.lit(" "), F.lower("n_name")).alias("county"))
+    cov = table(spark, sf_dir, "nation").filter("n_nationkey % 6 <> 0").select(F.col("n_nationkey").alias("fips"), F.lit("xx").alias("state"), F.upper("n_name").alias("county"))
+    return publish.notices(found, cov, F.to_date(F.lit("2024-03-15"))).select("s_suppkey", "kind", "sale_date", "fips", "days_left", "live")
+
+
+def geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many features there are, and how long their text is with whole coordinates."""
+    p = _points(spark, sf_dir).select("id", F.floor("lng").alias("lng"), F.floor("lat").alias("lat"), "label")
+    return publish.features(p, ["id", "label"])
+
+
+SQL |= {
+    "selection": """WITH s AS (SELECT o_orderkey AS id, o_orderstatus AS st, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 977 END AS a, o_orderkey % 8 = 0 AS v, CASE WHEN o_orderkey % 4 = 1 THEN o_orderkey END AS r FROM orders),
+b AS (SELECT id FROM s WHERE r IS NOT NULL ORDER BY r LIMIT 50), c AS (SELECT id FROM s WHERE st = 'F' AND a IS NOT NULL AND NOT v ORDER BY a DESC, id LIMIT 30),
+u AS (SELECT id, 0 AS p FROM s WHERE id % 500 = 3 UNION ALL SELECT id, 1 FROM b UNION ALL SELECT id, 2 FROM c) SELECT id AS record_id, min(p)::INT AS priority FROM u GROUP BY 1""",
+    "map_clusters": f"""WITH {_POINTS} SELECT floor(lng * 2)::BIGINT AS cx, floor(lat * 2)::BIGINT AS cy, count(*) AS n, max(CASE WHEN id % 3 <> 0 THEN id % 100 ELSE -1 END) AS best,
+count(*) FILTER (id % 5 <> 0 AND label = 2) AS n_water FROM p GROUP BY 1, 2""",
+    "map_bounds": f"""WITH {_POINTS} SELECT floor(min(lng) * 10000 + 0.5) / 10000 AS minx, floor(min(lat) * 10000 + 0.5) / 10000 AS miny, floor(max(lng) * 10000 + 0.5) / 10000 AS maxx,
+floor(max(lat) * 10000 + 0.5) / 10000 AS maxy FROM p""",
+    "county_average": "SELECT c_nationkey, floor(avg(CASE WHEN c_acctbal > 0 THEN c_acctbal END) + 0.5) / 1.0 AS mean, count(*) FILTER (c_acctbal > 0) AS n_known FROM customer GROUP BY 1",
+    "tier_summary": "SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS F, count(*) FILTER (o_orderstatus = 'O') AS O, count(*) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY 1",
+    "notice_rows": """WITH n AS (SELECT s_suppkey, s_nationkey, CASE s_suppkey % 3 WHEN 0 THEN 'tax-foreclosure' WHEN 1 THEN 'sale-under-power' ELSE 'county-notice' END AS kind,
+CASE WHEN s_suppkey % 4 <> 0 THEN '2024-03-' || lpad((s_suppkey % 28 + 1)::VARCHAR, 2, '0') END AS d FROM supplier)
+SELECT s_suppkey, kind, d AS sale_date, CASE WHEN s_nationkey % 6 <> 0 THEN s_nationkey END AS fips, (s_suppkey % 28 + 1 - 15)::INT * CASE WHEN d IS NULL THEN NULL ELSE 1 END AS days_left,
+d IS NULL OR s_suppkey % 28 + 1 >= 15 AS live FROM n""",
+    "geojson": f"""WITH {_POINTS} SELECT '{{"type":"Feature","geometry":{{"type":"Point","coordinates":[' || floor(lng)::BIGINT || ',' || floor(lat)::BIGINT || ']}},"properties":{{"id":' || id || ',"label":' || label || '}}}}' AS feature FROM p""",
+}
+
+QUERIES |= {f.__name__: f for f in (selection, map_clusters, map_bounds, county_average, tier_summary, notice_rows, geojson)}

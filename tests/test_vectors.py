@@ -268,3 +268,25 @@ def test_stream_equals_batch(spark, tmp_path):
     q = counts_to(change_log(spark, path), f"file://{tmp_path}/out", f"file://{tmp_path}/cp")
     q.awaitTermination(120)
     assert {(r["kind"], r["n"]) for r in spark.read.parquet(f"file://{tmp_path}/out").collect()} == {("new", 2), ("stale", 1)}
+
+
+def test_published_scores_follow_from_signals(spark):
+    from landrank.operators import publish
+
+    c = lambda n, w, x, why=None: score.component(n, w, F.lit(x), F.lit(x), F.lit(float(w)), F.lit(why).cast("string"))
+    df = spark.range(1).select(F.col("id").alias("record_id"), F.lit(12.34567).alias("cheapness"), F.array(c("a", 20, 90.0), c("b", 15, 40.0), c("d", 9, 1.0, "no")).alias("components"))
+    df = publish.listing(df.withColumn("roll", score.rolled_up(F.col("components"))))
+    assert df.first()["score"] == 69 and df.first()["cheapness"] == 12.3457 and not df.first()["low_evidence"] and publish.not_derivable(df).count() == 0
+    assert publish.not_derivable(df.withColumn("score", F.lit(90.0))).count() == 1 and publish.not_derivable(df.withColumn("score", F.lit(None).cast("double"))).count() == 1
+    said = spark.range(1).select(publish.basis(c("a", 20, 90.0), F.lit("x")).alias("s"), publish.basis(c("a", 20, 90.0, "gone"), F.lit("x")).alias("u")).first()
+    assert "90.0 of 100" in said["s"] and said["u"].endswith("unknown: gone.")
+
+
+def test_evidence_and_measures(spark):
+    from landrank.operators import publish
+
+    df = spark.createDataFrame([("county_owned_reo", None, "https://a/1", 0.0), ("rumour", "https://b/2", "https://a/1", 5.0), ("listing", "https://b/3", "https://a/1", 7.0)], "kind string, record_url string, source_url string, price double")
+    assert [tuple(r) for r in publish.evidence(df).orderBy("kind").collect()] == [("county_owned_reo", "https://a/1", None), ("listing", "https://b/3", 7.0)]
+    m = spark.createDataFrame([(1.0, None), (None, "null"), (None, None), (2.0, "why")], "v double, r string")
+    assert publish.half_measured(m, {"v": "r"}).count() == 2 and publish.any_known(m, ["v"]).count() == 2
+    assert tuple(publish.bounds(m.select(F.lit(None).cast("double").alias("lng"), F.lit(None).cast("double").alias("lat"))).first()) == geometry.ENVELOPE
