@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from landrank.llm.common import small_batches
 
 #: Labelled rows that the classifier is fitted on, at most about: of label 1 and of label 0.  Every fifth calibrates.
-SAMPLE = (3000, 6000)
+SAMPLE = (6000, 8000)
 BITS, DIM, FILTERS, WIDTHS = 18, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.1, 3
 #: A bucket seen in fewer documents of the sample is embedded at zero, as nothing can be learned of it.
