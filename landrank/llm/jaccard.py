@@ -20,7 +20,7 @@ BAND, SPARE = 1.5, 2
 #: Documents in which frequent shingles are sought, about, in how many of them one must occur, and how many are kept.
 SAMPLE, FREQUENT, MOST_FREQUENT = 8000, 4, 100_000
 #: Text bytes for each bucket of cells, and buckets at most.
-BUCKET_BYTES, BUCKETS = 8 << 20, 1 << 20
+BUCKET_BYTES, BUCKETS = 48 << 20, 1 << 20
 #: Shingles that one task joins: a cluster above is split into regions, small ones go together.
 TASK_SHINGLES = 2_000_000
 #: Pivots of a region, members below which all pairs are looked at, and splits of a cluster over tasks.
