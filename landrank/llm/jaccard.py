@@ -283,16 +283,19 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequen
 def cell_edges(packs: DataFrame) -> DataFrame:
     """Ties the documents that share a cell: each to the least of them."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", kind="stable")  # then the first of equal keys is the least node's
         raw = np.frombuffer(b"".join(pdf["keys"]), np.uint8).reshape(-1, KEY_BYTES)
         key = np.zeros((len(raw), 8), np.uint8)
         key[:, :KEY_BYTES] = raw
         key = key.view(_U).ravel()
-        node = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + int(base) for x, base in zip(pdf["nodes"], pdf["node"], strict=True)])
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])
-        lead = node[first][np.cumsum(first) - 1]
-        ties = np.unique(np.stack([node[~first], lead[~first]], axis=1), axis=0)
+        lead = np.flatnonzero(first)[np.cumsum(first)[~first] - 1]
+        pack = np.repeat(np.arange(len(pdf), dtype=np.int32), [len(x) // 2 for x in pdf["nodes"]])
+        away = np.frombuffer(b"".join(pdf["nodes"]), np.uint16)
+        node = lambda at: pdf["node"].to_numpy(np.int64)[pack[at]] + away[at]
+        ties = np.unique(np.stack([node(order[~first]), node(order[lead])], axis=1), axis=0)
         return pd.DataFrame({"a": ties[:, 0], "b": ties[:, 1]})
 
     return packs.select("bucket", "node", "keys", "nodes").groupBy("bucket").applyInPandas(run, "a long, b long")
