@@ -24,7 +24,7 @@ SPACE, ESCAPED = 0x2581, 0x110000
 #: Probabilities are multiples of 1 / ONE, so that they add up exactly in any order.
 ONE = float(1 << 30)
 #: States of lattices that a worker keeps from batch to batch, and characters that it segments at a time, about.
-KEPT, AT_ONCE = 700_000, 1_000_000
+KEPT, AT_ONCE = 400_000, 700_000
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -295,7 +295,7 @@ def encode(docs: DataFrame, model: str = MODEL, smoothing: float = SMOOTHING, se
     text's own, are spelled in byte pieces.  Null and empty texts have no ids; a null doc_id is a key like any other;
     rows that repeat get the same ids; an `ids` column of docs is replaced; no rows give no rows.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 400)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def segmented(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
