@@ -360,6 +360,26 @@ def test_model_is_a_distribution():
     assert sum(2.0 ** -m.code.length) == pytest.approx(1) and sum(2.0 ** -m.letters.length) == pytest.approx(1)
 
 
+def test_contexts_know_rare_words():
+    """Words without a code of their own are contexts of their own; codes and tables grow with the vocabulary."""
+    m = lm.Model([" ".join(f"w{i}" for i in range(2000)) + " the" * 5])
+    assert "w1998".encode() not in m.symbol and "w1999".encode() not in m.symbol
+    slots = []
+    for text in ("w1998 the", "w1999 the"):
+        t = lm.Text([text])
+        of, _, _, k = m.word_slots(t, m.symbols(t), np.zeros(len(t.token), np.int64))
+        slots.append([x[of == 1].tolist() for x in k])
+    assert slots[0][0] == slots[1][0] and all(a != b for a, b in zip(slots[0][1:], slots[1][1:], strict=True))
+    assert lm.n_symbols(640_000) == 10_000 and lm.table_bits(10_000_000)[0][1] > lm.table_bits(1000)[0][1]
+
+
+def test_codes_are_of_all_training_documents(spark):
+    df = spark.createDataFrame([(i, f"the word{i % 700} the") for i in range(1400)], "doc_id long, text string")
+    top, escapes, ends, letters, size = lm.fitted_counts(df)
+    assert top[0] == (b"the", 2800) and len(top) == lm.SYMBOLS and escapes == 4200 - sum(c for _, c in top) and (ends, size) == (1400, 701)
+    assert letters[32] == escapes and letters.sum() == sum(2 * (len(f"word{i}") + 1) for i in range(700) if f"word{i}".encode() not in dict(top))
+
+
 # -- shared ----------------------------------------------------------------------------------------------------------
 
 def test_attach(spark):
