@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landrank.llm.common import small_batches
+from landrank.llm.common import attach, small_batches, written
 
-#: Labelled rows that the classifier is fitted on, at most about: of label 1 and of label 0.  Every fifth calibrates.
+#: Labelled rows that the classifier is fitted on, at most about: of label 1 and of label 0.  A fifth is left out of it.
 SAMPLE = (3000, 6000)
 BITS, DIM, FILTERS, WIDTHS = 18, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.1, 3
@@ -18,6 +18,8 @@ EPOCHS, BATCH, RATE, SEED = 6, 32, 0.1, 3
 LEAST_DOCS = 3
 #: The score at which a document counts as toxic, wherever the language has no threshold of its own.
 DECISION = 0.7
+#: Score bins to one unit of the logit, in which labelled rows are counted before the exact pass.
+BINS = 64
 #: Rows and toxic rows of a language below which it gets no threshold of its own.
 LEAST_ROWS = (100, 20)
 
@@ -88,8 +90,8 @@ class Net:
         pooled = np.concatenate([np.maximum.reduceat(y, starts, axis=0) for y in self.convolved(x)], axis=1)
         return (pooled @ self.out + self.bias).astype(np.float64)
 
-    def scores(self, texts: list, buckets: Buckets, block: int = 200_000) -> np.ndarray:
-        """Each whole text's score; texts are put together up to about `block` characters, longer ones go alone."""
+    def raw(self, texts: list, buckets: Buckets, block: int = 200_000) -> np.ndarray:
+        """Each whole text's logit; texts are put together up to about `block` characters, longer ones go alone."""
         out, held, size = [], [], 0
         for text in [*texts, None]:
             n = len(text) if text is not None else 0
@@ -99,7 +101,13 @@ class Net:
             held.append(text)
             size += n
         out.append(self.logits(*tokens(held, buckets)))
-        z = np.concatenate(out)[:len(texts)]
+        return np.concatenate(out)[:len(texts)]
+
+    def scores(self, texts: list, buckets: Buckets) -> np.ndarray:
+        """Each whole text's score."""
+        return self.squashed(self.raw(texts, buckets))
+
+    def squashed(self, z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -30, 30)))
 
     def fit(self, docs: list[np.ndarray], labels: np.ndarray, rng: np.random.Generator) -> None:
@@ -167,6 +175,67 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     return float((s[k] + s[k + 1]) / 2 if k + 1 < len(s) else s[k] - 1e-6)
 
 
+def best_cut(spans: pd.DataFrame) -> tuple[float, np.ndarray]:
+    """Where the F1 of weighted counts is greatest, and the spans inside which a cut might do better.
+
+    spans: high, low (the greatest and the least logit in them), ones, zeros; they do not overlap.  The cut is the
+    middle of the gap below a span; infinite without labels of 1.
+    """
+    high, low, ones, zeros = (spans[c].to_numpy(np.float64) for c in ("high", "low", "ones", "zeros"))
+    if not ones.sum() > 0:
+        return float("inf"), np.zeros(len(spans), bool)
+    order = np.argsort(-high, kind="stable")
+    hits, rows = np.cumsum(ones[order]), np.cumsum((ones + zeros)[order])
+    f1 = 2 * hits / (rows + ones.sum())
+    k = int(f1.argmax())
+    # at best, all toxic rows of a span come first
+    most = 2 * hits / (rows - zeros[order] + ones.sum())
+    inside = np.zeros(len(spans), bool)
+    inside[order] = (most >= f1[k] - 1e-12) & (high > low)[order]
+    last = low[order[k]]
+    return float((last + high[order[k + 1]]) / 2 if k + 1 < len(order) else last - 1e-6), inside
+
+
+def cuts(scored: DataFrame) -> tuple[float, dict]:
+    """The cut over all languages, and those of languages with enough rows, of scored (lang, z, toxic, fit, n).
+
+    Rows that the net was not fitted on count, with weights that give each language and label its share of all labelled
+    rows.  They are counted in bins; only bins that a better cut might lie in are looked at row by row.
+    """
+    mass = scored.groupBy("lang", "toxic").agg(F.sum("n").alias("all"), F.sum(F.when(~F.col("fit"), F.col("n")).otherwise(0)).alias("own")).toPandas()
+    weight = {(r.lang, r.toxic): r.all / r.own for r in mass.itertuples() if r.own}
+    own = {(r.lang, r.toxic): r.own for r in mass.itertuples()}
+    count = lambda y: F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0))
+    free = scored.filter(~F.col("fit")).withColumn("bin", F.floor(F.col("z") * BINS))
+
+    def spans(rows: DataFrame, *key: str) -> pd.DataFrame:
+        out = rows.groupBy("lang", *key).agg(F.first("bin").alias("in_bin"), F.max("z").alias("high"), F.min("z").alias("low"), count(1).alias("ones"), count(0).alias("zeros")).toPandas()
+        for y, c in ((1, "ones"), (0, "zeros")):
+            out[c] = out[c] * np.array([weight.get((x, y), 0.0) for x in out["lang"]], np.float64)
+        return out
+
+    def merged(rows: pd.DataFrame, key: str) -> pd.DataFrame:
+        return rows.groupby(key, as_index=False).agg({"in_bin": "first", "high": "max", "low": "min", "ones": "sum", "zeros": "sum"})
+
+    bins = spans(free, "bin")
+    enough = [x for x in set(bins["lang"]) if own.get((x, 0), 0) + own.get((x, 1), 0) >= LEAST_ROWS[0] and own.get((x, 1), 0) >= LEAST_ROWS[1]]
+    groups = {None: bins, **{x: bins[bins["lang"] == x] for x in enough}}
+    some: dict = {}
+    for x, rows in groups.items():
+        rows = merged(rows, "in_bin") if len(rows) else rows
+        some[x] = set(rows["in_bin"][best_cut(rows)[1]].tolist()) if len(rows) else set()
+    wanted = sorted(set().union(*some.values()))
+    exact = spans(free.filter(F.col("bin").isin(wanted)), "z") if wanted else bins[:0]
+    found = {}
+    for x, rows in groups.items():
+        fine = exact if x is None else exact[exact["lang"] == x]
+        rest = rows[~rows["in_bin"].isin(some[x])]
+        fine = fine[fine["in_bin"].isin(some[x])]
+        parts = [merged(part, key) for part, key in ((rest, "in_bin"), (fine, "high")) if len(part)]
+        found[x] = best_cut(pd.concat(parts))[0] if parts else float("inf")
+    return found.pop(None), found
+
+
 def train(texts: list, labels: list, langs: list, seed: int = SEED) -> Net:
     """A net fitted on four fifths of the rows; the rest sets the score 0.7 and the thresholds by language."""
     rng = np.random.default_rng(seed)
@@ -199,7 +268,7 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample: tuple = SAMPLE, seed: int = SEED) -> Net:
-    """Trains on a bounded sample of labelled documents whose fold of 3 is not 1.
+    """Trains on a bounded sample of labelled documents whose fold of 3 is not 1, and sets thresholds on all the others.
 
     labels: doc_id, toxic; a document that is labelled twice counts as toxic if once so.  The sample's ids, some
     thousands by parameter, are broadcast to find their whole texts.
@@ -209,10 +278,41 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: tuple = SAMPLE, seed: int
     n = {r["toxic"]: r["count"] for r in y.groupBy("toxic").count().collect()}
     part = {k: min(1.0, sample[1 - k] / max(1, n.get(k, 0))) for k in (0, 1)}
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    ids = y.filter(draw < F.when(F.col("toxic") == 1, part[1]).otherwise(part[0]))
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").toPandas()
+    spared = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5)) == 4
+    y = y.withColumn("fit", ~spared & (draw < F.when(F.col("toxic") == 1, part[1]).otherwise(part[0])))
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(y.filter("fit").select("doc_id", "toxic")), "doc_id").toPandas()
     rows = rows.sort_values(["doc_id", "text"], key=lambda c: c if c.name == "doc_id" else c.fillna("")).sample(frac=1, random_state=seed)
-    return train(list(rows["text"]), list(rows["toxic"]), list(rows["lang"]), seed)
+    rng = np.random.default_rng(seed)
+    net, buckets, known = Net(rng), Buckets(), rows["toxic"].to_numpy(np.float64)
+    if not known.any() or known.all():
+        net.shift = -30.0 if not known.any() else 30.0
+        return net
+    net.fit([tokens([t], buckets)[0] for t in rows["text"]], known, rng)
+    cut, by_lang = cuts(logits_of(docs, y, net))
+    # the score is monotone in the logit and is DECISION at the best cut over all languages
+    net.shift = float(np.log(DECISION / (1 - DECISION)) - net.scale * (cut if np.isfinite(cut) else 0.0))
+    net.thresholds = {x: float(net.squashed(np.float64(c))) for x, c in by_lang.items() if np.isfinite(c)}
+    return net
+
+
+def logits_of(docs: DataFrame, y: DataFrame, net: Net) -> DataFrame:
+    """Counts n of docs by lang, z (the logit), toxic and fit, of the documents in y (doc_id, toxic, fit).
+
+    Texts are not shuffled, so all are scored; rows of a doc_id that many share are spread.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(net)
+
+    @F.pandas_udf("double")
+    def logit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        buckets = Buckets()
+        for texts in batches:
+            yield pd.Series(model.value.raw(list(texts), buckets))
+
+    cells = docs.filter("doc_id is not null").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), logit("text").alias("z"))
+    cells = written(cells.groupBy("doc_id", "lang", "z").agg(F.count(F.lit(1)).alias("n")), "logits")
+    facts = written(y.join(cells.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "doc_id"), "labelled")
+    held = attach(cells, facts, "doc_id", "z", cells.count(), "rows").filter("toxic is not null")
+    return written(held.groupBy("lang", "z", "toxic", "fit").agg(F.sum("n").alias("n")), "calibration")
 
 
 def classify(docs: DataFrame, net: Net) -> DataFrame:

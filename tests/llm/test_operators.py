@@ -130,6 +130,39 @@ def test_toxicity(spark, docs, empty):
     assert r.filter((F.col("score") >= 0.7) == (F.col("toxic") == 1)).count() >= 880
 
 
+def test_cuts_are_those_of_all_rows(spark):
+    """By bins the same cut as row by row; rows fitted on count by weight alone, so a thinned label keeps its share."""
+    rng = np.random.default_rng(5)
+    y = rng.random(6000) < 0.12
+    z, lang = np.where(y, rng.normal(1, 1, 6000), rng.normal(-1, 1, 6000)).astype(np.float32).astype(float), rng.choice(["en", "de", "rare"], 6000, p=[0.6, 0.39, 0.01])
+    frame = lambda fit: spark.createDataFrame([(str(a), float(b), int(c), bool(f), 1) for a, b, c, f in zip(lang, z, y, fit, strict=True)],
+                                              "lang string, z double, toxic int, fit boolean, n long")
+    cut, by_lang = toxicity.cuts(frame(np.zeros(6000, bool)))
+    assert cut == pytest.approx(toxicity.best_threshold(z, y.astype(float)), abs=1e-12) and set(by_lang) == {"en", "de"}
+    assert by_lang["de"] == pytest.approx(toxicity.best_threshold(z[lang == "de"], y[lang == "de"].astype(float)), abs=1e-12)
+    thinned, _ = toxicity.cuts(frame(~y & (rng.random(6000) < 0.75)))
+    f1 = lambda t: 2 * (y & (z >= t)).sum() / ((z >= t).sum() + y.sum())
+    assert f1(thinned) > f1(cut) - 0.01
+
+
+def test_threshold_does_not_follow_the_sample(spark):
+    """With a capped sample the threshold is that of the natural mix: clean rows stay, and every language is counted."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(3000):
+        t, bad = list(rng.choice(words, 12)), i % 10 == 0
+        if bad or rng.random() < 0.03:
+            t[3] = "vile"
+        rows.append((i, " ".join(t), "xx" if i % 4 == 0 or (bad and i % 20 == 0) else "en"))
+        labels.append((i, int(bad)))
+    df, given = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    net = toxicity.fitted(df, given, sample=(60, 60))
+    assert set(net.thresholds) == {"en", "xx"}
+    out = toxicity.classify(df, net).join(given, "doc_id")
+    assert out.filter("toxic = 0 and rejected").count() < 0.06 * 2700 and out.filter("toxic = 1 and rejected").count() > 0.9 * 300
+
+
 # -- 4 ---------------------------------------------------------------------------------------------------------------
 
 def test_vectors(spark):
