@@ -14,8 +14,9 @@ from landrank.llm.components import components
 
 #: Least cosine of a link.
 THRESHOLD = 0.9
-#: Vectors that the basis is fitted on, about; it decides how fast pairs are ruled out, not which are linked.
-SAMPLE = 20_000
+#: Vectors that the bases are fitted on, about, and of a length below which it gets none; bases decide how fast pairs are
+#: ruled out, not which are linked.
+SAMPLE, LEAST_SAMPLE = 20_000, 100
 #: Vectors of a block (two blocks meet in a task), of a tile, and leading dimensions of the first and the next steps.
 BLOCK, TILE, FIRST, STEP = 8192, 1024, 16, 16
 #: Cosines this close to the threshold are computed again from the vectors as given.
@@ -109,13 +110,13 @@ def joined_tile(hit: np.ndarray, rows: int, cols: int, forest: Forest) -> None:
             forest.join(cols + int(j), rows + r)
 
 
-def compared(ids: np.ndarray, counts: np.ndarray, raw: np.ndarray, first: int, basis: np.ndarray, threshold: float) -> tuple:
+def compared(ids: np.ndarray, counts: np.ndarray, raw: np.ndarray, first: int, basis: np.ndarray | None, threshold: float) -> tuple:
     """Links of the first block (rows up to `first`) with the second or, if that is empty, with itself.
 
     Returns for each row the vectors it links with, counted, and the row with the least id of those it hangs together with.
     """
     x = unit(raw)
-    z, n = x @ basis, len(raw)
+    z, n = x if basis is None else x @ basis, len(raw)
     links, forest = np.zeros(n), Forest(n)
     own = first == n
     for i in range(0, first, TILE):
@@ -145,7 +146,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     Equal vectors are compared once, as one with a count.  Distinct ones are cut into blocks along the first principal
     axis; two blocks meet in a task unless they lie too far apart on that axis, and no pair leaves a task, only sums and
     each vector's least neighbour by way of links.  Vectors that are null or zero, or hold null or non-finite
-    components, or have another length than most of the sample, link with nothing.  Rows that repeat a vec_id count as
+    components, link with nothing; others link within their length, each length with blocks and a basis of its own.  Rows that repeat a vec_id count as
     vectors of their own; a null vec_id links nothing and is its own component; no rows give no rows.
     """
     small_batches(vectors.sparkSession, 4096)
@@ -155,40 +156,47 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
     good = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("embedding", lambda e: e != 0)
     v = v.withColumn("key", F.when(F.coalesce(good, F.lit(False)), F.md5(F.concat_ws(",", F.col("embedding").cast("array<string>")))))
     v = written(v, "vectors")
-    draw = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(1, total)))
-    sample = v.filter(F.col("key").isNotNull() & draw).select("embedding").toPandas()["embedding"]
-    sizes = pd.Series([len(x) for x in sample]).mode()
-    d = int(sizes[0]) if len(sizes) else 0
-    if not d:
-        first = v.filter(F.col("key").isNotNull()).select(F.size("embedding").alias("d")).first()
-        d = first["d"] if first else 0
-    if not d:  # nothing can link
+    distinct = written(v.filter(F.col("key").isNotNull()).groupBy("key").agg(
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("embedding").alias("embedding")), "distinct")
+    size = F.size("embedding")
+    lengths = {r["d"]: r["count"] for r in distinct.groupBy(size.alias("d")).count().orderBy("d").collect()}
+    if not lengths:  # nothing can link
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    held = np.array([x for x in sample if len(x) == d], np.float64).reshape(-1, d)
-    u = unit(held) if len(held) else np.eye(d)[:0]
-    basis = np.linalg.eigh(u.T @ u)[1][:, ::-1].copy()
-    reps = v.filter(F.col("key").isNotNull() & (F.size("embedding") == d)).groupBy("key").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("embedding").alias("embedding"))
-    blocks = max(1, -(-total // block))
-    axis = u @ basis[:, 0]
-    cuts = np.quantile(axis, np.arange(1, blocks) / blocks) if blocks > 1 and len(axis) else np.empty(0)
+    # lengths are drawn from alike, but each gets an equal share of a sample at least
+    shares = {d: min(1.0, max(SAMPLE / sum(lengths.values()), SAMPLE / len(lengths) / n)) for d, n in lengths.items()}
+    rate = F.element_at(F.create_map(*[F.lit(x) for d in shares for x in (d, int((1 << 30) * shares[d]))]), size)
+    draw = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 30)) < rate
+    sample = distinct.filter(draw).select("embedding").toPandas()["embedding"]
+    held: dict[int, list] = {d: [] for d in lengths}
+    for x in sample:
+        held[len(x)].append(x)
+    plan, bases, lows, highs, ends = {}, {}, [], [], []
+    for d, n in lengths.items():
+        u = unit(np.array(held[d], np.float64)) if held[d] else np.empty((0, d))
+        if len(u) >= LEAST_SAMPLE:
+            bases[d] = np.linalg.eigh(u.T @ u)[1][:, ::-1].copy()
+        blocks = max(1, -(-n // block))
+        axis = u @ bases[d][:, 0] if d in bases else u[:, 0]
+        cuts = np.quantile(axis, np.arange(1, blocks) / blocks) if blocks > 1 and len(axis) else np.empty(0)
+        plan[d] = len(lows), cuts
+        lows += [-1.0, *cuts]
+        highs += [*cuts, 1.0]
+        ends += [(len(lows) - len(cuts) - 1, len(lows))] * (len(cuts) + 1)
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                b["axis"] = unit(np.stack(b["embedding"].to_numpy())) @ basis[:, 0]
-                b["block"] = np.searchsorted(cuts, b["axis"].to_numpy()).astype(np.int32)
-                yield b
+            for d, part in b.groupby(b["embedding"].map(len)):
+                x, (base, cut) = unit(np.stack(part["embedding"].to_numpy())), plan[d]
+                axis = x @ bases[d][:, 0] if d in bases else x[:, 0]
+                yield part.assign(axis=axis, block=(base + np.searchsorted(cut, axis)).astype(np.int32))
 
-    reps = written(reps.mapInPandas(placed, "key string, rep long, n long, embedding array<double>, axis double, block int"), "reps")
+    reps = written(distinct.mapInPandas(placed, "key string, rep long, n long, embedding array<double>, axis double, block int"), "reps")
     # unit vectors of cosine t differ by sqrt(2 - 2t) at most, on any axis
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
-    lows = np.concatenate([[-1.0], cuts])
-    highs = np.concatenate([cuts, [1.0]])
-    # block k meets the later blocks that begin within reach; those are runs, so a pair of numbers says which
+    # block k meets the later blocks of its length that begin within reach; those are runs, so a pair of numbers says which
     last = F.expr("element_at(__last, block + 1)")
-    lasts = [int(np.searchsorted(lows, h + reach, side="right")) - 1 for h in highs]
-    firsts = [int(np.searchsorted(highs, low - reach, side="left")) for low in lows]
+    lasts = [a + int(np.searchsorted(lows[a:b], h + reach, side="right")) - 1 for h, (a, b) in zip(highs, ends, strict=True)]
+    firsts = [a + int(np.searchsorted(highs[a:b], low - reach, side="left")) for low, (a, b) in zip(lows, ends, strict=True)]
     sides = reps.withColumn("__last", F.array(*map(F.lit, lasts))).withColumn("__first", F.array(*map(F.lit, firsts)))
     sides = sides.withColumn("last", last).withColumn("first", F.expr("element_at(__first, block + 1)"))
     as_first = sides.select("rep", "n", "embedding", F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"), F.lit(0).alias("side"))
@@ -203,7 +211,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int =
         own = pdf["i"].iloc[0] == pdf["j"].iloc[0]
         if not own and first in (0, len(pdf)):
             return pd.DataFrame({"rep": [], "links": [], "least": []})
-        links, root = compared(ids, counts, np.stack(pdf["embedding"].to_numpy()), len(pdf) if own else first, basis, threshold)
+        links, root = compared(ids, counts, np.stack(pdf["embedding"].to_numpy()), len(pdf) if own else first, bases.get(len(pdf["embedding"].iloc[0])), threshold)
         least = pd.Series(ids).groupby(root).transform("min").to_numpy()
         some = links > 0
         return pd.DataFrame({"rep": ids[some], "links": links[some].astype(np.int64), "least": least[some]})

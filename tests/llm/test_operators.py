@@ -185,6 +185,24 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_every_length(spark):
+    """Each length is compared in itself, the rare one too, and no vector with one of another length."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for d, n in ((12, 150), (5, 120), (2, 3)):
+        base = rng.normal(size=(n, d))
+        rows += [[float(y) for y in x] for x in [*base, *(base + rng.normal(size=base.shape) * 0.2), *base[:2]]]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    unit = [np.array(x) / np.linalg.norm(x) for x in rows]
+    hit = np.array([[i != j and len(a) == len(b) and a @ b >= 0.9 for j, b in enumerate(unit)] for i, a in enumerate(unit)])
+    label = np.arange(len(rows))
+    for _ in rows:
+        label = np.minimum(label, np.where(hit, label, len(rows)).min(1))
+    for block in (8192, 40):
+        got = {r["vec_id"]: r for r in vectors.near_vectors(df, block=block).collect()}
+        assert all(got[i]["n_links"] == hit[i].sum() and got[i]["component_id"] == label[i] for i in range(len(rows)))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100) for i in range(1, 400)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
