@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but ASCII white space.
@@ -21,9 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
+
+    Where it is unset, a session with a local master gets one of its own; on a cluster that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -54,8 +60,23 @@ def freed(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Fewer rows in an Arrow batch, as texts can be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """At most so many rows in an Arrow batch, as texts can be long; a smaller setting stays."""
+    held = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < held <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def starts(counts: DataFrame, key: str, n: str, start: str, group: int = 4096) -> DataFrame:
+    """counts (key from 0, n) with the sum of n over all smaller keys.
+
+    Sums of runs of `group` keys come first, so that no task sees all keys, only all runs.
+    """
+    c = counts.select(key, n, F.floor(F.col(key) / group).alias("__g"))
+    alone = Window.partitionBy(F.lit(0)).orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)
+    runs = c.groupBy("__g").agg(F.sum(n).alias("__n")).select("__g", F.coalesce(F.sum("__n").over(alone), F.lit(0)).alias("__before"))
+    own = Window.partitionBy("__g").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("__own", F.coalesce(F.sum(n).over(own), F.lit(0)))
+    return c.join(runs, "__g").select(key, n, (F.col("__before") + F.col("__own")).alias(start))
 
 
 def attach(rows: DataFrame, facts: DataFrame, key: str, spread: str | Column, total: int, n: str = "n") -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landrank.llm.common import scratch
+from landrank.llm.common import scratch, starts
 
 SEED = 6
-#: Bytes of text in a bucket, about: what one task holds at a time.
-BUCKET_BYTES = 8 << 20
+#: Bytes of text and rows in a bucket, about: what one task holds at a time.
+BUCKET_BYTES, BUCKET_ROWS = 8 << 20, 4096
+#: Equal rows from this many on are dealt over buckets one by one; their keys are broadcast up to MOST_KEYS.
+REPEATS, MOST_KEYS = 512, 100_000
 
 
 def text_size(column: str = "text"):
@@ -17,30 +19,63 @@ def text_size(column: str = "text"):
     return F.coalesce(F.octet_length(column), F.lit(0)).cast("long") + 1
 
 
-def external_shuffle(docs: DataFrame, shards: int, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def dealt(rows: DataFrame, n_keys: int, keys: DataFrame) -> DataFrame:
+    """rows (key, row) with a number i of each among equal rows: 0, but for rows of keys (key, n) 0 to n - 1.
+
+    Equal rows may stand for each other, so those of the given keys are put together, one to a key, and spread again by
+    their count: the numbers are the same however rows lie in partitions, and no task holds the rows of a key.
+    """
+    if not n_keys:
+        return rows.withColumn("i", F.lit(0).cast("long"))
+    side = F.broadcast(keys) if n_keys <= MOST_KEYS else keys
+    single = rows.join(side.select("key"), "key", "left_anti").withColumn("i", F.lit(0).cast("long"))
+    one = rows.join(side, "key").groupBy("key").agg(F.first("row").alias("row"), F.first("n").alias("n"))
+    runs = one.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / REPEATS)))).repartition("key", "run")
+    each = runs.withColumn("i", F.explode(F.sequence(F.col("run") * REPEATS, F.least(F.col("n"), (F.col("run") + 1) * REPEATS) - 1)))
+    return single.select("key", "row", "i").unionByName(each.select("key", "row", "i"))
+
+
+def fisher_yates(n: Column, bucket: Column, seed: int) -> Column:
+    """A permutation of 1 to n as an array, by swaps that depend on seed and bucket alone.
+
+    The shuffle is done inside out: the i-th number takes a drawn place among the i first ones, and what was there goes
+    to the end.
+    """
+    def swap(a: Column, i: Column) -> Column:
+        j = F.pmod(F.xxhash64(F.lit(seed), bucket, i), i).cast("int")  # a place before or its own
+        moved = F.concat(F.slice(a, F.lit(1), j), F.array(i), F.slice(a, j + 2, F.greatest(F.lit(0), i - j - 2)), F.slice(a, j + 1, F.lit(1)))
+        return F.when(j == i - 1, F.concat(a, F.array(i))).otherwise(moved)
+
+    return F.aggregate(F.sequence(F.lit(1), n), F.expr("cast(array() as array<int>)"), swap)
+
+
+def external_shuffle(docs: DataFrame, shards: int, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """docs in a random order over all rows, as columns shard (0 to shards - 1) and slot (gapless from 0 in a shard).
 
-    The first pass scatters rows uniformly over buckets of about bucket_bytes by a seeded hash of doc_id and text, so
-    that neither a source nor a group of copies meets in one.  The second puts each bucket into a canonical order and
-    shuffles it (Spark's shuffle() of an array is a Fisher-Yates shuffle).  Buckets follow each other; the row numbers
-    so given are cut into runs whose lengths differ by one at most.  The order depends on the seed and on how buckets
-    fall into Spark partitions; shard sizes don't.  Null or empty texts weigh one byte; rows that repeat are kept; no
-    rows give no rows; further columns are carried along, but shard and slot are replaced.
+    The first pass scatters rows uniformly over buckets of about bucket_bytes and bucket_rows by a seeded hash of the
+    whole row, so that neither a source nor a group of copies meets in one; rows that are equal in all columns are dealt
+    one by one (see dealt()).  The second puts each bucket into a canonical order and shuffles it by Fisher and Yates.
+    Buckets follow each other; the row numbers so given are cut into runs whose lengths differ by one at most.  The order
+    depends on seed and rows alone, not on partitions.  Null or empty texts weigh one byte; no rows give no rows; columns
+    of any type and name are carried along, but shard and slot are replaced.
     """
     cols = [c for c in docs.columns if c not in ("shard", "slot")]
-    docs = docs.select(*cols)
     total = docs.select(F.count(F.lit(1)).alias("n"), F.sum(text_size()).alias("bytes")).first()
-    rows, buckets = total["n"], max(1, -(-(total["bytes"] or 0) // bucket_bytes))
-    by = docs.withColumn("__b", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(buckets)).cast("int"))
-    starts = by.groupBy("__b").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.select("__b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    held = by.repartition("__b").groupBy("__b").agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("rows"))
-    held = held.withColumn("rows", F.shuffle("rows", F.lit(seed))).join(starts, "__b")
-    out = held.select("__start", F.posexplode("rows").alias("at", "row"))
-    out = out.withColumn("__i", F.col("__start") + F.col("at")).withColumn("shard", F.expr(f"cast((__start + at) * {shards} div {max(1, rows)} as int)"))
-    first = F.expr(f"(shard * {rows}L + {shards} - 1) div {shards}")
-    return out.select("row.*", "shard", (F.col("__i") - first).alias("slot"))
+    rows, buckets = total["n"], max(1, -(-(total["bytes"] or 0) // bucket_bytes), -(-total["n"] // bucket_rows))
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    keyed = docs.select(F.md5(F.to_json(row)).alias("key"), row.alias("row"))
+    repeated = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= REPEATS)
+    by = dealt(keyed, repeated.count(), repeated)
+    by = by.withColumn("b", F.pmod(F.xxhash64(F.lit(seed), "key", "i"), F.lit(buckets)).cast("int"))
+    first = starts(by.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "b", "n", "start").withColumnRenamed("b", "first_b")
+    # keys alone are sorted, as rows may hold what has no order; equal keys have equal rows
+    held = by.groupBy("b").agg(F.collect_list(F.struct("key", "i", "row")).alias("rows"))
+    held = held.withColumn("rows", F.array_sort("rows", lambda x, y: F.when(x["key"] < y["key"], -1).when(x["key"] > y["key"], 1).otherwise(0)))
+    held = held.withColumn("order", fisher_yates(F.size("rows"), F.col("b"), seed)).join(first, F.col("b") == F.col("first_b"))
+    out = held.select("start", F.posexplode(F.transform("order", lambda k: F.element_at("rows", k)["row"])).alias("at", "row"))
+    out = out.withColumn("i", F.col("start") + F.col("at")).withColumn("shard", F.expr(f"cast(i * {shards} div {max(1, rows)} as int)"))
+    slot = F.col("i") - F.expr(f"(shard * {rows}L + {shards} - 1) div {shards}")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in cols], "shard", slot.alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, **options) -> None:

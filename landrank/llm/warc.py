@@ -18,8 +18,12 @@ from landrank.llm.common import attach, scratch, written
 LEAST_SHARED = 100
 #: An archive file ends with the record that takes it past this many bytes.
 FILE_BYTES = 32 << 20
+#: Tasks that read archives, at most: a file each, or several.
+READ_TASKS = 20_000
 #: Bytes read at a time.
 CHUNK = 1 << 20
+#: Compressed bytes inflated at a time.
+PIECE = 1 << 14
 
 VERSION, MAGIC, END = b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
@@ -54,19 +58,22 @@ class Bad(Exception):
 
 
 class Source:
-    """A seekable stream, of which only a window is kept."""
+    """A seekable stream, of which only a window is kept; the stream itself is read forwards as long as callers go forwards."""
 
-    def __init__(self, stream) -> None:
+    def __init__(self, stream, size: int | None = None) -> None:
         self.stream, self.base, self.held = stream, 0, b""
-        stream.seek(0, 2)
-        self.size = stream.tell()
+        self.size = stream.seek(0, 2) if size is None else size
+        stream.seek(0)
 
     def at(self, start: int, n: int) -> bytes:
         """Bytes start to start + n, or as far as there are."""
         n = max(0, min(n, self.size - start))
-        if not self.base <= start <= start + n <= self.base + len(self.held):
-            self.stream.seek(start)
-            self.base, self.held = start, self.stream.read(min(max(n, CHUNK), self.size - start))
+        have = self.base + len(self.held)
+        if not self.base <= start <= start + n <= have:
+            kept = self.held[start - self.base:] if self.base <= start <= have else b""
+            if not kept and start != have:
+                self.stream.seek(start)
+            self.base, self.held = start, kept + self.stream.read(min(max(n - len(kept), CHUNK), self.size - start - len(kept)))
         return self.held[start - self.base:start - self.base + n]
 
     def find(self, start: int, what: tuple[bytes, ...]) -> int:
@@ -83,8 +90,8 @@ class Source:
         return self.size
 
 
-def plain_record(src: Source, start: int) -> tuple[dict, bytes, int]:
-    """Headers, block and end of the record at start; Bad if a check fails."""
+def plain_record(src: Source, start: int, strict: bool = False) -> tuple[dict, bytes, int]:
+    """Headers, block and end of the record at start; Bad if a check fails, or if strict and there is no payload digest to check."""
     if not src.at(start, len(VERSION)) == VERSION:
         raise Bad("no version line")
     n = 4096
@@ -100,16 +107,20 @@ def plain_record(src: Source, start: int) -> tuple[dict, bytes, int]:
         headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     if not headers.get("content-length", "").isdecimal() or not headers.get("warc-type"):
         raise Bad("no length or type")
-    body, length = start + stop + 4, int(headers["content-length"])
-    if body + length + 4 > src.size:
+    body, length = stop + 4, int(headers["content-length"])
+    if start + body + length + 4 > src.size:
         raise Bad("record is cut off")
-    if src.at(body + length, 4) != END:
+    whole = src.at(start, body + length + 4)
+    if whole[-4:] != END:
         raise Bad("no end of record where its length puts it")
-    block = src.at(body, length)
+    block = whole[body:-4]
     said = headers.get("warc-payload-digest", "")
-    if said.startswith("sha256:") and headers["warc-type"] == "response" and hashlib.sha256(payload_of(headers, block)).hexdigest() != said[7:]:
+    known = said.startswith("sha256:") and headers["warc-type"] == "response"
+    if known and hashlib.sha256(payload_of(headers, block)).hexdigest() != said[7:]:
         raise Bad("payload digest differs")
-    return headers, block, body + length + 4
+    if strict and not known:
+        raise Bad("no payload digest to check")
+    return headers, block, start + len(whole)
 
 
 def payload_of(headers: dict, block: bytes) -> bytes:
@@ -118,54 +129,158 @@ def payload_of(headers: dict, block: bytes) -> bytes:
     return block
 
 
-def inflated(src: Source, start: int) -> tuple[bytes, int]:
-    """What the gzip member at start holds, and its end."""
-    out, at, unpack = [], start, zlib.decompressobj(31)
-    try:
-        while not unpack.eof:
-            piece = src.at(at, CHUNK)
-            if not piece:
-                raise Bad("gzip member is cut off")
-            out.append(unpack.decompress(piece))
-            at += len(piece)
-    except zlib.error as e:
-        raise Bad(f"gzip: {e}") from None
-    return b"".join(out), at - len(unpack.unused_data)
+class Member:
+    """What the gzip member at `start` of a source inflates to, as a stream; it ends where the first error is.
 
+    Once measured(), `size` says how much it holds, `error` what is wrong with it (None: nothing), and `end_of` where it
+    ends in the source.
+    """
 
-def salvage(stream) -> Iterator[tuple]:
-    """("record", offset, length, inner offset, headers, block) and ("gap", offset, length, inner offset, reason), in order.
+    def __init__(self, src: Source, start: int) -> None:
+        self.src, self.start = src, start
+        self.rewind()
 
-    The stream may hold plain records, gzip members of one or more records, or both.  Where a check fails (gzip CRC,
-    version line, headers, length, end of record, payload digest) the search goes on at the next byte for a member's
-    magic or a version line from which all checks hold; the bytes between are one gap.  Gaps and records cover the
-    stream without overlap.  Inside a member, offsets count in its inflated bytes (inner), else inner is null.
-    """
-    src, at, bad, why = Source(stream), 0, None, ""
+    def rewind(self) -> None:
+        self.unpack, self.end, self.wrong, self.place, self.spare, self.done = zlib.decompressobj(31), self.start, None, 0, b"", False
+
+    def more(self) -> None:
+        """Inflates a piece; where it is damaged, byte by byte up to the damage."""
+        piece = self.src.at(self.end, PIECE)
+        if not piece:
+            self.wrong, self.done = "gzip member is cut off", True
+            return
+        before = self.unpack.copy()
+        try:
+            self.spare += self.unpack.decompress(piece)
+            self.end += len(piece) - len(self.unpack.unused_data)
+            self.done = self.unpack.eof
+        except zlib.error as e:
+            try:
+                for i in range(len(piece)):
+                    self.spare += before.decompress(piece[i:i + 1])
+                    self.end += 1
+            except zlib.error:
+                pass
+            self.wrong, self.done = f"gzip: {e}", True
+
+    def read(self, n: int) -> bytes:
+        while len(self.spare) < n and not self.done:
+            self.more()
+        out, self.spare = self.spare[:n], self.spare[n:]
+        self.place += len(out)
+        return out
+
+    def seek(self, to: int) -> None:
+        if to < self.place:
+            self.rewind()
+        while self.place < to and self.read(min(CHUNK, to - self.place)):
+            pass
+
+    def measured(self) -> Member:
+        """Reads it once, to know its size, its error and its end."""
+        while self.read(CHUNK):
+            pass
+        self.size, self.error, self.end_of = self.place, self.wrong, self.end
+        return self
+
+
+def within(m: Member) -> Iterator[tuple]:
+    """salvage() of what a measured member holds; of a damaged one, only records whose payload digest is right."""
+    m.rewind()
+    return salvaged(Source(m, m.size), m.error is not None)
+
+
+def starts_here(src: Source, at: int) -> bool:
+    """Whether a record or a member with one begins here."""
+    try:
+        if src.at(at, 3) != MAGIC:
+            return bool(plain_record(src, at))
+        m = Member(src, at).measured()
+        return any(x[0] == "record" for x in within(m))
+    except Bad:
+        return False
+
+
+def next_start(src: Source, at: int) -> int:
+    """The next place from `at` on where a record or a member with one begins, or the end."""
+    while (at := src.find(at, (MAGIC, VERSION))) < src.size and not starts_here(src, at):
+        at += 1
+    return at
+
+
+def member_entries(src: Source, at: int) -> Iterator[tuple]:
+    """What salvage() gives for the member at `at`, then ("end", where it ends); Bad if it holds no record."""
+    m = Member(src, at).measured()
+    wrong, end, lost, early = m.error, m.end_of, m.size, []
+    if wrong is not None:
+        records = gaps = last = 0
+        for kind, inner, *_ in within(m):
+            records, gaps, last = records + (kind == "record"), gaps + (kind == "gap"), inner
+        if not records or not gaps and ("incorrect" in wrong or records == 1):
+            raise Bad(wrong)  # nothing is right, or CRC or length differ and no record says where
+        if not gaps:
+            lost = last  # nothing vouches for the record at the damage
+        end = next_start(src, at + 1)
+    for kind, inner, length, _, *rest in within(m):
+        if wrong is not None and (inner == lost or kind == "gap" and inner + length == m.size):
+            lost = inner  # what the damage leaves is part of the last gap
+            break
+        entry = (kind, at, end - at, inner, *rest)
+        if kind == "gap" and early is not None:
+            early.append(entry)
+            continue
+        yield from early or ()
+        early = None
+        yield entry
+    if early is not None:
+        raise Bad("gzip member without a record")
+    if wrong is not None:
+        yield "gap", at, end - at, lost, wrong
+    yield "end", end
+
+
+def salvaged(src: Source, strict: bool = False) -> Iterator[tuple]:
+    at, bad, why = 0, None, ""
     while at < src.size:
         try:
             if src.at(at, 3) == MAGIC:
-                data, end = inflated(src, at)
-                if not data.startswith(VERSION) and VERSION not in data:
-                    raise Bad("gzip member without a record")
-                found = [(kind, at, end - at, inner, *rest) for kind, inner, _, _, *rest in salvage(io.BytesIO(data))]
+                entries = member_entries(src, at)
+                first = next(entries)
             else:
-                headers, block, end = plain_record(src, at)
-                found = [("record", at, end - at, None, headers, block)]
+                headers, block, end = plain_record(src, at, strict)
+                entries, first = iter([("end", end)]), ("record", at, end - at, None, headers, block)
         except Bad as e:
             if bad is None:
                 bad, why = at, str(e)
-            at = src.find(at + 1, (MAGIC, VERSION))
+            at = next_start(src, at + 1)
             continue
         if bad is not None:
             yield "gap", bad, at - bad, None, why
             bad = None
-        yield from found
-        at = end
+        yield first
+        for entry in entries:
+            if entry[0] == "end":
+                at = entry[1]
+            else:
+                yield entry
     if bad is not None:
         yield "gap", bad, src.size - bad, None, why
 
 
+def salvage(stream) -> Iterator[tuple]:
+    """("record", offset, length, inner offset, headers, block) and ("gap", offset, length, inner offset, reason), in order.
+
+    The stream may hold plain records, gzip members of one or more records, or both.  Where a check fails (gzip CRC,
+    version line, headers, length, end of record, payload digest) the search goes on at the next byte for a member's
+    magic or a version line from which all checks hold; the bytes between are one gap.  Of a damaged member the records
+    that hold a right payload digest are given, unless nothing tells where the damage is; its length then reaches to the
+    next valid start, and one gap says from which inflated byte on it is lost.  Gaps and records cover the stream without overlap.  Inside
+    a member, offsets count in its inflated bytes (inner), else inner is null.  Members are inflated piece by piece, so
+    memory holds one record at most.
+    """
+    yield from salvaged(Source(stream))
+
+
 # -- files -----------------------------------------------------------------------------------------------------------
 
 def filesystem(path: str):
@@ -247,7 +362,9 @@ def archive(pages: DataFrame, least_shared: int = LEAST_SHARED) -> DataFrame:
 
     Of records with equal payloads of at least least_shared bytes that with the least page_id is the response and the
     others revisit it; a null page_id comes after all others, and rows that repeat page_id and payload of a response
-    are responses too.  A null html is an empty payload.
+    are responses too.  A null html is an empty payload, and a null url is written as urn:none.  No rows give an empty
+    manifest; a very long payload is one record, which the task that writes or reads it holds whole; other columns are
+    not read.
     """
     total = pages.count()
     p = pages.select("page_id", F.col("url").alias("uri"), F.coalesce("html", F.lit("")).alias("payload"))
@@ -262,7 +379,7 @@ def archive(pages: DataFrame, least_shared: int = LEAST_SHARED) -> DataFrame:
                                    "digest", "refers_to", "payload_length"), scratch(pages.sparkSession, "warc"))
 
 
-def read_back(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """read_archives() of all files of a manifest."""
-    paths = manifest.groupBy("path").agg(F.count(F.lit(1)).alias("records"))
-    return read_archives(paths, payloads)
+def read_back(manifest: DataFrame, payloads: bool = True, tasks: int = READ_TASKS) -> DataFrame:
+    """read_archives() of all files of a manifest, a task to each file as long as there are no more than `tasks`."""
+    paths = manifest.select("path").distinct()
+    return read_archives(paths.repartition(max(1, min(tasks, paths.count()))), payloads)

@@ -72,6 +72,38 @@ def test_salvage_in_a_member_of_many():
     assert [x[0] for x in out] == ["record", "gap", "record"] and out[1][3] == len(record(0, b"a" * 200))
 
 
+@pytest.mark.parametrize("harm", ["cut", "flip"])
+def test_salvage_from_a_damaged_member(harm):
+    """Of a member of five records that is damaged in the last one four are recovered, and one gap says what is lost."""
+    rng = np.random.default_rng(7)
+    inner = [record(i, rng.bytes(4000)) for i in range(5)]
+    whole = gzip.compress(b"".join(inner))
+    at = int(len(whole) * 0.9)
+    bad = whole[:int(len(whole) * 0.95)] if harm == "cut" else whole[:at] + bytes([whole[at] ^ 0xFF]) + whole[at + 1:]
+    for before, after in ((b"", b""), (warc.member(record(8, b"x")), warc.member(record(9, b"y")))):
+        out = list(warc.salvage(io.BytesIO(before + bad + after)))
+        got = [x[4]["warc-record-id"] for x in out if x[0] == "record"]
+        assert got == [f"<urn:page:{i}>" for i in ([8] if before else []) + [0, 1, 2, 3] + ([9] if after else [])]
+        gaps = [x for x in out if x[0] == "gap"]
+        assert [(g[1], g[2], g[3]) for g in gaps] == [(len(before), len(bad), sum(map(len, inner[:4])))]
+        if harm == "flip":
+            assert all(x[1] == len(before) for x in out if x[0] == "record" and x[3] is not None and x[4]["warc-record-id"] not in ("<urn:page:8>", "<urn:page:9>"))
+
+
+def test_large_members_are_read_forwards():
+    """A member of many records over several windows: every record, once, and the stream is not inflated anew for each."""
+    rng = np.random.default_rng(8)
+    inner = [record(i, rng.bytes(300_000)) for i in range(20)]
+    out = list(warc.salvage(io.BytesIO(gzip.compress(b"".join(inner), 1))))
+    assert [x[4]["warc-record-id"] for x in out] == [f"<urn:page:{i}>" for i in range(20)]
+
+
+def test_archives_are_read_by_many_tasks(spark):
+    pages = spark.range(64).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.lpad(F.col("id").cast("string"), 200, "x").alias("html")).repartition(4)
+    back = warc.read_back(warc.archive(pages))
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 64
+
+
 def test_archive(spark):
     big = "x" * 150
     rows = [(3, "u", big), (2, "u", big), (2, "u", big), (7, None, None), (8, "u", "small"), (9, "u", "small"), (None, "u", big), (10, "u", "é" * 60), (11, "u", "é" * 60)]
@@ -243,6 +275,26 @@ def test_shards(spark, docs):
     assert shards.external_shuffle(docs, 4).columns[-2:] == ["shard", "slot"] and shards.sharded(docs.limit(0).drop("shard"), 4).count() == 0
 
 
+def test_shards_depend_on_seed_and_rows_alone(spark):
+    """The same slots whatever the partitions, for rows that repeat by the thousand and columns without an order."""
+    df = spark.range(3000).select((F.col("id") % 1500).alias("doc_id"), F.lit("text").alias("text"), F.create_map(F.lit("k"), F.col("id") % 2).alias("m"), F.lit(1).alias("b"), F.lit(2).alias("row"))
+    df = df.unionByName(spark.range(4000).select(F.lit(9).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.create_map(F.lit("k"), F.lit(0).cast("long")).alias("m"), F.lit(1).alias("b"), F.lit(2).alias("row")))
+    held, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for n in (4, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        rows = shards.external_shuffle(df.repartition(n), 16, bucket_rows=300).collect()
+        held.append(sorted((r["shard"], r["slot"], r["doc_id"], r["m"]["k"]) for r in rows))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert held[0] == held[1] and len(held[0]) == 7000 and max(Counter(x[0] for x in held[0] if x[2] == 9).values()) < 500
+    other = shards.external_shuffle(df, 16, seed=7, bucket_rows=300).collect()
+    assert sorted((r["shard"], r["slot"], r["doc_id"], r["m"]["k"]) for r in other) != held[0]
+
+
+def test_fisher_yates_is_uniform(spark):
+    got = Counter(tuple(r["p"]) for r in spark.range(12_000).select(shards.fisher_yates(F.lit(3), F.col("id"), 1).alias("p")).collect())
+    assert set(got) == {(1, 2, 3), (1, 3, 2), (2, 1, 3), (2, 3, 1), (3, 1, 2), (3, 2, 1)} and all(abs(n - 2000) < 200 for n in got.values())
+
+
 # -- 7 ---------------------------------------------------------------------------------------------------------------
 
 def test_pii(spark, docs, empty):
