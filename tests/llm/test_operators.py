@@ -136,6 +136,25 @@ def test_mixing(spark, docs, empty):
     assert all(abs(per[s] - t) <= 60 and t <= 2 * size[s] + 1e-6 for s, t in target.items())
 
 
+def test_mixed_rows_are_those_of_the_mix(spark):
+    """Rows as often as mix() says, with columns of any name; ids that many rows share or lack don't unbalance a source."""
+    rng = np.random.default_rng(3)
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, "w " * int(n) + ("" if i % 2 else str(i)), f"s{i % 2}", 1, 2, 3, 4) for i, n in enumerate(rng.integers(0, 40, 2000))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, nth int, size int, `last` int").withColumn("a.b", F.lit(1))
+    want = Counter()
+    per, target = Counter(), {}
+    for r in mixing.mix(df).collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+        per[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    out = mixing.mixed(df)
+    got = Counter((r["doc_id"], r["source"], len((r["text"] or "").split())) for r in out.collect())
+    assert out.columns == df.columns and got == +want and all(abs(per[s] - t) <= 45 for s, t in target.items())
+    same = spark.createDataFrame([(None, "a b c", "s")] * 900 + [(1, "x y", "t")], "doc_id long, text string, source string")
+    taken = mixing.mix(same).groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("target"), F.max("taken").alias("most")).collect()
+    assert all(abs(r["t"] - r["target"]) <= 3 and r["most"] <= 6 for r in taken)
+
+
 # -- 3 ---------------------------------------------------------------------------------------------------------------
 
 def test_toxicity(spark, docs, empty):
