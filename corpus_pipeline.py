@@ -6,7 +6,7 @@ a DataFrame; all but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landrank.llm import jaccard, mixing, pii, segment, toxicity
@@ -17,7 +17,11 @@ SHINGLE, SIMILAR = 5, 0.8
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject; it learns from the labels of the training folds."""
+    """Documents that the classifier does not reject; it learns from the labels of the training folds.
+
+    Null and empty texts score as texts without a word, very long ones whole; rows that repeat are judged alike, so all
+    stay or go; no rows give no rows, and without labels of 1 nothing is rejected; further columns stay as they are.
+    """
     scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
     return scored.filter(~F.col("rejected")).select(*docs.columns)
 
@@ -33,7 +37,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Entities get surrogates; n_chars follows the text."""
+    """Entities get surrogates; n_chars follows the text.
+
+    Null texts stay null (n_chars null), empty ones empty; very long ones are searched whole; rows that repeat get the
+    same text; no rows give no rows; further columns are carried along, whatever their names.
+    """
     out = pii.surrogates(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
@@ -41,25 +49,19 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it.
 
-    Texts are not shuffled: the copies of a doc_id are attached to its rows, those of rows that repeat one in the order
-    of their sizes.
+    Null and empty texts have no words and are never taken; a null source is a source; rows that repeat are documents of
+    their own; no rows give no rows; a very long text is one document; further columns are carried along, whatever their
+    names.
     """
-    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    copies = mixing.pareto_mix(written(sized, "sized")).select("doc_id", "source", "size", "copies")
-    key = Window.partitionBy("doc_id", "source", "size")
-    copies = copies.withColumn("nth", F.row_number().over(key.orderBy(F.col("copies").desc()))).withColumnRenamed("size", "__size")
-    rows = docs.withColumn("__size", mixing.word_count(F.col("text")))
-    nth = Window.partitionBy("doc_id", "source", "__size")
-    rows = rows.withColumn("nth", F.row_number().over(nth.orderBy(F.xxhash64("text"))))
-    copies = copies.select(*[F.col(c).alias(f"__{c.strip('_')}_c") for c in ("doc_id", "source", "__size", "nth")], "copies")
-    on = (F.col("doc_id").eqNullSafe(F.col("__doc_id_c")) & F.col("source").eqNullSafe(F.col("__source_c"))
-          & (F.col("__size") == F.col("__size_c")) & (F.col("nth") == F.col("__nth_c")))
-    out = rows.join(copies, on).filter("copies > 0")
-    return out.withColumn("__k", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source and the sampled piece ids of each row."""
+    """doc_id, source, the sampled piece ids of each row and their number.
+
+    Null and empty texts have no ids; very long ones are segmented whole; rows that repeat a doc_id and text get the same
+    ids; no rows give no rows; other columns are left out.
+    """
     return segment.encode(docs.select("doc_id", "source", "text")).select("doc_id", "source", "ids", F.size("ids").alias("n_pieces"))
 
 
