@@ -1,5 +1,9 @@
 """Toxicity: a convolutional text classifier over hashed words, trained in numpy, with thresholds by language."""
 
+from __future__ import annotations
+
+import pickle
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -11,7 +15,9 @@ from pyspark.sql import functions as F
 from landrank.llm.common import attach, small_batches, written
 
 #: Labelled rows that the classifier is fitted on, at most about: of label 1 and of label 0.  A fifth is left out of it.
-SAMPLE = (3000, 6000)
+SAMPLE = (6000, 8000)
+#: Bytes of text that it is fitted on, at most about; where the rows have more, fewer are drawn.
+SAMPLE_BYTES = 96 << 20
 BITS, DIM, FILTERS, WIDTHS = 18, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.1, 3
 #: A bucket seen in fewer documents of the sample is embedded at zero, as nothing can be learned of it.
@@ -24,6 +30,8 @@ BINS = 64
 LEAST_ROWS = (100, 20)
 
 _PAD = max(WIDTHS) - 1
+#: Blocks of scripts that are written without spaces (Thai to Myanmar, Khmer, kana, Han and its extensions).
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _LETTERS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)).lower()
 
 
@@ -41,11 +49,15 @@ class Buckets(dict):
 def tokens(texts: list, buckets: Buckets) -> tuple[np.ndarray, np.ndarray]:
     """All texts' words as bucket numbers, -1 between texts, and where each text starts.
 
-    Words are runs of ASCII letters and digits and of all bytes above, in lower case.  Null is empty.
+    Words are runs of ASCII letters and digits and of all characters above, in lower case; characters of scripts without
+    spaces are words of their own, so that filters see runs of characters there.  Null is empty.
     """
     parts, starts, n = [], [], 0
     for text in texts:
-        words = [] if text is None else text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
+        text = text or ""
+        if not text.isascii():
+            text = _UNSPACED.sub(r" \g<0> ", text)
+        words = text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
         ids = np.full(len(words) + _PAD + 1, -1, np.int64)
         ids[:len(words)] = list(map(buckets.__getitem__, words))
         parts.append(ids)
@@ -68,6 +80,11 @@ class Net:
         self.scale, self.shift = 1.0, 0.0
         self.thresholds: dict = {}
 
+    def forget(self) -> None:
+        """Clears what embeddings of unknown buckets were drawn, which nothing reads, so that the net is small to send."""
+        for e, known in zip(self.e, self.known, strict=True):
+            e[known == 0] = 0
+
     def embedded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         a, b = ids >> BITS & (1 << BITS) - 1, ids & (1 << BITS) - 1
         use = (self.known[0][a] * self.known[1][b] * (ids >= 0))[:, None]
@@ -267,27 +284,51 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null"))), F.lit(n))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample: tuple = SAMPLE, seed: int = SEED) -> Net:
-    """Trains on a bounded sample of labelled documents whose fold of 3 is not 1, and sets thresholds on all the others.
+def drawn(docs: DataFrame, y: DataFrame, sample: tuple, sample_bytes: int, seed: int) -> DataFrame:
+    """y (doc_id, toxic) with fit: whether the row is drawn for the fit, a bounded number of rows and bytes.
 
-    labels: doc_id, toxic; a document that is labelled twice counts as toxic if once so.  The sample's ids, some
-    thousands by parameter, are broadcast to find their whole texts.
+    Ids of the rows that might be drawn, some thousands by parameter, are broadcast to add up their texts' bytes.
     """
-    y = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 3) != 1))
-    y = y.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = {r["toxic"]: r["count"] for r in y.groupBy("toxic").count().collect()}
-    part = {k: min(1.0, sample[1 - k] / max(1, n.get(k, 0))) for k in (0, 1)}
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     spared = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(5)) == 4
-    y = y.withColumn("fit", ~spared & (draw < F.when(F.col("toxic") == 1, part[1]).otherwise(part[0])))
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(y.filter("fit").select("doc_id", "toxic")), "doc_id").toPandas()
-    rows = rows.sort_values(["doc_id", "text"], key=lambda c: c if c.name == "doc_id" else c.fillna("")).sample(frac=1, random_state=seed)
-    rng = np.random.default_rng(seed)
-    net, buckets, known = Net(rng), Buckets(), rows["toxic"].to_numpy(np.float64)
-    if not known.any() or known.all():
-        net.shift = -30.0 if not known.any() else 30.0
+    part = {k: min(1.0, sample[1 - k] / max(1, n.get(k, 0))) for k in (0, 1)}
+    fit = lambda share: ~spared & (draw < F.when(F.col("toxic") == 1, share * part[1]).otherwise(share * part[0]))
+    some = y.filter(fit(1.0)).select("doc_id")
+    held = docs.select("doc_id", F.octet_length("text").cast("long").alias("bytes")).join(F.broadcast(some), "doc_id")
+    size = held.groupBy("doc_id").agg(F.max("bytes").alias("bytes")).agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0
+    return y.withColumn("fit", fit(min(1.0, sample_bytes / max(1, size))))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, sample: tuple = SAMPLE, seed: int = SEED, sample_bytes: int = SAMPLE_BYTES) -> Net:
+    """Trains on a bounded sample of labelled documents whose fold of 3 is not 1, and sets thresholds on all the others.
+
+    labels: doc_id, toxic; a document that is labelled twice counts as toxic if once so, and of rows that repeat a doc_id
+    one text is learned from.  The sample is bounded by rows and bytes, so that one task fits the net; the driver gets
+    the net alone.
+    """
+    y = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 3) != 1))
+    y = y.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    y = written(drawn(docs, y, sample, sample_bytes, seed), "drawn")
+    texts = docs.select("doc_id", "text").join(F.broadcast(y.filter("fit").select("doc_id", "toxic")), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.max(F.struct("text", "toxic")).alias("t")).select(F.col("doc_id").cast("string").alias("doc_id"), "t.*")
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rng, buckets = np.random.default_rng(seed), Buckets()
+        rows = [(d, tokens([t], buckets)[0], int(v)) for b in batches for d, t, v in zip(b["doc_id"], b["text"], b["toxic"], strict=True)]
+        rows.sort(key=lambda r: r[0])
+        rows = [rows[i] for i in rng.permutation(len(rows))]
+        net, known = Net(rng), np.array([r[2] for r in rows], np.float64)
+        if known.any() and not known.all():
+            net.fit([r[1] for r in rows], known, rng)
+            net.forget()
+        else:
+            net.shift = 30.0 if known.any() else -30.0
+        yield pd.DataFrame({"net": [zlib.compress(pickle.dumps(net), 1)]})
+
+    net = pickle.loads(zlib.decompress(texts.coalesce(1).mapInPandas(fit, "net binary").first()["net"]))
+    if abs(net.shift) == 30.0:
         return net
-    net.fit([tokens([t], buckets)[0] for t in rows["text"]], known, rng)
     cut, by_lang = cuts(logits_of(docs, y, net))
     # the score is monotone in the logit and is DECISION at the best cut over all languages
     net.shift = float(np.log(DECISION / (1 - DECISION)) - net.scale * (cut if np.isfinite(cut) else 0.0))
@@ -300,17 +341,18 @@ def logits_of(docs: DataFrame, y: DataFrame, net: Net) -> DataFrame:
 
     Texts are not shuffled, so all are scored; rows of a doc_id that many share are spread.
     """
-    model = docs.sparkSession.sparkContext.broadcast(net)
+    sent = docs.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(net), 1))
 
     @F.pandas_udf("double")
     def logit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        buckets = Buckets()
+        buckets, model = Buckets(), pickle.loads(zlib.decompress(sent.value))
         for texts in batches:
-            yield pd.Series(model.value.raw(list(texts), buckets))
+            yield pd.Series(model.raw(list(texts), buckets))
 
     cells = docs.filter("doc_id is not null").select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), logit("text").alias("z"))
     cells = written(cells.groupBy("doc_id", "lang", "z").agg(F.count(F.lit(1)).alias("n")), "logits")
     facts = written(y.join(cells.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "doc_id"), "labelled")
+    sent.destroy()
     held = attach(cells, facts, "doc_id", "z", cells.count(), "rows").filter("toxic is not null")
     return written(held.groupBy("lang", "z", "toxic", "fit").agg(F.sum("n").alias("n")), "calibration")
 
@@ -321,13 +363,13 @@ def classify(docs: DataFrame, net: Net) -> DataFrame:
     Whole texts are scored, by their words alone; null and empty texts score as texts without a word.  Rows that repeat
     are kept, no rows give no rows, and columns of docs with these names are replaced.
     """
-    model = docs.sparkSession.sparkContext.broadcast(net)
+    sent = docs.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(net), 1))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        buckets = Buckets()
+        buckets, model = Buckets(), pickle.loads(zlib.decompress(sent.value))
         for texts in batches:
-            yield pd.Series(model.value.scores(list(texts), buckets))
+            yield pd.Series(model.scores(list(texts), buckets))
 
     out = docs.drop("score", "threshold", "rejected").withColumn("score", scored("text"))
     threshold = F.lit(DECISION)

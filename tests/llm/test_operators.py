@@ -214,6 +214,54 @@ def test_threshold_does_not_follow_the_sample(spark):
     assert out.filter("toxic = 0 and rejected").count() < 0.06 * 2700 and out.filter("toxic = 1 and rejected").count() > 0.9 * 300
 
 
+def naive_logit(net, text):
+    """The forward pass word by word and filter by filter, in plain Python."""
+    words = "".join(f" {c} " if toxicity._UNSPACED.match(c) else c for c in text or "").encode().translate(toxicity._LETTERS).split()
+    ids = [toxicity.Buckets()[w] for w in words] + [-1] * (max(toxicity.WIDTHS) - 1 + 1)
+    vector = []
+    for i in ids:
+        a, b = i >> toxicity.BITS, i & (1 << toxicity.BITS) - 1
+        seen = i >= 0 and net.known[0][a] and net.known[1][b]
+        vector.append([float(net.e[0][a][k]) + float(net.e[1][b][k]) if seen else 0.0 for k in range(toxicity.DIM)])
+    out = float(net.bias)
+    for j, (w, bias) in enumerate(zip(net.w, net.b, strict=True)):
+        for f in range(toxicity.FILTERS):
+            best = 0.0
+            for at in range(len(vector)):
+                y = float(bias[f]) + sum(vector[at + o][k] * float(w[o][k][f]) for o in range(len(w)) if at + o < len(vector) for k in range(toxicity.DIM))
+                best = max(best, y)
+            out += best * float(net.out[j * toxicity.FILTERS + f])
+    return out
+
+
+def test_scores_are_those_of_a_plain_forward_pass():
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join([*rng.choice(words, 20), *(["vile", "wort"] if i % 3 == 0 else [])]) for i in range(300)]
+    net = toxicity.train(texts, [int(i % 3 == 0) for i in range(300)], ["en"] * 300)
+    for text in [*texts[:6], "", None, "vile", "w1 unseen vile wort w2", "w1 " * 50]:
+        assert net.raw([text], toxicity.Buckets())[0] == pytest.approx(naive_logit(net, text), abs=1e-4)
+
+
+def test_scripts_without_spaces(spark):
+    """Han text is one run without spaces: its characters are words, so that a marked phrase is learned."""
+    rng = np.random.default_rng(6)
+    signs = [chr(c) for c in range(0x4e00, 0x4e80)]
+    rows = [(i, "".join([*rng.choice(signs, 30), "毒物" if i % 4 == 0 else "", *rng.choice(signs, 30)]), "zh") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    out = toxicity.toxicity(df, labels).join(labels, "doc_id").filter(toxicity.fold(F.col("doc_id"), 3) == 1)
+    assert out.filter((F.col("score") >= 0.7) == (F.col("toxic") == 1)).count() >= 0.97 * out.count()
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    """A doc_id that many rows repeat is learned from once, and long texts lower the number of rows."""
+    df = spark.createDataFrame([(i % 100, "long text " * 100) for i in range(2000)], "doc_id long, text string")
+    y = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    n = lambda size: toxicity.drawn(df, y, (100, 100), size, 3).filter("fit").count()
+    assert n(1 << 30) > 60 and 0 < n(20_000) < 40
+
+
 # -- 4 ---------------------------------------------------------------------------------------------------------------
 
 def test_vectors(spark):
@@ -254,10 +302,35 @@ def test_vectors_of_every_length(spark):
         assert all(got[i]["n_links"] == hit[i].sum() and got[i]["component_id"] == label[i] for i in range(len(rows)))
 
 
+def test_boxes_keep_far_clusters_apart(spark):
+    """Clusters on different axes: boxes of one are not within reach of another's, and no point is farther than its box says."""
+    rng = np.random.default_rng(11)
+    centres = np.eye(40)[:12]
+    x = vectors.unit(np.concatenate([c + rng.normal(size=(400, 40)) * 0.03 for c in centres]))
+    basis = np.linalg.eigh(x.T @ x)[1][:, ::-1]
+    at = vectors.leading(x, basis)
+    tree = vectors.Boxes(at, 24)
+    box = tree.of(at)
+    lows, highs = (np.stack([f(at[box == b], axis=0) for b in range(len(tree.leaf))]) for f in (np.min, np.max))
+    near = dict(vectors.near_boxes(lows, highs, math.sqrt(0.2)))
+    assert len(tree.leaf) == 24 and sum(map(len, near.values())) < 24 * 24 / 2
+    cos = x @ x.T
+    i, j = np.nonzero(cos >= 0.9)
+    assert all(box[b] in near[box[a]] for a, b in zip(i.tolist(), j.tolist(), strict=True))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100) for i in range(1, 400)] + [(7, 7), (None, 3)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(400)}
+    rng = np.random.default_rng(12)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 3000, (2500, 2))]
+    label = list(range(3000))
+    for a, b in pairs:
+        x, y = label[a], label[b]
+        label = [min(x, y) if u in (x, y) else u for u in label]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long").repartition(9)).collect()}
+    assert got == {n: label[n] for p in pairs if p[0] != p[1] for n in p} and components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 # -- 5 ---------------------------------------------------------------------------------------------------------------
