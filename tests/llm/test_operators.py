@@ -412,10 +412,64 @@ def test_pii(spark, docs, empty):
 
 def test_surrogates_stay_distinct(spark):
     """Names of one gender and script run out of first tries; none is shared, and none is an entity."""
-    names = [f"mr x{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
-    e = spark.createDataFrame([("name", n) for n in names], "kind string, norm string")
-    got = [r["sur"] for r in pii.assigned(e, "k").collect()]
-    assert len(got) == len(set(got)) == 600 and not set(got) & set(names)
+    names = [f"x{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
+    for kind, sub in (("first", "m"), ("surname", "")):
+        e = spark.createDataFrame([(kind, sub, n) for n in names], "kind string, sub string, norm string")
+        got = [r["sur"].lower() for r in pii.assigned(e, "k").collect()]
+        assert len(got) == len(set(got)) == 600 and not set(got) & set(names)
+
+
+def test_formats_that_are_all_taken(spark):
+    """Where every user of one letter at every such domain is an entity, attempts still come to an end, all distinct."""
+    abc = "abcdefghijklmnopqrstuvwxyz"
+    norms = [f"{a}@{b}.com" for a in abc for b in abc]
+    got = [r["sur"] for r in pii.assigned(spark.createDataFrame([("email", "", n) for n in norms], "kind string, sub string, norm string"), "k").collect()]
+    assert len(set(got)) == len(got) == 676 and not set(got) & set(norms)
+    pins = [f"{i:03d}" for i in range(1000)]
+    got = [r["sur"] for r in pii.assigned(spark.createDataFrame([("ssn", "", n) for n in pins], "kind string, sub string, norm string"), "k").collect()]
+    assert len(set(got)) == 1000 and not set(got) & set(pins)
+
+
+def test_coreference_of_names(spark):
+    """Surnames alone stand for the same person, gender follows the first name, and scripts stay."""
+    texts = ["Mr John Smith came. Mr Smith left, and Smith, or SMITH, slept. Smithson did not.", "Dr Jane Smith and Dr. Paul Smith", "Jane Doe wrote. Doe slept; MS. DOE too.",
+             "السيد محمد حسن", "王小明先生 und 김민수 씨", "Born on 1980-02-29, geboren am 1.3.1975", "at 12 Baker Street, Hauptstraße 7, 5 rue de Rivoli, call 5551234567", "the Doe family of elsewhere"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("made", F.lit(1)).withColumn("__raw", F.lit("r")).withColumn("__t", F.lit("t")).withColumn("a.b", F.lit(2))
+    out = pii.surrogates(df)
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns == [*df.columns, "entities"] and all((r["made"], r["__raw"], r["__t"]) == (1, "r", "t") for r in rows.values())
+    got = {i: r["text"] for i, r in rows.items()}
+    m = re.fullmatch(r"Mr (\S+) (\w+) came\. Mr (\w+) left, and (\w+), or (\w+), slept\. Smithson did not\.", got[0])
+    assert m and m[2] == m[3] == m[4] and m[5] == m[2].upper() and m[1] in pii.FIRST["latin", "m"] and m[2] != "Smith"
+    d = re.fullmatch(r"Dr (\S+) (\w+) and Dr\. (\S+) (\w+)", got[1])
+    assert d and d[2] == d[4] == m[2] and d[1].split("-")[0] in pii.FIRST["latin", "f"] and d[3].split("-")[0] in pii.FIRST["latin", "m"] and d[1] != d[3]
+    j = re.fullmatch(r"(\S+) (\w+) wrote\. (\w+) slept; MS\. (\w+) too\.", got[2])
+    assert j and j[2] == j[3] == j[4].title() != m[2] and j[1] == d[1] and got[7] == texts[7]
+    a = re.fullmatch(r"السيد (\S+) (\S+)", got[3])
+    assert a and all("\u0600" <= c <= "\u06ff" for w in a.groups() for c in w) and "حسن" not in got[3]
+    z = re.fullmatch(r"(\S+)先生 und (\S+) 씨", got[4])
+    assert z and all("\u4e00" <= c <= "\u9fff" for c in z[1]) and all("\uac00" <= c <= "\ud7a3" for c in z[2]) and "小明" not in got[4]
+    b = re.fullmatch(r"Born on (\d{4}-\d\d-\d\d), geboren am (\d{1,2}\.\d{1,2}\.\d{4})", got[5])
+    assert b and b[1] != "1980-02-29" and b[2] != "1.3.1975"
+    s = re.fullmatch(r"at \d+ (\w+) Street, (\w+)straße \d+, \d+ Rue De (\w+), call (\d{10})", got[6])
+    assert s and "Baker" not in got[6] and "Haupt" not in got[6] and "Rivoli" not in got[6] and s[4] != "5551234567"
+
+
+def test_surrogates_by_brute_force(spark):
+    """Over many texts: one surrogate for each entity, none for two, none of them an entity, and all else unchanged."""
+    rng = np.random.default_rng(13)
+    mails = [f"u{i}@m{i % 5}.example.com" for i in range(60)]
+    phones = [f"+1 ({i:03d}) 555-{7000 + i}" for i in range(60)]
+    ips = [f"10.0.{i}.7" for i in range(60)]
+    rows = [(i, " ".join(f"w{rng.integers(0, 50)}x {rng.choice(k)} ," for k in (mails, phones, ips) for _ in range(4))) for i in range(80)]
+    got = {r["doc_id"]: r["text"] for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    every, seen = re.compile(r"\S+@\S+|\+1 \(\d+\) \d+-\d+|\d+\.\d+\.\d+\.\d+"), {}
+    for i, text in rows:
+        old, new = every.findall(text), every.findall(got[i])
+        assert every.split(text) == every.split(got[i]) and len(old) == len(new)
+        for a, b in zip(old, new, strict=True):
+            assert seen.setdefault(a, b) == b
+    assert len(set(seen.values())) == len(seen) and not set(seen) & set(seen.values())
 
 
 # -- 8 ---------------------------------------------------------------------------------------------------------------
