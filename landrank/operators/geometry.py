@@ -14,6 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landrank.operators.delta import first_wins
+from landrank.session import checkpointed
+
 #: Metres of a degree, earth's radius, the cell's side in degrees, search radius, and the access limit.
 DEGREE_M, EARTH_M, CELL, RADIUS_M, LANDLOCKED_M = 111_320.0, 6_371_008.8, 0.1, 500.0, 400.0
 #: The study area as least and greatest longitude and latitude.
@@ -99,17 +102,50 @@ def candidates(left: DataFrame, right: DataFrame, metres: float = RADIUS_M, per_
     return a.join(b, "cell").filter(overlap("wide", "near")).select("left_id", "right_id").distinct()
 
 
-def nearest_points(points: DataFrame, features: DataFrame, per_degree: int = 10) -> DataFrame:
-    """For each point (id, lng, lat) the nearest feature (id, lng, lat) of its cell and the eight around: feature_id, metres.
+def nearest_points(points: DataFrame, features: DataFrame, per_degree: int = 16) -> DataFrame:
+    """For each point (id, lng, lat) the nearest feature (id, lng, lat): feature_id, metres.
 
-    Ties go to the least feature_id.  Points without a feature around get null: their nearest is further than a cell.
+    Points look in their grid cell and the eight around; a hit counts if it is no farther than the edge of those nine.
+    Points without such a hit go on to cells twice as wide, until none is left, so that points in dense places meet few
+    features, and distant ones still find theirs.  Features at one place count as one, the least id.  Ties go to the
+    least feature_id; points without coordinates, or all where there is no feature, get null.  Longitudes don't wrap.
     """
+    there = features.filter("lng is not null and lat is not null").groupBy("lng", "lat").agg(F.min("id").alias("feature_id"))
+    left = points.filter("lng is not null and lat is not null").select(F.col("id").alias("point_id"), F.col("lng").alias("x"), F.col("lat").alias("y")).distinct()
+    done, side = None, 1.0 / per_degree
+    if there.isEmpty():
+        return points.select(F.col("id").alias("point_id"), F.lit(None).cast(points.schema["id"].dataType).alias("feature_id"), F.lit(None).cast("double").alias("metres"))
+    while True:
+        last = side >= 512  # nine such cells hold all the earth
+        at = lambda c: F.floor(F.col(c) / side)  # noqa: B023, E731
+        cells = F.explode(F.flatten(F.transform(F.sequence(at("x") - 1, at("x") + 1), lambda i: F.transform(  # noqa: B023
+            F.sequence(at("y") - 1, at("y") + 1), lambda j: F.struct(i.alias("cx"), j.alias("cy"))))))  # noqa: B023
+        mine = there.withColumn("cell", F.struct(at("lng").alias("cx"), at("lat").alias("cy")))
+        met = left.withColumn("cell", cells).join(mine, "cell").withColumn("metres", haversine(F.col("x"), F.col("y"), F.col("lng"), F.col("lat")))
+        best = met.groupBy("point_id", "x", "y").agg(F.min(F.struct("metres", "feature_id")).alias("b"))
+        edge = lambda c: F.least(F.col(c) - (at(c) - 1) * side, (at(c) + 2) * side - F.col(c))  # noqa: B023, E731
+        # how far it is at least to the meridians and parallels that bound the nine cells
+        out_x = EARTH_M * F.asin(F.least(F.lit(1.0), F.cos(F.radians("y")) * F.sin(F.radians(F.least(edge("x"), F.lit(90.0))))))
+        out_y = EARTH_M * F.radians(edge("y"))
+        sure = F.lit(True) if last else F.col("b.metres") <= F.least(out_x, out_y)
+        found = checkpointed(best.filter(sure).select("point_id", "x", "y", "b.feature_id", "b.metres"))
+        done = found if done is None else done.unionByName(found)
+        left = checkpointed(left.join(found, ["point_id", "x", "y"], "left_anti"))
+        if last or left.isEmpty():
+            break
+        side *= 2
     here = points.select(F.col("id").alias("point_id"), F.col("lng").alias("x"), F.col("lat").alias("y"))
-    around = F.explode(cells_of(F.col("x") - 1 / per_degree, F.col("y") - 1 / per_degree, F.col("x") + 1 / per_degree, F.col("y") + 1 / per_degree, per_degree))
-    there = features.select(F.col("id").alias("feature_id"), "lng", "lat", F.struct(F.floor(F.col("lng") * per_degree).alias("cx"), F.floor(F.col("lat") * per_degree).alias("cy")).alias("cell"))
-    met = here.withColumn("cell", around).join(there, "cell").withColumn("metres", haversine(F.col("x"), F.col("y"), F.col("lng"), F.col("lat")))
-    best = met.groupBy("point_id").agg(F.min(F.struct("metres", "feature_id")).alias("b")).select("point_id", "b.feature_id", "b.metres")
-    return here.select("point_id").join(best, "point_id", "left")
+    return here.join(done, ["point_id", "x", "y"], "left").select("point_id", "feature_id", "metres")
+
+
+def geometry_hash(rings: Column) -> Column:
+    return F.substring(F.sha2(F.to_json(rings), 256), 1, 32)
+
+
+def deduplicated(features: DataFrame, key: str = "feature_id", rings: str = "rings", order: str = "ordinal") -> DataFrame:
+    """Features, each once: by id or, where there is none, by the hash of its geometry; the first by `order` stays."""
+    own = F.coalesce(F.concat(F.lit("id:"), F.col(key).cast("string")), F.concat(F.lit("hash:"), geometry_hash(F.col(rings))))
+    return first_wins(features.withColumn("__own", own), ["__own"], [order]).drop("__own")
 
 
 # -- exact measures in numpy -----------------------------------------------------------------------------------------
@@ -166,17 +202,83 @@ def _cuts(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndar
     return t[(den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)]
 
 
-def _segment_distance(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> float:
-    """Least distance of points from segments."""
+def _segment_distance(points: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 256) -> float:
+    """Least distance of points from segments, a block of points against all segments at a time."""
     d = b - a
     n = np.maximum((d * d).sum(1), 1e-18)
     best = math.inf
-    for p in points:
-        t = np.clip(((p - a) * d).sum(1) / n, 0, 1)
-        best = min(best, float(np.sqrt((((a + t[:, None] * d) - p) ** 2).sum(1)).min()))
+    for at in range(0, len(points), block):
+        p = points[at:at + block, None]
+        t = np.clip(((p - a) * d).sum(2) / n, 0, 1)
+        best = min(best, float(np.sqrt((((a + t[:, :, None] * d) - p) ** 2).sum(2)).min()))
     return best
 
 
+def _edges(shape: list[list], origin: tuple[float, float]) -> tuple[list[list[np.ndarray]], np.ndarray, np.ndarray]:
+    """Polygons in metres from the origin, and where all their edges begin and end."""
+    parts = [[_local(r, origin) for r in rs] for rs in shape]
+    return parts, np.concatenate([r[:-1] for rs in parts for r in rs]), np.concatenate([r[1:] for rs in parts for r in rs])
+
+
+def _spans(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
+    """At each x the sorted heights at which edges cross it."""
+    low, high = np.minimum(a[:, 0], b[:, 0]), np.maximum(a[:, 0], b[:, 0])
+    out = []
+    for v in x:
+        on = (low <= v) & (v < high)
+        p, q = a[on], b[on]
+        out.append(np.sort(p[:, 1] + (v - p[:, 0]) * (q[:, 1] - p[:, 1]) / (q[:, 0] - p[:, 0])))
+    return out
+
+
+def overlap_area(rings: list, other: list) -> float:
+    """Square metres that two polygons of any form, with holes and parts, share; 0 where either is no area.
+
+    The plane is cut into strips at all corners and crossings; within a strip no edges cross, so the shared height in its
+    middle times its width is its area.  Edges outside of the common box are left out first.
+    """
+    one, two = polygons(rings), polygons(other)
+    if not one or not two:
+        return 0.0
+    origin = tuple(one[0][0][0])
+    sides = [_edges(s, origin)[1:] for s in (one, two)]
+    low = max(min(a[:, 0].min(), b[:, 0].min()) for a, b in sides)
+    high = min(max(a[:, 0].max(), b[:, 0].max()) for a, b in sides)
+    if low >= high:
+        return 0.0
+    near = [(a[k], b[k]) for a, b in sides for k in [(np.minimum(a[:, 0], b[:, 0]) < high) & (np.maximum(a[:, 0], b[:, 0]) > low)]]
+    (a, b), (c, d) = near
+    x = [low, high, *a[:, 0], *b[:, 0], *c[:, 0], *d[:, 0]]
+    for p, q in zip(a, b, strict=True):
+        close = (np.minimum(c[:, 1], d[:, 1]) <= max(p[1], q[1])) & (np.maximum(c[:, 1], d[:, 1]) >= min(p[1], q[1]))
+        t = _cuts(p, q, c[close], d[close])
+        x += (p[0] + t * (q[0] - p[0])).tolist()
+    x = np.unique(np.clip(x, low, high))
+    middle, width = (x[1:] + x[:-1]) / 2, np.diff(x)
+    area = 0.0
+    for w, ys, zs in zip(width, _spans(a, b, middle), _spans(c, d, middle), strict=True):
+        n, m = len(ys) // 2 * 2, len(zs) // 2 * 2
+        shared = np.minimum(ys[1:n:2, None], zs[1:m:2]) - np.maximum(ys[0:n:2, None], zs[0:m:2])
+        area += w * float(np.maximum(shared, 0).sum())
+    return area
+
+
+def polygon_distance(rings: list, other: list) -> float:
+    """Least distance of two polygons in metres; 0 if they meet or one holds the other."""
+    one, two = polygons(rings), polygons(other)
+    if not one or not two:
+        return math.inf
+    origin = tuple(one[0][0][0])
+    (p, a, b), (q, c, d) = _edges(one, origin), _edges(two, origin)
+    if contains(p, c[:1]).any() or contains(q, a[:1]).any():
+        return 0.0
+    for s, e in zip(a, b, strict=True):
+        near = (np.minimum(c, d) <= np.maximum(s, e)).all(1) & (np.maximum(c, d) >= np.minimum(s, e)).all(1)
+        if near.any() and len(_cuts(s, e, c[near], d[near])):
+            return 0.0
+    return min(_segment_distance(a, c, d), _segment_distance(c, a, b))
+
+
 def measures(rings: list, lines: list) -> tuple[float, float]:
     """(metres of the lines inside the polygon, least distance of the lines from it; 0 if they meet)."""
     shape = polygons(rings)
@@ -184,12 +286,13 @@ def measures(rings: list, lines: list) -> tuple[float, float]:
     if not shape or not lines:
         return 0.0, math.inf
     origin = tuple(shape[0][0][0])
-    parts = [[_local(r, origin) for r in rs] for rs in shape]
-    a, b = np.concatenate([r[:-1] for rs in parts for r in rs]), np.concatenate([r[1:] for rs in parts for r in rs])
+    parts, a, b = _edges(shape, origin)
+    low, high = np.minimum(a, b).min(0), np.maximum(a, b).max(0)
     length, distance = 0.0, math.inf
     for line in lines:
         xy = _local(line, origin)
-        for p, q in zip(xy[:-1], xy[1:], strict=True):
+        near = (np.minimum(xy[:-1], xy[1:]) <= high).all(1) & (np.maximum(xy[:-1], xy[1:]) >= low).all(1)  # others are outside
+        for p, q in zip(xy[:-1][near], xy[1:][near], strict=True):
             t = np.unique(np.concatenate([[0.0, 1.0], _cuts(p, q, a, b)]))
             middle = p + ((t[:-1] + t[1:]) / 2)[:, None] * (q - p)
             # a piece between two crossings is inside if its middle is
@@ -258,6 +361,20 @@ def line_measures(pairs: DataFrame) -> DataFrame:
     return pairs.select("left_id", "right_id", "rings", "lines").mapInPandas(run, "left_id long, right_id long, inside_m double, distance_m double")
 
 
+def area_measures(pairs: DataFrame) -> DataFrame:
+    """pairs (left_id, right_id, rings, other) to left_id, right_id, overlap_m2 and distance_m (null beyond RADIUS_M)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plain = lambda rings: [[p.tolist() if hasattr(p, "tolist") else p for p in r] for r in rings]
+        for b in batches:
+            out = b[["left_id", "right_id"]].copy()
+            shapes = [(plain(x), plain(y)) for x, y in zip(b["rings"], b["other"], strict=True)]
+            out["overlap_m2"] = [overlap_area(x, y) for x, y in shapes]
+            out["distance_m"] = [d if (d := polygon_distance(x, y)) <= RADIUS_M else None for x, y in shapes]
+            yield out
+
+    return pairs.select("left_id", "right_id", "rings", "other").mapInPandas(run, "left_id long, right_id long, overlap_m2 double, distance_m double")
+
+
 # -- signals ---------------------------------------------------------------------------------------------------------
 
 def water_signal(measured: DataFrame, covered: DataFrame) -> DataFrame:

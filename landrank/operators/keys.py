@@ -85,6 +85,27 @@ def staged(raw: DataFrame, state: str, county: str, now_ms: int, vintage: DataFr
     return out, unkeyed
 
 
+def staged_deeded(raw: DataFrame, state: str, now_ms: int, ordinal: str = "objectid") -> tuple[DataFrame, DataFrame]:
+    """(staged, unkeyed) of a state whose feed (pid, county, fips, deedac, rings, and personal columns) gives deeded acres and no value.
+
+    A parcel's rows are parts in the order of arrival; the point is the mean of the first ring's corners.
+    """
+    from landrank.operators.geometry import geometry_hash, vertex_mean
+
+    df = redacted(raw.toDF(*[c.lower() for c in raw.columns]), state, now_ms)
+    df = df.withColumn("parno", F.when(F.col("pid").isNotNull(), X.normal_key(F.col("pid")))).withColumn("fips", F.trim("fips"))
+    why = unkeyed_reason(F.col("parno"), F.col("fips"))
+    own = Window.partitionBy("fips", "parno")
+    keyed = df.filter(why.isNull()).withColumn("part_seq", F.row_number().over(own.orderBy(ordinal)) - 1).withColumn("part_count", F.count(F.lit(1)).over(own).cast("int"))
+    acreage, centre = M.positive_quantity(F.col("deedac")), vertex_mean(F.get("rings", F.lit(0)))
+    out = keyed.select(
+        X.record_id(F.col("fips"), F.col("parno"), F.col("part_seq")).alias("record_id"), "fips", F.lit(state).alias("state"), F.trim("county").alias("county"), "parno", "part_seq", "part_count",
+        *M.flatten(acreage, "acreage"), F.when(acreage["value"].isNotNull(), "deeded").otherwise("unknown").alias("acreage_basis"),
+        F.lit(None).cast("double").alias("value"), F.lit("not published by the state").alias("value_unknown_reason"), F.lit("unknown").alias("value_basis"),
+        "owner_out_of_state", "owner_is_entity", "owner_is_government", centre["lng"].alias("lng"), centre["lat"].alias("lat"), F.when(F.col("rings").isNotNull(), geometry_hash(F.col("rings"))).alias("geometry_hash"))
+    return out, df.withColumn("reason", why).filter(F.col("reason").isNotNull())
+
+
 def vintage_joined(df: DataFrame, vintage: DataFrame, fips: str = "fips", county: str = "county") -> DataFrame:
     """df with assessment_year by trimmed fips, else by name; raises if the two disagree.  vintage has one row a county."""
     v = vintage.select(F.trim("fips").alias("__f"), F.upper(F.trim("county")).alias("__c"), F.col("last_reappraisal_year").alias("__y"))

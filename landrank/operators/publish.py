@@ -21,7 +21,7 @@ class NotDerivable(ValueError):
 def selected(scored: DataFrame, evidenced: DataFrame, n: int, state: str, n_state: int, key: str = "record_id") -> DataFrame:
     """Evidenced rows, the first n by rank, and the largest of a state that are measured and not vetoed; each once."""
     a = scored.join(evidenced.select(key).distinct(), key, "left_semi")
-    b = scored.filter("rank is not null").orderBy("rank").limit(n)
+    b = scored.filter("rank is not null").orderBy("rank", key).limit(n)
     c = scored.filter((F.col("state") == state) & F.col("acreage").isNotNull() & ~F.col("vetoed")).orderBy(F.col("acreage").desc(), key).limit(n_state)
     return union_by_priority([a, b, c], [key], ["acreage"])
 

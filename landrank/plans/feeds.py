@@ -189,9 +189,9 @@ def geo_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each vector's point the nearest point with label 1 in its cell (a degree) and those around."""
+    """For each vector's point the nearest point with label 1."""
     p = _points(spark, sf_dir)
-    return geometry.nearest_points(p, p.filter("label = 1"), 1).select("point_id", "feature_id", M.js_round(F.col("metres"), 1).alias("metres"))
+    return geometry.nearest_points(p, p.filter("label = 1")).select("point_id", "feature_id", M.js_round(F.col("metres"), 1).alias("metres"))
 
 
 def slope_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,8 +216,9 @@ def label_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers without an order, and orders' customers that are none."""
-    c, o = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
+    """Orders' customers, their keys counted up by one, against customers: those that either side lacks."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") + 1).alias("k"))
     a = quality.missing_ids(c, o, "k").withColumn("side", F.lit("no-order"))
     return a.unionByName(quality.missing_ids(o, c, "k").withColumn("side", F.lit("no-customer")))
 
@@ -307,8 +308,7 @@ WHEN regexp_matches(title, '(?i)sheriff''?s?\\s+sale') THEN 'sheriff-sale' ELSE
 len(regexp_extract_all(text, '\\b\\d{3}-\\d{2}-\\d{4}\\b'))::INT AS numbers FROM documents) SELECT * FROM c WHERE emails > 0 OR phones > 0 OR numbers > 0""",
     "geo_cells": f"WITH {_POINTS} SELECT floor(lng * 10)::BIGINT AS cx, floor(lat * 10)::BIGINT AS cy, count(*) AS n FROM p GROUP BY 1, 2",
     "geo_envelope": f"WITH {_POINTS} SELECT lng BETWEEN -85.8 AND -77.9 AND lat BETWEEN 33.9 AND 39.6 AS inside, count(*) AS n FROM p GROUP BY 1",
-    "geo_nearest": f"""WITH {_POINTS}, f AS (SELECT * FROM p WHERE label = 1), d AS (SELECT p.id, f.id AS fid, {_HAVERSINE.format(a='p', b='f')} AS m FROM p JOIN f ON
-abs(floor(p.lng) - floor(f.lng)) <= 1 AND abs(floor(p.lat) - floor(f.lat)) <= 1), b AS (SELECT id, min((m, fid)) AS k FROM d GROUP BY 1)
+    "geo_nearest": f"""WITH {_POINTS}, f AS (SELECT * FROM p WHERE label = 1), d AS (SELECT p.id, f.id AS fid, {_HAVERSINE.format(a='p', b='f')} AS m FROM p, f), b AS (SELECT id, min((m, fid)) AS k FROM d GROUP BY 1)
 SELECT p.id AS point_id, k[2]::BIGINT AS feature_id, floor(k[1] * 10 + 0.5) / 10 AS metres FROM p LEFT JOIN b USING (id)""",
     "slope_samples": f"""WITH {_POINTS}, c AS (SELECT label, arg_min(lng, id) AS lng, arg_min(lat, id) AS lat, arg_min(elevation, id) AS e FROM p GROUP BY 1),
 d AS (SELECT p.label, p.elevation, abs(p.elevation - c.e) AS rise, {_HAVERSINE.format(a='c', b='p')} AS run FROM p JOIN c USING (label))
@@ -316,8 +316,8 @@ SELECT label, floor((max(elevation) - min(elevation)) * 10 + 0.5) / 10 AS range_
     "json_props": """SELECT event_type, sum(CAST(json_extract_string(props, '$.k') AS INT))::BIGINT AS total, count(*) FILTER (json_extract_string(props, '$.k') IS NULL) AS n_unknown,
 max(CAST(json_extract_string(props, '$.k') AS INT)) AS most FROM events GROUP BY 1""",
     "label_left": "SELECT lang, count(*) AS n, count(quality) AS n_labelled, sum(toxic)::BIGINT AS n_toxic FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1",
-    "set_diff": """SELECT DISTINCT c_custkey AS k, 'no-order' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-UNION ALL SELECT DISTINCT o_custkey, 'no-customer' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""",
+    "set_diff": """SELECT DISTINCT c_custkey AS k, 'no-order' AS side FROM customer WHERE c_custkey NOT IN (SELECT o_custkey + 1 FROM orders)
+UNION ALL SELECT DISTINCT o_custkey + 1, 'no-customer' FROM orders WHERE o_custkey + 1 NOT IN (SELECT c_custkey FROM customer)""",
     "conversation_turns": "SELECT conv_id, count(*) AS n, min(turn) FILTER (role = 'user') AS first_user, count(DISTINCT role) AS roles FROM conversations GROUP BY 1",
     "notes_import": """WITH n AS (SELECT doc_id AS id, substr(text, 1, 2000) AS note FROM documents WHERE trim(text) <> ''), j AS (SELECT coalesce(b.item_id, n.id) AS id, coalesce(b.text, n.note) AS note FROM benchmark b FULL JOIN n ON b.item_id = n.id)
 SELECT id, length(note)::INT AS n, substr(note, 1, 20) AS head FROM j""",

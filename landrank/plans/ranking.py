@@ -134,7 +134,9 @@ def distress_first_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as observations; one type has no increment, which makes the whole signal unknown."""
     kinds = {"click": 40, "view": 35, "purchase": 30, "signup": 15}
     cfg = score.Config(increments=kinds)
-    e = table(spark, sf_dir, "events").filter("event_id % 37 = 0").select("user_id", F.col("event_type").alias("kind"))
+    # errors up to a value count as sign-ups, others are of a kind without an increment
+    kind = F.when((F.col("event_type") == "error") & (F.col("value") <= 200), "signup").otherwise(F.col("event_type"))
+    e = table(spark, sf_dir, "events").select("user_id", kind.alias("kind"))
     t = score.distress_totals(e, "user_id", cfg)
     c = score.distress(F.col("kinds"), F.col("total"), F.col("undeclared"), cfg)
     return t.select("user_id", "kinds", c["status"].alias("status"), c["normalized"].alias("normalized"))
@@ -206,7 +208,7 @@ UNION ALL SELECT 'livability', floor(sum(coalesce(live * 12 / nullif(weight, 0),
 CASE WHEN g3 THEN 'situs' END, CASE WHEN g4 THEN 'acreage' END) AS reasons FROM g""",
     "veto_reasons": f"""WITH {_GATED}, a AS (SELECT unnest([CASE WHEN g1 THEN 'government' END, CASE WHEN g2 THEN 'use-class' END, CASE WHEN g3 THEN 'situs' END, CASE WHEN g4 THEN 'acreage' END]) AS reason FROM g)
 SELECT reason, count(*) AS n FROM a WHERE reason IS NOT NULL GROUP BY 1""",
-    "distress_first_kind": """WITH k AS (SELECT DISTINCT user_id, event_type FROM events WHERE event_id % 37 = 0),
+    "distress_first_kind": """WITH k AS (SELECT DISTINCT user_id, CASE WHEN event_type = 'error' AND value <= 200 THEN 'signup' ELSE event_type END AS event_type FROM events),
 t AS (SELECT user_id, count(*) AS kinds, sum(CASE event_type WHEN 'click' THEN 40 WHEN 'view' THEN 35 WHEN 'purchase' THEN 30 WHEN 'signup' THEN 15 END) AS total,
   count(*) FILTER (event_type NOT IN ('click', 'view', 'purchase', 'signup')) AS bad FROM k GROUP BY 1)
 SELECT user_id, kinds, CASE WHEN bad > 0 THEN 'unknown' ELSE 'scored' END AS status, CASE WHEN bad = 0 THEN least(greatest(total, 0), 100)::DOUBLE END AS normalized FROM t""",

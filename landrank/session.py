@@ -6,7 +6,7 @@ import pathlib
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(name: str = "landrank", **conf: str) -> SparkSession:
@@ -20,6 +20,20 @@ def build(name: str = "landrank", **conf: str) -> SparkSession:
     return SparkSession.builder.appName(name).config(map=settings).getOrCreate()
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the folder that driver and executors share (spark.checkpoint.dir): cuts the lineage.
+
+    A session with a local master gets a folder of its own where none is set; on a cluster that is an error.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once a session, where they may not have it installed."""
     context = spark.sparkContext

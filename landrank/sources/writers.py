@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,15 +27,40 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def renamed(spark: SparkSession, source: str, target: str, replace: bool = False) -> bool:
+    """Renames in one step; false if the target is there already and not to be replaced."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    rule = hadoop.Options.Rename.OVERWRITE if replace else hadoop.Options.Rename.NONE
+    rules = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    rules[0] = rule
+    try:
+        hadoop.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration()).rename(old, new, rules)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()) or exists(spark, target):
+            return False
+        raise
+    return True
+
+
 def append_once(df: DataFrame, path: str, run_id: str, fmt: str = "json") -> None:
-    """Appends a run's rows, by month of the run id; refuses a run that is there already."""
+    """Appends a run's rows, by month and run id; refuses a run that is there already.
+
+    Rows are written aside and renamed to the run's own folder in one step: a job that fails leaves no part of a run,
+    and of two writers of a run one is refused.
+    """
     spark = df.sparkSession
-    rows = df.withColumn("run_id", F.lit(run_id)).withColumn("month", F.lit(run_id[:7]))
-    if exists(spark, path):
-        old = spark.read.schema(rows.schema).format(fmt).load(path)
-        if not old.filter((F.col("month") == run_id[:7]) & (F.col("run_id") == run_id)).isEmpty():
-            raise AlreadyWritten(run_id)
-    rows.write.mode("append").partitionBy("month").format(fmt).save(path)
+    folder = f"{path}/month={run_id[:7]}"
+    target = f"{folder}/run_id={quote(run_id, safe='-_.')}"
+    if exists(spark, target):
+        raise AlreadyWritten(run_id)
+    aside = f"{path}/_run-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(aside)
+    fs, p = _fs(spark, folder)
+    fs.mkdirs(p)
+    if not renamed(spark, aside, target):
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
+        raise AlreadyWritten(run_id)
 
 
 def write_upsert(df: DataFrame, path: str, version: str, key: list[str], order: str, old: str | None = None) -> str:
@@ -61,9 +89,21 @@ def swap_pointer(spark: SparkSession, path: str, target: str, digest: str, faile
     if failed or (old and old["digest"] == digest):
         return False
     history = [{"current": target, "digest": digest}, *(old["history"] if old else [])][:keep]
-    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pointer.tmp"), True)
+    aside = f"{path}/pointer-{uuid.uuid4().hex}.tmp"
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(aside), False)
     out.write(bytearray(json.dumps({"current": target, "digest": digest, "history": history}).encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    return bool(fs.rename(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pointer.tmp"), p))
+    return renamed(spark, aside, f"{path}/pointer.json", replace=True)  # there is a pointer at any time
+
+
+def manifest(spark: SparkSession, path: str, run: dict, counties: DataFrame) -> dict:
+    """A run's manifest with totals over its counties (county, rows, inserted, changed, unchanged), written as JSON in one step."""
+    names = ("rows", "inserted", "changed", "unchanged")
+    total = counties.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count(F.lit(1)).alias("counties")).first().asDict()
+    fs, _ = _fs(spark, path)
+    aside = f"{path}/manifest-{uuid.uuid4().hex}.tmp"
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(aside), False)
+    out.write(bytearray(json.dumps(run | {"totals": total}, sort_keys=True).encode()))
+    out.close()
+    renamed(spark, aside, f"{path}/{run['run_id']}.json", replace=True)
+    return total

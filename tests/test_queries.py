@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from landrank.plans import feeds, ranking
+from landrank.plans import feeds, places, ranking, staging
 from tests.oracle import SF, answer, assert_same
 
-QUERIES, SQL = ranking.QUERIES | feeds.QUERIES, ranking.SQL | feeds.SQL
+QUERIES, SQL = ranking.QUERIES | feeds.QUERIES | places.QUERIES | staging.QUERIES, ranking.SQL | feeds.SQL | places.SQL | staging.SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
