@@ -21,8 +21,11 @@ BAND, SPARE = 1.5, 2
 SAMPLE, FREQUENT, MOST_FREQUENT = 8000, 4, 100_000
 #: Text bytes for each bucket of cells, and buckets at most.
 BUCKET_BYTES, BUCKETS = 48 << 20, 1 << 20
-#: Shingles that one task joins: a cluster above is split into regions, small ones go together.
-TASK_SHINGLES = 2_000_000
+#: Shingles that one task joins, and what a set counts besides its own: a cluster above is split into regions, small ones
+#: go together.
+TASK_SHINGLES, SET_WEIGHT = 2_000_000, 50
+#: Documents sketched at a time; fewer than two bytes count.
+AT_ONCE = 1000
 #: Pivots of a region, members below which all pairs are looked at, and splits of a cluster over tasks.
 PIVOTS, LEAF, SPLITS = 8, 64, 3
 
@@ -88,8 +91,8 @@ def cells(hashes: np.ndarray, threshold: float, frequent: np.ndarray | None = No
     """Keys such that two linked, different sets share one.
 
     Frequent shingles are left out first, from all sets the same ones: sets then differ by no more than before, and
-    passages that many documents quote don't bring those together.  The hash range is cut into more classes than linked sets of the band have differing shingles, so some classes hold
-    the same shingles in both.  A key is band, class and the class's shingles.  If all classes that are the same are
+    passages that many documents quote don't bring those together.  The hash range is cut into more classes than linked
+    sets of the band have differing shingles, so some classes hold the same shingles in both.  A key is band, class and the class's shingles.  If all classes that are the same are
     empty, then every other class differs, so the empty ones are at least all classes less the most shingles in which
     the set can differ from a partner; only sets with so many empty classes, which are rare, get keys for those too.
     """
@@ -213,7 +216,7 @@ def region_links(ids: np.ndarray, sets: list[np.ndarray], threshold: float) -> l
 #: Bytes of a cell key within its bucket: two cells that fall together only put more documents into a cluster.
 KEY_BYTES = 5
 
-HELD = "node long, doc_id long, n long, digest string, bucket int, keys binary, nodes binary, a long, b long, part int"
+HELD = "node long, doc_id long, h long, n long, digest string, bucket int, keys binary, nodes binary, a long, b long, part int"
 
 
 def frequent_shingles(docs: DataFrame, size: int, total: int, seed: int = 8) -> np.ndarray:
@@ -244,12 +247,12 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequen
         words, base = Words(), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         names = [x.split()[0] for x in HELD.split(", ")]
         none = [None] * 4
-        for b in batches:
+        for b in (whole.iloc[at:at + AT_ONCE] for whole in batches for at in range(0, len(whole), AT_ONCE)):
             rows, keys, owners = [], [], []
-            for k, (doc_id, text) in enumerate(zip(b["doc_id"], b["text"], strict=True)):
+            for k, (doc_id, text, own) in enumerate(zip(b["doc_id"], b["text"], b["h"], strict=True)):
                 h = shingles(text, size, words)
                 known = doc_id is not None
-                rows.append((base + k, int(doc_id) if known else None, len(h), digest(h) if len(h) and known else None, *none, None, 0))
+                rows.append((base + k, int(doc_id) if known else None, own, len(h), digest(h) if len(h) and known else None, *none, None, 0))
                 if known and len(h):
                     mine = cells(h, threshold, frequent)
                     keys.append(mine)
@@ -261,7 +264,7 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequen
                 first = np.concatenate([[True], key[1:] != key[:-1]])
                 lead = owner[first][np.cumsum(first) - 1]
                 ties = np.unique(np.stack([owner[~first], lead[~first]], axis=1), axis=0)
-                rows += [(*none, None, None, None, int(x), int(y), 1) for x, y in ties if x != y]
+                rows += [(*none, None, None, None, None, int(x), int(y), 1) for x, y in ties if x != y]
                 key, owner = key[first], owner[first]
                 bucket = (key >> _U(8 * KEY_BYTES)) % _U(buckets)
                 order = np.argsort(bucket, kind="stable")
@@ -270,14 +273,16 @@ def sketched(docs: DataFrame, size: int, threshold: float, buckets: int, frequen
                 for s, e in zip(cut, [*cut[1:], len(key)], strict=True):
                     # a node is sent as its distance from the batch's first, which two bytes hold
                     own = np.ascontiguousarray(key[s:e]).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-                    rows.append((base, *none[:3], int(bucket[s]), own.tobytes(), (owner[s:e] - base).astype(np.uint16).tobytes(), None, None, 2))
+                    rows.append((base, *none, int(bucket[s]), own.tobytes(), (owner[s:e] - base).astype(np.uint16).tobytes(), None, None, 2))
             base += len(b)
             out = pd.DataFrame(rows, columns=names)
-            for c in ("node", "doc_id", "n", "bucket", "a", "b"):
+            for c in ("node", "n", "bucket", "a", "b"):
                 out[c] = out[c].astype("Int64")
+            for k, c in ((1, "doc_id"), (2, "h")):  # of 64 bits, so not by way of doubles
+                out[c] = pd.array([r[k] for r in rows], "Int64")
             yield out
 
-    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, HELD)
+    return docs.select(F.col("doc_id").cast("string"), "text", F.xxhash64("text").alias("h")).mapInPandas(run, HELD)
 
 
 def cell_edges(packs: DataFrame) -> DataFrame:
@@ -319,7 +324,7 @@ def joined(sets: DataFrame, threshold: float) -> DataFrame:
     sets = written(sets, "sets")
     ties = None
     for level in range(SPLITS + 1):
-        size = sets.groupBy("region").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("n_sets"))
+        size = sets.groupBy("region").agg(F.sum(F.col("n") + SET_WEIGHT).alias("weight"), F.count(F.lit(1)).alias("n_sets"))
         size = written(size, "sizes")
         rows = attach(sets, size.withColumnRenamed("n_sets", "n_all").withColumn("n", F.col("n_all")), "region", "cid", max(1, sets.count()), n="n").drop("n_all")
         few = rows.filter(F.col("weight") <= TASK_SHINGLES)
@@ -382,14 +387,17 @@ def voronoi(many: DataFrame, threshold: float, level: int) -> DataFrame:
 
 
 def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of docs (doc_id, text).
+    """doc_id, n_shingles, component_id, text_hash, kept of every row of docs (doc_id, text).
 
     Two documents are linked if the Jaccard similarity of their sets of `size`-word shingles is at least `threshold`
     (hundredths).  Unrelated documents are all at distance 1 from each other and from any pivot, so documents are first
     put into cells (see cells()) of which linked ones share at least one; what hangs together by cells is a cluster, and
     clusters are joined by pivots, Voronoi regions and windows.  Both steps are exact; of equal sets one stands for all.
-    Null and empty texts have no shingles and link with nothing; a null doc_id links with nothing and has a null
-    component; rows that repeat a doc_id are documents that its other rows may link with; no rows give no rows.
+    kept marks the rows with the least doc_id and text_hash (xxhash64) of their component: one, unless rows repeat.
+
+    Null and empty texts have no shingles and link with nothing; very long ones are whole sets; a null doc_id links with
+    nothing and has a null component; rows that repeat a doc_id are documents that its other rows may link with; no rows
+    give no rows; other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -399,22 +407,24 @@ def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> Da
     held = sketched(docs, size, threshold, min(BUCKETS, max(8, volume // BUCKET_BYTES)), frequent)
     held.write.partitionBy("part").parquet(path)
     held = spark.read.schema(held.schema).parquet(path)
-    rows = held.filter("part = 0").select("node", "doc_id", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))
+    rows = held.filter("part = 0").select("node", "doc_id", "h", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))
     ties = held.filter("part = 1").select("a", "b").unionByName(cell_edges(held.filter("part = 2")))
     clusters = components(ties)
     removed(spark, f"{path}/part=2")
     freed(spark)
-    classes = rows.groupBy("digest").agg(F.min("node").alias("cid"), F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"),
-                                         F.max("n").alias("n_shingles"))
+    classes = rows.groupBy("digest").agg(F.min("node").alias("cid"), F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("n"), F.max("n").alias("n_shingles"))
     classes = written(classes, "classes")
     members = classes.drop("n").join(clusters.withColumnRenamed("node", "cid"), "cid").withColumnRenamed("component", "region")
     members = written(members, "members")
-    count = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight")).withColumn("classes", F.col("n"))
+    weight = F.sum(F.col("n_shingles") + SET_WEIGHT)
+    count = members.groupBy("region").agg(F.count(F.lit(1)).alias("n"), weight.alias("weight")).withColumn("classes", F.col("n"))
     members = written(attach(members, count, "region", "cid", max(1, members.count())).filter("classes > 1"), "clusters")
-    total = members.agg(F.sum("n_shingles").alias("w"), F.max("weight").alias("m")).first()
+    total = members.agg(weight.alias("w"), F.max("weight").alias("m")).first()
     tasks = 4 * max(1, -(-(total["w"] or 0) // TASK_SHINGLES))
     members = members.withColumn("task", F.when(F.col("weight") <= TASK_SHINGLES, F.pmod(F.xxhash64("region"), F.lit(tasks))))
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep", "cid", "digest", "region", "task"), "rep")
+    # a class's text is that of its representative; rows that repeat it are put together, partly before the shuffle
+    wanted = members.select(F.col("rep.doc_id").alias("rep"), F.col("rep.h").alias("rep_h"), "cid", "digest", "region", "task")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64("text").alias("rep_h"), "text").join(wanted, ["rep", "rep_h"])
 
     def sets(b: pd.DataFrame) -> pd.DataFrame:
         words = Words()
@@ -426,13 +436,16 @@ def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> Da
     def few(pdf: pd.DataFrame) -> pd.DataFrame:
         return linked_regions(sets(pdf), threshold)
 
+    if not rows.filter("doc_id is not null").groupBy("doc_id", "h").count().filter("count > 1").isEmpty():
+        texts = texts.groupBy("cid", "digest", "region", "task").agg(F.first("text").alias("text"))
     links = written(texts.filter("task is not null").groupBy("task").applyInPandas(few, "a long, b long"), "links")
     if (total["m"] or 0) > TASK_SHINGLES:
         many = texts.filter("task is null").mapInPandas(lambda batches: map(sets, batches), "region long, cid long, n long, digest string, shingles binary")
         links = links.unionByName(joined(many, threshold))
     parts = components(links)
     facts = classes.join(parts.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    least = facts.groupBy("component").agg(F.min("rep").alias("component_id"))
-    facts = facts.join(least, "component").select("digest", "n", "component_id")
+    least = facts.groupBy("component").agg(F.min("rep").alias("first"))
+    facts = facts.join(least, "component").select("digest", "n", "first")
     out = attach(rows, written(facts, "facts"), "digest", "node", max(1, rows.count()))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    kept = F.struct("doc_id", "h").eqNullSafe(F.col("first"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("component_id"), F.col("h").alias("text_hash"), kept.alias("kept"))

@@ -48,7 +48,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, threshold=0.9)
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, threshold=0.9).select("doc_id", "n_shingles", "component_id")
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -300,6 +300,13 @@ def drawn(docs: DataFrame, y: DataFrame, sample: tuple, sample_bytes: int, seed:
     return y.withColumn("fit", fit(min(1.0, sample_bytes / max(1, size))))
 
 
+def untaught() -> Net:
+    """A net that rejects nothing."""
+    net = Net(np.random.default_rng(SEED))
+    net.shift = -30.0
+    return net
+
+
 def fitted(docs: DataFrame, labels: DataFrame, sample: tuple = SAMPLE, seed: int = SEED, sample_bytes: int = SAMPLE_BYTES) -> Net:
     """Trains on a bounded sample of labelled documents whose fold of 3 is not 1, and sets thresholds on all the others.
 
@@ -326,7 +333,8 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: tuple = SAMPLE, seed: int
             net.shift = 30.0 if known.any() else -30.0
         yield pd.DataFrame({"net": [zlib.compress(pickle.dumps(net), 1)]})
 
-    net = pickle.loads(zlib.decompress(texts.coalesce(1).mapInPandas(fit, "net binary").first()["net"]))
+    held = texts.coalesce(1).mapInPandas(fit, "net binary").first()
+    net = pickle.loads(zlib.decompress(held["net"])) if held else untaught()
     if abs(net.shift) == 30.0:
         return net
     cut, by_lang = cuts(logits_of(docs, y, net))

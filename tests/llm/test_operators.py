@@ -518,8 +518,11 @@ def test_jaccard(near, monkeypatch, size, threshold, task):
     if task:  # so few that clusters are cut over tasks
         monkeypatch.setattr(jaccard, "TASK_SHINGLES", task)
     df, rows = near
-    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(df, size, threshold / 100).collect())
+    out = jaccard.jaccard_groups(df, size, threshold / 100).collect()
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_shingles"], r["component_id"]) for r in out)
     assert got == brute(rows, size, threshold)
+    assert len({(r["component_id"], r["text_hash"]) for r in out if r["kept"] and r["doc_id"] is not None}) == len({r["component_id"] for r in out if r["doc_id"] is not None and r["n_shingles"]}
+                                                                                                                    | {r["doc_id"] for r in out if r["doc_id"] is not None and not r["n_shingles"]})
 
 
 def test_jaccard_edges(docs, empty):
@@ -603,30 +606,156 @@ def test_scores(spark, docs, empty):
     assert lm.mixing_scores(docs).count() == docs.count()
 
 
-def test_model_is_a_distribution():
-    """The codes' probabilities of all symbols, and of all spellings of a length, add up to 1 at most."""
-    m = lm.Model(["the cat sat on the mat"] * 5)
-    assert sum(2.0 ** -m.code.length) == pytest.approx(1) and sum(2.0 ** -m.letters.length) == pytest.approx(1)
+def small_model(texts, vocabulary=None):
+    """A model of texts, with tables counted in this process."""
+    words = Counter(w for t in texts for w in t.encode().lower().split())
+    ranked = sorted(words.items(), key=lambda x: (-x[1], x[0]))
+    top, rest = ranked[:12], ranked[12:]
+    letters = np.zeros(256)
+    for w, c in rest:
+        letters += np.bincount(np.frombuffer(w + b" ", np.uint8), minlength=256) * c
+    marks = [w for w, _ in ranked[:10]]
+    has = np.array([[w in t.encode().lower().split() for w in marks] for t in texts], float)
+    m = lm.Model(top, sum(c for _, c in rest), len(texts), letters, vocabulary or len(ranked), marks, has.T @ has)
+    t, tables = lm.Text(texts), lm.Tables(m.bits)
+    s, c, h = m.numbers(t, lm.Words())
+    n, at = m.code.steps(s)
+    tables.add(m.slots(m.bases(t, c, h), np.arange(len(s)), n, at), m.code.bit[at])
+    tables.settle()
+    m.tables = [np.log((tables.n[1, a:b] + lm.PRIOR) / (tables.n[0, a:b] + lm.PRIOR)).astype(np.float32) for a, b in zip(tables.base[:-1], tables.base[1:])]
+    spell, own = lm.Tables(lm.SPELL_BITS), [(w, c) for w, c in rest]
+    word, _, at, slots, _ = m.spelled([w for w, _ in own], np.zeros(len(own), np.int64))
+    spell.weighted(slots, m.letters.bit[at], np.array([c for _, c in own], float)[word])
+    m.spell_tables = [np.log((spell.n[1, a:b] + lm.PRIOR) / (spell.n[0, a:b] + lm.PRIOR)).astype(np.float32) for a, b in zip(spell.base[:-1], spell.base[1:])]
+    return m, own
 
 
-def test_contexts_know_rare_words():
-    """Words without a code of their own are contexts of their own; codes and tables grow with the vocabulary."""
-    m = lm.Model([" ".join(f"w{i}" for i in range(2000)) + " the" * 5])
-    assert "w1998".encode() not in m.symbol and "w1999".encode() not in m.symbol
-    slots = []
-    for text in ("w1998 the", "w1999 the"):
+@pytest.fixture(scope="module")
+def letters_model():
+    rng = np.random.default_rng(14)
+    common = [f"c{i}" for i in range(15)]
+    return small_model([" ".join([*rng.choice(common, 300), *(f"rare{rng.integers(0, 90)}" for _ in range(20))]) for _ in range(40)])
+
+
+def test_probabilities_of_all_symbols_add_up_to_1(letters_model):
+    """After any beginning, the mixed and refined probabilities of all words with a code, the escape and the end."""
+    m, _ = letters_model
+    for start in ("", "c1 c2", "c3 rare5 c1 unseen", " ".join(["c1 c4"] * 200)):
+        before = m.scores([start], lm.Words())[0][0]
+        t = lm.Text([start])
+        s = m.numbers(t, lm.Words())[0]
+        end = 2.0 ** before
+        rest = []
+        for w in [*m.symbol, b"other"]:
+            t2 = (start + " " + w.decode()).strip()
+            whole = lm.Text([t2])
+            # the next token's probability: the text's without its end, which a naive reading of the bits gives
+            rest.append(naive_bits(m, t2)[len(s) - 1])
+        assert end == pytest.approx(2.0 ** sum(naive_bits(m, start)), rel=1e-4)
+        assert sum(2.0 ** x for x in rest) + 2.0 ** naive_bits(m, start)[-1] == pytest.approx(1, abs=1e-4)
+
+
+def naive_bits(m, text):
+    """log2 probability of each token's code, bit by bit in plain Python, with the same steps of weights and maps."""
+    t = lm.Text([text])
+    s, c, h = m.numbers(t, lm.Words())
+    bases = m.bases(t, c, h)
+    w, maps = m.mix.w.astype(float), m.mix.map.astype(float)
+    out, seen = [], []
+    for i in range(len(s)):
+        if i and i % lm.STEP == 0:
+            grad, count, moved, hits = np.zeros_like(w), Counter(), Counter(), Counter()
+            for x, gate, err, spot, miss in seen:
+                grad[:, gate] += err * np.array(x)
+                count[gate] += 1
+                moved[spot] += miss
+                hits[spot] += 1
+            for gate, n in count.items():
+                w[:, gate] += lm.RATE / math.sqrt(n + 1) * grad[:, gate]
+            for (gate, k), n in hits.items():
+                maps[gate, k] = min(max(maps[gate, k] + lm.MAP_RATE * moved[gate, k] / math.sqrt(n), 1e-4), 1 - 1e-4)
+            seen = []
+        total = 0.0
+        for step in range(int(m.code.length[s[i]])):
+            at = int(m.code.start[s[i]]) + step
+            bit = int(m.code.bit[at])
+            x = [float(table[((int(b[i]) + int(m.code.node[at])) * int(lm._STIR) & 0xFFFFFFFF) >> (32 - bits)]) for table, b, bits in zip(m.tables, bases, m.bits)]
+            gate = min(step, lm.DEPTHS - 1) * lm.LEVELS + (x[1] != 0) + (x[3] != 0)
+            x.append(1.0)
+            z = min(max(sum(a * b for a, b in zip(x, w[:, gate])), -8), 8)
+            p = 1 / (1 + math.exp(-z))
+            f = (z + 8) * (lm.APM - 1) / 16
+            low = min(int(f), lm.APM - 2)
+            f -= low
+            own = maps[gate, low] + (maps[gate, low + 1] - maps[gate, low]) * f
+            seen.append((x, gate, bit - p, (gate, low + (f > 0.5)), bit - own))
+            q = (own + p) / 2
+            total += math.log2(q if bit else 1 - q)
+        out.append(total)
+    return out
+
+
+def test_scores_are_those_of_a_naive_reading(letters_model):
+    m, _ = letters_model
+    for text in ("", "c1 c2 rare3", " ".join(f"c{i * i % 15} rare{i % 7}" for i in range(200))):
+        assert m.scores(["c5 c6", text], lm.Words())[0][1] == pytest.approx(sum(naive_bits(m, text)), rel=1e-3)
+
+
+def test_spellings_are_a_distribution(letters_model):
+    """The probabilities of the letters that may follow a beginning add up to 1, also with words known and online steps."""
+    m, own = letters_model
+    train, n = [w for w, _ in own], np.array([c for _, c in own])
+    plain = m.costs(train, np.zeros(len(train), np.int64), n, np.full(len(train), 2))
+    assert (plain < 0).all() and sum(2.0 ** plain) < 1
+    new = [b"zzqy", b"rare999"]
+    both = m.costs([*train, *new], np.zeros(len(train) + 2, np.int64), np.append(n, [0, 0]), np.full(len(train) + 2, 2))
+    assert both[:-2] == pytest.approx(plain, abs=1e-9) and both[-2] < both[-1] < 0
+    for start in (b"", b"ra", b"rare1"):  # each next letter closes or goes on; words with the same beginning share its bits
+        total = 0.0
+        ones = [start + bytes([x]) for x in range(256) if x != 32] + [start]
+        ones = [w for w in ones if w]
+        word, place, at, slots, _ = m.spelled(ones, np.zeros(len(ones), np.int64))
+        x = [table[k] for table, k in zip(m.spell_tables, slots)]
+        z = np.clip(np.sum(x, axis=0) / 3, -8, 8)
+        p = np.where(m.letters.bit[at] == 1, 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(z)))
+        here = place == len(start)
+        total = np.exp(np.bincount(word[here], np.log(p[here]), len(ones)))
+        assert total.sum() == pytest.approx(1 if start else total.sum(), abs=1e-4)
+
+
+def test_contexts_know_rare_words(letters_model):
+    """Words without a code of their own are contexts of their own; codes grow with the vocabulary, tables up to a bound."""
+    m, _ = letters_model
+    bases = []
+    for text in ("rare1 c1", "rare2 c1"):
         t = lm.Text([text])
-        of, _, _, k = m.word_slots(t, m.symbols(t), np.zeros(len(t.token), np.int64))
-        slots.append([x[of == 1].tolist() for x in k])
-    assert slots[0][0] == slots[1][0] and all(a != b for a, b in zip(slots[0][1:], slots[1][1:], strict=True))
-    assert lm.n_symbols(640_000) == 10_000 and lm.table_bits(10_000_000)[0][1] > lm.table_bits(1000)[0][1]
+        _, c, h = m.numbers(t, lm.Words())
+        bases.append([int(b[1]) for b in m.bases(t, c * 0, h)])
+    assert bases[0][0] == bases[1][0] and all(a != b for a, b in zip(bases[0][1:], bases[1][1:], strict=True))
+    assert lm.n_symbols(640_000) == 10_000 and lm.table_bits(10_000_000)[1] == lm.WORD_BITS[1] > lm.table_bits(1000)[1]
+
+
+def test_classes_follow_what_occurs_together():
+    meet = np.kron(np.eye(2), np.full((4, 4), 50.0)) + 1
+    share = lm.classes_of(meet)
+    likeliest = share[:, :8].argmax(0)
+    assert len(set(likeliest[:4])) == 1 and len(set(likeliest[4:])) == 1 and likeliest[0] != likeliest[4] and lm.classes_of(np.zeros((0, 0))).shape == (8, 1)
 
 
 def test_codes_are_of_all_training_documents(spark):
     df = spark.createDataFrame([(i, f"the word{i % 700} the") for i in range(1400)], "doc_id long, text string")
-    top, escapes, ends, letters, size = lm.fitted_counts(df)
+    top, escapes, ends, letters, size, marks, meet = lm.fitted_counts(df, [b"the", b"word1", b"none"])
     assert top[0] == (b"the", 2800) and len(top) == lm.SYMBOLS and escapes == 4200 - sum(c for _, c in top) and (ends, size) == (1400, 701)
     assert letters[32] == escapes and letters.sum() == sum(2 * (len(f"word{i}") + 1) for i in range(700) if f"word{i}".encode() not in dict(top))
+    assert meet.tolist() == [[1400, 2, 0], [2, 2, 0], [0, 0, 0]]
+
+
+def test_beginnings_that_many_share(spark, monkeypatch):
+    """Words meet by a longer beginning where a short one is too common, and none is lost."""
+    monkeypatch.setattr(lm, "SPELLED", 20)
+    rows = [(f"http://site{i % 3}/{i}", 0) for i in range(600)] + [(f"w{i}x", 0) for i in range(100)]
+    got = lm.together(spark.createDataFrame(rows, "word string, class int"), 700).collect()
+    assert len(got) == 700 and {r["silent"] for r in got if r["word"].startswith("w")} == {3} and min(r["silent"] for r in got if r["word"].startswith("http")) > 10
 
 
 # -- shared ----------------------------------------------------------------------------------------------------------

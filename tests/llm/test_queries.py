@@ -41,3 +41,34 @@ def test_pipeline(spark):
         if name != "sentencepiece":
             assert docs.columns == start
     assert docs.filter("n_pieces > 0").count() > 0
+
+
+EDGES = "doc_id long, text string, lang string, source string, n_chars long, copies int, nth int, made int, row int, hash int, id int, size int"
+
+
+def test_stages_on_edges(spark):
+    """Every stage on nulls in each column, empty and very long texts, repeats, clashing names, and no rows at all."""
+    x = (1, 2, 3, 4, 5, 6, 7)
+    text = "one two three four five six seven eight"
+    long = " ".join(f"w{i}" for i in range(40_000))
+    rows = [(1, text, "en", "a", 5, *x), (1, text, "en", "a", 5, *x), (1, "a text of its own for this one id here", "en", "a", 5, *x), (2, None, None, None, None, *x), (3, "", "en", "a", 0, *x),
+            (None, text, None, None, 1, *x), (None, text, None, None, 1, *x), (4, long, "en", "b", 1, *x), (5, text, "en", "b", 5, *x), (6, " \n\t ", "en", "b", 3, *x), (7, "Mr John Doe and a@b.org", "en", "b", 3, *x)]
+    docs = spark.createDataFrame(rows, EDGES)
+    texts = lambda d: sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"] or "") for r in d.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0
+        out = stage(spark, docs, SMALL)
+        if name != "sentencepiece":
+            assert out.columns == docs.columns
+        if name == "near_copies":
+            want = sorted((r[0] if r[0] is not None else -1, r[1] or "") for k, r in enumerate(rows) if k not in (1, 8))
+            assert texts(out) == want
+        if name == "personal_data":
+            kept = {r["doc_id"]: r for r in out.collect()}
+            assert out.count() == len(rows) and kept[2]["text"] is None and kept[2]["n_chars"] is None and kept[3]["text"] == "" and "Doe" not in kept[7]["text"] and kept[4]["text"] == long
+            assert all(tuple(r[c] for c in docs.columns[5:]) == x for r in kept.values())
+        if name == "mixing":
+            got = texts(out)
+            assert set(got) <= set(texts(docs)) and not any(t.split() == [] for _, t in got)
+        if name == "sentencepiece":
+            assert out.count() == len(rows) and {r["n_pieces"] for r in out.filter("doc_id in (2, 3)").collect()} == {0}
