@@ -27,13 +27,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least doc_id; of rows that repeat a doc_id all, if it is that.
+    """Of each group of near duplicates the document with the least doc_id (and text hash) stays, once.
 
-    Rows with a null doc_id link with nothing and stay.
+    Null and empty texts, and rows with a null doc_id, link with nothing and stay; very long texts are compared whole; a
+    row that repeats a doc_id is judged by its own text; of rows that repeat both one stays; no rows give no rows;
+    further columns stay as they are.
     """
-    groups = jaccard.jaccard_groups(docs.select("doc_id", "text"), SHINGLE, SIMILAR)
-    gone = groups.filter("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    groups = written(jaccard.jaccard_groups(docs.select("doc_id", "text"), SHINGLE, SIMILAR), "groups").filter("doc_id is not null and n_shingles > 0")
+    gone = groups.filter("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    cols = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    rows = rows.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left_anti")
+    twice = groups.filter("kept").groupBy("doc_id", "text_hash").count().filter("count > 1").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    if not twice.isEmpty():
+        same = (F.col("id") == F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
+        once = rows.join(twice, same, "left_semi").groupBy("id", "hash").agg(F.first("row").alias("row"))
+        rows = rows.join(twice, same, "left_anti").select("row").unionByName(once.select("row"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in cols])
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
