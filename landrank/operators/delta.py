@@ -135,6 +135,22 @@ def reconciled(ledger_rows: DataFrame, truth: DataFrame, partition: str) -> Data
     return a.join(b, partition, "full_outer").withColumn("verdict", verdict)
 
 
+def repaired(ledger_rows: DataFrame, truth: DataFrame, partition: str, counters: list[str]) -> DataFrame:
+    """The ledger with rows as counted; where they were wrong or missing, the other counters are unknown from now on."""
+    n = truth.select(partition, F.col("rows").alias("__n"))
+    out = ledger_rows.join(n, partition, "left")
+    right = F.col("rows").eqNullSafe(F.col("__n"))
+    return out.withColumns({c: F.when(right, F.col(c)) for c in counters} | {"rows": F.col("__n"), "was_right": right}).drop("__n")
+
+
+def mirror_plan(source: DataFrame, target: DataFrame) -> DataFrame:
+    """path, action (copy, keep, remove) and bytes of files (path, sha, bytes): a file is copied if its digest differs."""
+    a = source.select("path", F.lower(F.regexp_replace("sha", "^sha256:", "")).alias("new"), F.col("bytes").alias("bytes"))
+    b = target.select("path", F.lower(F.regexp_replace("sha", "^sha256:", "")).alias("old"))
+    action = F.when(F.col("new").isNull(), "remove").when(F.col("new").eqNullSafe(F.col("old")), "keep").otherwise("copy")
+    return a.join(b, "path", "full_outer").select("path", action.alias("action"), F.coalesce("bytes", F.lit(0)).alias("bytes"))
+
+
 def recompute_counts(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     """One row: how many values went up, went down or stayed."""
     j = old.select(key, F.col(value).alias("a")).join(new.select(key, F.col(value).alias("b")), key)

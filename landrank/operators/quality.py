@@ -108,9 +108,32 @@ def zero_share_within(df: DataFrame, column: str, most: float) -> None:
 
 
 def geo_identity(points: DataFrame, envelope: tuple[float, float, float, float], lon: str = "lon", lat: str = "lat", most: int = 50) -> DataFrame:
-    """Of a sample of up to `most` points those outside; an empty sample fails."""
-    sample = points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).orderBy(F.xxhash64(lon, lat)).limit(most)
+    """Of every k-th point, up to `most`, those outside; an empty sample fails."""
+    from landrank.operators.corpus import every_kth
+
+    sample = every_kth(points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()), [F.col(lon), F.col(lat)], most)
     if sample.isEmpty():
         raise GateError("no point to identify the source by")
     x0, y0, x1, y1 = envelope
     return sample.filter(~(F.col(lon).between(x0, x1) & F.col(lat).between(y0, y1)))
+
+
+def registry(sources: DataFrame, today: Column, most_rps: float = 1.0, days: int = 90) -> DataFrame:
+    """Broken rules of a source registry (source_id, url, rps, floor, tier, verified_on), one row each.
+
+    Ids are there once, URLs are http(s) with a path, rates at most the ceiling, evidence no older than so many days, and
+    a source of a rich county has a floor.
+    """
+    bad = violations(sources, {"id": F.trim("source_id") != "", "url": F.col("url").rlike("^https?://") & ~X.is_bare_origin(F.col("url")), "rate": F.col("rps").between(1e-9, most_rps),
+                               "evidence": F.datediff(today, F.to_date("verified_on")).between(0, days), "floor": (F.col("tier") != "rich") | F.coalesce(F.col("floor") > 0, F.lit(False))})
+    twice = sources.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("source_id", F.lit("duplicate").alias("rule"))
+    return bad.select("source_id", F.explode("broken").alias("rule")).unionByName(twice)
+
+
+def needles(pages: DataFrame, text: str, words: list[str]) -> DataFrame:
+    """Pages whose text holds one of the words, whatever its case, with the first of them."""
+    low, hit = F.lower(text), None
+    for w in words:
+        found = F.contains(low, F.lit(w.lower()))
+        hit = F.when(found, w) if hit is None else hit.when(found, w)
+    return pages.withColumn("needle", hit).filter("needle is not null")

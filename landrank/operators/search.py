@@ -13,6 +13,16 @@ MOST_ITEMS, NOTE_LENGTH = 60, 2000
 STALE_HOURS = 48
 
 
+#: What readers see of lanes, tiers and signals.
+LABELS = {"market": "For sale", "prospect": "Prospect", "rich": "Full coverage", "partial": "Partial coverage", "thin": "Thin coverage", "notices-only": "Notices only",
+          "discount": "Discount", "distress": "Distress", "water": "Water", "livability": "Livability"}
+
+
+def label(code: Column) -> Column:
+    """What a code is called; one without a name stays as it is."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])[code], code)
+
+
 def lane(price: Column) -> Column:
     return F.when(price.isNull(), "prospect").otherwise("market")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pathlib
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,17 +21,25 @@ def build(name: str = "landrank", **conf: str) -> SparkSession:
     return SparkSession.builder.appName(name).config(map=settings).getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the folder that driver and executors share (spark.checkpoint.dir): cuts the lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    A session with a local master gets a folder of its own where none is set; on a cluster that is an error.
+    A session with a local master gets such a folder where none is set; on a cluster that is an error.
     """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder: cuts the lineage."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

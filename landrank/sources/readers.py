@@ -40,6 +40,11 @@ def concatenated_rings(features_df: DataFrame, key: str) -> DataFrame:
     return g.select(key, F.flatten(F.transform("r", lambda x: x["rings"])).alias("rings"))
 
 
+def points(df: DataFrame, key: str = "parno", x: str = "x", y: str = "y") -> DataFrame:
+    """Rows of a point layer with a key and both coordinates."""
+    return df.filter((F.coalesce(F.trim(key), F.lit("")) != "") & F.col(x).isNotNull() & F.col(y).isNotNull())
+
+
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV with a header; every text is trimmed (line ends too), the schema is kept to."""
     df = spark.read.schema(schema).option("mode", "FAILFAST").csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
