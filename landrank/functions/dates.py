@@ -38,3 +38,9 @@ def freshness(last: Column, now: Column, bar_hours: float = 48) -> Column:
 
 def month_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
+
+
+def epoch_unit(ms: Column, now_ms: Column) -> Column:
+    """Aggregate: "ms", or what is wrong with the greatest known epoch: as seconds look, or as dates to come."""
+    most = F.max(ms)
+    return F.when(most.isNull(), "none-known").when(most < 100_000_000_000, "seconds").when(most > now_ms + 366 * DAY_MS, "future").otherwise("ms")

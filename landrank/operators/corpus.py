@@ -101,6 +101,12 @@ def requested(seeds: DataFrame, fips: list[str]) -> DataFrame:
     return found
 
 
+def ingested(seeds: DataFrame, runs: DataFrame) -> DataFrame:
+    """The seed's counties with their run's status and rows; rows of a run that is not complete are unknown, not zero."""
+    r = runs.select("fips", F.col("status").alias("ingest_status"), F.when(F.col("status") == "complete", F.col("rows")).alias("rows"))
+    return seeds.join(r, "fips", "left").withColumn("ingest_status", F.coalesce("ingest_status", F.lit("not-run")))
+
+
 def nulled_counts(staged: DataFrame, by: list[str]) -> DataFrame:
     """Rows whose deed date was nulled and whose value was zero, and rows in all."""
     return staged.groupBy(*by).agg(F.count_if(F.col("deed_date").isNull()).alias("deed_nulled"), F.count_if(F.col("value_unknown_reason") == "zero-sentinel").alias("zero_parval"),

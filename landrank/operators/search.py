@@ -70,9 +70,10 @@ def denied(urls: DataFrame, rules: DataFrame) -> DataFrame:
     Rules are joined by host, each URL's host standing for itself and all above it, so no URL meets all rules.  "*."
     before a host changes nothing; a null path matches every one.
     """
+    once = urls.select("url").distinct()  # a URL that many rows hold is looked up once
     labels = F.split(X.host(F.col("url")), r"\.")
     above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    hosts = urls.withColumn("__h", F.explode(above))
+    hosts = once.withColumn("__h", F.explode(above))
     r = rules.select(F.col("ordinal"), F.regexp_replace(F.lower("host"), r"^\*\.", "").alias("__r"), F.lower("path").alias("__path"))
     full = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1))
     hit = hosts.join(r, F.col("__h") == F.col("__r")).filter(F.col("__path").isNull() | F.startswith(full, F.col("__path")))

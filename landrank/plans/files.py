@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landrank.functions import dates as Y
 from landrank.functions.measured import js_round
 from landrank.operators import corpus, delta, publish, quality, search
 from landrank.plans.feeds import _points
@@ -181,7 +182,41 @@ def geo_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.points(p.select("id", key.alias("parno"), F.when(F.col("label") != 2, F.col("lng")).alias("x"), F.col("lat").alias("y"))).select("id")
 
 
+def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations, and customers with their segments, published as one version and read back."""
+    n, c = table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    path = writers.published({"coverage": n, "listings": c}, shared_folder(spark), "v1")
+    rows = spark.read.schema("c_custkey long, c_mktsegment string").json(f"{path}/listings").groupBy(F.col("c_mktsegment").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(spark.read.schema("n_nationkey long, n_name string").json(f"{path}/coverage").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("n")))
+
+
+def cached_or_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of parts from a cache of the large ones, and from the landed table where the cache has none."""
+    p = table(spark, sf_dir, "part")
+    cache = p.filter("p_size > 25").select("p_partkey", (F.col("p_retailprice") + 1).alias("price"))
+    return delta.union_by_priority([cache, p.select("p_partkey", F.col("p_retailprice").alias("price"))], ["p_partkey"], ["price"])
+
+
+def ingest_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations with a run of theirs: customers are its rows, and balances say how it ended."""
+    c = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("fips")).agg(F.count(F.lit(1)).alias("rows"), F.min("c_acctbal").alias("low"))
+    runs = c.filter("fips % 6 <> 0").select("fips", "rows", F.when(F.col("fips") % 4 == 1, "partial").otherwise("complete").alias("status"))
+    return corpus.ingested(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("fips")), runs)
+
+
+def epoch_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as milliseconds, seconds, or not at all, by status."""
+    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    known = F.when(F.col("o_orderstatus") == "F", ms).when(F.col("o_orderstatus") == "O", (ms / 1000).cast("long"))
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(Y.epoch_unit(known, F.lit(946_684_800_000)).alias("unit"))
+
+
 SQL = {
+    "published_tables": "SELECT c_mktsegment AS name, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT n_name, n_nationkey FROM nation",
+    "cached_or_landed": "SELECT p_partkey, CASE WHEN p_size > 25 THEN p_retailprice + 1 ELSE p_retailprice END AS price, CASE WHEN p_size > 25 THEN 0 ELSE 1 END::INT AS priority FROM part",
+    "ingest_coverage": """WITH c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) SELECT n_nationkey AS fips, CASE WHEN n IS NULL OR n_nationkey % 6 = 0 THEN 'not-run' WHEN n_nationkey % 4 = 1 THEN 'partial' ELSE 'complete' END AS ingest_status,
+CASE WHEN n_nationkey % 6 <> 0 AND n_nationkey % 4 <> 1 THEN n END AS rows FROM nation LEFT JOIN c ON c_nationkey = n_nationkey""",
+    "epoch_units": "SELECT DISTINCT o_orderstatus, CASE o_orderstatus WHEN 'F' THEN 'ms' WHEN 'O' THEN 'seconds' ELSE 'none-known' END AS unit FROM orders",
     "reader_pages": "SELECT c_custkey AS parno, c_custkey % 90 AS acres, floor(c_custkey / 1000 * 1000 + 0.5) / 1000 AS x FROM customer",
     "reader_rings": """SELECT l_orderkey, count(*)::INT AS n, arg_min(l_partkey, (l_linenumber * 10000000::BIGINT + l_partkey) * 100000 + l_suppkey)::DOUBLE AS first,
 arg_max(l_partkey, (l_linenumber * 10000000::BIGINT + l_partkey) * 100000 + l_suppkey)::DOUBLE AS last FROM lineitem GROUP BY 1""",
@@ -218,4 +253,4 @@ CASE WHEN c_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN 'market' ELSE 'prospe
 
 QUERIES = {f.__name__: f for f in (
     reader_pages, reader_rings, reader_csv, reader_manifests, reader_map, pin_table, elevations, log_appends, pointer_versions, ledger_repair, mirror_actions, registry_gate, payload_gate, half_measured,
-    notice_gate, copy_texts, display_rank, recomputed, newest_versions, geo_sample, geo_points)}
+    notice_gate, copy_texts, display_rank, recomputed, newest_versions, geo_sample, geo_points, published_tables, cached_or_landed, ingest_coverage, epoch_units)}

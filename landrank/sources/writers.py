@@ -96,6 +96,22 @@ def swap_pointer(spark: SparkSession, path: str, target: str, digest: str, faile
     return renamed(spark, aside, f"{path}/pointer.json", replace=True)  # there is a pointer at any time
 
 
+def published(tables: dict[str, DataFrame], path: str, version: str) -> str:
+    """Writes tables as JSON to a folder of their own in a version, all or none of them, and returns the version's path.
+
+    They are written aside and the version appears in one step; a version that is there already is refused.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    aside, target = f"{path}/_version-{uuid.uuid4().hex}", f"{path}/{version}"
+    for name, df in tables.items():
+        df.write.json(f"{aside}/{name}")
+    if not renamed(spark, aside, target):
+        fs, p = _fs(spark, aside)
+        fs.delete(p, True)
+        raise AlreadyWritten(version)
+    return target
+
+
 def manifest(spark: SparkSession, path: str, run: dict, counties: DataFrame) -> dict:
     """A run's manifest with totals over its counties (county, rows, inserted, changed, unchanged), written as JSON in one step."""
     names = ("rows", "inserted", "changed", "unchanged")
