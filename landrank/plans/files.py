@@ -208,7 +208,7 @@ def epoch_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates as milliseconds, seconds, or not at all, by status."""
     ms = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     known = F.when(F.col("o_orderstatus") == "F", ms).when(F.col("o_orderstatus") == "O", (ms / 1000).cast("long"))
-    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(Y.epoch_unit(known, F.lit(946_684_800_000)).alias("unit"))
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(Y.epoch_unit(known, F.lit(1_893_456_000_000)).alias("unit"))
 
 
 SQL = {
