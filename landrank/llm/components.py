@@ -13,7 +13,7 @@ from landrank.llm.common import attach, dropped, written
 #: More rounds than any graph of 2^63 nodes needs.
 ROUNDS = 200
 #: Nodes that a task holds while it contracts its edges.
-HELD = 1_000_000
+HELD = 300_000
 
 
 def contracted(edges: DataFrame) -> DataFrame:

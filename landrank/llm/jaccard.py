@@ -408,8 +408,9 @@ def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> Da
     held.write.partitionBy("part").parquet(path)
     held = spark.read.schema(held.schema).parquet(path)
     rows = held.filter("part = 0").select("node", "doc_id", "h", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))
-    ties = held.filter("part = 1").select("a", "b").unionByName(cell_edges(held.filter("part = 2")))
-    clusters = components(ties)
+    # written, so that no task has workers for cells and for components at a time
+    met = written(cell_edges(held.filter("part = 2")), "cell-ties")
+    clusters = components(held.filter("part = 1").select("a", "b").unionByName(met))
     removed(spark, f"{path}/part=2")
     freed(spark)
     classes = rows.groupBy("digest").agg(F.min("node").alias("cid"), F.min(F.struct("doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("n"), F.max("n").alias("n_shingles"))

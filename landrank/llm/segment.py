@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -281,21 +282,29 @@ _held: dict = {}
 
 
 def vocabulary(path: str, smoothing: float) -> Vocabulary:
-    """One for each Python worker."""
+    """One for each Python worker, from the file as Spark has sent it or, outside of tasks, from its own place."""
     if (path, smoothing) not in _held:
-        _held[path, smoothing] = Vocabulary(path, smoothing)
+        from pyspark import SparkFiles, TaskContext
+
+        _held[path, smoothing] = Vocabulary(SparkFiles.get(os.path.basename(path)) if TaskContext.get() else path, smoothing)
     return _held[path, smoothing]
 
 
+def sent(spark: SparkSession, path: str) -> None:
+    """Has Spark send the model's file to the executors, which may not have it."""
+    spark.sparkContext.addFile(path)
+
+
 def encode(docs: DataFrame, model: str = MODEL, smoothing: float = SMOOTHING, seed: int = SEED) -> DataFrame:
     """docs with `ids`, a sampled segmentation of the whole text; the same seed and doc_id give the same one again.
 
     A text is cut at its spaces; each part gets a space in front and is segmented by itself with probability
     proportional to the product of its pieces' weights.  Characters that the vocabulary lacks, and space marks of the
-    text's own, are spelled in byte pieces.  Null and empty texts have no ids; a null doc_id is a key like any other;
+    text's own, are spelled in byte pieces.  Null and empty texts have no ids; very long ones are segmented whole; a null doc_id is a key like any other;
     rows that repeat get the same ids; an `ids` column of docs is replaced; no rows give no rows.
     """
     small_batches(docs.sparkSession, 400)
+    sent(docs.sparkSession, model)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def segmented(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -313,7 +322,12 @@ def encode(docs: DataFrame, model: str = MODEL, smoothing: float = SMOOTHING, se
 
 
 def decode(coded: DataFrame, model: str = MODEL) -> DataFrame:
-    """coded with `decoded`, the text that its ids spell: the text that was encoded, or empty if that was null."""
+    """coded with `decoded`, the text that its ids spell: the text that was encoded, or empty if that was null.
+
+    A `decoded` column of coded is replaced; no rows give no rows.
+    """
+    sent(coded.sparkSession, model)
+
     @F.pandas_udf(T.StringType())
     def spelled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = vocabulary(model, SMOOTHING)
