@@ -353,6 +353,35 @@ def test_media(docs, empty):
     assert media.media_features(empty).count() == 0
 
 
+def naive_cells(gray, height, width):
+    """Means over equal areas, pixel by pixel with the share of each that lies in the area."""
+    h, w = gray.shape
+    out = np.zeros((height, width))
+    for i in range(height):
+        for j in range(width):
+            y0, y1, x0, x1 = i * h / height, (i + 1) * h / height, j * w / width, (j + 1) * w / width
+            for y in range(int(y0), min(h, math.ceil(y1))):
+                for x in range(int(x0), min(w, math.ceil(x1))):
+                    share = max(0.0, min(y1, y + 1) - max(y0, y)) * max(0.0, min(x1, x + 1) - max(x0, x))
+                    out[i, j] += share * gray[y, x]
+    return out * height * width / (h * w)
+
+
+def test_media_features_by_brute_force(spark):
+    """Tiles and difference hashes of stored texts, computed anew from the payload's bytes without integral images."""
+    texts = [None, "short", "é" * 700, "".join(chr(33 + i * i % 90) for i in range(1700)), "abc " * 900]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in media.media_features(df).collect():
+        raw = (texts[r["doc_id"]] or "").encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+        units, flat = len(payload) // 576, np.frombuffer(payload, np.uint8)
+        gray = flat.reshape(-1, 24).astype(float) if units % 3 == 0 else (flat.reshape(-1, 24, 3) * np.array([0.299, 0.587, 0.114])).sum(2)
+        small = np.round(naive_cells(gray, 8, 9), 6)
+        bits = "".join("1" if small[i, j + 1] > small[i, j] else "0" for i in range(8) for j in range(8))
+        assert r["feature"] == f"{int(bits, 2):016x}" and r["media_bytes"] > r["payload_bytes"]
+        assert np.abs(np.load(io.BytesIO(bytes(r["tile_npy"]))).astype(float) - naive_cells(gray, 16, 16)).max() <= 0.51
+
+
 # -- 6 ---------------------------------------------------------------------------------------------------------------
 
 def test_shards(spark, docs):
@@ -617,16 +646,15 @@ def small_model(texts, vocabulary=None):
     marks = [w for w, _ in ranked[:10]]
     has = np.array([[w in t.encode().lower().split() for w in marks] for t in texts], float)
     m = lm.Model(top, sum(c for _, c in rest), len(texts), letters, vocabulary or len(ranked), marks, has.T @ has)
-    t, tables = lm.Text(texts), lm.Tables(m.bits)
-    s, c, h = m.numbers(t, lm.Words())
-    n, at = m.code.steps(s)
-    tables.add(m.slots(m.bases(t, c, h), np.arange(len(s)), n, at), m.code.bit[at])
+    t, tables = lm.Text(texts, lm.Lexicon(m)), lm.Tables(m.bits)
+    n, at = m.code.steps(t.symbol)
+    tables.add(m.slots(m.bases(t, m.classes(t)), np.arange(len(t.symbol)), n, at), m.code.bit[at])
     tables.settle()
-    m.tables = [np.log((tables.n[1, a:b] + lm.PRIOR) / (tables.n[0, a:b] + lm.PRIOR)).astype(np.float32) for a, b in zip(tables.base[:-1], tables.base[1:])]
+    m.tables = [lm._whole(np.log((tables.n[1, a:b] + lm.PRIOR) / (tables.n[0, a:b] + lm.PRIOR))) for a, b in zip(tables.base[:-1], tables.base[1:])]
     spell, own = lm.Tables(lm.SPELL_BITS), [(w, c) for w, c in rest]
     word, _, at, slots, _ = m.spelled([w for w, _ in own], np.zeros(len(own), np.int64))
     spell.weighted(slots, m.letters.bit[at], np.array([c for _, c in own], float)[word])
-    m.spell_tables = [np.log((spell.n[1, a:b] + lm.PRIOR) / (spell.n[0, a:b] + lm.PRIOR)).astype(np.float32) for a, b in zip(spell.base[:-1], spell.base[1:])]
+    m.spell_tables = [lm._whole(np.log((spell.n[1, a:b] + lm.PRIOR) / (spell.n[0, a:b] + lm.PRIOR))) for a, b in zip(spell.base[:-1], spell.base[1:])]
     return m, own
 
 
@@ -641,25 +669,17 @@ def test_probabilities_of_all_symbols_add_up_to_1(letters_model):
     """After any beginning, the mixed and refined probabilities of all words with a code, the escape and the end."""
     m, _ = letters_model
     for start in ("", "c1 c2", "c3 rare5 c1 unseen", " ".join(["c1 c4"] * 200)):
-        before = m.scores([start], lm.Words())[0][0]
-        t = lm.Text([start])
-        s = m.numbers(t, lm.Words())[0]
-        end = 2.0 ** before
-        rest = []
-        for w in [*m.symbol, b"other"]:
-            t2 = (start + " " + w.decode()).strip()
-            whole = lm.Text([t2])
-            # the next token's probability: the text's without its end, which a naive reading of the bits gives
-            rest.append(naive_bits(m, t2)[len(s) - 1])
+        end, n = 2.0 ** m.scores([start], lm.Lexicon(m))[0][0], len(start.split())
+        # the next token's probability, as a naive reading of the bits gives it
+        rest = [naive_bits(m, (start + " " + w.decode()).strip())[n] for w in [*m.symbol, b"other"]]
         assert end == pytest.approx(2.0 ** sum(naive_bits(m, start)), rel=1e-4)
         assert sum(2.0 ** x for x in rest) + 2.0 ** naive_bits(m, start)[-1] == pytest.approx(1, abs=1e-4)
 
 
 def naive_bits(m, text):
     """log2 probability of each token's code, bit by bit in plain Python, with the same steps of weights and maps."""
-    t = lm.Text([text])
-    s, c, h = m.numbers(t, lm.Words())
-    bases = m.bases(t, c, h)
+    t = lm.Text([text], lm.Lexicon(m))
+    s, bases = t.symbol, m.bases(t, m.classes(t))
     w, maps = m.mix.w.astype(float), m.mix.map.astype(float)
     out, seen = [], []
     for i in range(len(s)):
@@ -679,7 +699,7 @@ def naive_bits(m, text):
         for step in range(int(m.code.length[s[i]])):
             at = int(m.code.start[s[i]]) + step
             bit = int(m.code.bit[at])
-            x = [float(table[((int(b[i]) + int(m.code.node[at])) * int(lm._STIR) & 0xFFFFFFFF) >> (32 - bits)]) for table, b, bits in zip(m.tables, bases, m.bits)]
+            x = [float(table[((int(b[i]) + int(m.code.node[at])) * int(lm._STIR) & 0xFFFFFFFF) >> (32 - bits)]) / lm.FINE for table, b, bits in zip(m.tables, bases, m.bits)]
             gate = min(step, lm.DEPTHS - 1) * lm.LEVELS + (x[1] != 0) + (x[3] != 0)
             x.append(1.0)
             z = min(max(sum(a * b for a, b in zip(x, w[:, gate])), -8), 8)
@@ -698,7 +718,7 @@ def naive_bits(m, text):
 def test_scores_are_those_of_a_naive_reading(letters_model):
     m, _ = letters_model
     for text in ("", "c1 c2 rare3", " ".join(f"c{i * i % 15} rare{i % 7}" for i in range(200))):
-        assert m.scores(["c5 c6", text], lm.Words())[0][1] == pytest.approx(sum(naive_bits(m, text)), rel=1e-3)
+        assert m.scores(["c5 c6", text, "c1 " * 500], lm.Lexicon(m))[0][1] == pytest.approx(sum(naive_bits(m, text)), rel=1e-3)
 
 
 def test_spellings_are_a_distribution(letters_model):
@@ -715,7 +735,7 @@ def test_spellings_are_a_distribution(letters_model):
         ones = [start + bytes([x]) for x in range(256) if x != 32] + [start]
         ones = [w for w in ones if w]
         word, place, at, slots, _ = m.spelled(ones, np.zeros(len(ones), np.int64))
-        x = [table[k] for table, k in zip(m.spell_tables, slots)]
+        x = [lm._logits(table, k) for table, k in zip(m.spell_tables, slots)]
         z = np.clip(np.sum(x, axis=0) / 3, -8, 8)
         p = np.where(m.letters.bit[at] == 1, 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(z)))
         here = place == len(start)
@@ -728,9 +748,8 @@ def test_contexts_know_rare_words(letters_model):
     m, _ = letters_model
     bases = []
     for text in ("rare1 c1", "rare2 c1"):
-        t = lm.Text([text])
-        _, c, h = m.numbers(t, lm.Words())
-        bases.append([int(b[1]) for b in m.bases(t, c * 0, h)])
+        t = lm.Text([text], lm.Lexicon(m))
+        bases.append([int(b[1]) for b in m.bases(t, m.classes(t) * 0)])
     assert bases[0][0] == bases[1][0] and all(a != b for a, b in zip(bases[0][1:], bases[1][1:], strict=True))
     assert lm.n_symbols(640_000) == 10_000 and lm.table_bits(10_000_000)[1] == lm.WORD_BITS[1] > lm.table_bits(1000)[1]
 
@@ -750,6 +769,18 @@ def test_codes_are_of_all_training_documents(spark):
     assert meet.tolist() == [[1400, 2, 0], [2, 2, 0], [0, 0, 0]]
 
 
+def test_most_frequent(spark):
+    """The same rows as a sort of all, with ties, few rows, and none."""
+    rng = np.random.default_rng(15)
+    rows = [(f"w{i:05d}", int(n)) for i, n in enumerate(np.minimum(rng.zipf(1.4, 4000), 5000))]
+    df = spark.createDataFrame(rows, "word string, n long")
+    for k in (1, 50, 700, 9000):
+        got = [(r["word"], r["n"]) for r in lm.most_frequent(df, "n", ["word"], k).collect()]
+        want = sorted(rows, key=lambda r: (-r[1], r[0]))[:k]
+        assert [n for _, n in got] == [n for _, n in want] and [w for w, n in got if n > want[-1][1]] == [w for w, n in want if n > want[-1][1]]
+    assert lm.most_frequent(df.limit(0), "n", ["word"], 5).count() == 0
+
+
 def test_beginnings_that_many_share(spark, monkeypatch):
     """Words meet by a longer beginning where a short one is too common, and none is lost."""
     monkeypatch.setattr(lm, "SPELLED", 20)
