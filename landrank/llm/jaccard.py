@@ -20,7 +20,7 @@ BAND, SPARE = 1.5, 2
 #: Documents in which frequent shingles are sought, about, in how many of them one must occur, and how many are kept.
 SAMPLE, FREQUENT, MOST_FREQUENT = 8000, 4, 100_000
 #: Text bytes for each bucket of cells, and buckets at most.
-BUCKET_BYTES, BUCKETS = 48 << 20, 1 << 20
+BUCKET_BYTES, BUCKETS = 20 << 20, 1 << 20
 #: Shingles that one task joins, and what a set counts besides its own: a cluster above is split into regions, small ones
 #: go together.
 TASK_SHINGLES, SET_WEIGHT = 2_000_000, 50
@@ -43,7 +43,7 @@ class Words(dict):
     """64-bit hashes of words; forgets all when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         out = self[word] = xxhash.xxh64_intdigest(word)
         return out
@@ -292,10 +292,12 @@ def cell_edges(packs: DataFrame) -> DataFrame:
         raw = np.frombuffer(b"".join(pdf["keys"]), np.uint8).reshape(-1, KEY_BYTES)
         key = np.zeros((len(raw), 8), np.uint8)
         key[:, :KEY_BYTES] = raw
+        del raw
         key = key.view(_U).ravel()
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable").astype(np.int32)
         key = key[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])
+        del key
         lead = np.flatnonzero(first)[np.cumsum(first)[~first] - 1]
         pack = np.repeat(np.arange(len(pdf), dtype=np.int32), [len(x) // 2 for x in pdf["nodes"]])
         away = np.frombuffer(b"".join(pdf["nodes"]), np.uint16)

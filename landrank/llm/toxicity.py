@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from landrank.llm.common import attach, small_batches, written
 
 #: Labelled rows that the classifier is fitted on, at most about: of label 1 and of label 0.  A fifth is left out of it.
-SAMPLE = (6000, 8000)
+SAMPLE = (3000, 6000)
 #: Bytes of text that it is fitted on, at most about; where the rows have more, fewer are drawn.
-SAMPLE_BYTES = 96 << 20
+SAMPLE_BYTES = 64 << 20
 BITS, DIM, FILTERS, WIDTHS = 18, 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.1, 3
 #: A bucket seen in fewer documents of the sample is embedded at zero, as nothing can be learned of it.
