@@ -19,8 +19,9 @@ from landrank.llm.vectors import Forest
 BAND, SPARE = 1.5, 2
 #: Documents in which frequent shingles are sought, about, in how many of them one must occur, and how many are kept.
 SAMPLE, FREQUENT, MOST_FREQUENT = 8000, 4, 100_000
-#: Text bytes for each bucket of cells, and buckets at most.
-BUCKET_BYTES, BUCKETS = 20 << 20, 1 << 20
+#: Text bytes for each bucket of cells, and buckets at least and at most.  A tie is repeated in each bucket in which two
+#: documents share a cell, so with buckets as many as a document has cells from the start, ties grow as documents do.
+BUCKET_BYTES, LEAST_BUCKETS, BUCKETS = 20 << 20, 128, 1 << 20
 #: Shingles that one task joins, and what a set counts besides its own: a cluster above is split into regions, small ones
 #: go together.
 TASK_SHINGLES, SET_WEIGHT = 2_000_000, 50
@@ -406,7 +407,7 @@ def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> Da
     whole = docs.select(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     volume, frequent = whole["bytes"] or 0, frequent_shingles(docs, size, whole["n"])
     path = scratch(spark, "sketches")
-    held = sketched(docs, size, threshold, min(BUCKETS, max(8, volume // BUCKET_BYTES)), frequent)
+    held = sketched(docs, size, threshold, min(BUCKETS, max(LEAST_BUCKETS, volume // BUCKET_BYTES)), frequent)
     held.write.partitionBy("part").parquet(path)
     held = spark.read.schema(held.schema).parquet(path)
     rows = held.filter("part = 0").select("node", "doc_id", "h", "n", F.coalesce("digest", F.concat(F.lit("none:"), "node")).alias("digest"))
