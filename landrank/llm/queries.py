@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import jaccard, lm, media, mixing, pii, segment, shards, toxicity, vectors, warc
+from landrank.llm import jaccard, licenses, lm, media, mixing, pii, segment, shards, toxicity, vectors, warc
 from landrank.llm.common import small_batches, table
 
 
@@ -61,10 +61,17 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.mixing_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_toxicity, op4_vectors, op5_media, op6_sharding, op7_pii,
-                                   op8_jaccard, op9_sentencepiece, op10_lm)}
+                                   op8_jaccard, op9_sentencepiece, op10_lm, op11_licenses)}
+
+_NOTICES = ", ".join([f"('{label}', true, 1.0, '{text}')" for label, text in licenses.PHRASES] + [f"('{label}', false, {least}, '{text}')" for label, least, text in licenses.NOTICES])
 
-#: DuckDB SQL for the operators that SQL expresses.  Mixing repeats the same draws; the two joins look at all pairs.
+#: DuckDB SQL for the operators that SQL expresses.  Mixing repeats the same draws; the two joins look at all pairs; the
+#: scan finds phrases word by word, and compares k-grams themselves.
 SQL: dict[str, str] = {
     "op1_warc": """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY 1 HAVING count(*) > 1)
@@ -102,4 +109,17 @@ i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.
 l AS (SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 90 * (p.n + q.n - k)),
 c(v, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.v)
 SELECT v AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id FROM c LEFT JOIN n ON n.doc_id = c.v GROUP BY v""",
+    "op11_licenses": f"""WITH w AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT row_number() OVER () AS t, label, phrase, least, string_split(x, ' ') AS v, len(v) AS n, greatest(1.0::DOUBLE, floor(n / 8.0::DOUBLE)) AS drift FROM (VALUES {_NOTICES}) s(label, phrase, least, x)),
+g AS (SELECT t, q, v[q + 1] || ' ' || v[q + 2] || ' ' || v[q + 3] AS g FROM (SELECT t, v, unnest(range(len(v) - 2)) AS q FROM t)),
+e AS (SELECT r, p, w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS g FROM (SELECT r, w, unnest(range(len(w) - 2)) AS p FROM w)),
+d AS (SELECT r, t, p - q AS d, list(DISTINCT q) AS qs, count(DISTINCT q) AS votes, min(q) AS low, max(q) AS high FROM e JOIN g USING (g) GROUP BY 1, 2, 3),
+m AS (SELECT r, label, least, n, list_distinct(flatten(list(qs) OVER near)) AS qs, max((votes, -d)) OVER near = (votes, -d) AS best FROM d JOIN t USING (t) WHERE NOT phrase
+  WINDOW near AS (PARTITION BY r, t ORDER BY d / drift RANGE BETWEEN 1.0 PRECEDING AND 1.0 FOLLOWING)),
+s AS (SELECT r, label, least, len(list_distinct(flatten(list_transform(qs, lambda q: [q, q + 1, q + 2])))) / n::DOUBLE AS score FROM m WHERE best),
+b AS (SELECT r, label, i FROM (SELECT r, w, unnest(range(len(w))) AS i FROM w) JOIN t ON phrase AND w[i + 1:i + n] = v),
+a AS (SELECT r, label, i, 1.0 AS score, true AS found FROM b UNION ALL SELECT r, label, NULL, score, score >= least FROM s),
+x AS (SELECT r, count(i) AS n_base, min(i) AS first_word, max(i) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (i IS NOT NULL), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found), '') AS labels, max(score) AS score FROM a GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM w LEFT JOIN x USING (r)""",
 }
