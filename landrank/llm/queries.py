@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import jaccard, licenses, lm, media, mixing, pii, segment, shards, toxicity, vectors, warc
+from landrank.llm import jaccard, licenses, lm, media, mixing, pii, segment, shards, toxicity, tries, vectors, warc
 from landrank.llm.common import small_batches, table
 
 
@@ -65,8 +65,12 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_toxicity, op4_vectors, op5_media, op6_sharding, op7_pii,
-                                   op8_jaccard, op9_sentencepiece, op10_lm, op11_licenses)}
+                                   op8_jaccard, op9_sentencepiece, op10_lm, op11_licenses, op12_trie)}
 
 _NOTICES = ", ".join([f"('{label}', true, 1.0, '{text}')" for label, text in licenses.PHRASES] + [f"('{label}', false, {least}, '{text}')" for label, least, text in licenses.NOTICES])
 
@@ -122,4 +126,18 @@ a AS (SELECT r, label, i, 1.0 AS score, true AS found FROM b UNION ALL SELECT r,
 x AS (SELECT r, count(i) AS n_base, min(i) AS first_word, max(i) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (i IS NOT NULL), '') AS base_labels,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found), '') AS labels, max(score) AS score FROM a GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score FROM w LEFT JOIN x USING (r)""",
+    "op12_trie": """WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+f AS (SELECT conv_id, conv_id - conv_id % 5 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 9 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+t AS (SELECT f.conv_id, p, r, x FROM f JOIN o ON o.conv_id = b AND p < h UNION ALL SELECT conv_id, p, r, x FROM f JOIN o USING (conv_id) WHERE p >= h),
+s AS (SELECT conv_id, list(sha256(strlen(r) || ':' || r || x) ORDER BY p) FILTER (p IS NOT NULL) AS s, list(strlen(x) ORDER BY p) FILTER (p IS NOT NULL) AS z FROM f LEFT JOIN t USING (conv_id) GROUP BY 1),
+p AS (SELECT conv_id, d, md5(array_to_string(s[1:d], '')) AS k, CASE WHEN d > 0 THEN md5(coalesce(array_to_string(CASE WHEN d > 1 THEN s[1:d - 1] END, ''), '')) END AS pk, CASE WHEN d > 0 THEN z[d] ELSE 0 END AS z, d = n AS here
+  FROM (SELECT conv_id, s, z, coalesce(len(s), 0) AS n, unnest(range(coalesce(len(s), 0) + 1)) AS d FROM s)),
+q AS (SELECT conv_id, d, coalesce(k, md5('')) AS k, pk, z, here FROM p),
+m AS (SELECT d, k, any_value(pk) AS pk, min(conv_id) AS c, count(*) AS n, any_value(z) AS z, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (here), '')) AS ends FROM q GROUP BY 1, 2),
+k AS (SELECT d - 1 AS d, pk AS k, count(*) AS kids FROM m WHERE d > 0 GROUP BY 1, 2),
+u AS (SELECT m.*, coalesce(kids, 0) AS kids FROM m LEFT JOIN k USING (d, k)),
+b AS (SELECT q.d, q.k, count(*) FILTER (kids = 0) AS leaves, sum((n - 1) * u.z)::BIGINT AS saved FROM u JOIN q ON q.conv_id = u.c AND q.d <= u.d GROUP BY 1, 2)
+SELECT u.c AS conv_id, u.d AS depth, a.c AS parent_conv_id, u.n AS n_convs, u.kids AS n_children, leaves AS n_leaves, saved AS saved_tokens, u.ends AS ends_sha256
+FROM u JOIN b USING (d, k) LEFT JOIN m a ON a.d = u.d - 1 AND a.k = u.pk""",
 }

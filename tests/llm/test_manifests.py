@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 import re
+import zlib
 
 import pytest
 
-from landrank.llm import licenses
+from landrank.llm import licenses, tries
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, digest string, labels string, t string, score string"
 CLASH = ("d", "l", "t", "s")
@@ -86,3 +89,81 @@ def test_scan_of_a_hot_text(spark):
         F.concat(F.lit("text "), F.col("id"))).alias("text"))
     out = licenses.license_scan(df)
     assert out.count() == 3000 and out.filter("doc_id is null and labels = 'mit' and n_base = 1 and first_word = 1 and n_words = 5").count() == 1000 and out.filter("labels <> ''").count() == 1000
+
+
+# -- 12 --------------------------------------------------------------------------------------------------------------
+
+def plain_trie(rows):
+    """Nodes of the trie of (conv_id, turn, role, text), by comparing prefixes."""
+    held = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            held.setdefault(c, []).append((turn is not None, turn or 0, tries_code(role, text), role or "", text or ""))
+    own = {c: [(r, t) for *_, r, t in sorted(v)] for c, v in held.items()}
+    built = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        built[c] = tuple(own.get(c - int(math.fmod(c, 5)), [])[:h] + own[c][h:])
+    members = {}
+    for c, s in built.items():
+        for d in range(len(s) + 1):
+            members.setdefault(s[:d], []).append(c)
+    kids = {p: sum(len(x) == len(p) + 1 and x[:len(p)] == p for x in members) for p in members}
+    out = []
+    for p, cs in members.items():
+        under = [x for x in members if x[:len(p)] == p]
+        ends = ",".join(map(str, sorted(c for c in cs if len(built[c]) == len(p))))
+        out.append((min(cs), len(p), min(members[p[:-1]]) if p else None, len(cs), kids[p], sum(not kids[x] for x in under),
+                    sum((len(members[x]) - 1) * len(x[-1][1].encode()) for x in under if x), hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def tries_code(role, text):
+    role, text = (role or "").encode(), (text or "").encode()
+    return hashlib.sha256(str(len(role)).encode() + b":" + role + text).digest()[:16]
+
+
+CONV = "conv_id long, turn long, role string, text string"
+
+
+def nodes(df):
+    return sorted((tuple(r[c] for c in tries.NODE) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("held", [10 ** 6, 60, 12])
+def test_trie_by_brute_force(spark, held):
+    """One task, several, and several levels of contracted forests give the same trie."""
+    rng = random.Random(held)
+    rows = [(c, t, rng.choice(["user", "assistant"][:1 + (t > 2)]), rng.choice(["a", "bé", "c c"][:1 + (rng.random() < 0.4) + (t > 3)])) for c in range(-12, 150) for t in range(rng.choice([1, 2, 4, 7, 12]))]
+    rows += [(c, t, "user", "same") for c in range(1000, 1040) for t in range(3)] + [(c, t, "user", "a") for c in range(2000, 2020) for t in range(c - 1995)]
+    got = tries.prefix_trie(spark.createDataFrame(rows, CONV), held)
+    assert nodes(got) == plain_trie(rows)
+
+
+def test_trie_of_long_conversations(spark):
+    rows = [(c, t, "user", f"t{t}" if t < 150 or c % 2 else f"u{t + c % 3}") for c in range(40) for t in range(300 if c % 7 else 155)]
+    assert nodes(tries.prefix_trie(spark.createDataFrame(rows, CONV), 700)) == plain_trie(rows)
+
+
+def test_trie_on_edges(spark):
+    """Nulls in all columns, ties, repeated rows, conversations left without a turn, extra columns, no rows."""
+    free = [c for c in range(3000, 3400) if c % 5 and zlib.crc32(str(c).encode()) % 9 >= 2][:4]
+    rows = [(7, None, None, None), (7, 0, "user", None), (7, 0, "user", "x"), (7, 0, "user", "x"), (None, 0, "user", "lost"), (None, None, None, None), (8, 1, "", "long " * 50_000), (-3, 2, "user", "neg")]
+    rows += [(c, 0, "user", "dropped") for c in free]
+    df = spark.createDataFrame([(*r, 1, "s", 2) for r in rows], CONV + ", n int, codes string, depth int")
+    got = nodes(tries.prefix_trie(df))
+    assert got == plain_trie(rows) and next(r for r in got if r[1] == 0)[3] == len({r[0] for r in rows} - {None})
+    assert tries.prefix_trie(df.limit(0)).collect() == []
+
+
+def test_ends_of_very_many(spark, monkeypatch):
+    """Ids of one hot sequence are joined in order across tasks and chunks."""
+    monkeypatch.setattr(tries, "CHUNK", 64)
+    from pyspark.sql import functions as F
+
+    rows = spark.range(-500, 2500).select(F.unhex(F.when(F.col("id") % 3 == 0, "00").otherwise(F.lpad(F.hex(F.col("id") % 7), 4, "0"))).alias("s"), F.col("id").alias("conv_id")).repartition(5)
+    want = {}
+    for r in rows.collect():
+        want.setdefault(bytes(r["s"]), []).append(r["conv_id"])
+    got = {bytes(r["s"]): r["ends"] for r in tries.joined_hashes(rows).collect()}
+    assert got == {s: hashlib.sha256(",".join(map(str, sorted(v))).encode()).hexdigest() for s, v in want.items()}
