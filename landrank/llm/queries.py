@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landrank.llm import jaccard, licenses, lm, media, mixing, pii, segment, shards, toxicity, tries, vectors, warc
+from landrank.llm import jaccard, licenses, lm, manifest, media, mixing, pii, segment, shards, toxicity, tries, vectors, warc
 from landrank.llm.common import small_batches, table
 
 
@@ -69,9 +69,15 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_mixing, op3_toxicity, op4_vectors, op5_media, op6_sharding, op7_pii,
-                                   op8_jaccard, op9_sentencepiece, op10_lm, op11_licenses, op12_trie)}
+                                   op8_jaccard, op9_sentencepiece, op10_lm, op11_licenses, op12_trie,
+                                   op13_manifest)}
 
+_FIELDS = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in manifest.COLUMNS)
 _NOTICES = ", ".join([f"('{label}', true, 1.0, '{text}')" for label, text in licenses.PHRASES] + [f"('{label}', false, {least}, '{text}')" for label, least, text in licenses.NOTICES])
 
 #: DuckDB SQL for the operators that SQL expresses.  Mixing repeats the same draws; the two joins look at all pairs; the
@@ -140,4 +146,18 @@ u AS (SELECT m.*, coalesce(kids, 0) AS kids FROM m LEFT JOIN k USING (d, k)),
 b AS (SELECT q.d, q.k, count(*) FILTER (kids = 0) AS leaves, sum((n - 1) * u.z)::BIGINT AS saved FROM u JOIN q ON q.conv_id = u.c AND q.d <= u.d GROUP BY 1, 2)
 SELECT u.c AS conv_id, u.d AS depth, a.c AS parent_conv_id, u.n AS n_convs, u.kids AS n_children, leaves AS n_leaves, saved AS saved_tokens, u.ends AS ends_sha256
 FROM u JOIN b USING (d, k) LEFT JOIN m a ON a.d = u.d - 1 AND a.k = u.pk""",
+    "op13_manifest": f"""WITH RECURSIVE d AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) AS j, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY source) AS n,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 2 = 0 AS even FROM documents),
+l AS (SELECT doc_id, j, i, n, sha256({_FIELDS}) AS h, sha256({_FIELDS.replace("strlen(text::VARCHAR) || ':' || text", "strlen(if(even, replace(text, chr(10), ''), text)) || ':' || if(even, replace(text, chr(10), ''), text)")}) AS t FROM d),
+v(j, lvl, i, n, h) AS (SELECT j, 0, i, n, h FROM l UNION ALL SELECT j, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM v WHERE n > 1 GROUP BY j, lvl, i // 3, n),
+s AS (SELECT j, h AS subroot FROM v WHERE n = 1),
+w(lvl, i, n, h) AS (SELECT 0, j - 1, count(*) OVER (), subroot FROM s UNION ALL SELECT lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM w WHERE n > 1 GROUP BY lvl, i // 3, n),
+r AS (SELECT j, lvl, i // 3 AS run, list(h ORDER BY i) AS hs FROM v WHERE n > 1 GROUP BY ALL), q AS (SELECT lvl, i // 3 AS run, list(h ORDER BY i) AS hs FROM w WHERE n > 1 GROUP BY ALL),
+c(j, k, lvl, i, n, f, p) AS (SELECT j, i, 0, i, n, t, '' FROM l UNION ALL SELECT c.j, k, c.lvl + 1, i // 3, (n + 2) // 3, sha256(array_to_string(list_concat(hs[:i % 3], [f], hs[i % 3 + 2:]), '')),
+  p || array_to_string(list_concat(hs[:i % 3], hs[i % 3 + 2:]), '') FROM c JOIN r ON r.j = c.j AND r.lvl = c.lvl AND run = i // 3),
+b(j, k, lvl, i, f, p) AS (SELECT j, k, 0, j - 1, f, p FROM c WHERE n = 1 UNION ALL SELECT b.j, k, b.lvl + 1, i // 3, sha256(array_to_string(list_concat(hs[:i % 3], [f], hs[i % 3 + 2:]), '')),
+  p || array_to_string(list_concat(hs[:i % 3], hs[i % 3 + 2:]), '') FROM b JOIN q ON q.lvl = b.lvl AND run = i // 3)
+SELECT doc_id, l.h AS leaf, subroot, w.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = w.h AS verified
+FROM w JOIN b ON w.n = 1 AND w.lvl = b.lvl JOIN l ON l.j = b.j AND l.i = b.k JOIN s ON s.j = b.j""",
 }

@@ -10,7 +10,7 @@ import zlib
 
 import pytest
 
-from landrank.llm import licenses, tries
+from landrank.llm import licenses, manifest, tries
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, digest string, labels string, t string, score string"
 CLASH = ("d", "l", "t", "s")
@@ -167,3 +167,82 @@ def test_ends_of_very_many(spark, monkeypatch):
         want.setdefault(bytes(r["s"]), []).append(r["conv_id"])
     got = {bytes(r["s"]): r["ends"] for r in tries.joined_hashes(rows).collect()}
     assert got == {s: hashlib.sha256(",".join(map(str, sorted(v))).encode()).hexdigest() for s, v in want.items()}
+
+
+# -- 13 --------------------------------------------------------------------------------------------------------------
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_leaf(row):
+    return digest("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in row))
+
+
+def climbs(hashes):
+    """The root of the hashes, and for each one its siblings as (left, right) on the way up."""
+    paths, at, level = [[] for _ in hashes], list(range(len(hashes))), hashes
+    while len(level) > 1:
+        for k, i in enumerate(at):
+            run = level[i - i % 3:i - i % 3 + 3]
+            paths[k].append(("".join(run[:i % 3]), "".join(run[i % 3 + 1:])))
+        level, at = [digest("".join(level[i:i + 3])) for i in range(0, len(level), 3)], [i // 3 for i in at]
+    return level[0], paths
+
+
+def plain_manifest(rows):
+    by = {}
+    for r in rows:
+        broken = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0 and r[4] is not None
+        by.setdefault(r[1], []).append((r[0] is not None, r[0] or 0, plain_leaf(r), plain_leaf((*r[:4], r[4].replace("\n", ""))) if broken else plain_leaf(r), r[0]))
+    names = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: (sorted(by[s]), *climbs([x[2] for x in sorted(by[s])])) for s in names}
+    root, tops = climbs([trees[s][1] for s in names])
+    out = []
+    for s, top in zip(names, tops, strict=True):
+        leaves, subroot, paths = trees[s]
+        for (*_, leaf, hurt, doc), path in zip(leaves, paths, strict=True):
+            for left, right in path + top:
+                hurt = digest(left + hurt + right)
+            out.append((doc, leaf, subroot, root, digest("".join(a + b for a, b in path + top)), hurt, hurt == root))
+    return sorted(out, key=repr)
+
+
+FILED = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def filed(df):
+    return sorted((tuple(r[c] for c in FILED) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("sizes", [[1], [3], [244], [2, 0, 1, 730, 9], [1] * 250, [2300, 1, 1]])
+def test_manifest_by_brute_force(spark, sizes):
+    """Trees and forests of one station and of several, with lone leaves and incomplete runs."""
+    rows = [(1000 * s + i, f"s{s:03d}", "en", i, f"line {i}\nline" if i % 3 else f"line {i}") for s, n in enumerate(sizes) for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(3)
+    assert filed(manifest.manifest(df)) == plain_manifest(rows)
+
+
+def test_manifest_of_three_stations(spark, monkeypatch):
+    """Stored rows that span one level: many stations, each copied for the leaves below."""
+    for name, value in (("STRIDE", 1), ("SPAN", 3)):
+        monkeypatch.setattr(manifest, name, value)
+    rows = [(i, "b" if i < 100 else f"c{i}", "en", i, f"a\n{i}") for i in range(112)]
+    assert filed(manifest.manifest(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string"))) == plain_manifest(rows)
+
+
+def test_manifest_on_edges(spark):
+    """Nulls in all columns, repeated ids and rows, empty and very long texts, clashing names, no rows; settings stay."""
+    rows = [(1, "a", "en", 1, "x\ny"), (1, "a", "en", 1, "x\ny"), (1, "a", "en", 1, "z\n"), (2, None, None, None, None), (None, "é", "en", 2, "t\n"), (None, "é", "en", 2, "t\n"), (None, None, None, None, None),
+            (3, "", "en", 0, ""), (4, "z", "en", 5, "long\n" * 60_000), (-5, "Z", "en", 5, "\n"), (6, "a", "", 5, "é\n")]
+    df = spark.createDataFrame([(*r, 7, "i", "x", 1) for r in rows], "doc_id long, source string, lang string, n_chars long, text string, tree int, hash string, leaf string, n int")
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit", None)
+    assert filed(manifest.manifest(df)) == plain_manifest(rows)
+    none = manifest.manifest(df.limit(0))
+    assert none.count() == 0 and none.columns == FILED and spark.conf.get("spark.sql.cteRecursionRowLimit", None) == before
+
+
+def test_manifest_of_equal_rows(spark):
+    """A third of all rows are equal, and one source holds most."""
+    rows = [(5, "hot", "en", 1, "same\n")] * 400 + [(i, "hot", "en", 1, f"t{i}") for i in range(10, 700)] + [(i, f"s{i % 7}", "en", 1, f"u{i}\n") for i in range(1000, 1110)]
+    assert filed(manifest.manifest(spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(4))) == plain_manifest(rows)
