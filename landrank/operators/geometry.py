@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landrank.operators.delta import first_wins
-from landrank.session import checkpointed
 
 #: Metres of a degree, earth's radius, the cell's side in degrees, search radius, and the access limit.
 DEGREE_M, EARTH_M, CELL, RADIUS_M, LANDLOCKED_M = 111_320.0, 6_371_008.8, 0.1, 500.0, 400.0
@@ -102,42 +101,6 @@ def candidates(left: DataFrame, right: DataFrame, metres: float = RADIUS_M, per_
     return a.join(b, "cell").filter(overlap("wide", "near")).select("left_id", "right_id").distinct()
 
 
-def nearest_points(points: DataFrame, features: DataFrame, per_degree: int = 16) -> DataFrame:
-    """For each point (id, lng, lat) the nearest feature (id, lng, lat): feature_id, metres.
-
-    Points look in their grid cell and the eight around; a hit counts if it is no farther than the edge of those nine.
-    Points without such a hit go on to cells twice as wide, until none is left, so that points in dense places meet few
-    features, and distant ones still find theirs.  Features at one place count as one, the least id.  Ties go to the
-    least feature_id; points without coordinates, or all where there is no feature, get null.  Longitudes don't wrap.
-    """
-    there = features.filter("lng is not null and lat is not null").groupBy("lng", "lat").agg(F.min("id").alias("feature_id"))
-    left = points.filter("lng is not null and lat is not null").select(F.col("id").alias("point_id"), F.col("lng").alias("x"), F.col("lat").alias("y")).distinct()
-    done, side = None, 1.0 / per_degree
-    if there.isEmpty():
-        return points.select(F.col("id").alias("point_id"), F.lit(None).cast(points.schema["id"].dataType).alias("feature_id"), F.lit(None).cast("double").alias("metres"))
-    while True:
-        last = side >= 512  # nine such cells hold all the earth
-        at = lambda c: F.floor(F.col(c) / side)  # noqa: B023, E731
-        cells = F.explode(F.flatten(F.transform(F.sequence(at("x") - 1, at("x") + 1), lambda i: F.transform(  # noqa: B023
-            F.sequence(at("y") - 1, at("y") + 1), lambda j: F.struct(i.alias("cx"), j.alias("cy"))))))  # noqa: B023
-        mine = there.withColumn("cell", F.struct(at("lng").alias("cx"), at("lat").alias("cy")))
-        met = left.withColumn("cell", cells).join(mine, "cell").withColumn("metres", haversine(F.col("x"), F.col("y"), F.col("lng"), F.col("lat")))
-        best = met.groupBy("point_id", "x", "y").agg(F.min(F.struct("metres", "feature_id")).alias("b"))
-        edge = lambda c: F.least(F.col(c) - (at(c) - 1) * side, (at(c) + 2) * side - F.col(c))  # noqa: B023, E731
-        # how far it is at least to the meridians and parallels that bound the nine cells
-        out_x = EARTH_M * F.asin(F.least(F.lit(1.0), F.cos(F.radians("y")) * F.sin(F.radians(F.least(edge("x"), F.lit(90.0))))))
-        out_y = EARTH_M * F.radians(edge("y"))
-        sure = F.lit(True) if last else F.col("b.metres") <= F.least(out_x, out_y)
-        found = checkpointed(best.filter(sure).select("point_id", "x", "y", "b.feature_id", "b.metres"))
-        done = found if done is None else done.unionByName(found)
-        left = checkpointed(left.join(found, ["point_id", "x", "y"], "left_anti"))
-        if last or left.isEmpty():
-            break
-        side *= 2
-    here = points.select(F.col("id").alias("point_id"), F.col("lng").alias("x"), F.col("lat").alias("y"))
-    return here.join(done, ["point_id", "x", "y"], "left").select("point_id", "feature_id", "metres")
-
-
 def geometry_hash(rings: Column) -> Column:
     return F.substring(F.sha2(F.to_json(rings), 256), 1, 32)
 

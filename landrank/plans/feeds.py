@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from landrank.functions import dates as Y
 from landrank.functions import measured as M
 from landrank.functions import text as X
-from landrank.operators import delta, geometry, keys, publish, quality, search
+from landrank.operators import delta, geometry, keys, nearest, publish, quality, search
 from landrank.plans.ranking import table
 from landrank.sources import readers
 from landrank.streaming.changelog import event_counts
@@ -191,7 +191,7 @@ def geo_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geo_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each vector's point the nearest point with label 1."""
     p = _points(spark, sf_dir)
-    return geometry.nearest_points(p, p.filter("label = 1")).select("point_id", "feature_id", M.js_round(F.col("metres"), 1).alias("metres"))
+    return nearest.nearest_points(p, p.filter("label = 1")).select("point_id", "feature_id", M.js_round(F.col("metres"), 1).alias("metres"))
 
 
 def slope_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

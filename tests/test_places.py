@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from landrank.operators import cohorts, corpus, geometry
+from landrank.operators import cohorts, corpus, geometry, nearest
 from landrank.sources import writers
 
 
@@ -74,7 +74,7 @@ def test_nearest_is_nearest(spark):
     f = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.concatenate([rng.normal([-80, 36], 0.01, (150, 2)), rng.uniform([-120, -50], [10, 60], (12, 2)), [[-80.5, 36.5]] * 3]))]
     p = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.concatenate([rng.normal([-80, 36], 0.05, (80, 2)), rng.uniform([-170, -80], [170, 80], (40, 2)), [[-80.5, 36.5]]]))]
     points = spark.createDataFrame([*p, (999, None, 1.0)], "id long, lng double, lat double")
-    got = {r["point_id"]: (r["feature_id"], r["metres"]) for r in geometry.nearest_points(points, spark.createDataFrame(f, "id long, lng double, lat double")).collect()}
+    got = {r["point_id"]: (r["feature_id"], r["metres"]) for r in nearest.nearest_points(points, spark.createDataFrame(f, "id long, lng double, lat double")).collect()}
 
     def metres(a, b):
         h = math.sin(math.radians(b[2] - a[2]) / 2) ** 2 + math.cos(math.radians(a[2])) * math.cos(math.radians(b[2])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
@@ -84,7 +84,26 @@ def test_nearest_is_nearest(spark):
         best = min((metres(a, b), b[0]) for b in f)
         assert got[a[0]][1] == pytest.approx(best[0], abs=1e-3) and (got[a[0]][0] == best[1] or abs(metres(a, f[got[a[0]][0]]) - best[0]) < 1e-6)
     assert got[999] == (None, None) and got[120][0] == 162 and len(got) == 122
-    assert geometry.nearest_points(points, points.limit(0)).filter("feature_id is not null").count() == 0
+    assert nearest.nearest_points(points, points.limit(0)).filter("feature_id is not null").count() == 0
+
+
+@pytest.mark.parametrize("layers", ["dense", "far", "sparse", "mixed", "one place"])
+@pytest.mark.parametrize("broadcast", [nearest.BROADCAST, 16])
+def test_few_pairs_meet(spark, layers, broadcast):
+    """Dense, distant, sparse and equal points: exact answers from a small multiple of the points, however nodes are joined."""
+    rng = np.random.default_rng(5)
+    sphere = lambda n: rng.uniform([-170, -80], [170, 80], (n, 2))
+    one, two = {"dense": (rng.normal([-80, 36], 1e-4, (3000, 2)), rng.normal([-80, 36], 1e-4, (3000, 2))), "far": (rng.normal([-80, 36], 0.01, (3000, 2)), rng.normal([20, 10], 0.01, (3000, 2))),
+                "sparse": (sphere(3000), sphere(3000)), "one place": (np.full((3000, 2), 30.0), np.concatenate([np.full((700, 2), 30.0), sphere(200)])),
+                "mixed": (np.concatenate([rng.normal([-80, 36], 0.01, (500, 2)), sphere(500), np.full((500, 2), 30.0)]), np.concatenate([rng.normal([-80, 36], 1e-5, (800, 2)), sphere(700)]))}[layers]
+    made = lambda a: spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(a)], "id long, lng double, lat double")
+    found = {r["point_id"]: r["metres"] for r in nearest.nearest_points(made(one), made(two), broadcast).collect()}
+    p, f = np.radians(one)[:, None], np.radians(two)[None]
+    h = np.sin((f[..., 1] - p[..., 1]) / 2) ** 2 + np.cos(p[..., 1]) * np.cos(f[..., 1]) * np.sin((f[..., 0] - p[..., 0]) / 2) ** 2
+    best = (2 * geometry.EARTH_M * np.arcsin(np.sqrt(np.minimum(1, h)))).min(1)
+    assert len(found) == len(one) and max(abs(found[i] - d) for i, d in enumerate(best)) < 1e-6
+    places = made(np.unique(two, axis=0))
+    assert nearest.met(made(one), places, broadcast).count() <= 250 * len(one)
 
 
 def test_features_once(spark):
