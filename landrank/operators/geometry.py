@@ -1,16 +1,12 @@
-"""Geometry: rings, grid cells, bounding boxes, nearest features, and signals from them.
+"""Geometry: rings, grid cells, bounding boxes, and signals from measures.
 
 Points are (lng, lat) in degrees on a sphere.  Candidates meet by grid cells and bounding boxes in DataFrame joins;
-exact measures are numpy functions over Arrow batches.
+exact measures of shapes are in shapes.py, nearest features in nearest.py.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,14 +107,7 @@ def deduplicated(features: DataFrame, key: str = "feature_id", rings: str = "rin
     return first_wins(features.withColumn("__own", own), ["__own"], [order]).drop("__own")
 
 
-# -- exact measures in numpy -----------------------------------------------------------------------------------------
-
-def _local(points, origin: tuple[float, float]) -> np.ndarray:
-    """Metres east and north of the origin."""
-    p = np.asarray(points, np.float64).reshape(-1, 2)
-    k = math.pi / 180 * EARTH_M
-    return np.stack([(p[:, 0] - origin[0]) * k * math.cos(math.radians(origin[1])), (p[:, 1] - origin[1]) * k], axis=1)
-
+# -- rings and polygons ----------------------------------------------------------------------------------------------
 
 def polygons(rings: list) -> list[list]:
     """Rings as polygons, outer ring first: the first and every clockwise ring is outer, others are holes of the last
@@ -139,205 +128,6 @@ def polygons(rings: list) -> list[list]:
     return out
 
 
-def contains(parts: list[list[np.ndarray]], points: np.ndarray) -> np.ndarray:
-    """Whether points lie in polygons (even-odd over each polygon's rings)."""
-    hit = np.zeros(len(points), bool)
-    for rings in parts:
-        odd = np.zeros(len(points), bool)
-        for r in rings:
-            a, b = r[:-1], r[1:]
-            x, y = points[:, :1], points[:, 1:]
-            cross = (a[:, 1] > y) != (b[:, 1] > y)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                at = a[:, 0] + (y - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1])
-            odd ^= (np.sum(cross & (x < at), axis=1) % 2).astype(bool)
-        hit |= odd
-    return hit
-
-
-def _cuts(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Where segment p-q meets segments a-b, as parts of its length."""
-    d, e = q - p, b - a
-    den = d[0] * e[:, 1] - d[1] * e[:, 0]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = ((a[:, 0] - p[0]) * e[:, 1] - (a[:, 1] - p[1]) * e[:, 0]) / den
-        u = ((a[:, 0] - p[0]) * d[1] - (a[:, 1] - p[1]) * d[0]) / den
-    return t[(den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)]
-
-
-def _segment_distance(points: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 256) -> float:
-    """Least distance of points from segments, a block of points against all segments at a time."""
-    d = b - a
-    n = np.maximum((d * d).sum(1), 1e-18)
-    best = math.inf
-    for at in range(0, len(points), block):
-        p = points[at:at + block, None]
-        t = np.clip(((p - a) * d).sum(2) / n, 0, 1)
-        best = min(best, float(np.sqrt((((a + t[:, :, None] * d) - p) ** 2).sum(2)).min()))
-    return best
-
-
-def _edges(shape: list[list], origin: tuple[float, float]) -> tuple[list[list[np.ndarray]], np.ndarray, np.ndarray]:
-    """Polygons in metres from the origin, and where all their edges begin and end."""
-    parts = [[_local(r, origin) for r in rs] for rs in shape]
-    return parts, np.concatenate([r[:-1] for rs in parts for r in rs]), np.concatenate([r[1:] for rs in parts for r in rs])
-
-
-def _spans(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
-    """At each x the sorted heights at which edges cross it."""
-    low, high = np.minimum(a[:, 0], b[:, 0]), np.maximum(a[:, 0], b[:, 0])
-    out = []
-    for v in x:
-        on = (low <= v) & (v < high)
-        p, q = a[on], b[on]
-        out.append(np.sort(p[:, 1] + (v - p[:, 0]) * (q[:, 1] - p[:, 1]) / (q[:, 0] - p[:, 0])))
-    return out
-
-
-def overlap_area(rings: list, other: list) -> float:
-    """Square metres that two polygons of any form, with holes and parts, share; 0 where either is no area.
-
-    The plane is cut into strips at all corners and crossings; within a strip no edges cross, so the shared height in its
-    middle times its width is its area.  Edges outside of the common box are left out first.
-    """
-    one, two = polygons(rings), polygons(other)
-    if not one or not two:
-        return 0.0
-    origin = tuple(one[0][0][0])
-    sides = [_edges(s, origin)[1:] for s in (one, two)]
-    low = max(min(a[:, 0].min(), b[:, 0].min()) for a, b in sides)
-    high = min(max(a[:, 0].max(), b[:, 0].max()) for a, b in sides)
-    if low >= high:
-        return 0.0
-    near = [(a[k], b[k]) for a, b in sides for k in [(np.minimum(a[:, 0], b[:, 0]) < high) & (np.maximum(a[:, 0], b[:, 0]) > low)]]
-    (a, b), (c, d) = near
-    x = [low, high, *a[:, 0], *b[:, 0], *c[:, 0], *d[:, 0]]
-    for p, q in zip(a, b, strict=True):
-        close = (np.minimum(c[:, 1], d[:, 1]) <= max(p[1], q[1])) & (np.maximum(c[:, 1], d[:, 1]) >= min(p[1], q[1]))
-        t = _cuts(p, q, c[close], d[close])
-        x += (p[0] + t * (q[0] - p[0])).tolist()
-    x = np.unique(np.clip(x, low, high))
-    middle, width = (x[1:] + x[:-1]) / 2, np.diff(x)
-    area = 0.0
-    for w, ys, zs in zip(width, _spans(a, b, middle), _spans(c, d, middle), strict=True):
-        n, m = len(ys) // 2 * 2, len(zs) // 2 * 2
-        shared = np.minimum(ys[1:n:2, None], zs[1:m:2]) - np.maximum(ys[0:n:2, None], zs[0:m:2])
-        area += w * float(np.maximum(shared, 0).sum())
-    return area
-
-
-def polygon_distance(rings: list, other: list) -> float:
-    """Least distance of two polygons in metres; 0 if they meet or one holds the other."""
-    one, two = polygons(rings), polygons(other)
-    if not one or not two:
-        return math.inf
-    origin = tuple(one[0][0][0])
-    (p, a, b), (q, c, d) = _edges(one, origin), _edges(two, origin)
-    if contains(p, c[:1]).any() or contains(q, a[:1]).any():
-        return 0.0
-    for s, e in zip(a, b, strict=True):
-        near = (np.minimum(c, d) <= np.maximum(s, e)).all(1) & (np.maximum(c, d) >= np.minimum(s, e)).all(1)
-        if near.any() and len(_cuts(s, e, c[near], d[near])):
-            return 0.0
-    return min(_segment_distance(a, c, d), _segment_distance(c, a, b))
-
-
-def measures(rings: list, lines: list) -> tuple[float, float]:
-    """(metres of the lines inside the polygon, least distance of the lines from it; 0 if they meet)."""
-    shape = polygons(rings)
-    lines = [x for x in lines if len(x) >= 2]
-    if not shape or not lines:
-        return 0.0, math.inf
-    origin = tuple(shape[0][0][0])
-    parts, a, b = _edges(shape, origin)
-    low, high = np.minimum(a, b).min(0), np.maximum(a, b).max(0)
-    length, distance = 0.0, math.inf
-    for line in lines:
-        xy = _local(line, origin)
-        near = (np.minimum(xy[:-1], xy[1:]) <= high).all(1) & (np.maximum(xy[:-1], xy[1:]) >= low).all(1)  # others are outside
-        for p, q in zip(xy[:-1][near], xy[1:][near], strict=True):
-            t = np.unique(np.concatenate([[0.0, 1.0], _cuts(p, q, a, b)]))
-            middle = p + ((t[:-1] + t[1:]) / 2)[:, None] * (q - p)
-            # a piece between two crossings is inside if its middle is
-            length += float(((t[1:] - t[:-1]) * contains(parts, middle)).sum() * np.hypot(*(q - p)))
-            if len(t) > 2:
-                distance = 0.0
-        if distance and contains(parts, xy).any():
-            distance = 0.0
-        if distance:
-            distance = min(distance, _segment_distance(np.concatenate([a, b]), xy[:-1], xy[1:]), _segment_distance(xy, a, b))
-    return length, distance
-
-
-def clipped(ring: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
-    """A ring cut to a box, side by side."""
-    out = [tuple(p) for p in ring[:-1]] if len(ring) and tuple(ring[0]) == tuple(ring[-1]) else [tuple(p) for p in ring]
-    for axis, bound, sign in ((0, box[0], 1), (0, box[2], -1), (1, box[1], 1), (1, box[3], -1)):
-        kept = []
-        for p, q in zip(out, out[1:] + out[:1], strict=True):
-            fp, fq = sign * (p[axis] - bound), sign * (q[axis] - bound)
-            if fp >= 0:
-                kept.append(p)
-            if fp * fq < 0:
-                t = fp / (fp - fq)
-                kept.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
-        out = kept
-    return np.array(out + out[:1]) if out else np.empty((0, 2))
-
-
-def convex_overlap(ring: list, other: list) -> float:
-    """Square metres shared by a ring and a convex ring; 0 where either is no area."""
-    if len(ring) < 4 or len(other) < 4:
-        return 0.0
-    origin = tuple(other[0])
-    a, b = _local(ring, origin)[:-1], _local(other, origin)[:-1]
-    if np.sum(b[:, 0] * np.roll(b[:, 1], -1) - np.roll(b[:, 0], -1) * b[:, 1]) < 0:
-        b = b[::-1]
-    out = [tuple(p) for p in a]
-    for s, e in zip(b, np.roll(b, -1, axis=0), strict=True):
-        kept, side = [], lambda p: (e[0] - s[0]) * (p[1] - s[1]) - (e[1] - s[1]) * (p[0] - s[0])
-        for p, q in zip(out, out[1:] + out[:1], strict=True):
-            fp, fq = side(p), side(q)
-            if fp >= 0:
-                kept.append(p)
-            if fp * fq < 0:
-                t = fp / (fp - fq)
-                kept.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
-        out = kept
-        if not out:
-            return 0.0
-    p = np.array(out)
-    return abs(float(np.sum(p[:, 0] * np.roll(p[:, 1], -1) - np.roll(p[:, 0], -1) * p[:, 1]))) / 2
-
-
-def line_measures(pairs: DataFrame) -> DataFrame:
-    """pairs (left_id, right_id, rings, lines) to left_id, right_id, inside_m and distance_m (null beyond RADIUS_M)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            got = [measures([[p.tolist() if hasattr(p, "tolist") else p for p in r] for r in rings], [[p.tolist() if hasattr(p, "tolist") else p for p in x] for x in lines])
-                   for rings, lines in zip(b["rings"], b["lines"], strict=True)]
-            out = b[["left_id", "right_id"]].copy()
-            out["inside_m"] = [x for x, _ in got]
-            out["distance_m"] = [d if d <= RADIUS_M else None for _, d in got]
-            yield out
-
-    return pairs.select("left_id", "right_id", "rings", "lines").mapInPandas(run, "left_id long, right_id long, inside_m double, distance_m double")
-
-
-def area_measures(pairs: DataFrame) -> DataFrame:
-    """pairs (left_id, right_id, rings, other) to left_id, right_id, overlap_m2 and distance_m (null beyond RADIUS_M)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        plain = lambda rings: [[p.tolist() if hasattr(p, "tolist") else p for p in r] for r in rings]
-        for b in batches:
-            out = b[["left_id", "right_id"]].copy()
-            shapes = [(plain(x), plain(y)) for x, y in zip(b["rings"], b["other"], strict=True)]
-            out["overlap_m2"] = [overlap_area(x, y) for x, y in shapes]
-            out["distance_m"] = [d if (d := polygon_distance(x, y)) <= RADIUS_M else None for x, y in shapes]
-            yield out
-
-    return pairs.select("left_id", "right_id", "rings", "other").mapInPandas(run, "left_id long, right_id long, overlap_m2 double, distance_m double")
-
-
 # -- signals ---------------------------------------------------------------------------------------------------------
 
 def water_signal(measured: DataFrame, covered: DataFrame) -> DataFrame:
@@ -368,12 +158,13 @@ def water_signal(measured: DataFrame, covered: DataFrame) -> DataFrame:
 def flood_signal(zones: DataFrame, parcels: DataFrame) -> DataFrame:
     """parcels (left_id, area_m2, coverage) with the share in special hazard areas and the dominant zone (X if none).
 
-    Coverage that is unknown or absent is unknown; zones: left_id, zone, overlap_m2.
+    Coverage that is unknown or absent is unknown; zones: left_id, ordinal, zone, overlap_m2.  Of zones that cover equally
+    much, to a square millimetre, the first is dominant.
     """
     from landrank.functions.measured import js_round
     from landrank.functions.text import sfha
 
-    g = zones.groupBy("left_id").agg(F.sum(F.when(sfha(F.col("zone")), F.col("overlap_m2"))).alias("sfha_m2"), F.max_by("zone", "overlap_m2").alias("dominant"))
+    g = zones.groupBy("left_id").agg(F.sum(F.when(sfha(F.col("zone")), F.col("overlap_m2"))).alias("sfha_m2"), F.max_by("zone", F.struct(F.round("overlap_m2", 6), -F.col("ordinal"))).alias("dominant"))
     out = parcels.join(g, "left_id", "left")
     ok = F.col("coverage") == "present"
     return out.select("left_id", F.when(ok, F.coalesce("dominant", F.lit("X"))).alias("zone"), F.when(ok, js_round(F.least(F.lit(100.0), F.coalesce(F.try_divide(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from landrank.functions.measured import js_round
 from landrank.operators import geometry as G
+from landrank.operators import shapes as S
 from landrank.plans.ranking import table
+from landrank.session import checkpointed
 
 
 def _corner(k: Column) -> tuple[Column, Column]:
@@ -42,29 +44,27 @@ def geo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.candidates(_parcels(spark, sf_dir).select("id", "box"), _features(spark, sf_dir).select("id", "box"))
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _measured(spark: SparkSession, sf_dir: str, lines: bool = True, areas: bool = True) -> DataFrame:
     p, f = _parcels(spark, sf_dir), _features(spark, sf_dir)
-    pairs = geo_candidates(spark, sf_dir)
-    pairs = pairs.join(p.select(F.col("id").alias("left_id"), "rings"), "left_id")
-    return pairs.join(f.select(F.col("id").alias("right_id"), "lines", F.col("zone_rings").alias("other"), "zone"), "right_id")
+    parcels, features = p.select("id", "box", *S.shape(F.col("rings"))), f.select("id", "box", *S.shape(F.col("zone_rings"), F.col("lines")))
+    known = checkpointed(S.tiles(parcels))
+    return S.measured(parcels, S.normalised(features, known), known, lines, areas)
 
 
 def geo_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metres of lines inside each parcel, and the least distance of one."""
-    m = G.line_measures(_pairs(spark, sf_dir))
-    return m.groupBy("left_id").agg(js_round(F.sum("inside_m"), 1).alias("inside_m"), js_round(F.min("distance_m"), 1).alias("distance_m"), F.count("distance_m").alias("n_near"))
+    m = _measured(spark, sf_dir, areas=False)
+    return m.groupBy("left_id").agg(js_round(F.sum("inside_m"), 1).alias("inside_m"), js_round(F.min("line_m"), 1).alias("distance_m"), F.count("line_m").alias("n_near"))
 
 
 def geo_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines as streams (every third a canal), zones as ponds and rivers: frontage by regime, distances, names."""
-    pairs = _pairs(spark, sf_dir)
-    k = F.col("right_id")
-    streams = G.line_measures(pairs).select("left_id", "right_id", F.lit("flowline").alias("kind"), F.when(k % 3 == 0, 336).otherwise(460).alias("ftype"),
-                                            F.when(k % 2 == 0, "perennial").otherwise("intermittent").alias("regime"), F.lit(False).alias("perennial"), F.concat(F.lit("stream "), k).alias("name"), "inside_m",
-                                            F.lit(None).cast("double").alias("overlap_m2"), "distance_m")
-    bodies = G.area_measures(pairs).select("left_id", "right_id", F.when(k % 2 == 0, "waterbody").otherwise("area").alias("kind"), F.when(k % 3 == 0, 336).otherwise(460).alias("ftype"),
-                                           F.lit(None).cast("string").alias("regime"), (k % 4 == 0).alias("perennial"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("double").alias("inside_m"),
-                                           "overlap_m2", "distance_m")
+    m, k = checkpointed(_measured(spark, sf_dir)), F.col("right_id")
+    none = lambda kind: F.lit(None).cast(kind)
+    streams = m.select("left_id", "right_id", F.lit("flowline").alias("kind"), F.when(k % 3 == 0, 336).otherwise(460).alias("ftype"), F.when(k % 2 == 0, "perennial").otherwise("intermittent").alias("regime"),
+                       F.lit(False).alias("perennial"), F.concat(F.lit("stream "), k).alias("name"), "inside_m", none("double").alias("overlap_m2"), F.col("line_m").alias("distance_m"))
+    bodies = m.select("left_id", "right_id", F.when(k % 2 == 0, "waterbody").otherwise("area").alias("kind"), F.when(k % 3 == 0, 336).otherwise(460).alias("ftype"), none("string").alias("regime"),
+                      (k % 4 == 0).alias("perennial"), none("string").alias("name"), none("double").alias("inside_m"), "overlap_m2", F.col("area_m").alias("distance_m"))
     covered = _parcels(spark, sf_dir).select(F.col("id").alias("left_id"), (F.col("id") % 10 != 0).alias("has_coverage"))
     w = G.water_signal(streams.unionByName(bodies), covered)
     return w.select("left_id", "frontage_m", "frontage_perennial_m", "frontage_intermittent_m", "flowline_m", "waterbody_m", "overlap_m2", "has_pond", "has_river",
@@ -73,7 +73,8 @@ def geo_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_flood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones over parcels: the share of hazard areas and the zone that covers most."""
-    a = G.area_measures(_pairs(spark, sf_dir)).join(_features(spark, sf_dir).select(F.col("id").alias("right_id"), "zone"), "right_id").filter("overlap_m2 > 0")
+    zones = _features(spark, sf_dir).select(F.col("id").alias("right_id"), F.col("id").alias("ordinal"), "zone")
+    a = _measured(spark, sf_dir, lines=False).join(zones, "right_id").filter("overlap_m2 > 0")
     k = F.lit(3.141592653589793 / 180 * G.EARTH_M)
     p = _parcels(spark, sf_dir).select(F.col("id").alias("left_id"), (F.pow(F.col("side") * k, 2) * F.cos(F.radians("box.miny"))).alias("area_m2"),
                                        F.when(F.col("id") % 9 == 0, "absent").when(F.col("id") % 9 == 1, F.lit(None).cast("string")).otherwise("present").alias("coverage"))
@@ -82,7 +83,7 @@ def geo_flood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels without a line within 500 m are landlocked; where the source was not healthy nothing is known."""
-    near = G.line_measures(_pairs(spark, sf_dir)).groupBy("left_id").agg(F.min("distance_m").alias("d"))
+    near = _measured(spark, sf_dir, areas=False).groupBy("left_id").agg(F.min("line_m").alias("d"))
     p = _parcels(spark, sf_dir).select(F.col("id").alias("left_id")).join(near, "left_id", "left")
     return p.select("left_id", G.road_signal(F.col("d"), F.col("left_id") % 11 != 0).alias("r")).select("left_id", js_round(F.col("r.road_m"), 1).alias("road_m"), "r.landlocked", "r.unknown_reason")
 

