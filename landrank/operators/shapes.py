@@ -94,76 +94,182 @@ def clipped_line(line: np.ndarray, box: tuple) -> list[np.ndarray]:
 
 
 # -- measures in a cell ----------------------------------------------------------------------------------------------
+#
+# All pairs of a cell are measured together: arrays have a row for each edge of a left and each edge of a right that a pair
+# brings together, and sums, minima and parities are taken by pair.
 
-def inside(points: np.ndarray, a: np.ndarray, b: np.ndarray, owner: np.ndarray | None = None, n: int = 1) -> np.ndarray:
-    """Whether points lie in polygons by the even-odd rule: points x n, edges a-b being those of their owner in turn."""
-    x, y = points[:, :1], points[:, 1:]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        hit = ((a[:, 1] > y) != (b[:, 1] > y)) & (x < a[:, 0] + (y - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1]))
-    if owner is None:
-        return (hit.sum(1) % 2 == 1)[:, None]
-    out = np.zeros((len(points), n), np.int64)
-    for i in range(len(points)):
-        out[i] = np.bincount(owner[hit[i]], minlength=n)
-    return out % 2 == 1
+def products(n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each k all combinations of 0..n[k]-1 and 0..m[k]-1: k, the first, the second."""
+    count = n * m
+    k = np.repeat(np.arange(len(n)), count)
+    at = np.arange(len(k)) - np.repeat(np.cumsum(count) - count, count)
+    return k, at // m[k], at % m[k]
+
+
+def cross(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
 
 
 def crossings(p: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For segments p-q (rows) and edges a-b (columns): where on the segment they meet, and whether they do."""
-    d, e = (q - p)[:, None], (b - a)[None]
-    g = a[None] - p[:, None]
-    den = d[..., 0] * e[..., 1] - d[..., 1] * e[..., 0]
+    """Row by row: where on p-q it meets a-b, and whether it does."""
+    d, e, g = q - p, b - a, a - p
+    den = cross(d, e)
     with np.errstate(divide="ignore", invalid="ignore"):
-        t, u = (g[..., 0] * e[..., 1] - g[..., 1] * e[..., 0]) / den, (g[..., 0] * d[..., 1] - g[..., 1] * d[..., 0]) / den
+        t, u = cross(g, e) / den, cross(g, d) / den
     return t, (den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
 
 
-def gaps(points: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances of points (rows) from segments a-b (columns)."""
-    d = b - a
-    n = np.maximum((d * d).sum(1), 1e-18)
-    t = np.clip(((points[:, None] - a) * d).sum(2) / n, 0, 1)
-    return np.sqrt((((a + t[..., None] * d) - points[:, None]) ** 2).sum(2))
+def below(point: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row whether a ray from the point to the right meets the edge a-b: an odd number of them means inside."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return ((a[:, 1] > point[:, 1]) != (b[:, 1] > point[:, 1])) & (point[:, 0] < a[:, 0] + (point[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1]))
 
 
-def least_by(owner: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
-    out = np.full(n, np.inf)
-    np.minimum.at(out, owner, values)
-    return out
+def odd(group: np.ndarray, n: int, hit: np.ndarray) -> np.ndarray:
+    return np.bincount(group[hit], minlength=n) % 2 == 1
 
 
-def heights(a: np.ndarray, b: np.ndarray, x: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray]:
-    """At each x where the polygon of edges a-b begins and ends, between low and high; what is missing has no height."""
-    left, right = np.minimum(a[:, 0], b[:, 0]), np.maximum(a[:, 0], b[:, 0])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        y = a[:, 1] + (x[:, None] - a[:, 0]) * (b[:, 1] - a[:, 1]) / (b[:, 0] - a[:, 0])
-    y = np.where((left <= x[:, None]) & (x[:, None] < right), y, np.inf)
-    y.sort(axis=1)
-    y = y[:, :max(2, int(np.isfinite(y).sum(1).max(initial=0) + 1) // 2 * 2)]
-    if y.shape[1] % 2:
-        y = np.concatenate([y, np.full((len(y), 1), np.inf)], axis=1)
-    y = np.clip(y, low, high)
-    return y[:, ::2], y[:, 1::2]
-
-
-def overlap(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, box: tuple) -> float:
-    """The area that two polygons (edges a-b, c-d) share in a box: strips between all corners and crossings."""
-    low = max(box[0], min(a[:, 0].min(), b[:, 0].min()), min(c[:, 0].min(), d[:, 0].min()))
-    high = min(box[2], max(a[:, 0].max(), b[:, 0].max()), max(c[:, 0].max(), d[:, 0].max()))
-    if low >= high:
-        return 0.0
-    t, meet = crossings(a, b, c, d)
-    on = np.nonzero(meet)[0]
-    x = [a[:, 0], c[:, 0], a[on, 0] + t[meet] * (b[on, 0] - a[on, 0]), np.array([low, high])]
-    for p, q in ((a, b), (c, d)):
-        for y in (box[1], box[3]):
-            on = (p[:, 1] < y) & (q[:, 1] > y) | (p[:, 1] > y) & (q[:, 1] < y)
-            x.append(p[on, 0] + (y - p[on, 1]) / (q[on, 1] - p[on, 1]) * (q[on, 0] - p[on, 0]))
-    x = np.unique(np.clip(np.concatenate(x), low, high))
-    middle, width = (x[1:] + x[:-1]) / 2, np.diff(x)
-    (a0, a1), (c0, c1) = heights(a, b, middle, box[1], box[3]), heights(c, d, middle, box[1], box[3])
-    shared = np.minimum(a1[:, :, None], c1[:, None]) - np.maximum(a0[:, :, None], c0[:, None])
-    return float((np.maximum(shared, 0).sum((1, 2)) * width).sum())
+def gap(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row the distance of a point from the segment a-b."""
+    d = b - a
+    t = np.clip(((p - a) * d).sum(1) / np.maximum((d * d).sum(1), 1e-18), 0, 1)
+    return np.hypot(*(a + t[:, None] * d - p).T)
+
+
+class Meeting:
+    """Pairs (i, j) of lefts and rights, brought together edge by edge, in degrees (dp...) and in metres from the left's origin."""
+
+    def __init__(self, left: Pieces, i: np.ndarray, j: np.ndarray, right: tuple):
+        self.n = len(i)
+        a, b, real, starts = left.a, left.b, left.real, left.starts
+        p, q, solid, firsts = right
+        self.ne, self.ns = starts[i + 1] - starts[i], firsts[j + 1] - firsts[j]
+        self.origin = left.origin[i]
+        self.scale = METRES * np.stack([np.cos(np.radians(self.origin[:, 1])), np.ones(self.n)], axis=1)
+        self.pair, e, s = products(self.ne, self.ns)
+        #: numbers of a pair's left edges and right edges
+        self.e0, self.s0 = np.cumsum(self.ne) - self.ne, np.cumsum(self.ns) - self.ns
+        self.e, self.s = self.e0[self.pair] + e, self.s0[self.pair] + s
+        at, to = starts[i][self.pair] + e, firsts[j][self.pair] + s
+        self.ea, self.eb, self.real = a[at], b[at], real[at]
+        self.sp, self.sq, self.solid = p[to], q[to], solid[to]
+        self.a, self.b, self.p, self.q = (self.local(v, self.pair) for v in (self.ea, self.eb, self.sp, self.sq))
+        self.t, self.meet = crossings(self.p, self.q, self.a, self.b)
+        # an edge a row: of the pair's left, of the pair's right
+        k, own = self.rows(self.ne)
+        self.left_pair, self.left_a, self.left_b = k, a[starts[i][k] + own], b[starts[i][k] + own]
+        k, own = self.rows(self.ns)
+        self.right_pair, self.right_p, self.right_q = k, p[firsts[j][k] + own], q[firsts[j][k] + own]
+
+    @staticmethod
+    def rows(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = np.repeat(np.arange(len(n)), n)
+        return k, np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n)
+
+    def local(self, v: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        return (v - self.origin[pair]) * self.scale[pair]
+
+    def distances(self) -> np.ndarray:
+        """Least distance of edges that are the shapes' own, 0 where they meet; inf where either has none here."""
+        out, own = np.full(self.n, np.inf), self.real & self.solid
+        a, b, p, q = self.a[own], self.b[own], self.p[own], self.q[own]
+        np.minimum.at(out, self.pair[own], np.minimum(np.minimum(gap(p, a, b), gap(q, a, b)), np.minimum(gap(a, p, q), gap(b, p, q))))
+        out[self.pair[own & self.meet]] = 0.0
+        return out
+
+    def in_left(self, points: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        """Whether points (in degrees, each of a pair) lie in the pair's left."""
+        k, _, e = products(np.ones(len(pair), np.int64), self.ne[pair])
+        e = self.e0[pair][k] + e
+        return odd(k, len(pair), below(points[k], self.left_a[e], self.left_b[e]))
+
+    def lengths(self, cell: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Metres of the rights' segments in the cell that lie in the left, and which pairs have any part inside."""
+        n, every = len(self.right_pair), np.arange(len(self.right_pair))
+        p, q = self.right_p, self.right_q
+        seg, t = [every, every, self.s[self.meet]], [np.zeros(n), np.ones(n), self.t[self.meet]]
+        for axis, bound in ((0, cell[0]), (0, cell[2]), (1, cell[1]), (1, cell[3])):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = (bound - p[:, axis]) / (q[:, axis] - p[:, axis])
+            on = np.flatnonzero((at > 0) & (at < 1))
+            seg.append(on)
+            t.append(at[on])
+        seg, t = np.concatenate(seg), np.concatenate(t)
+        order = np.lexsort((t, seg))
+        seg, t = seg[order], t[order]
+        part = (seg[1:] == seg[:-1]) & (t[1:] > t[:-1])
+        seg, low, high = seg[:-1][part], t[:-1][part], t[1:][part]
+        middle, pair = p[seg] + ((low + high) / 2)[:, None] * (q[seg] - p[seg]), self.right_pair[seg]
+        held = self.in_left(middle, pair)
+        here = held & (middle >= [cell[0], cell[1]]).all(1) & (middle < [cell[2], cell[3]]).all(1)
+        size = (high - low) * np.hypot(*(self.local(q[seg], pair) - self.local(p[seg], pair)).T)
+        return np.bincount(pair, size * here, self.n), np.bincount(pair[held], minlength=self.n) > 0
+
+    def contained(self, cell: tuple) -> np.ndarray:
+        """Whether a point of one area is in the other, for areas whose edges do not meet.
+
+        Points of the shapes' own edges are tried, as others can lie in a hole; where a left has none, the middle of the cell.
+        """
+        out = np.zeros(self.n, bool)
+        for points in (self.sp, self.sq, (self.sp + self.sq) / 2):
+            inside = odd(self.s, len(self.right_pair), below(points, self.ea, self.eb) & self.solid)
+            out[self.right_pair[inside]] = True
+        for points in (self.ea, self.eb, (self.ea + self.eb) / 2):
+            inside = odd(self.e, len(self.left_pair), below(points, self.sp, self.sq) & self.real)
+            out[self.left_pair[inside]] = True
+        bare = np.flatnonzero(np.bincount(self.pair, self.real, self.n) == 0)
+        if len(bare):
+            middle = np.tile([(cell[0] + cell[2]) / 2, (cell[1] + cell[3]) / 2], (len(bare), 1))
+            k, _, s = products(np.ones(len(bare), np.int64), self.ns[bare])
+            s = self.s0[bare][k] + s
+            both = self.in_left(middle, bare) & odd(k, len(bare), below(middle[k], self.right_p[s], self.right_q[s]))
+            out[bare[both]] = True
+        return out
+
+    def overlaps(self, cell: tuple) -> np.ndarray:
+        """Square metres that two areas share in the cell.
+
+        The plane is cut into strips at all corners and crossings; in the middle of a strip heights are sorted, and what
+        lies between two of them is shared where both areas have been entered an odd number of times.
+        """
+        (lp, la, lb), (rp, ra, rb) = (self.left_pair, self.left_a, self.left_b), (self.right_pair, self.right_p, self.right_q)
+        low, high = np.full(self.n, cell[0]), np.full(self.n, cell[2])
+        for pair, a, b in ((lp, la, lb), (rp, ra, rb)):
+            least, most = np.full(self.n, np.inf), np.full(self.n, -np.inf)
+            np.minimum.at(least, pair, np.minimum(a[:, 0], b[:, 0]))
+            np.maximum.at(most, pair, np.maximum(a[:, 0], b[:, 0]))
+            low, high = np.maximum(low, least), np.minimum(high, most)
+        m = self.meet
+        pair, x = [np.arange(self.n), np.arange(self.n), lp, rp, self.pair[m]], [low, high, la[:, 0], ra[:, 0], self.sp[m, 0] + self.t[m] * (self.sq[m, 0] - self.sp[m, 0])]
+        for k, a, b in ((lp, la, lb), (rp, ra, rb)):
+            for y in (cell[1], cell[3]):
+                on = (a[:, 1] < y) != (b[:, 1] < y)
+                pair.append(k[on])
+                x.append(a[on, 0] + (y - a[on, 1]) / (b[on, 1] - a[on, 1]) * (b[on, 0] - a[on, 0]))
+        pair, x = np.concatenate(pair), np.concatenate(x)
+        keep = (low < high)[pair]
+        pair, x = pair[keep], np.clip(x[keep], low[pair[keep]], high[pair[keep]])
+        order = np.lexsort((x, pair))
+        pair, x = pair[order], x[order]
+        part = (pair[1:] == pair[:-1]) & (x[1:] > x[:-1])
+        strip, middle, width = pair[:-1][part], ((x[1:] + x[:-1]) / 2)[part], (x[1:] - x[:-1])[part]
+        at, height, ours = [], [], []
+        for n, first, a, b, own in ((self.ne, self.e0, la, lb, 1), (self.ns, self.s0, ra, rb, 0)):
+            k, _, e = products(np.ones(len(strip), np.int64), n[strip])
+            e = first[strip][k] + e
+            on = (np.minimum(a[e, 0], b[e, 0]) <= middle[k]) & (middle[k] < np.maximum(a[e, 0], b[e, 0]))
+            k, e = k[on], e[on]
+            at.append(k)
+            height.append(np.clip(a[e, 1] + (middle[k] - a[e, 0]) * (b[e, 1] - a[e, 1]) / (b[e, 0] - a[e, 0]), cell[1], cell[3]))
+            ours.append(np.full(len(k), own))
+        at, height, ours = np.concatenate(at), np.concatenate(height), np.concatenate(ours)
+        order = np.lexsort((height, at))
+        at, height, ours = at[order], height[order], ours[order]
+        # edges close, so every strip is entered and left: counts before it are even
+        both = (np.cumsum(ours) % 2 == 1) & (np.cumsum(1 - ours) % 2 == 1)
+        shared = np.where(both[:-1] & (at[1:] == at[:-1]), np.diff(height), 0.0)
+        degrees = np.bincount(strip[at[:-1]], shared * width[at[:-1]], self.n) if len(at) > 1 else np.zeros(self.n)
+        return degrees * self.scale[:, 0] * self.scale[:, 1]
 
 
 class Pieces:
@@ -187,71 +293,45 @@ class Pieces:
         for axis, bound in ((0, cut[0]), (0, cut[2]), (1, cut[1]), (1, cut[3])):
             border |= (self.a[:, axis] == bound) & (self.b[:, axis] == bound)
         self.real = ~border  # other edges are of the shape itself
-
-
-def measured_cell(left: Pieces, right: Pieces, cell: tuple, lines: bool, areas: bool) -> list[tuple]:
-    """Rows of _MEASURE for all pairs whose boxes come within RADIUS_M.  Lefts are areas."""
-    rows, dy = [], RADIUS_M / DEGREE_M
-    starts = np.searchsorted(left.of, np.arange(len(left.id) + 1))
-    for i, (x0, y0, x1, y1) in enumerate(left.box):
-        dx = RADIUS_M / (DEGREE_M * max(0.1, math.cos(math.radians((y0 + y1) / 2))))
-        near = (x0 - dx <= right.box[:, 2]) & (right.box[:, 0] <= x1 + dx) & (y0 - dy <= right.box[:, 3]) & (right.box[:, 1] <= y1 + dy)
-        own = slice(starts[i], starts[i + 1])
-        if not near.any() or own.start == own.stop:
+        bounds = np.arange(len(self.id) + 1)
+        self.starts, self.line_starts = np.searchsorted(self.of, bounds), np.searchsorted(self.line_of, bounds)
+
+    def areas(self) -> tuple:
+        return self.a, self.b, self.real, self.starts
+
+    def lines(self) -> tuple:
+        return self.p, self.q, np.ones(len(self.p), bool), self.line_starts
+
+
+def measured_cell(left: Pieces, right: Pieces, cell: tuple, lines: bool, areas: bool, most: int = 1 << 20) -> Iterator[list]:
+    """Columns of _MEASURE for all pairs whose boxes come within RADIUS_M, pairs of about `most` edges at a time.  Lefts are areas."""
+    x0, y0, x1, y1 = (left.box[:, k, None] for k in range(4))
+    u0, v0, u1, v1 = right.box.T
+    dy = RADIUS_M / DEGREE_M
+    dx = RADIUS_M / (DEGREE_M * np.maximum(0.1, np.cos(np.radians((y0 + y1) / 2))))
+    sizes, others = np.diff(left.starts), np.diff(right.starts) + np.diff(right.line_starts)
+    step = max(1, most // max(1, int(sizes.max(initial=1)) * int(others.sum())))
+    for k in range(0, len(left.id), step):
+        own = slice(k, k + step)
+        near = (x0[own] - dx[own] <= u1) & (u0 <= x1[own] + dx[own]) & (y0[own] - dy <= v1) & (v0 <= y1[own] + dy) & (sizes[own, None] > 0)
+        i, j = np.nonzero(near)
+        i += k
+        n = len(i)
+        if not n:
             continue
-        js = np.flatnonzero(near)
-        n, number, origin = len(js), np.cumsum(near) - 1, left.origin[i]
-        scale = np.array([METRES * math.cos(math.radians(origin[1])), METRES])
-        local = lambda v: (v - origin) * scale  # noqa: B023, E731
-        a, b, real = local(left.a[own]), local(left.b[own]), left.real[own]
-        ra, rb = a[real], b[real]
         length, line_m, area, area_m = np.zeros(n), np.full(n, np.inf), np.zeros(n), np.full(n, np.inf)
-        if lines and (mask := near[right.line_of]).any():
-            dp, dq, of = right.p[mask], right.q[mask], number[right.line_of[mask]]
-            p, q = local(dp), local(dq)
-            t, meet = crossings(p, q, a, b)
-            at = [(np.repeat(np.arange(len(p)), 2), np.tile([0.0, 1.0], len(p))), (np.nonzero(meet)[0], t[meet])]
-            for axis, bound in ((0, cell[0]), (0, cell[2]), (1, cell[1]), (1, cell[3])):
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    s = (bound - dp[:, axis]) / (dq[:, axis] - dp[:, axis])
-                on = np.flatnonzero((s > 0) & (s < 1))
-                at.append((on, s[on]))
-            seg, s = np.concatenate([x for x, _ in at]), np.concatenate([x for _, x in at])
-            order = np.lexsort((s, seg))
-            seg, s = seg[order], s[order]
-            same = (seg[1:] == seg[:-1]) & (s[1:] > s[:-1])
-            seg, low, high = seg[:-1][same], s[:-1][same], s[1:][same]
-            middle = dp[seg] + ((low + high) / 2)[:, None] * (dq[seg] - dp[seg])
-            here = (middle >= [cell[0], cell[1]]).all(1) & (middle < [cell[2], cell[3]]).all(1)
-            held = inside(local(middle), a, b)[:, 0]
-            length = np.bincount(of[seg], ((high - low) * np.hypot(*(q - p)[seg].T)) * (here & held), n)
-            if len(ra):
-                line_m = np.minimum(least_by(of, n, np.minimum(gaps(p, ra, rb).min(1), gaps(q, ra, rb).min(1))), least_by(of, n, np.minimum(gaps(ra, p, q), gaps(rb, p, q)).min(0)))
-            touch = meet[:, real].any(1) | inside(p, a, b)[:, 0] | inside(q, a, b)[:, 0]
-            line_m[of[touch]] = line_m[of[seg[held]]] = 0.0
-        if areas and (mask := near[right.of]).any():
-            dc, dd, of, solid = right.a[mask], right.b[mask], number[right.of[mask]], right.real[mask]
-            c, d = local(dc), local(dd)
-            sc, sd = c[solid], d[solid]
-            if len(ra) and len(sc):
-                area_m = np.minimum(least_by(of[solid], n, np.minimum(gaps(sc, ra, rb).min(1), gaps(sd, ra, rb).min(1))), least_by(of[solid], n, np.minimum(gaps(ra, sc, sd), gaps(rb, sc, sd)).min(0)))
-                area_m[of[solid][crossings(sc, sd, ra, rb)[1].any(1)]] = 0.0
-            # ends of other edges can lie in a hole; where neither has an edge of its own here, one point tells
-            for part in (sc, (sc + sd) / 2):
-                area_m[of[solid][inside(part, a, b)[:, 0]]] = 0.0
-            some = np.concatenate([ra, (ra + rb) / 2, *([] if len(ra) else [local(np.array([[(cell[0] + cell[2]) / 2, (cell[1] + cell[3]) / 2]]))])])
-            if len(ra) or inside(some, a, b)[0, 0]:
-                area_m[inside(some, c, d, of, n).any(0)] = 0.0
-            first = np.searchsorted(of, np.arange(n + 1))
-            ea, eb = left.a[own], left.b[own]
-            low, high = np.maximum(np.minimum(ea, eb).min(0), cell[:2]), np.minimum(np.maximum(ea, eb).max(0), cell[2:])
-            for m in range(n):
-                e = slice(first[m], first[m + 1])
-                if e.start < e.stop and (np.maximum(dc[e].min(0), low) < np.minimum(dc[e].max(0), high)).all():
-                    area[m] = overlap(ea, eb, dc[e], dd[e], cell) * scale[0] * scale[1]
-        limit = lambda v: [float(x) if x <= RADIUS_M else None for x in v]
-        rows += zip([left.id[i]] * n, right.id[js], length.tolist(), limit(line_m), area.tolist(), limit(area_m), strict=True)
-    return rows
+        if lines:
+            m = Meeting(left, i, j, right.lines())
+            line_m = m.distances()
+            length, within = m.lengths(cell)
+            line_m[within] = 0.0
+        if areas:
+            m = Meeting(left, i, j, right.areas())
+            area_m = m.distances()
+            area_m[m.contained(cell)] = 0.0
+            area = m.overlaps(cell)
+        limit = lambda v: pa.array(v, mask=v > RADIUS_M)
+        yield [pa.array(left.id[i]), pa.array(right.id[j]), pa.array(length), limit(line_m), pa.array(area), limit(area_m)]
 
 
 # -- over Spark ------------------------------------------------------------------------------------------------------
@@ -397,15 +477,15 @@ def measured(parcels: DataFrame, pieces: DataFrame, known: DataFrame, lines: boo
     left, right = dealt(lefts, pieces, chunk)
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        rows: list[tuple] = []
+        found = []
         if a.num_rows and b.num_rows:
             step = TILE / (1 << a["k"][0].as_py())
             cx, cy = a["cx"][0].as_py(), a["cy"][0].as_py()
             cell = (cx * step, cy * step, (cx + 1) * step, (cy + 1) * step)
             limit = skirt(*cell)
-            rows = measured_cell(Pieces(a, limit), Pieces(b, limit), cell, lines, areas)
-        types = [pa.int64(), pa.int64(), *[pa.float64()] * 4]
-        return pa.table([pa.array(list(v), t) for v, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, types, strict=True)], [c.split()[0] for c in _MEASURE.split(", ")])
+            found = list(measured_cell(Pieces(a, limit), Pieces(b, limit), cell, lines, areas))
+        schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.float64()) for c in _MEASURE.split(", ")])
+        return pa.Table.from_batches([pa.record_batch(c, schema=schema) for c in found], schema)
 
     keys = [*CELL, "l", "r"]
     each = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, _MEASURE)
