@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from landrank.plans import feeds, files, places, ranking, staging
+from landrank.plans import feeds, files, landed, places, ranking, staging
 from tests.oracle import SF, answer, assert_same
 
-QUERIES, SQL = ranking.QUERIES | feeds.QUERIES | files.QUERIES | places.QUERIES | staging.QUERIES, ranking.SQL | feeds.SQL | files.SQL | places.SQL | staging.SQL
+QUERIES, SQL = ranking.QUERIES | feeds.QUERIES | files.QUERIES | landed.QUERIES | places.QUERIES | staging.QUERIES, ranking.SQL | feeds.SQL | files.SQL | landed.SQL | places.SQL | staging.SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
