@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from landrank.functions import dates as Y
 from landrank.functions.measured import js_round
 from landrank.operators import corpus, delta, publish, quality, search
+from landrank.operators.quality import GateError
 from landrank.plans.feeds import _points
 from landrank.plans.ranking import table
 from landrank.session import shared_folder
-from landrank.sources import readers, writers
+from landrank.sources import buckets, readers, writers
 
 TODAY = "2024-03-15"
 
@@ -99,6 +100,30 @@ def pointer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(writers.read_pointer(spark, path)["current"]).groupBy("user_id").agg(F.max("event_id").alias("event_id"))
 
 
+def bucket_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in buckets by customer; orders of few customers get a new price, and new rows come in: the table afterwards."""
+    o, path = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", F.lit(1).alias("seen")), shared_folder(spark)
+    buckets.merge(o.filter("o_orderkey % 100 <> 7"), path, "v1", ["o_custkey", "o_orderkey"], "seen", by=["o_custkey"])
+    changed = o.filter("o_custkey between 10 and 19 or o_orderkey % 100 = 7 and o_custkey < 20").withColumns({"o_totalprice": F.col("o_totalprice") + 1, "seen": F.lit(2)})
+    buckets.merge(changed, path, "v2", ["o_custkey", "o_orderkey"], "seen")
+    return buckets.read(spark, path)
+
+
+def gated_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers behind gates that are measured as rows are written: the values of a write that passed, and that one that did not left no trace."""
+    c, path = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", F.lit(1).alias("seen")), shared_folder(spark)
+    gates = {"rows": (F.count(F.lit(1)), lambda n: n > 0), "negative": (F.count_if(F.col("c_acctbal") < 0), lambda n: n >= 0), "nameless": (F.count_if(F.col("c_custkey").isNull()), lambda n: n == 0),
+             "greatest": (F.max("c_acctbal"), lambda x: x < 1e6)}
+    good = buckets.merge(c, path, "v1", ["c_custkey"], "seen", gates=gates, buckets=8)
+    try:
+        buckets.merge(c.withColumns({"c_acctbal": F.lit(1e7), "seen": F.lit(2)}), path, "v2", ["c_custkey"], "seen", gates=gates)
+    except GateError as e:
+        failed = str(e).split(" ")[0]
+    now = buckets.read(spark, path).agg(F.lit("now").alias("gate"), F.max("c_acctbal").alias("value"), F.lit(failed).alias("failed"))
+    rows = [(name, float(value), None) for name, value in good["values"].items()]
+    return spark.createDataFrame(rows, "gate string, value double, failed string").unionByName(now)
+
+
 def ledger_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations' claimed customers, some wrong, set right by a count."""
     n = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("fips")).agg(F.count(F.lit(1)).alias("rows"))
@@ -229,6 +254,10 @@ SELECT s_suppkey, a || '-11-' || b AS pin, 1000.0 + s_suppkey % 1000 AS assessed
     "log_appends": """SELECT CASE o_orderstatus WHEN 'P' THEN '2024-02' ELSE '2024-01' END AS month, CASE o_orderstatus WHEN 'F' THEN '2024-01-02' WHEN 'O' THEN '2024-01-09' ELSE '2024-02-01' END AS run_id, o_orderstatus,
 count(*) AS n, max(o_orderkey) AS last FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 3""",
     "pointer_versions": "SELECT user_id, coalesce(max(event_id) FILTER (event_type <> 'view'), max(event_id)) AS event_id FROM events GROUP BY 1",
+    "bucket_merge": """WITH c AS (SELECT *, o_custkey BETWEEN 10 AND 19 OR o_orderkey % 100 = 7 AND o_custkey < 20 AS changed FROM orders)
+SELECT o_custkey, o_orderkey, CASE WHEN changed THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CASE WHEN changed THEN 2 ELSE 1 END AS seen FROM c WHERE changed OR o_orderkey % 100 <> 7""",
+    "gated_merge": """SELECT unnest(['rows', 'negative', 'nameless', 'greatest', 'now']) AS gate, unnest([count(*)::DOUBLE, (count(*) FILTER (c_acctbal < 0))::DOUBLE, 0.0::DOUBLE, max(c_acctbal), max(c_acctbal)]) AS value,
+unnest([NULL, NULL, NULL, NULL, 'greatest']) AS failed FROM customer""",
     "ledger_repair": "SELECT c_nationkey AS fips, count(*) AS rows, CASE WHEN c_nationkey % 3 = 1 THEN 7 END AS inserted, c_nationkey % 3 = 1 AS was_right FROM customer GROUP BY 1",
     "mirror_actions": """SELECT CASE WHEN p_brand = 'Brand#11' THEN 'remove' WHEN p_brand = 'Brand#12' OR p_size % 5 = 0 THEN 'copy' ELSE 'keep' END AS action, count(*) AS n,
 sum(CASE WHEN p_brand = 'Brand#11' THEN 0 ELSE length(p_name) END)::BIGINT AS bytes FROM part GROUP BY 1""",
@@ -252,5 +281,5 @@ CASE WHEN c_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN 'market' ELSE 'prospe
 }
 
 QUERIES = {f.__name__: f for f in (
-    reader_pages, reader_rings, reader_csv, reader_manifests, reader_map, pin_table, elevations, log_appends, pointer_versions, ledger_repair, mirror_actions, registry_gate, payload_gate, half_measured,
+    reader_pages, reader_rings, reader_csv, reader_manifests, reader_map, pin_table, elevations, log_appends, pointer_versions, bucket_merge, gated_merge, ledger_repair, mirror_actions, registry_gate, payload_gate, half_measured,
     notice_gate, copy_texts, display_rank, recomputed, newest_versions, geo_sample, geo_points, published_tables, cached_or_landed, ingest_coverage, epoch_units)}
