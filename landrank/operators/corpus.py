@@ -9,6 +9,7 @@ from landrank.functions import text as X
 from landrank.functions.measured import clamp, js_round
 from landrank.operators import cohorts as C
 from landrank.operators import score
+from landrank.operators.delta import first_wins
 
 #: Acres of a candidate for enrichment, from and to.
 ACRES = (2.0, 200.0)
@@ -82,14 +83,15 @@ def matched_pins(pins: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFr
     return pins.join(rows, ["fips", "parno"]), pins.join(rows, ["fips", "parno"], "left_anti")
 
 
-def with_geometry(chosen: DataFrame, geometry: DataFrame) -> DataFrame:
-    """Candidates with the geometry of their parcel number in their county; those without are left out."""
-    return chosen.join(geometry.select("fips", "parno", "rings").dropDuplicates(["fips", "parno"]), ["fips", "parno"])
+def with_geometry(chosen: DataFrame, geometry: DataFrame, order: str) -> DataFrame:
+    """Candidates with the geometry of their parcel number in their county, the first by `order`; those without are left out."""
+    first = first_wins(geometry.select("fips", "parno", "rings", F.col(order).alias("__order")), ["fips", "parno"], ["__order"])
+    return chosen.join(first.drop("__order"), ["fips", "parno"])
 
 
 def sources_of(counties: DataFrame, seeds: DataFrame, registry: DataFrame) -> DataFrame:
-    """fips with its seed's source and what the registry says of it; null where either has none."""
-    s = seeds.select("fips", F.col("parcel_source").alias("source_id")).dropDuplicates(["fips"])
+    """fips with its seed's source (of several the least) and what the registry says of it; null where either has none."""
+    s = seeds.groupBy("fips").agg(F.min("parcel_source").alias("source_id"))
     return counties.join(s, "fips", "left").join(registry, "source_id", "left")
 
 

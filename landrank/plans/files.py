@@ -174,7 +174,7 @@ def copy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (k % len(values) + 1).cast("int"))
     names = F.array_repeat(F.lit("Creek"), (k % 3).cast("int"))
-    return table(spark, sf_dir, "customer").select("c_custkey", search.label(pick(("market", "rich", "odd"))).alias("label"), F.length(publish.empty_copy(pick(("thin", "notices-only", "rich")), pick(("market", "prospect")), k % 5 == 0)).alias("n"),
+    return table(spark, sf_dir, "customer").select("c_custkey", search.label(pick(("market", "rich", "odd"))).alias("label"), publish.empty_copy(pick(("thin", "notices-only", "rich")), pick(("market", "prospect")), k % 5 == 0).alias("said"),
                                                    publish.water_label(names, F.when(k % 4 != 0, k % 2 == 0)).alias("water"), search.lane(F.when(k % 2 == 0, F.col("c_acctbal"))).alias("lane"))
 
 
@@ -269,9 +269,9 @@ SELECT * FROM p WHERE needle IS NOT NULL""",
     "half_measured": """WITH o AS (SELECT o_orderkey AS k, o_orderkey % 3 <> 0 AND o_totalprice IS NOT NULL AS v, (o_orderkey % 3 = 0 OR o_orderkey % 50 = 1) AND o_orderkey % 99 <> 0 AS r FROM orders) SELECT k AS o_orderkey FROM o WHERE v = r""",
     "notice_gate": """WITH s AS (SELECT s_suppkey, concat_ws(',', CASE WHEN s_suppkey % 5 = 0 THEN 'state' END, CASE WHEN s_suppkey % 3 = 0 THEN 'fips' END, CASE WHEN s_suppkey % 4 <> 0 AND s_acctbal < 0 THEN 'bid' END,
 CASE WHEN s_suppkey % 7 = 0 THEN 'url' END) AS broken FROM supplier) SELECT * FROM s WHERE broken <> ''""",
-    "copy_texts": """SELECT c_custkey, ['For sale', 'Full coverage', 'odd'][c_custkey % 3 + 1] AS label, length(CASE WHEN c_custkey % 5 = 0 THEN 'No row matches these filters; some may be left out because they are unknown.'
+    "copy_texts": """SELECT c_custkey, ['For sale', 'Full coverage', 'odd'][c_custkey % 3 + 1] AS label, CASE WHEN c_custkey % 5 = 0 THEN 'No row matches these filters; some may be left out because they are unknown.'
 WHEN c_custkey % 3 = 1 THEN 'Only public notices are collected here, and none is live.' WHEN c_custkey % 3 = 0 THEN 'Little is collected here; an empty page says little.' WHEN c_custkey % 2 = 0 THEN 'No priced row is known here.'
-ELSE 'Rows are collected here, and none is published.' END)::INT AS n, CASE c_custkey % 3 WHEN 1 THEN 'Creek' WHEN 2 THEN 'Creek, Creek' ELSE CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'unnamed water' ELSE 'no water found' END END AS water,
+ELSE 'Rows are collected here, and none is published.' END AS said, CASE c_custkey % 3 WHEN 1 THEN 'Creek' WHEN 2 THEN 'Creek, Creek' ELSE CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'unnamed water' ELSE 'no water found' END END AS water,
 CASE WHEN c_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN 'market' ELSE 'prospect' END AS lane FROM customer""",
     "display_rank": """SELECT c_custkey AS record_id, CASE WHEN c_acctbal > 0 THEN (floor(c_acctbal)::BIGINT % 1000)::DOUBLE END AS cheapness FROM customer ORDER BY coalesce(cheapness, -1) DESC, c_custkey LIMIT 100""",
     "recomputed": "SELECT count(*) FILTER (o_orderkey % 3 = 0) AS up, count(*) FILTER (o_orderkey % 3 = 1) AS down, count(*) FILTER (o_orderkey % 3 = 2) AS same FROM orders WHERE o_totalprice IS NOT NULL",

@@ -95,7 +95,7 @@ def geo_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     mean, sample, quarter = G.vertex_mean(open_ring), G.sample_points(*b)[1], G.quarters(*b)[3]
     return _parcels(spark, sf_dir).select("id", js_round(G.signed_area(open_ring) * 1e6, 3).alias("area"), js_round(mean["lng"], 6).alias("lng"), js_round(mean["lat"], 6).alias("lat"),
                                           js_round(sample["lng"], 6).alias("sample_lng"), js_round(quarter["miny"], 6).alias("quarter_y"), F.size(G.cells_of(*b, 100)).alias("n_cells"),
-                                          F.length(G.point_key(mean["lng"], mean["lat"])).alias("key_length"), F.length(G.cell_key(b[0], b[1])).alias("cell_length"))
+                                          G.point_key(mean["lng"], mean["lat"]).alias("point_key"), G.cell_key(b[0], b[1]).alias("cell_key"))
 
 
 def geo_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +140,8 @@ SELECT q.id AS left_id, CASE WHEN q.id % 11 <> 0 THEN {_r1('m')} END AS road_m,
 FROM q LEFT JOIN g USING (id)""",
     "geo_rings": f"""WITH {_PLACES}, m AS (SELECT *, (x0 + x0 + x1 + x1) / 4 AS mx, (y0 + y1 + y1 + y0) / 4 AS my FROM q)
 SELECT id, floor(-s * s * 1e6 * 1000 + 0.5) / 1000 AS area, floor(mx * 1e6 + 0.5) / 1e6 AS lng, floor(my * 1e6 + 0.5) / 1e6 AS lat, floor((x0 + s * 0.2::DOUBLE) * 1e6 + 0.5) / 1e6 AS sample_lng,
-floor((y0 + y1) / 2 * 1e6 + 0.5) / 1e6 AS quarter_y, ((floor(x1 * 100) - floor(x0 * 100) + 1) * (floor(y1 * 100) - floor(y0 * 100) + 1))::INT AS n_cells, length(printf('%.5f,%.5f', mx, my))::INT AS key_length,
-length(printf('%.1f,%.1f', floor(x0 * 10) / 10, floor(y0 * 10) / 10))::INT AS cell_length FROM m""",
+floor((y0 + y1) / 2 * 1e6 + 0.5) / 1e6 AS quarter_y, ((floor(x1 * 100) - floor(x0 * 100) + 1) * (floor(y1 * 100) - floor(y0 * 100) + 1))::INT AS n_cells, printf('%.5f,%.5f', mx, my) AS point_key,
+printf('%.1f,%.1f', floor(x0 * 10) / 10, floor(y0 * 10) / 10) AS cell_key FROM m""",
     "geo_deduplicated": "SELECT l_suppkey AS supp, min(l_orderkey * 10 + l_linenumber) AS ordinal, l_suppkey % 3 = 0 AS by_shape FROM lineitem GROUP BY 1",
 }
 

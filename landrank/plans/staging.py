@@ -116,8 +116,8 @@ def candidate_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("record_id"))
     chosen = corpus.by_ids(_snapshot(spark, sf_dir), ids)
     k = F.col("p_partkey")
-    g = table(spark, sf_dir, "part").select((k % 25).cast("string").alias("fips"), (k % 700).cast("string").alias("parno"), F.array(F.array(F.array(k * 0 + F.lit(1.0)))).alias("rings"))
-    return corpus.with_geometry(chosen, g).select("record_id", "fips", "parno")
+    g = table(spark, sf_dir, "part").select((k % 25).cast("string").alias("fips"), (k % 700).cast("string").alias("parno"), F.array(F.array(F.array(k + F.lit(0.5)))).alias("rings"), k.alias("ordinal"))
+    return corpus.with_geometry(chosen, g, "ordinal").select("record_id", "fips", "parno", F.col("rings")[0][0][0].alias("x"))
 
 
 def pin_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,10 +210,8 @@ def stale_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content hashes tell changed orders apart, whatever their status; generic links by nation, else by region."""
-    o = table(spark, sf_dir, "orders")
-    own = o.select(H.row_hash(["o_custkey", "o_totalprice"]).alias("h"), H.row_hash(["o_orderkey"], H.ATTRIBUTE).alias("a"))
-    return own.agg(F.count_distinct("h").alias("contents"), F.count_distinct("a").alias("keys"), F.max(F.length("h")).alias("digits"), F.max(F.length("a")).alias("short"))
+    """Each order's hash of what it holds, whatever its status, and of its key."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", H.row_hash(["o_custkey", "o_totalprice"]).alias("content"), H.row_hash(["o_orderkey"], H.ATTRIBUTE).alias("attribute"))
 
 
 def generic_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,8 +288,8 @@ CASE WHEN den > 0 THEN least(greatest(ceil({_SCORE} / 20), 1), 5)::INT END AS ba
 SELECT id AS record_id, row_number() OVER (ORDER BY c DESC, id)::INT AS rank, floor(c * 10000 + 0.5) / 10000 AS cheapness FROM r ORDER BY c DESC, id LIMIT 50""",
     "corpus_excluded": f"WITH {_SCORED} SELECT CASE WHEN val IS NULL THEN 'value-unknown' WHEN ac IS NULL OR ac <= 0 THEN 'acreage-unknown' ELSE 'scored' END AS reason, count(*) AS n FROM c GROUP BY 1",
     "candidate_rows": f"WITH {_SCORED}, {_SNAP} SELECT id AS record_id, ac AS acreage FROM n WHERE NOT stale AND NOT gov AND ac BETWEEN 2 AND 200 AND parno <> '' ORDER BY ac DESC, id LIMIT 40",
-    "candidate_geometry": f"""WITH {_SCORED}, {_SNAP}, g AS (SELECT DISTINCT (p_partkey % 25)::VARCHAR AS fips, (p_partkey % 700)::VARCHAR AS parno FROM part)
-SELECT id AS record_id, fips, parno FROM n JOIN g USING (fips, parno) WHERE id IN (SELECT s_suppkey FROM supplier)""",
+    "candidate_geometry": f"""WITH {_SCORED}, {_SNAP}, g AS (SELECT (p_partkey % 25)::VARCHAR AS fips, (p_partkey % 700)::VARCHAR AS parno, min(p_partkey) + 0.5::DOUBLE AS x FROM part GROUP BY 1, 2)
+SELECT id AS record_id, fips, parno, x FROM n JOIN g USING (fips, parno) WHERE id IN (SELECT s_suppkey FROM supplier)""",
     "pin_matches": f"""WITH {_SCORED}, {_SNAP}, m AS (SELECT fips, parno, min(id) AS id FROM n WHERE NOT stale GROUP BY 1, 2),
 t AS (SELECT o_orderkey AS pin, id FROM orders LEFT JOIN m ON fips = (o_orderkey % 25)::VARCHAR AND parno = (o_orderkey % 701)::VARCHAR)
 SELECT pin, id AS record_id FROM t WHERE id IS NOT NULL UNION ALL SELECT -1, count(*) FROM t WHERE id IS NULL""",
@@ -315,7 +313,8 @@ count(*) AS n FROM orders GROUP BY 1""",
     "oversized_files": """WITH f AS (SELECT o_orderkey AS path, trunc(o_totalprice * 500)::BIGINT AS length FROM orders) SELECT path, length, CASE WHEN length > 104857600 THEN 'error' ELSE 'warning' END AS level FROM f WHERE length > 83886080""",
     "url_rules": """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'bare-origin' ELSE 'scheme' END AS broken FROM pages WHERE page_id % 3 < 2 AND url IS NOT NULL""",
     "stale_runs": "SELECT floor((epoch_ms(TIMESTAMP '2025-01-01') - epoch_us(max(ts)) // 1000) / 86400000.0 * 1000 + 0.5) / 1000 AS age_days FROM events WHERE event_type <> 'error' HAVING age_days > 10",
-    "run_states": "SELECT (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_totalprice FROM orders)) AS contents, count(DISTINCT o_orderkey) AS keys, 32 AS digits, 16 AS short FROM orders",
+    "run_states": """SELECT o_orderkey, substr(sha256('{"o_custkey":' || coalesce(o_custkey::VARCHAR, 'null') || ',"o_totalprice":' || coalesce(o_totalprice::VARCHAR, 'null') || '}'), 1, 32) AS content,
+substr(sha256('{"o_orderkey":' || o_orderkey || '}'), 1, 16) AS attribute FROM orders""",
     "generic_links": "SELECT n_nationkey AS fips, n_regionkey AS state, CASE WHEN n_nationkey % 4 = 0 THEN 'n' || n_nationkey WHEN n_regionkey <> 1 THEN 'r' || n_regionkey END AS url FROM nation",
     "evidence_rows": """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'upset_bid_window_open' ELSE 'listing' END AS kind, CASE WHEN o_orderkey % 2 = 0 THEN 'r' || o_orderkey ELSE 's' END AS source_url, o_totalprice AS price
 FROM orders WHERE o_orderkey % 3 < 2 AND o_orderkey % 5 <> 0 AND o_totalprice > 0""",
