@@ -12,6 +12,8 @@ SEED = 6
 BUCKET_BYTES, BUCKET_ROWS = 8 << 20, 4096
 #: Equal rows from this many on are dealt over buckets one by one; their keys are broadcast up to MOST_KEYS.
 REPEATS, MOST_KEYS = 512, 100_000
+#: How a row is written to be told from others: times to the microsecond, as they are held, and nulls.
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
 
 
 def text_size(column: str = "text"):
@@ -63,7 +65,7 @@ def external_shuffle(docs: DataFrame, shards: int, seed: int = SEED, bucket_byte
     total = docs.select(F.count(F.lit(1)).alias("n"), F.sum(text_size()).alias("bytes")).first()
     rows, buckets = total["n"], max(1, -(-(total["bytes"] or 0) // bucket_bytes), -(-total["n"] // bucket_rows))
     row = F.struct(*[F.col(f"`{c}`") for c in cols])
-    keyed = docs.select(F.md5(F.to_json(row)).alias("key"), row.alias("row"))
+    keyed = docs.select(F.md5(F.to_json(row, EXACT)).alias("key"), row.alias("row"))
     repeated = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= REPEATS)
     by = dealt(keyed, repeated.count(), repeated)
     by = by.withColumn("b", F.pmod(F.xxhash64(F.lit(seed), "key", "i"), F.lit(buckets)).cast("int"))

@@ -411,6 +411,19 @@ def test_shards_depend_on_seed_and_rows_alone(spark):
     assert sorted((r["shard"], r["slot"], r["doc_id"], r["m"]["k"]) for r in other) != held[0]
 
 
+def test_shards_tell_nearly_equal_rows_apart(spark):
+    """Very many rows that differ by a microsecond, a NaN or a null inside a struct alone: each is there once."""
+    n = 1800
+    i = F.col("id") % 600
+    df = spark.range(n).select(F.lit(1).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.timestamp_micros(F.when(F.col("id") < 600, i).otherwise(0)).alias("at"),
+                               F.timestamp_micros(F.when(F.col("id") < 600, i).otherwise(0)).cast("timestamp_ntz").alias("local"),
+                               F.when(F.col("id").between(600, 1199), F.when(i % 3 == 0, F.lit(float("nan"))).when(i % 3 == 1, F.lit(-0.0)).otherwise(F.lit(0.0))).alias("x"),
+                               F.when(F.col("id") >= 1200, F.when(i % 2 == 0, F.struct(F.lit(None).cast("int").alias("a"), F.lit(1).alias("b")))).alias("s"))
+    count = lambda d: sorted(map(tuple, d.groupBy("at", "local", F.col("x").cast("string"), F.to_json("s")).count().collect()), key=repr)
+    out = shards.sharded(df, 3)
+    assert out.count() == n and count(out) == count(df) and len(count(df)) > 600
+
+
 def test_fisher_yates_is_uniform(spark):
     got = Counter(tuple(r["p"]) for r in spark.range(12_000).select(shards.fisher_yates(F.lit(3), F.col("id"), 1).alias("p")).collect())
     assert set(got) == {(1, 2, 3), (1, 3, 2), (2, 1, 3), (2, 3, 1), (3, 1, 2), (3, 2, 1)} and all(abs(n - 2000) < 200 for n in got.values())

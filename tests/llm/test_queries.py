@@ -43,12 +43,12 @@ def test_pipeline(spark):
     assert docs.filter("n_pieces > 0").count() > 0
 
 
-EDGES = "doc_id long, text string, lang string, source string, n_chars long, copies int, nth int, made int, row int, hash int, id int, size int"
+EDGES = "doc_id long, text string, lang string, source string, n_chars long, copies int, nth int, made int, row int, hash int, id int, size int, score double, threshold string, Rejected string, entities string"
 
 
 def test_stages_on_edges(spark):
     """Every stage on nulls in each column, empty and very long texts, repeats, clashing names, and no rows at all."""
-    x = (1, 2, 3, 4, 5, 6, 7)
+    x = (1, 2, 3, 4, 5, 6, 7, 0.5, "t", "r", "e")
     text = "one two three four five six seven eight"
     long = " ".join(f"w{i}" for i in range(40_000))
     rows = [(1, text, "en", "a", 5, *x), (1, text, "en", "a", 5, *x), (1, "a text of its own for this one id here", "en", "a", 5, *x), (2, None, None, None, None, *x), (3, "", "en", "a", 0, *x),
