@@ -6,7 +6,7 @@ a DataFrame; all but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landrank.llm import jaccard, mixing, pii, segment, toxicity
@@ -16,14 +16,20 @@ from landrank.llm.common import table, written
 SHINGLE, SIMILAR = 5, 0.8
 
 
+def aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """docs without columns of these names, which an operator puts in for its own, and the columns that bring docs' own back."""
+    own = {c: f"__own_{c}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(own), [F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labels of the training folds.
 
     Null and empty texts score as texts without a word, very long ones whole; rows that repeat are judged alike, so all
     stay or go; no rows give no rows, and without labels of 1 nothing is rejected; further columns stay as they are.
     """
-    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return scored.filter(~F.col("rejected")).select(*docs.columns)
+    free, columns = aside(docs, ("score", "threshold", "rejected"))
+    return toxicity.toxicity(free, table(spark, sf_dir, "labels")).filter(~F.col("rejected")).select(*columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +58,8 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null texts stay null (n_chars null), empty ones empty; very long ones are searched whole; rows that repeat get the
     same text; no rows give no rows; further columns are carried along, whatever their names.
     """
-    out = pii.surrogates(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    free, columns = aside(docs, ("entities",))
+    return pii.surrogates(free).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
