@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landrank.functions import dates as Y
 from landrank.functions.measured import js_round
@@ -73,6 +77,30 @@ def pin_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.pin_rows(table(spark, sf_dir, "supplier").select("s_suppkey", text.alias("text"))).select("s_suppkey", "pin", "assessed_usd", "acquired")
 
 
+@F.pandas_udf(T.BinaryType())
+def _as_pdf(first: pd.Series, second: pd.Series, scanned: pd.Series) -> pd.Series:
+    """Two texts as streams of a PDF, with one that is no text between them; a scanned one has an image alone."""
+    def shown(text: str) -> bytes:
+        escaped = text.replace("\\", "\\\\").replace("(", "\\(").replace(")", "\\)")
+        return b"stream\n" + zlib.compress(f"BT ({escaped[:5]}) Tj ({escaped[5:]} ) Tj ET".encode("latin-1")) + b"\nendstream\n"
+
+    noise = b"stream\nimage (not shown)\nendstream\n"
+    return pd.Series([b"%PDF-1.4\n" + noise if s else b"%PDF-1.4 /Font\n" + shown(a) + noise + shown(b) for a, b, s in zip(first, second, scanned, strict=True)])
+
+
+def pdf_pins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as PDFs with a table row in each of two streams, cut where a row goes on; those with a negative balance are scans."""
+    k, owed = F.col("s_suppkey"), F.format_number(F.floor(F.abs("s_acctbal")), 0)
+    pin = lambda tail: F.concat(F.lpad((k % 10_000).cast("string"), 4, "0"), F.lit(f"-{tail}-"), F.lpad((k % 9973).cast("string"), 4, "0"))
+    first = F.concat(F.lit("Head (ing) "), pin("11"), F.lit("$"), owed, F.lit(" some where 3/2019 12/20"))
+    second = F.concat(F.lit("21 "), pin("22"), F.lit("$"), (k % 900 + 1).cast("string"), F.lit(" place"))
+    files = table(spark, sf_dir, "supplier").select("s_suppkey", _as_pdf(first, second, F.col("s_acctbal") < 0).alias("content"))
+    flat = readers.pdf_flattened(files, ["s_suppkey"])
+    rows = readers.pin_rows(flat).select("s_suppkey", "has_text", "pin", "assessed_usd", "acquired")
+    none = flat.filter("not has_text").select("s_suppkey", "has_text", *[F.lit(None).cast(t).alias(c) for c, t in (("pin", "string"), ("assessed_usd", "double"), ("acquired", "string"))])
+    return rows.unionByName(none)
+
+
 def elevations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a point service's answers, some of them no answer."""
     k = F.col("event_id")
@@ -250,6 +278,9 @@ arg_max(l_partkey, (l_linenumber * 10000000::BIGINT + l_partkey) * 100000 + l_su
     "reader_map": "SELECT n_nationkey AS id, n_name AS kind, CASE WHEN n_nationkey % 2 = 0 THEN n_regionkey::DOUBLE END AS price FROM nation",
     "pin_table": """WITH p AS (SELECT s_suppkey, lpad((s_suppkey % 10000)::VARCHAR, 4, '0') AS a, lpad((s_suppkey % 9973)::VARCHAR, 4, '0') AS b FROM supplier)
 SELECT s_suppkey, a || '-11-' || b AS pin, 1000.0 + s_suppkey % 1000 AS assessed_usd, '2021-12' AS acquired FROM p UNION ALL SELECT s_suppkey, a || '-22-' || b, (s_suppkey % 900 + 1)::DOUBLE, NULL FROM p""",
+    "pdf_pins": """WITH p AS (SELECT s_suppkey, s_acctbal AS b, lpad((s_suppkey % 10000)::VARCHAR, 4, '0') AS x, lpad((s_suppkey % 9973)::VARCHAR, 4, '0') AS y FROM supplier)
+SELECT s_suppkey, true AS has_text, x || '-11-' || y AS pin, floor(b) AS assessed_usd, '2021-12' AS acquired FROM p WHERE b >= 0 UNION ALL SELECT s_suppkey, true, x || '-22-' || y, (s_suppkey % 900 + 1)::DOUBLE, NULL FROM p WHERE b >= 0
+UNION ALL SELECT s_suppkey, false, NULL, NULL, NULL FROM p WHERE b < 0""",
     "elevations": """SELECT event_id, CASE WHEN event_id % 5 > 2 THEN floor(value) + 0.5 END AS elevation, CASE event_id % 5 WHEN 0 THEN 'non-json' WHEN 1 THEN 'shape' WHEN 2 THEN 'no-data' END AS unknown_reason FROM events""",
     "log_appends": """SELECT CASE o_orderstatus WHEN 'P' THEN '2024-02' ELSE '2024-01' END AS month, CASE o_orderstatus WHEN 'F' THEN '2024-01-02' WHEN 'O' THEN '2024-01-09' ELSE '2024-02-01' END AS run_id, o_orderstatus,
 count(*) AS n, max(o_orderkey) AS last FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 3""",
@@ -281,5 +312,5 @@ CASE WHEN c_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN 'market' ELSE 'prospe
 }
 
 QUERIES = {f.__name__: f for f in (
-    reader_pages, reader_rings, reader_csv, reader_manifests, reader_map, pin_table, elevations, log_appends, pointer_versions, bucket_merge, gated_merge, ledger_repair, mirror_actions, registry_gate, payload_gate, half_measured,
+    reader_pages, reader_rings, reader_csv, reader_manifests, reader_map, pin_table, pdf_pins, elevations, log_appends, pointer_versions, bucket_merge, gated_merge, ledger_repair, mirror_actions, registry_gate, payload_gate, half_measured,
     notice_gate, copy_texts, display_rank, recomputed, newest_versions, geo_sample, geo_points, published_tables, cached_or_landed, ingest_coverage, epoch_units)}

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,25 +83,42 @@ def parsed_elevation(body: Column) -> Column:
     return F.struct(F.when(reason.isNull(), v).alias("elevation"), reason.alias("unknown_reason"))
 
 
-def shown_text(pdf: bytes) -> str:
-    """The strings that a PDF's inflatable streams show, white space removed."""
-    streams = []
-    for m in re.finditer(rb"stream\r?\n(.*?)\r?\nendstream", pdf, re.S):
-        try:
-            streams.append(zlib.decompress(m[1]))
-        except zlib.error:
-            continue  # fonts and images
-    shown = re.findall(rb"\((?:\\.|[^\\()])*\)", b"\n".join(streams))
-    return re.sub(r"\s+", "", "".join(re.sub(rb"\\(.)", rb"\1", s[1:-1]).decode("latin-1") for s in shown))
+@F.udtf(returnType=T.StructType([T.StructField("stream", T.IntegerType()), T.StructField("font", T.BooleanType()), T.StructField("shown", T.StringType())]))
+class PdfStreams:
+    """A row for each stream of a PDF that can be inflated, with the strings that it shows, white space removed; one without
+    a stream for a file that has none.  Streams that cannot be inflated, as fonts and images, are passed over."""
 
+    def eval(self, content: bytes):
+        pdf, n = bytes(content or b""), 0
+        font = b"/Font" in pdf
+        for m in re.finditer(rb"stream\r?\n(.*?)\r?\nendstream", pdf, re.S):
+            try:
+                data = zlib.decompress(m[1])
+            except zlib.error:
+                continue
+            strings = re.findall(rb"\((?:\\.|[^\\()])*\)", data)
+            yield n, font, re.sub(r"\s+", "", "".join(re.sub(rb"\\(.)", rb"\1", s[1:-1]).decode("latin-1") for s in strings))
+            n += 1
+        if not n:
+            yield None, font, None
+
+
+def pdf_streams(files: DataFrame, content: str = "content") -> DataFrame:
+    """files without their content, a row for each stream of each file: stream, font, shown (see PdfStreams)."""
+    keep = [F.col(f"`{c}`") for c in files.columns if c != content]
+    return files.lateralJoin(PdfStreams(F.col(content).outer())).select(*keep, "stream", "font", "shown")
 
-def pdf_texts(spark: SparkSession, path: str) -> DataFrame:
-    """path, has_text and text of PDF files."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"path": b["path"], "has_text": [b"/Font" in x for x in b["content"]], "text": [shown_text(x) for x in b["content"]]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, has_text boolean, text string")
+def pdf_flattened(files: DataFrame, keys: list[str], content: str = "content") -> DataFrame:
+    """keys, has_text and text of PDF files (keys, content): what their streams show, one after the other; "" if nothing."""
+    each = pdf_streams(files.select(*keys, content), content)
+    shown = F.array_sort(F.collect_list(F.when(F.col("stream").isNotNull(), F.struct("stream", "shown"))))
+    return each.groupBy(*keys).agg(F.bool_or("font").alias("has_text"), F.array_join(shown["shown"], "").alias("text"))
+
+
+def pdf_texts(spark: SparkSession, path: str) -> DataFrame:
+    """path, has_text and text of PDF files in a folder."""
+    return pdf_flattened(spark.read.format("binaryFile").load(path).select("path", "content"), ["path"])
 
 
 def pin_rows(docs: DataFrame, text: str = "text") -> DataFrame:
