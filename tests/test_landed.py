@@ -7,6 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from landrank.operators import evidence
 from landrank.sources import features as X
 
 
@@ -52,3 +53,19 @@ def test_drift_and_fingerprint(spark):
     assert prints["b"] == (hashlib.sha256(b"id:BIGINT,v:DECIMAL").hexdigest(), 2)
     again = X.landed_fields(X.features(df.orderBy(F.desc("body")).repartition(3), X.Layer("paths")), ["source"])
     assert {r["source"]: r["fingerprint"] for r in X.fingerprint(again, ["source"]).collect()} == {k: v[0] for k, v in prints.items()}
+
+
+def test_produced_evidence(spark):
+    files = spark.createDataFrame([("a", '{"at": "2024-01-01", "n": 5}'), ("a", '{"at": "2023-01-01", "n": 9}'), ("b", '{"at": "2024-01-01", "n": [1, {}]}'), ("c", "[1]"), ("d", None), ("e", '{"at": 7, "n": 5}'), ("f", '{"at": "x", "n": "5"}')], "file string, body string")
+    specs = spark.createDataFrame([(f"s{f}", f, "at", "n") for f in "abcdefg"] + [("none", "a", "at", None)], "source_id string, file string, stamp string, count string")
+    got = {tuple(r) for r in evidence.produced(files, specs).collect()}
+    assert got == {("sa", "2024-01-01", 5), ("sb", "2024-01-01", 2), ("sf", "x", None), ("none", "2024-01-01", None)}
+    assert evidence.produced(files.limit(0), specs).count() == 0
+
+
+def test_published_status(spark):
+    row = "source_id string, state string, last_success string"
+    published = spark.createDataFrame([("a", "ok", "t"), ("a", "ok", "t"), ("b", "never-run", "t"), ("b", "never-run", None), ("c", "never-run", None), (None, "ok", None)], row)
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "source_id string")
+    got = {tuple(r) for r in evidence.status_problems(published, ids("a", "b"), ids("b", "c", "z")).collect()}
+    assert got == {("c", "undeclared"), (None, "undeclared"), ("b", "refused"), ("c", "refused"), ("b", "success-without-run")}
