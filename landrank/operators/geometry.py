@@ -6,7 +6,6 @@ exact measures of shapes are in shapes.py, nearest features in nearest.py.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +66,23 @@ def signed_area(ring: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2
 
 
+def multipolygon(rings: Column) -> Column:
+    """Rings (of [x, y]) as polygons, each an array of rings with the outer one first.
+
+    The first and every clockwise ring is an outer one, others are holes of the last outer one; open rings are closed and
+    those under four points dropped; null rings give null.
+    """
+    closed = F.transform(rings, lambda r: F.when(F.element_at(r, 1) == F.element_at(r, -1), r).otherwise(F.concat(r, F.slice(r, 1, 1))))
+    none = F.expr("cast(array() as array<array<array<array<double>>>>)")
+
+    def put(parts: Column, ring: Column) -> Column:
+        last = F.size(parts) - 1
+        with_hole = F.concat(F.slice(parts, F.lit(1), F.greatest(last, F.lit(0))), F.array(F.concat(F.get(parts, last), F.array(ring))))
+        return F.when((last < 0) | (signed_area(ring) < 0), F.concat(parts, F.array(F.array(ring)))).otherwise(with_hole)
+
+    return F.aggregate(F.filter(closed, lambda r: F.size(r) >= 4), none, put)
+
+
 def vertex_mean(ring: Column) -> Column:
     s = F.aggregate(ring, F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")), lambda a, p: F.struct((a["x"] + p[0]).alias("x"), (a["y"] + p[1]).alias("y")))
     return F.struct(F.try_divide(s["x"], F.size(ring)).alias("lng"), F.try_divide(s["y"], F.size(ring)).alias("lat"))
@@ -107,27 +123,6 @@ def deduplicated(features: DataFrame, key: str = "feature_id", rings: str = "rin
     return first_wins(features.withColumn("__own", own), ["__own"], [order]).drop("__own")
 
 
-# -- rings and polygons ----------------------------------------------------------------------------------------------
-
-def polygons(rings: list) -> list[list]:
-    """Rings as polygons, outer ring first: the first and every clockwise ring is outer, others are holes of the last
-    outer one; rings under four points are dropped and open ones closed."""
-    out: list[list] = []
-    for ring in rings:
-        r = [list(map(float, p[:2])) for p in ring]
-        if r and r[0] != r[-1]:
-            r.append(r[0])
-        if len(r) < 4:
-            continue
-        p = np.array(r)
-        area = float(np.sum(p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1])) / 2
-        if not out or area < 0:
-            out.append([r])
-        else:
-            out[-1].append(r)
-    return out
-
-
 # -- signals ---------------------------------------------------------------------------------------------------------
 
 def water_signal(measured: DataFrame, covered: DataFrame) -> DataFrame:

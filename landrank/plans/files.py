@@ -206,6 +206,14 @@ def copy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                    publish.water_label(names, F.when(k % 4 != 0, k % 2 == 0)).alias("water"), search.lane(F.when(k % 2 == 0, F.col("c_acctbal"))).alias("lane"))
 
 
+def basis_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why a component of an order is what it is: unknown without a high price, else its value and weights."""
+    known = F.col("o_totalprice") > 200_000
+    part = F.struct(F.concat(F.lit("c"), "o_orderstatus").alias("id"), F.when(known, "scored").otherwise("unknown").alias("status"), F.concat(F.lit("no price above "), F.floor("o_totalprice")).alias("basis"),
+                    F.floor(F.col("o_totalprice") / 10_000).cast("double").alias("normalized"), (F.col("o_custkey") % 8 / 2).alias("effective"), F.lit(20.0).alias("nominal"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", publish.basis(part, F.concat(F.lit("order "), "o_orderkey")).alias("said"))
+
+
 def display_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 100 customers as a page orders them: by cheapness, unknown ones last."""
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("record_id"), F.when(F.col("c_acctbal") > 0, F.floor("c_acctbal") % 1000).cast("double").alias("cheapness"))
@@ -304,6 +312,8 @@ CASE WHEN s_suppkey % 7 = 0 THEN 'url' END) AS broken FROM supplier) SELECT * FR
 WHEN c_custkey % 3 = 1 THEN 'Only public notices are collected here, and none is live.' WHEN c_custkey % 3 = 0 THEN 'Little is collected here; an empty page says little.' WHEN c_custkey % 2 = 0 THEN 'No priced row is known here.'
 ELSE 'Rows are collected here, and none is published.' END AS said, CASE c_custkey % 3 WHEN 1 THEN 'Creek' WHEN 2 THEN 'Creek, Creek' ELSE CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'unnamed water' ELSE 'no water found' END END AS water,
 CASE WHEN c_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN 'market' ELSE 'prospect' END AS lane FROM customer""",
+    "basis_texts": """SELECT o_orderkey, CASE WHEN o_totalprice > 200000 THEN printf('c%s of order %d is %.1f of 100, with %.1f of its weight of 20.', o_orderstatus, o_orderkey, floor(o_totalprice / 10000), (o_custkey % 8) / 2.0::DOUBLE)
+ELSE printf('c%s of order %d is unknown: no price above %d.', o_orderstatus, o_orderkey, floor(o_totalprice)::BIGINT) END AS said FROM orders""",
     "display_rank": """SELECT c_custkey AS record_id, CASE WHEN c_acctbal > 0 THEN (floor(c_acctbal)::BIGINT % 1000)::DOUBLE END AS cheapness FROM customer ORDER BY coalesce(cheapness, -1) DESC, c_custkey LIMIT 100""",
     "recomputed": "SELECT count(*) FILTER (o_orderkey % 3 = 0) AS up, count(*) FILTER (o_orderkey % 3 = 1) AS down, count(*) FILTER (o_orderkey % 3 = 2) AS same FROM orders WHERE o_totalprice IS NOT NULL",
     "newest_versions": "SELECT event_id, event_type FROM events ORDER BY event_id DESC LIMIT 4",
@@ -313,4 +323,4 @@ CASE WHEN c_custkey % 2 = 0 AND c_acctbal IS NOT NULL THEN 'market' ELSE 'prospe
 
 QUERIES = {f.__name__: f for f in (
     reader_pages, reader_rings, reader_csv, reader_manifests, reader_map, pin_table, pdf_pins, elevations, log_appends, pointer_versions, bucket_merge, gated_merge, ledger_repair, mirror_actions, registry_gate, payload_gate, half_measured,
-    notice_gate, copy_texts, display_rank, recomputed, newest_versions, geo_sample, geo_points, published_tables, cached_or_landed, ingest_coverage, epoch_units)}
+    notice_gate, copy_texts, basis_texts, display_rank, recomputed, newest_versions, geo_sample, geo_points, published_tables, cached_or_landed, ingest_coverage, epoch_units)}

@@ -98,6 +98,19 @@ def geo_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           G.point_key(mean["lng"], mean["lat"]).alias("point_key"), G.cell_key(b[0], b[1]).alias("cell_key"))
 
 
+def geo_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' rings as polygons: balances say whether there is a hole, the first ring runs the other way, one is too short or open; nations whether there is a second part."""
+    b, k = F.col("s_acctbal"), F.col("s_suppkey").cast("double")
+    ring = lambda x, side: F.array(*[F.array(x + u * side, F.lit(v * 1.0) * side) for u, v in ((0, 0), (0, 1), (1, 1), (1, 0), (0, 0))])
+    one = F.when(b < -500, F.reverse(ring(k, 4.0))).when(b > 9000, F.slice(ring(k, 4.0), 1, 4)).otherwise(ring(k, 4.0))
+    none = F.expr("cast(array() as array<array<array<double>>>)")
+    rings = F.concat(F.array(one), F.when(b > 0, F.array(F.reverse(ring(k + 1.0, 1.0)))).otherwise(none), F.when(F.col("s_nationkey") < 10, F.array(ring(k + 10.0, 2.0))).otherwise(none),
+                     F.when(b > 5000, F.array(F.slice(ring(k, 1.0), 1, 2))).otherwise(none))
+    p = table(spark, sf_dir, "supplier").select("s_suppkey", G.multipolygon(rings).alias("p"))
+    area = F.aggregate(F.flatten("p"), F.lit(0.0), lambda a, r: a + F.abs(G.signed_area(r)))
+    return p.select("s_suppkey", F.size("p").alias("n_parts"), F.size(F.get("p", F.lit(0))).alias("first_rings"), F.size(F.flatten("p")).alias("n_rings"), F.size(F.flatten(F.flatten("p"))).alias("n_points"), js_round(area, 3).alias("area"))
+
+
 def geo_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers' squares as line items repeat them, some without an id: each once, the first of them."""
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
@@ -142,7 +155,9 @@ FROM q LEFT JOIN g USING (id)""",
 SELECT id, floor(-s * s * 1e6 * 1000 + 0.5) / 1000 AS area, floor(mx * 1e6 + 0.5) / 1e6 AS lng, floor(my * 1e6 + 0.5) / 1e6 AS lat, floor((x0 + s * 0.2::DOUBLE) * 1e6 + 0.5) / 1e6 AS sample_lng,
 floor((y0 + y1) / 2 * 1e6 + 0.5) / 1e6 AS quarter_y, ((floor(x1 * 100) - floor(x0 * 100) + 1) * (floor(y1 * 100) - floor(y0 * 100) + 1))::INT AS n_cells, printf('%.5f,%.5f', mx, my) AS point_key,
 printf('%.1f,%.1f', floor(x0 * 10) / 10, floor(y0 * 10) / 10) AS cell_key FROM m""",
+    "geo_polygons": """SELECT s_suppkey, 1 + (s_nationkey < 10)::INT AS n_parts, 1 + (s_acctbal > 0)::INT AS first_rings, 1 + (s_acctbal > 0)::INT + (s_nationkey < 10)::INT AS n_rings, 5 * n_rings AS n_points,
+16.0 + (s_acctbal > 0)::INT + 4 * (s_nationkey < 10)::INT AS area FROM supplier""",
     "geo_deduplicated": "SELECT l_suppkey AS supp, min(l_orderkey * 10 + l_linenumber) AS ordinal, l_suppkey % 3 = 0 AS by_shape FROM lineitem GROUP BY 1",
 }
 
-QUERIES = {f.__name__: f for f in (geo_candidates, geo_lines, geo_water, geo_flood, geo_roads, geo_rings, geo_deduplicated)}
+QUERIES = {f.__name__: f for f in (geo_candidates, geo_lines, geo_water, geo_flood, geo_roads, geo_rings, geo_polygons, geo_deduplicated)}

@@ -6,7 +6,26 @@ import math
 
 import numpy as np
 
-from landrank.operators.geometry import EARTH_M, polygons
+from landrank.operators.geometry import EARTH_M
+
+
+def polygons(rings: list) -> list[list]:
+    """Rings as polygons, outer ring first: the first and every clockwise ring is outer, others are holes of the last
+    outer one; rings under four points are dropped and open ones closed."""
+    out: list[list] = []
+    for ring in rings:
+        r = [list(map(float, p[:2])) for p in ring]
+        if r and r[0] != r[-1]:
+            r.append(r[0])
+        if len(r) < 4:
+            continue
+        p = np.array(r)
+        area = float(np.sum(p[:-1, 0] * p[1:, 1] - p[1:, 0] * p[:-1, 1])) / 2
+        if not out or area < 0:
+            out.append([r])
+        else:
+            out[-1].append(r)
+    return out
 
 
 def _local(points, origin: tuple[float, float]) -> np.ndarray:

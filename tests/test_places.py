@@ -31,7 +31,7 @@ def square(x, y, side):
 
 def sampled_area(one, other, n=900):
     """Shared square metres by a fine grid of points."""
-    a, b = geometry.polygons(one), geometry.polygons(other)
+    a, b = plain_geometry.polygons(one), plain_geometry.polygons(other)
     origin = tuple(a[0][0][0])
     a, b = ([[plain_geometry._local(r, origin) for r in rs] for rs in s] for s in (a, b))
     corners = np.concatenate([r for rs in a for r in rs])
@@ -107,6 +107,15 @@ def test_few_pairs_meet(spark, layers, broadcast):
     assert nearest.met(made(one), places, broadcast).count() <= 250 * len(one)
 
 
+def test_rings_as_polygons(spark):
+    """Orientation, holes, parts, open and short rings: as plain code puts them together."""
+    out, hole, short = square(0.0, 0.0, 1.0), square(0.2, 0.2, 0.1)[::-1], [[0.0, 0.0], [1.0, 1.0]]
+    cases = [[out], [out, hole], [hole, out, hole, hole], [out[:-1], hole[:-1]], [short, hole, out], [], [short], [out, out, hole, short, hole]]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)] + [(99, None)], "i int, rings array<array<array<double>>>")
+    got = {r["i"]: r["p"] for r in df.select("i", geometry.multipolygon(F.col("rings")).alias("p")).collect()}
+    assert all(got[i] == plain_geometry.polygons(c) for i, c in enumerate(cases)) and got[99] is None
+
+
 def test_features_once(spark):
     ring = [square(0.0, 0.0, 1.0)]
     rows = [(1, ring, 3), (1, [square(0.0, 0.0, 2.0)], 2), (None, ring, 5), (None, ring, 4), (None, [square(1.0, 0.0, 1.0)], 9)]
