@@ -46,9 +46,8 @@ def boxes(rows: DataFrame, bits: int) -> DataFrame:
     return rows.groupBy(F.shiftright("at", bits).alias("node")).agg(F.min("lng").alias("x0"), F.min("lat").alias("y0"), F.max("lng").alias("x1"), F.max("lat").alias("y1"))
 
 
-def levels(rows: DataFrame) -> list[int]:
-    """Bits of the tree's levels, from its root down to its leaves."""
-    most, parts = rows.agg(F.max(F.col("at").bitwiseAND((1 << PART_BITS) - 1)), F.max(F.shiftright("at", PART_BITS))).first()
+def levels(most: int, parts: int) -> list[int]:
+    """Bits of the tree's levels, from its root down to its leaves: numbers go up to `most` in a partition, of parts + 1."""
     out, bits = [LEAF_BITS], LEAF_BITS + FAN_BITS
     while most >> bits:
         out.append(bits)
@@ -107,8 +106,8 @@ def met(points: DataFrame, features: DataFrame, broadcast: int = BROADCAST) -> D
     """
     p, f = placed(points), placed(features)
     groups = boxes(p, LEAF_BITS).select(F.col("node").alias("grp"), *[F.col(c).alias(f"p{c}") for c in _BOX])
-    bits = levels(f)
     most, parts = f.agg(F.max(F.col("at").bitwiseAND((1 << PART_BITS) - 1)), F.max(F.shiftright("at", PART_BITS))).first()
+    bits = levels(most, parts)
     size = lambda b: (parts + 1) * ((most >> b) + 1) if b < PART_BITS else (parts >> (b - PART_BITS)) + 1
     ends, leaves, pairs = [f"f{c}" for c in _BOX], checkpointed(boxes(f, LEAF_BITS)), groups.withColumn("node", F.lit(0).cast("long"))
 
@@ -117,15 +116,17 @@ def met(points: DataFrame, features: DataFrame, broadcast: int = BROADCAST) -> D
         found = found.withColumns({"low": low, "high": high}).withColumn("best", F.min("high").over(Window.partitionBy(by)))
         return found.filter(F.col("low") <= F.col("best") * (1 + 1e-9) + 1e-18)
 
+    # pairs are used once where nodes are broadcast, and then need not be kept
+    kept_for = lambda d, b: d if size(b) <= broadcast else checkpointed(d)
     for up, down in zip(bits, bits[1:]):
         nodes = leaves.groupBy(F.shiftright("node", down - LEAF_BITS).alias("node")).agg(*[(F.min if c in ("x0", "y0") else F.max)(c).alias(c) for c in _BOX])
         children = nodes.select(F.shiftright("node", up - down).alias("node"), F.col("node").alias("child"), *[F.col(c).alias(f"f{c}") for c in _BOX])
-        found = kept(below(pairs.drop(*ends), children, size(down), broadcast), "grp")
-        pairs = checkpointed(found.select("grp", *[f"p{c}" for c in _BOX], F.col("child").alias("node"), *ends))
+        found = kept(below(kept_for(pairs.drop(*ends), down), children, size(down), broadcast), "grp")
+        pairs = found.select("grp", *[f"p{c}" for c in _BOX], F.col("child").alias("node"), *ends)
     mine = p.select("at", F.shiftright("at", LEAF_BITS).alias("grp"), F.col("id").alias("point_id"), *[F.col(c).alias(f"p{k}") for k, c in zip(_BOX, ("lng", "lat", "lng", "lat"), strict=True)])
     each = kept(mine.join(pairs.select("grp", "node", *ends), "grp"), "at").select("at", "point_id", F.col("px0").alias("lng"), F.col("py0").alias("lat"), "node")
     there = f.select(F.shiftright("at", LEAF_BITS).alias("node"), F.col("id").alias("feature_id"), F.col("lng").alias("u"), F.col("lat").alias("v"))
-    each = below(each if size(0) <= broadcast else checkpointed(each), there, size(0), broadcast)
+    each = below(kept_for(each, 0), there, size(0), broadcast)
     return each.select("at", "point_id", "feature_id", haversine(F.col("lng"), F.col("lat"), F.col("u"), F.col("v")).alias("metres"))
 
 
