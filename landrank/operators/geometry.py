@@ -99,19 +99,7 @@ def point_key(lng: Column, lat: Column) -> Column:
     return F.format_string("%.5f,%.5f", lng, lat)
 
 
-# -- joins -----------------------------------------------------------------------------------------------------------
-
-def candidates(left: DataFrame, right: DataFrame, metres: float = RADIUS_M, per_degree: int = 10) -> DataFrame:
-    """Pairs of left and right rows (id, box) whose boxes come within so many metres: by cell, then by box."""
-    c = lambda b, k: F.col(f"{b}.{k}")
-    grown = expanded(tuple(c("box", k) for k in ("minx", "miny", "maxx", "maxy")), metres)
-    wide = F.struct(*[x.alias(k) for x, k in zip(grown, ("minx", "miny", "maxx", "maxy"), strict=True)])
-    a = left.withColumn("wide", wide).withColumn("cell", F.explode(cells_of(*[c("wide", k) for k in ("minx", "miny", "maxx", "maxy")], per_degree)))
-    b = right.withColumn("cell", F.explode(cells_of(*[c("box", k) for k in ("minx", "miny", "maxx", "maxy")], per_degree)))
-    a = a.select(F.col("id").alias("left_id"), "wide", "cell")
-    b = b.select(F.col("id").alias("right_id"), F.col("box").alias("near"), "cell")
-    return a.join(b, "cell").filter(overlap("wide", "near")).select("left_id", "right_id").distinct()
-
+# -- features ---------------------------------------------------------------------------------------------------------
 
 def geometry_hash(rings: Column) -> Column:
     return F.substring(F.sha2(F.to_json(rings), 256), 1, 32)

@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landrank.operators.geometry import DEGREE_M, EARTH_M, RADIUS_M
+from landrank.operators.geometry import DEGREE_M, EARTH_M, RADIUS_M, expanded
+from landrank.operators.geometry import overlap as boxes_meet
 from landrank.session import checkpointed
 
 #: Side of a tile in degrees: the earth has 101,250, and of each some 270 bytes are known, so tiles can be broadcast.
@@ -461,6 +462,38 @@ def dealt(lefts: DataFrame, rights: DataFrame, chunk: int) -> tuple[DataFrame, D
     return deal(lefts, "l", "r", "ml", "mr"), deal(rights, "r", "l", "mr", "ml")
 
 
+def touched(rows: DataFrame, box: str, known: DataFrame) -> DataFrame:
+    """rows, once for each cell of known tiles that their box (a struct) touches."""
+    edge = lambda c, k: F.expr(f"floor({box}.{c} * (shiftleft(1L, {k}) / {TILE}D))")
+    out = rows
+    for axis in "xy":
+        out = out.withColumn(f"b{axis}", F.explode(F.sequence(edge(f"min{axis}", BLOCKS), edge(f"max{axis}", BLOCKS)))).withColumn(f"t{axis}", F.shiftright(f"b{axis}", BLOCKS))
+    side = 1 << BLOCKS
+    out = out.join(F.broadcast(known), ["tx", "ty"]).withColumn("k", F.expr(f"cast(substring(blocks, cast(pmod(bx, {side}) * {side} + pmod(by, {side}) as int) + 1, 1) as int)")).filter("k > 0")
+    for axis in "xy":
+        first, last = F.expr(f"shiftleft(b{axis}, k - {BLOCKS})"), F.expr(f"shiftleft(b{axis} + 1, k - {BLOCKS}) - 1")
+        out = out.withColumn(f"c{axis}", F.explode(F.sequence(F.greatest(edge(f"min{axis}", "k"), first), F.least(edge(f"max{axis}", "k"), last))))
+    return out.select(*rows.columns, *CELL)
+
+
+def near_boxes(left: DataFrame, right: DataFrame, metres: float = RADIUS_M, held: int = HELD, chunk: int = CHUNK) -> DataFrame:
+    """Pairs (left_id, right_id) of rows (id, box), ids told apart, whose boxes come within so many metres; null boxes come near nothing.
+
+    Boxes meet in cells that are as small as either layer is dense; a pair is told in one of the cells that both touch, the one
+    with the corner of what they share, so pairs need not be shuffled to be told once.
+    """
+    known = checkpointed(tiles(left.select("box").unionByName(right.select("box")), held))
+    grown = expanded(tuple(F.col(f"box.{c}") for c in ("minx", "miny", "maxx", "maxy")), metres)
+    wide = F.struct(*[g.alias(c) for g, c in zip(grown, ("minx", "miny", "maxx", "maxy"), strict=True)])
+    a = touched(left.filter("box.minx is not null").select("id", wide.alias("wide")), "wide", known)
+    b = touched(right.filter("box.minx is not null").select("id", F.col("box").alias("near")), "near", known)
+    a, b = dealt(checkpointed(a), checkpointed(b), chunk)
+    keys = [*CELL, "l", "r"]
+    both = a.select(F.col("id").alias("left_id"), "wide", *keys).join(b.select(F.col("id").alias("right_id"), "near", *keys), keys)
+    here = [F.expr(f"floor(greatest(wide.min{x}, near.min{x}) * (shiftleft(1L, k) / {TILE}D)) = c{x}") for x in "xy"]
+    return both.filter(boxes_meet("wide", "near") & here[0] & here[1]).select("left_id", "right_id")
+
+
 def normalised(shapes: DataFrame, known: DataFrame) -> DataFrame:
     """The pieces of features, kept, so that several measures can use them."""
     return checkpointed(cut(shapes, known, SKIRT))

@@ -41,7 +41,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels and features whose boxes come within 500 m."""
-    return G.candidates(_parcels(spark, sf_dir).select("id", "box"), _features(spark, sf_dir).select("id", "box"))
+    return S.near_boxes(_parcels(spark, sf_dir).select("id", "box"), _features(spark, sf_dir).select("id", "box"))
 
 
 def _measured(spark: SparkSession, sf_dir: str, lines: bool = True, areas: bool = True) -> DataFrame:

@@ -74,7 +74,7 @@ def frame(spark, rows):
 def near(one, two):
     (a, b), m = (np.array([x for r in s[1] + s[2] for x in r]) for s in (one, two)), 500
     (x0, y0), (x1, y1) = a.min(0), a.max(0)
-    dx, dy = m / (geometry.DEGREE_M * math.cos(math.radians((y0 + y1) / 2))), m / geometry.DEGREE_M
+    dx, dy = m / (geometry.DEGREE_M * max(0.1, math.cos(math.radians((y0 + y1) / 2)))), m / geometry.DEGREE_M
     return x0 - dx <= b[:, 0].max() and b[:, 0].min() <= x1 + dx and y0 - dy <= b[:, 1].max() and b[:, 1].min() <= y1 + dy
 
 
@@ -123,6 +123,23 @@ def test_dense_cells_travel_once(spark):
     assert shapes.cut(p, known, 0.0).count() < 3 * len(lefts) and shapes.normalised(f, known).count() < 40 * len(rights)
 
 
+@pytest.mark.parametrize(("held", "chunk"), [(256, 4096), (4, 8)])
+def test_near_boxes_are_all_pairs(spark, held, chunk, monkeypatch):
+    """Dense, far and large boxes, boxes on tile borders and at one place: each near pair once, as comparing all gives it."""
+    monkeypatch.setattr(shapes, "HOT_SHARE", 10 ** 6)
+    rng = np.random.default_rng(12)
+
+    def boxes(n):
+        at = np.concatenate([rng.normal([-81.6, 36.0], 0.01, (n, 2)), rng.uniform([-83, 35], [-80, 37], (n // 2, 2)), np.full((n // 4, 2), 0.8), [[-83.0, 35.0], [-0.4, -0.4]]])
+        size = np.concatenate([rng.uniform(0, 0.004, (len(at) - 2, 2)), [[3.0, 2.0], [0.8, 0.8]]])
+        return [(i, tuple(map(float, (*a, *(a + s))))) for i, (a, s) in enumerate(zip(at, size, strict=True))]
+
+    schema = "id long, box struct<minx:double,miny:double,maxx:double,maxy:double>"
+    left, right = boxes(80), boxes(60)
+    got = [tuple(r) for r in shapes.near_boxes(spark.createDataFrame([*left, (999, None)], schema), spark.createDataFrame([*right, (999, None)], schema), held=held, chunk=chunk).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(i, j) for i, a in left for j, b in right if near((i, [[a[:2], a[2:]]], []), (j, [[b[:2], b[2:]]], []))}
+
+
 def test_shapes_on_edges(spark):
     """Null and empty shapes, open rings, rings and lines that are too short, no rows."""
     s = spark.createDataFrame([(1, (0.0, 0.0, 0.01, 0.01), [square(0.0, 0.0, 0.01)[:-1]], None), (2, None, None, None), (3, (0.0, 0.0, 0.01, 0.01), [[[0.0, 0.0], [0.01, 0.01]]], [[[0.0, 0.0]]]), (4, (0.0, 0.0, 0.01, 0.01), [], [])], SHAPE)

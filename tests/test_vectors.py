@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from landrank.functions import measured as M
 from landrank.functions import text as X
-from landrank.operators import cohorts, delta, geometry, keys, quality, score, search
+from landrank.operators import cohorts, delta, geometry, keys, quality, score, search, shapes
 from landrank.sources import readers, writers
 from tests import plain_geometry
 
@@ -219,7 +219,7 @@ def test_candidates_equal_all_pairs(spark):
     box = lambda i, x: (i, (x, 36.0, x + 0.05, 36.05))
     schema = "id long, box struct<minx:double,miny:double,maxx:double,maxy:double>"
     a, b = spark.createDataFrame([box(i, -82 + i * 0.07) for i in range(9)], schema), spark.createDataFrame([box(i, -82 + i * 0.05) for i in range(9)], schema)
-    got = {(r["left_id"], r["right_id"]) for r in geometry.candidates(a, b, 500).collect()}
+    got = {(r["left_id"], r["right_id"]) for r in shapes.near_boxes(a, b, 500).collect()}
     pad = 500 / (111_320 * 0.8088)
     assert got == {(i, j) for i in range(9) for j in range(9) if -82 + i * 0.07 - pad <= -82 + j * 0.05 + 0.05 and -82 + j * 0.05 <= -82 + i * 0.07 + 0.05 + pad}
 
