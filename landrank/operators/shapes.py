@@ -450,8 +450,10 @@ def dealt(lefts: DataFrame, rights: DataFrame, chunk: int) -> tuple[DataFrame, D
     """Pieces with columns l and r: pieces of a cell that holds very many on a side are dealt over tasks there, and those
     of the other side go to each of these.  Fewer than HOT_SHARE cells a side are hot, whatever the data."""
     count = lambda d, n: d.groupBy(*CELL).agg(F.count(F.lit(1)).alias(n))
-    both = checkpointed(count(lefts, "nl").join(count(rights, "nr"), CELL))
-    nl, nr = both.agg(F.sum("nl"), F.sum("nr")).first()
+    both = count(lefts, "nl").join(count(rights, "nr"), CELL)
+    nl, nr, most_l, most_r = both.agg(F.sum("nl"), F.sum("nr"), F.max("nl"), F.max("nr")).first()
+    if max(most_l or 0, most_r or 0) <= chunk:
+        return tuple(d.withColumns({"l": F.lit(0), "r": F.lit(0)}) for d in (lefts, rights))
     many = lambda c, total: (F.col(c) > chunk) & (F.col(c) * HOT_SHARE > (total or 0))
     hot = F.broadcast(both.filter(many("nl", nl) | many("nr", nr)).select(*CELL, *[F.expr(f"cast(ceil({c} / {chunk}) as int)").alias(o) for c, o in (("nl", "ml"), ("nr", "mr"))]))
 
