@@ -2,7 +2,7 @@
 
 Each shape is cut to the cells that it touches, features to a skirt around them as well, so a shape travels once a cell
 and a long river or a large zone only as far as parcels are near.  Cells are as small as parcels are dense.  What lies in a cell is
-measured by numpy: lengths and areas add up over cells, distances are the least of them.
+measured by numpy: lengths and areas add up over cells, distances are the least of them.  Equal shapes are measured once (kinds()).
 """
 
 from __future__ import annotations
@@ -345,6 +345,15 @@ def shape(rings: Column | None = None, lines: Column | None = None) -> list[Colu
     return [F.flatten(F.transform(F.flatten(paths), lambda p: F.slice(p, 1, 2))).alias("xy"), F.transform(paths, lambda p: F.size(p)).alias("sizes"), F.size(rings).alias("areas")]
 
 
+def kinds(shapes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Equal shapes once, so that copies don't meet as pairs: (id, n, box, xy, sizes, areas), the least id of each and how many
+    there are; and (id, like), for each shape the least id of its equals.  Keys are digests, as shapes can be large."""
+    form = ["box", "xy", "sizes", "areas"]
+    keyed = shapes.select("id", F.sha2(F.to_json(F.struct(*form)), 256).alias("key"), *form)
+    once = checkpointed(keyed.groupBy("key", *form).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    return once.select("id", "n", *form), keyed.select("id", "key").join(once.select("key", F.col("id").alias("like")), "key").select("id", "like")
+
+
 def tiles(lefts: DataFrame, held: int = HELD) -> DataFrame:
     """(tx, ty, blocks): for each tile that parcels touch, a digit for each of its blocks, column by column: 0 where there is
     no parcel, else how often the tile's sides are halved to the cells there, so that they hold about `held` parcels."""

@@ -9,9 +9,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from landrank.operators import cohorts, corpus, geometry, nearest
+from landrank.operators import cohorts, corpus, geometry, nearest, shapes
+from landrank.plans import places
 from landrank.sources import writers
 from tests import plain_geometry
+from tests.oracle import SF, answer, assert_same
 
 
 def test_a_hot_cohort_of_distinct_values(spark):
@@ -150,3 +152,21 @@ def test_every_kth_and_counties(spark):
     assert corpus.requested(seeds, ["37003"]).count() == 1
     with pytest.raises(corpus.MissingCounties, match="37005"):
         corpus.requested(seeds, ["37001", "37005"])
+
+
+@pytest.mark.parametrize("name", ["geo_lines", "geo_water", "geo_flood", "geo_roads"])
+def test_equal_shapes_are_measured_once(spark, name, monkeypatch):
+    """Parcels and features repeated with other keys: no more shapes and pairs are measured, and the answer is the SQL's."""
+    made, met = shapes.measured, []
+    monkeypatch.setattr(shapes, "measured", lambda parcels, pieces, *a: (met.append((parcels.count(), pieces.select("id").distinct().count())), made(parcels, pieces, *a))[1])
+    assert_same(places.QUERIES[name](spark, SF).toPandas(), answer(places.SQL[name]))
+    stored = spark.read.parquet(f"{SF}/customer.parquet")
+    assert stored.count() > 1000 and met and met[0][0] <= 840 and met[0][1] <= 840
+
+
+def test_kinds_of_shapes(spark):
+    """Equal shapes have the least id; signs of zero and nulls do not lose a shape."""
+    rows = [(3, (0.0, 0.0, 1.0, 1.0), [0.0, 0.0, 1.0, 1.0]), (1, (0.0, 0.0, 1.0, 1.0), [0.0, 0.0, 1.0, 1.0]), (2, (-0.0, 0.0, 1.0, 1.0), [-0.0, 0.0, 1.0, 1.0]), (4, None, None), (5, (0.0, 0.0, 1.0, math.nan), [math.nan]), (6, (0.0, 0.0, 1.0, math.nan), [math.nan])]
+    df = spark.createDataFrame(rows, "id long, box struct<minx:double,miny:double,maxx:double,maxy:double>, xy array<double>").withColumns({"sizes": F.array(F.lit(2)), "areas": F.lit(0)})
+    once, like = shapes.kinds(df)
+    assert {r["id"]: r["n"] for r in once.collect()} == {1: 2, 2: 1, 4: 1, 5: 2} and {r["id"]: r["like"] for r in like.collect()} == {3: 1, 1: 1, 2: 2, 4: 4, 5: 5, 6: 5}
