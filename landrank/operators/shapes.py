@@ -487,22 +487,39 @@ def touched(rows: DataFrame, box: str, known: DataFrame) -> DataFrame:
     return out.select(*rows.columns, *CELL)
 
 
+def listed(rows: DataFrame, once: DataFrame, chunk: int) -> DataFrame:
+    """(like, ids): the ids of rows (id, box) with equal boxes, by the id of their kind in once (id, box, n); those of a kind with
+    very many in several lists.  Fewer than HOT_SHARE kinds are dealt so, whatever the data."""
+    total = once.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(once.filter((F.col("n") > chunk) & (F.col("n") * HOT_SHARE > total)).select("box", F.expr(f"cast(ceil(n / {chunk}) as int)").alias("m")))
+    part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("m")), F.lit(0))
+    lists = rows.join(hot, "box", "left").groupBy("box", part.alias("part")).agg(F.collect_list("id").alias("ids"))
+    return lists.join(once.select("box", F.col("id").alias("like")), "box").select("like", "ids")
+
+
 def near_boxes(left: DataFrame, right: DataFrame, metres: float = RADIUS_M, held: int = HELD, chunk: int = CHUNK) -> DataFrame:
     """Pairs (left_id, right_id) of rows (id, box), ids told apart, whose boxes come within so many metres; null boxes come near nothing.
 
-    Boxes meet in cells that are as small as either layer is dense; a pair is told in one of the cells that both touch, the one
+    Equal boxes meet others once, and their ids are put in as lists; what lists make of it is as long as the answer.  Boxes
+    meet in cells that are as small as either layer is dense; a pair is told in one of the cells that both touch, the one
     with the corner of what they share, so pairs need not be shuffled to be told once.
     """
-    known = checkpointed(tiles(left.select("box").unionByName(right.select("box")), held))
+    left, right = (d.filter("box.minx is not null").select("id", "box") for d in (left, right))
+    ones, others = (checkpointed(d.groupBy("box").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))) for d in (left, right))
+    known = checkpointed(tiles(ones.select("box").unionByName(others.select("box")), held))
     grown = expanded(tuple(F.col(f"box.{c}") for c in ("minx", "miny", "maxx", "maxy")), metres)
     wide = F.struct(*[g.alias(c) for g, c in zip(grown, ("minx", "miny", "maxx", "maxy"), strict=True)])
-    a = touched(left.filter("box.minx is not null").select("id", wide.alias("wide")), "wide", known)
-    b = touched(right.filter("box.minx is not null").select("id", F.col("box").alias("near")), "near", known)
+    a = touched(ones.select("id", wide.alias("wide")), "wide", known)
+    b = touched(others.select("id", F.col("box").alias("near")), "near", known)
     a, b = dealt(checkpointed(a), checkpointed(b), chunk)
     keys = [*CELL, "l", "r"]
     both = a.select(F.col("id").alias("left_id"), "wide", *keys).join(b.select(F.col("id").alias("right_id"), "near", *keys), keys)
     here = [F.expr(f"floor(greatest(wide.min{x}, near.min{x}) * (shiftleft(1L, k) / {TILE}D)) = c{x}") for x in "xy"]
-    return both.filter(boxes_meet("wide", "near") & here[0] & here[1]).select("left_id", "right_id")
+    met = both.filter(boxes_meet("wide", "near") & here[0] & here[1]).select("left_id", "right_id")
+    lefts, rights = (listed(d, o, chunk).select(F.col("like").alias(c), F.col("ids").alias(f"{c}s")) for d, o, c in ((left, ones, "left_id"), (right, others, "right_id")))
+    # lists are short next to the pairs that they make, so they are dealt over all tasks, however few they are
+    lists = met.join(rights, "right_id").join(lefts, "left_id").select("left_ids", "right_ids").repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return lists.select(F.explode("left_ids").alias("left_id"), "right_ids").select("left_id", F.explode("right_ids").alias("right_id"))
 
 
 def normalised(shapes: DataFrame, known: DataFrame) -> DataFrame:

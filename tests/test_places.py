@@ -164,6 +164,17 @@ def test_equal_shapes_are_measured_once(spark, name, monkeypatch):
     assert stored.count() > 1000 and met and met[0][0] <= 840 and met[0][1] <= 840
 
 
+def test_near_copies_of_boxes(spark, monkeypatch):
+    """Many parcels and features of few boxes: kinds meet, not copies, and each pair of copies is told once, from several lists as well."""
+    monkeypatch.setattr(shapes, "HOT_SHARE", 10 ** 6)
+    kinds = [(x / 100, 36.0, x / 100 + 0.004, 36.004) for x in range(4)]
+    layer = lambda n, ids: spark.createDataFrame([(ids + i, kinds[i % 4]) for i in range(n)], "id long, box struct<minx:double,miny:double,maxx:double,maxy:double>")
+    met, dealt = [], shapes.dealt
+    monkeypatch.setattr(shapes, "dealt", lambda a, b, chunk: (met.append((a.select("id").distinct().count(), b.select("id").distinct().count())), dealt(a, b, chunk))[1])
+    got = [tuple(r) for r in shapes.near_boxes(layer(90, 0), layer(70, 500), 100, chunk=8).collect()]
+    assert met == [(4, 4)] and len(got) == len(set(got)) and set(got) == {(i, 500 + j) for i in range(90) for j in range(70) if i % 4 == j % 4}
+
+
 def test_kinds_of_shapes(spark):
     """Equal shapes have the least id; signs of zero and nulls do not lose a shape."""
     rows = [(3, (0.0, 0.0, 1.0, 1.0), [0.0, 0.0, 1.0, 1.0]), (1, (0.0, 0.0, 1.0, 1.0), [0.0, 0.0, 1.0, 1.0]), (2, (-0.0, 0.0, 1.0, 1.0), [-0.0, 0.0, 1.0, 1.0]), (4, None, None), (5, (0.0, 0.0, 1.0, math.nan), [math.nan]), (6, (0.0, 0.0, 1.0, math.nan), [math.nan])]
