@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,6 +29,18 @@ def test_positive_quantity(spark, raw, value, reason):
     assert (r["value"], r["unknown_reason"]) == (value, reason)
 
 
+def test_numbers_take_no_detour_by_text(spark):
+    """Doubles and whole numbers are measured as they are, with the reasons that their texts give; floats and decimals by their text, as feeds write them."""
+    values = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, -1.5, 0.1, 1e300, 5e-324, 123456789.125]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select(M.positive_quantity(F.col("x")).alias("m"), M.positive_quantity(F.col("x").cast("string")).alias("t"))
+    assert all(r["m"] == r["t"] for r in got.collect())
+    plan = df.select(M.safe_divide(M.positive_quantity(F.col("x")), M.positive_quantity(F.col("x"))).alias("q"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in plan and "trim" not in plan
+    assert one(spark, M.positive_quantity(F.lit(7)).alias("m"))["m"]["value"] == 7 and one(spark, M.positive_quantity(F.expr("0.1f")).alias("m"))["m"]["value"] == 0.1
+    assert one(spark, M.positive_quantity(F.expr("2.50BD")).alias("m"))["m"]["value"] == 2.5 and one(spark, M.positive_quantity(F.lit(True)).alias("m"))["m"]["unknown_reason"] == "non-numeric"
+
+
 @pytest.mark.parametrize("raw, reason", [
     ("-2208988800000", "date-sentinel"), ("0", "zero-sentinel"), ("1/1/1900 12:00:00 AM", "date-sentinel"), ("soon", "non-numeric"), ("1700000000000", None),
     ("9000000000000", "implausible-date"), ("2020-05-01", None), ("-6847804800000", "date-sentinel"), ("-9000000000000", "implausible-date")])
