@@ -11,6 +11,7 @@ from landrank.functions import text as X
 from landrank.functions.measured import js_round
 from landrank.operators import corpus, keys, publish, quality, score, search
 from landrank.plans.ranking import table
+from landrank.session import checkpointed
 
 #: 2024-01-01 in epoch milliseconds.
 NOW_MS = 1_704_067_200_000
@@ -229,7 +230,8 @@ def evidence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored customers as listings: how many are low in evidence, follow not from their signals, or hold broken signals."""
-    s = corpus.scored_corpus(**_corpus(spark, sf_dir), floor_rows=3)
+    # scored once, as three counts are taken of it
+    s = checkpointed(corpus.scored_corpus(**_corpus(spark, sf_dir), floor_rows=3).select("record_id", "cheapness", "components", "roll"))
     li = publish.listing(s.select("record_id", "cheapness", "components", "roll"))
     count = lambda d, what: d.select(F.lit(what).alias("what"))
     rows = li.select(F.when(F.col("low_evidence"), "low-evidence").otherwise("listing").alias("what")).unionByName(count(publish.not_derivable(li), "not-derivable"))

@@ -181,3 +181,10 @@ def test_kinds_of_shapes(spark):
     df = spark.createDataFrame(rows, "id long, box struct<minx:double,miny:double,maxx:double,maxy:double>, xy array<double>").withColumns({"sizes": F.array(F.lit(2)), "areas": F.lit(0)})
     once, like = shapes.kinds(df)
     assert {r["id"]: r["n"] for r in once.collect()} == {1: 2, 2: 1, 4: 1, 5: 2} and {r["id"]: r["like"] for r in like.collect()} == {3: 1, 1: 1, 2: 2, 4: 4, 5: 5, 6: 5}
+
+
+def test_listings_are_scored_once(spark):
+    """Three counts of scored rows: what is left to do when the answer is asked for holds none of the scoring's joins."""
+    from landrank.plans import staging
+
+    assert "Join" not in staging.listing_rows(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
