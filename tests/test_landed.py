@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 
 from pyspark.sql import functions as F
 
 from landrank.operators import evidence
 from landrank.sources import features as X
+from landrank.sources import readers
 
 
 def test_features_and_reasons(spark):
@@ -69,3 +71,13 @@ def test_published_status(spark):
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "source_id string")
     got = {tuple(r) for r in evidence.status_problems(published, ids("a", "b"), ids("b", "c", "z")).collect()}
     assert got == {("c", "undeclared"), (None, "undeclared"), ("b", "refused"), ("c", "refused"), ("b", "success-without-run")}
+
+
+def test_pdf_streams_that_end_like_a_line(spark):
+    """Compressed bytes may end in CR or LF: they are the stream's own, whatever line end follows; cut streams are passed over."""
+    shown = lambda i: b"BT (" + str(i).encode() + b") Tj ET"
+    ends = {e: next(i for i in range(10 ** 5) if zlib.compress(shown(i)).endswith(e)) for e in (b"\r", b"\n", b"a")}
+    rows = [(f"{e!r} {line!r}", b"%PDF /Font stream\r\n" + zlib.compress(shown(i)) + line + b"endstream\n", str(i)) for e, i in ends.items() for line in (b"\n", b"\r\n")]
+    rows.append(("cut", b"%PDF /Font stream\n" + zlib.compress(shown(1))[:-2] + b"\nendstream\n", ""))
+    got = readers.pdf_flattened(spark.createDataFrame(rows, "name string, content binary, want string"), ["name", "want"]).collect()
+    assert len(got) == len(rows) and all(r["text"] == r["want"] for r in got), got
