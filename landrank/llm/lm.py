@@ -21,13 +21,13 @@ from landrank.llm.toxicity import fold
 #: Words with a code of their own: SYMBOLS at least, one to WORDS_A_SYMBOL of the vocabulary, MOST_SYMBOLS at most; all
 #: others are spelled, by a model that grows with the vocabulary.
 SYMBOLS, WORDS_A_SYMBOL, MOST_SYMBOLS = 254, 64, 16_384
-#: Latent classes of texts; words whose co-occurrence in all training documents makes them, chosen on a pilot of so many.
-CLASSES, INDICATORS, PILOT = 8, 254, 2000
+#: Latent classes of texts; words whose co-occurrence in all training documents makes them.
+CLASSES, INDICATORS = 8, 254
 #: Slots of the tables of word contexts as powers of 2: of the class, and of the words before, which get more with the
 #: vocabulary up to the last; and of the tables of letter contexts.
 CLASS_BITS, WORD_BITS, SPELL_BITS = 15, (20, 21), (18, 20, 20)
-#: One in LEARN texts moves the mixing weights that all texts start from; tokens after which a text's own are moved.
-LEARN, STEP = 8, 128
+#: Tokens after which a text's own mixing weights are moved.
+STEP = 128
 #: Words that a task spells at a time, about; words whose counts and costs every task knows; slots of a block of a table.
 SPELLED, COMMON, BLOCK_BITS = 20_000, 100_000, 16
 #: Groups in which tasks' weights are added up.
@@ -357,34 +357,39 @@ class Model:
         less, so that rare words teach how new ones are spelled.
         """
         word, place, at, slots, starts = self.spelled(words, c)
-        bit, times = self.letters.bit[at], n[word].astype(np.float64)
-        full = list(map(_logits, self.spell_tables, slots))
-        less, known, known_less = list(full), [], []
-        for h in starts:
-            k = pd.factorize(h)[0]
-            ones = np.bincount(k, times * bit).astype(np.float32)[k]
-            zeros = np.bincount(k, times).astype(np.float32)[k] - ones
-            heard = place >= silent[word]
-            full.append(np.where(heard, _logit(zeros, ones), np.float32(0)))
-            ones, zeros = np.maximum(ones - bit, 0), np.maximum(zeros - (1 - bit), 0)
-            less.append(np.where(heard, _logit(zeros, ones), np.float32(0)))
-            known.append(full[-1] != 0)
-            known_less.append(less[-1] != 0)
-        depth = np.minimum(place, PLACES - 1) * LEVELS
-        key, key_less = depth + known[0] + known[1], depth + known_less[0] + known_less[1]
-        out, mix = np.zeros(len(words)), Mix(PLACES * LEVELS, len(full))
+        bit, counted = self.letters.bit[at], []
+        del at
+        while starts:  # of each beginning and step its number, and its counts; a hash goes as soon as it is numbered
+            k, own = pd.factorize(starts.pop(0))
+            times = n[word].astype(np.float64)
+            total = np.bincount(k, times, len(own)).astype(np.float32)
+            times *= bit
+            counted.append((k.astype(np.int32), np.bincount(k, times, len(own)).astype(np.float32), total))
+            del k, times
+        out, mix = np.zeros(len(words)), Mix(PLACES * LEVELS, len(slots) + len(counted))
         cuts = np.searchsorted(word, np.arange(0, len(words) + 512, 512))
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):  # inputs are made for these words alone, as there are many to a bit
             if s == e:
                 continue
-            p, _, _ = mix.refined(mix.mixed([x[s:e] for x in full], key[s:e]), key[s:e])
-            b = bit[s:e]
+            b, heard, times = bit[s:e], place[s:e] >= silent[word[s:e]], n[word[s:e]].astype(np.float64)
+            full = [_logits(t, x[s:e]) for t, x in zip(self.spell_tables, slots, strict=True)]
+            less, known, known_less = list(full), [], []
+            for k, ones, total in counted:
+                one = ones[k[s:e]]
+                zero = total[k[s:e]] - one
+                full.append(np.where(heard, _logit(zero, one), np.float32(0)))
+                less.append(np.where(heard, _logit(np.maximum(zero - (1 - b), 0), np.maximum(one - b, 0)), np.float32(0)))
+                known.append(full[-1] != 0)
+                known_less.append(less[-1] != 0)
+            depth = np.minimum(place[s:e], PLACES - 1) * LEVELS
+            key = depth + known[0] + known[1]
+            p, _, _ = mix.refined(mix.mixed(full, key), key)
             first = int(word[s])
             got = np.bincount(word[s:e] - first, np.log(np.abs(p - (1 - b))))
             out[first:first + len(got)] += got
-            seen = times[s:e] > 0
+            seen = times > 0
             if seen.any():
-                x, k, b = [v[s:e][seen] for v in less], key_less[s:e][seen], b[seen]
+                x, k, b = [v[seen] for v in less], (depth + known_less[0] + known_less[1])[seen], b[seen]
                 _, plain, spot = mix.refined(mix.mixed(x, k), k)
                 mix.learn(x, k, b - plain, RATE)
                 mix.adapt(spot, b, MAP_RATE)
@@ -488,10 +493,9 @@ def most_frequent(df: DataFrame, n: str, key: list[str], k: int) -> DataFrame:
     return df.filter((F.col(n) > least) | ((F.col(n) == least) & some)).orderBy(F.col(n).desc(), *key).limit(k)
 
 
-def pilot(docs: DataFrame, total: int) -> list[bytes]:
-    """Words that a small sample of documents has most often: those whose co-occurrence is counted, over all documents."""
-    draw = F.pmod(F.xxhash64(F.lit(10), "doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, PILOT / max(1, total)))
-    words = docs.filter(draw).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("w"))
+def indicators_of(docs: DataFrame) -> list[bytes]:
+    """Words that most of the documents hold, all of them counted: those whose co-occurrence is counted next."""
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("w"))
     return [r["w"].encode() for r in words.groupBy("w").count().orderBy(F.col("count").desc(), "w").limit(INDICATORS).collect()]
 
 
@@ -572,8 +576,7 @@ def counted(docs: DataFrame, model) -> DataFrame:
     """Spelled words by class; blocks of the word contexts' counts; and, as blocks below 0, weights: the latter two of
     training documents only.
 
-    Weights are learned online: a batch's bits are predicted from what the task has counted before, and one in LEARN
-    texts moves the weights.
+    Weights are learned online: a batch's bits are predicted from what the task has counted before, and each moves them.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = pickle.loads(zlib.decompress(model.value))
@@ -595,7 +598,7 @@ def counted(docs: DataFrame, model) -> DataFrame:
             c = m.classes(t)
             train = ~batch["held_out"].to_numpy(bool)
             bases = m.bases(t, c)
-            tokens = np.flatnonzero(np.repeat(train & batch["some"].to_numpy(bool), t.size))
+            tokens = np.flatnonzero(np.repeat(train, t.size))
             for first in range(0, len(tokens), 1024):
                 part = tokens[first:first + 1024]
                 n, at = m.code.steps(t.symbol[part])
@@ -605,7 +608,6 @@ def counted(docs: DataFrame, model) -> DataFrame:
                 mix.learn(x, key, bit - plain, RATE)
                 mix.adapt(spot, bit, MAP_RATE)
                 learned += len(bit)
-            tokens = np.flatnonzero(np.repeat(train, t.size))
             for first in range(0, len(tokens), 100_000):
                 part = tokens[first:first + 100_000]
                 n, at = m.code.steps(t.symbol[part])
@@ -624,8 +626,7 @@ def counted(docs: DataFrame, model) -> DataFrame:
             out[k] = pd.array([None] * len(out), "Int64")
         yield out
 
-    some = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(LEARN)) == 0
-    return docs.select("text", "held_out", some.alias("some")).mapInPandas(run, COUNTED)
+    return docs.select("text", "held_out").mapInPandas(run, COUNTED)
 
 
 def spellings(words: DataFrame, model) -> DataFrame:
@@ -705,7 +706,7 @@ def mixing_scores(docs: DataFrame) -> DataFrame:
     sent = lambda x: spark.sparkContext.broadcast(zlib.compress(pickle.dumps(x), 1))
     docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", (fold(F.col("doc_id"), 10) == 0).alias("held_out"))
     training = docs.filter(~F.col("held_out"))
-    top, escapes, ends, letters, vocabulary, indicators, meet = fitted_counts(training, pilot(training, training.count()))
+    top, escapes, ends, letters, vocabulary, indicators, meet = fitted_counts(training, indicators_of(training))
     n_train = escapes + sum(c for _, c in top) + ends
     below = n_train + 0.1 * (vocabulary + (1 if ends else 0) + 1)
     m = Model(top, escapes, ends, letters, vocabulary, indicators, meet)

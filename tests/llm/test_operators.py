@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import io
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -809,3 +810,21 @@ def test_attach(spark):
     facts = spark.createDataFrame([("hot", 2000, "H"), ("k2001", 1, "C"), (None, 1, "N")], "k string, n long, v string")
     got = {(r["i"], r["k"]): r["v"] for r in common.attach(rows, facts, "k", "i", 2102).collect()}
     assert len(got) == 2102 and got[5, "hot"] == "H" and got[2001, "k2001"] == "C" and got[2002, "k2002"] is None and got[1, None] == "N" and got[2, "none"] is None
+
+
+def test_indicators_are_of_all_documents(spark):
+    """Words in an exact order of how many documents hold them: a sample of documents would not tell it."""
+    words = [f"w{i:03d}" for i in range(lm.INDICATORS + 20)]
+    held = [(d, " ".join(w for i, w in enumerate(words) if d < 3000 - 3 * i)) for d in range(3000)]
+    got = lm.indicators_of(spark.createDataFrame(held, "doc_id long, text string"))
+    assert got == [w.encode() for w in words[:lm.INDICATORS]]
+
+
+def test_every_training_text_teaches_weights(spark):
+    """Bits that moved the weights are all those of training texts' codes."""
+    texts = [f"a b c{i % 7} d" for i in range(40)]
+    docs = spark.createDataFrame([(i, x, i % 5 == 0) for i, x in enumerate(texts)], "doc_id string, text string, held_out boolean")
+    m = lm.Model([(b"a", 40), (b"b", 40), (b"d", 40)], 40, 40, np.ones(256), 10, [], np.zeros((0, 0)))
+    seen = lm.taught(lm.counted(docs, spark.sparkContext.broadcast(zlib.compress(pickle.dumps(m), 1))).filter("block < 0"))[2]
+    n, _ = m.code.steps(np.array([0, 1, m.escape, 2, m.end]))
+    assert seen == 32 * int(n.sum())
