@@ -26,6 +26,8 @@ BLOCKS, FINEST = 4, 8
 #: Parcels in a cell, about; pieces of a cell that one task takes before the cell is dealt over several.
 HELD, CHUNK = 256, 4096
 HOT_SHARE = 1000
+#: Kinds of equal shapes, some 100 bytes each, that every task may know.
+FEW = 100_000
 METRES = math.pi / 180 * EARTH_M
 #: Metres around a cell to which shapes are cut; a bit over the search radius, as degrees are taken as somewhat longer there.
 SKIRT = RADIUS_M * 1.02
@@ -345,13 +347,23 @@ def shape(rings: Column | None = None, lines: Column | None = None) -> list[Colu
     return [F.flatten(F.transform(F.flatten(paths), lambda p: F.slice(p, 1, 2))).alias("xy"), F.transform(paths, lambda p: F.size(p)).alias("sizes"), F.size(rings).alias("areas")]
 
 
-def kinds(shapes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def kinds(shapes: DataFrame, made_of: list[str] | None = None, few: int = FEW) -> tuple[DataFrame, DataFrame]:
     """Equal shapes once, so that copies don't meet as pairs: (id, n, box, xy, sizes, areas), the least id of each and how many
-    there are; and (id, like), for each shape the least id of its equals.  Keys are digests, as shapes can be large."""
-    form = ["box", "xy", "sizes", "areas"]
-    keyed = shapes.select("id", F.sha2(F.to_json(F.struct(*form)), 256).alias("key"), *form)
-    once = checkpointed(keyed.groupBy("key", *form).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
-    return once.select("id", "n", *form), keyed.select("id", "key").join(once.select("key", F.col("id").alias("like")), "key").select("id", "like")
+    there are; and (id, like), for each shape the least id of its equals.  Keys are digests, as shapes can be large.
+
+    Where a few columns say what a shape is, as a corner and a side do of a square, made_of names them: they are the key,
+    no shape need be there yet, and the first table is (id, n, *made_of), the second all columns of shapes and like.
+    At most `few` kinds are broadcast to find each shape's; more are shuffled with the shapes.
+    """
+    form = made_of or ["box", "xy", "sizes", "areas"]
+    keyed, key = (shapes, made_of) if made_of else (shapes.select("id", F.sha2(F.to_json(F.struct(*form)), 256).alias("key"), *form), ["key"])
+    once = checkpointed(keyed.groupBy(*dict.fromkeys([*key, *form])).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")))
+    like = once.select(*[F.col(c).alias(f"__{c}") for c in key], F.col("id").alias("like"))
+    if once.count() <= few:
+        like = F.broadcast(like)
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]
+    own = (keyed if made_of else keyed.select("id", "key")).join(like, same).drop(*[f"__{c}" for c in key])
+    return once.select("id", "n", *form), own if made_of else own.select("id", "like")
 
 
 def tiles(lefts: DataFrame, held: int = HELD) -> DataFrame:

@@ -188,3 +188,20 @@ def test_listings_are_scored_once(spark):
     from landrank.plans import staging
 
     assert "Join" not in staging.listing_rows(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["geo_lines", "geo_roads", "geo_flood", "geo_water"])
+def test_shapes_are_made_of_kinds_alone(spark, name):
+    """Rows are told apart by a corner and a side: no ring is built, written out or hashed for each of them."""
+    plan = places.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan and "to_json" not in plan and "array(array(array(" not in plan
+
+
+def test_kinds_by_what_they_are_made_of(spark):
+    """As digests tell: equal ones meet, nulls are a kind, other columns stay; and alike where kinds are shuffled."""
+    rows = [(3, 1.0, 2.0, "a"), (1, 1.0, 2.0, "b"), (2, 2.0, 1.0, "c"), (5, None, 1.0, "d"), (4, None, 1.0, "e")]
+    df = spark.createDataFrame(rows, "id long, x double, y double, note string")
+    for few in (100, 0):
+        once, own = shapes.kinds(df, ["x", "y"], few)
+        assert sorted(map(tuple, once.collect())) == [(1, 2, 1.0, 2.0), (2, 1, 2.0, 1.0), (4, 2, None, 1.0)]
+        assert {r["id"]: (r["like"], r["note"]) for r in own.collect()} == {3: (1, "a"), 1: (1, "b"), 2: (2, "c"), 5: (4, "d"), 4: (4, "e")}
