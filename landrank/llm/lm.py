@@ -7,6 +7,7 @@ import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from landrank.llm.common import WORD, small_batches, written
+from landrank.llm.common import small_batches, written
 from landrank.llm.toxicity import fold
 
 #: Words with a code of their own: SYMBOLS at least, one to WORDS_A_SYMBOL of the vocabulary, MOST_SYMBOLS at most; all
@@ -103,35 +104,44 @@ class Code:
 class Lexicon(dict):
     """Numbers of words in the order in which a task meets them, and what a model knows of each.
 
-    The last entry of the arrays is the end of a text, whose number is -1.  Forgets all when asked to, once it is large.
+    Words that the model or the task's rows know come first, so that of others only the hash is to be told.  The last entry
+    of the arrays is the end of a text, whose number is -1.  Forgets all others when asked to, once they are many.
     """
 
     def __init__(self, model: Model, rows: dict | None = None) -> None:
-        self.model, self.rows = model, rows or {}
+        rows = rows or {}
+        self.first = {w: i for i, w in enumerate(dict.fromkeys([*model.symbol, *model.indicator, *rows]))}
+        self.other, self.end = (model.escape, len(model.indicator), 0, -1), (model.end, len(model.indicator), 0, -1)
+        facts = [(model.symbol.get(w, model.escape), model.indicator.get(w, len(model.indicator)), xxhash.xxh64_intdigest(w), rows.get(w, -1)) for w in self.first]
+        self.known = [np.array(x, k) for x, k in zip(zip(*facts, self.end), ("i4", "i4", "u8", "i4"), strict=True)]
         self.forget(0)
 
+    def others(self) -> int:
+        return len(self) - len(self.first)
+
     def forget(self, most: int = 200_000) -> None:
-        if len(self) >= most:
+        if self.others() >= most or not most:
             self.clear()
-            self.words: list[bytes] = []
-            self.facts: list[tuple] = []
-            end = (self.model.end, len(self.model.indicator), 0, -1)
-            self.arrays = [np.array([x], k) for x, k in zip(end, ("i4", "i4", "u8", "i4"), strict=True)]
+            self.update(self.first)
+            self.words: list[bytes] = list(self.first)
+            self.arrays, self.told = self.known, len(self.words)
 
     def __missing__(self, word: bytes) -> int:
-        m, n = self.model, len(self.words)
+        n = self[word] = len(self.words)
         self.words.append(word)
-        self.facts.append((m.symbol.get(word, m.escape), m.indicator.get(word, len(m.indicator)), xxhash.xxh64_intdigest(word), self.rows.get(word, -1)))
-        self[word] = n
         return n
 
     def settled(self) -> list[np.ndarray]:
         """Symbols, indicators, hashes and rows in what a task was told (-1: none) of all words so far."""
-        if self.facts:
-            new = zip(*self.facts, strict=True)
-            self.arrays = [np.concatenate([old[:-1], np.array(x, old.dtype), old[-1:]]) for old, x in zip(self.arrays, new, strict=True)]
-            self.facts = []
-        return self.arrays
+        n, told = len(self.words), self.told
+        if n > told:
+            if n >= len(self.arrays[0]):
+                self.arrays = [np.concatenate([x, np.empty(n, x.dtype)]) for x in self.arrays]
+            for x, other, end in zip(self.arrays, self.other, self.end, strict=True):
+                x[told:n], x[n] = other, end
+            self.arrays[2][told:n] = np.fromiter(map(xxhash.xxh64_intdigest, self.words[told:]), np.uint64, n - told)
+            self.told = n
+        return [x[:n + 1] for x in self.arrays]
 
 
 class Text:
@@ -142,9 +152,10 @@ class Text:
         n = np.fromiter(map(len, split), np.int64, len(split))
         self.size = n + 1
         self.start = np.cumsum(self.size) - self.size
-        self.token = np.full(int(self.size.sum()), -1, np.int32)
-        for start, words in zip(self.start.tolist(), split, strict=True):
-            self.token[start:start + len(words)] = np.fromiter(map(lexicon.__getitem__, words), np.int32, len(words))
+        words = np.ones(int(self.size.sum()), bool)
+        words[self.start + n] = False
+        self.token = np.full(len(words), -1, np.int32)
+        self.token[words] = np.fromiter(map(lexicon.__getitem__, chain.from_iterable(split)), np.int32, int(n.sum()))
         self.symbol, self.sign, self.hash, self.row = (x[self.token] for x in lexicon.settled())
         self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.size)
         self.place = np.arange(len(self.doc), dtype=np.int32) - self.start[self.doc].astype(np.int32)
@@ -418,6 +429,7 @@ class Tables:
     def __init__(self, bits: tuple[int, ...]) -> None:
         self.base = np.concatenate([[0], np.cumsum([1 << b for b in bits])])
         self.n = np.zeros((2, int(self.base[-1])), np.uint32)
+        self.said = np.zeros(self.n.shape[1], np.int8)
         self.held: list[list[np.ndarray]] = [[] for _ in bits]
         self.events = 0
 
@@ -434,6 +446,7 @@ class Tables:
                 a, b = int(self.base[k]), int(self.base[k + 1])
                 self.n[:, a:b] += np.bincount(np.concatenate(own), minlength=2 * (b - a)).reshape(-1, 2).T.astype(np.uint32)
                 own.clear()
+                self.said[a:b] = _whole(_logit(*self.n[:, a:b].astype(np.float32)))
         self.events = 0
 
     def weighted(self, slots: list[np.ndarray], bit: np.ndarray, weight: np.ndarray) -> None:
@@ -442,11 +455,8 @@ class Tables:
             self.n[:, a:b] += np.bincount(s << _H(1) | bit.astype(_H), weight, 2 * (b - a)).reshape(-1, 2).T.astype(np.uint32)
 
     def logits(self, slots: list[np.ndarray]) -> list[np.ndarray]:
-        """What has been settled so far says."""
-        out = []
-        for a, s in zip(self.base.tolist(), slots, strict=False):
-            out.append(_logit(_at(self.n[0, a:], s), _at(self.n[1, a:], s)).astype(np.float32))
-        return out
+        """What has been settled so far says, in the steps in which tables are stored."""
+        return [_logits(self.said[a:], s) for a, s in zip(self.base.tolist(), slots, strict=False)]
 
     def rows(self) -> Iterator[tuple]:
         self.settle()
@@ -495,8 +505,20 @@ def most_frequent(df: DataFrame, n: str, key: list[str], k: int) -> DataFrame:
 
 def indicators_of(docs: DataFrame) -> list[bytes]:
     """Words that most of the documents hold, all of them counted: those whose co-occurrence is counted next."""
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("w"))
-    return [r["w"].encode() for r in words.groupBy("w").count().orderBy(F.col("count").desc(), "w").limit(INDICATORS).collect()]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: Counter = Counter()
+        flush = lambda: pd.DataFrame({"w": list(held), "n": list(held.values())})
+        for b in batches:
+            for text in b["text"]:
+                if text is not None:
+                    held.update(set(text.encode("utf-8", "surrogatepass").lower().split()))
+            if len(held) > 300_000:
+                yield flush()
+                held.clear()
+        yield flush()
+
+    words = docs.select("text").mapInPandas(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    return [bytes(r["w"]) for r in words.orderBy(F.col("n").desc(), "w").limit(INDICATORS).collect()]
 
 
 def vocabulary_of(texts: DataFrame, indicators: list[bytes] = ()) -> DataFrame:
@@ -576,7 +598,8 @@ def counted(docs: DataFrame, model) -> DataFrame:
     """Spelled words by class; blocks of the word contexts' counts; and, as blocks below 0, weights: the latter two of
     training documents only.
 
-    Weights are learned online: a batch's bits are predicted from what the task has counted before, and each moves them.
+    Weights are learned online: bits are predicted from what the task has counted before, by logits as they are stored, and
+    each moves them; what contexts a part's bits have is made once, to learn from and to count.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = pickle.loads(zlib.decompress(model.value))
@@ -599,22 +622,22 @@ def counted(docs: DataFrame, model) -> DataFrame:
             train = ~batch["held_out"].to_numpy(bool)
             bases = m.bases(t, c)
             tokens = np.flatnonzero(np.repeat(train, t.size))
-            for first in range(0, len(tokens), 1024):
-                part = tokens[first:first + 1024]
-                n, at = m.code.steps(t.symbol[part])
-                x = tables.logits(m.slots(bases, part, n, at))
-                key, bit = m.gate(at, x), m.code.bit[at]
-                _, plain, spot = mix.refined(mix.mixed(x, key), key)
-                mix.learn(x, key, bit - plain, RATE)
-                mix.adapt(spot, bit, MAP_RATE)
-                learned += len(bit)
-            for first in range(0, len(tokens), 100_000):
-                part = tokens[first:first + 100_000]
+            for first in range(0, len(tokens), 1 << 16):
+                part = tokens[first:first + (1 << 16)]
                 n, at = m.code.steps(t.symbol[part])
-                tables.add(m.slots(bases, part, n, at), m.code.bit[at])
+                slots, bits = m.slots(bases, part, n, at), _at(m.code.bit, at)
+                cuts = [*(np.cumsum(n) - n)[::1024].tolist(), len(at)]
+                for s, e in zip(cuts, cuts[1:]):
+                    x, bit = tables.logits([own[s:e] for own in slots]), bits[s:e]
+                    key = m.gate(at[s:e], x)
+                    _, plain, spot = mix.refined(mix.mixed(x, key), key)
+                    mix.learn(x, key, bit - plain, RATE)
+                    mix.adapt(spot, bit, MAP_RATE)
+                learned += len(at)
+                tables.add(slots, bits)
             rare = np.flatnonzero(t.symbol == m.escape)
             held.append((t.token[rare].astype(np.int64) * CLASSES + c[rare]) << 1 | train[t.doc[rare]])
-            if len(lexicon) >= 200_000 or sum(map(len, held)) > 3_000_000:
+            if lexicon.others() >= 200_000 or sum(map(len, held)) > 3_000_000:
                 yield flush()
                 lexicon.forget()
         yield flush()

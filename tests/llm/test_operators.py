@@ -828,3 +828,43 @@ def test_every_training_text_teaches_weights(spark):
     seen = lm.taught(lm.counted(docs, spark.sparkContext.broadcast(zlib.compress(pickle.dumps(m), 1))).filter("block < 0"))[2]
     n, _ = m.code.steps(np.array([0, 1, m.escape, 2, m.end]))
     assert seen == 32 * int(n.sum())
+
+
+def test_contexts_are_made_once_a_token(spark, monkeypatch):
+    """What a task learns from and what it counts are the same slots: they are made once, and lexicons tell words by what is known of them."""
+    import pickle
+    import zlib
+
+    docs = spark.createDataFrame([(i, "a b c d zz " * 40, i % 10 == 0) for i in range(20)], "doc_id long, text string, held_out boolean")
+    m = lm.Model([(b"a", 40), (b"b", 40), (b"d", 40)], 40, 40, np.ones(256), 10, [b"c"], np.ones((1, 1)))
+    made, calls = lm.Model.slots, []
+    monkeypatch.setattr(lm.Model, "slots", lambda self, bases, of, n, at: (calls.append(len(of)), made(self, bases, of, n, at))[1])
+
+    class Plain:
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, run, schema):
+            monkeypatch.setattr(lm.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+            return list(run([docs.select("text", "held_out").toPandas()]))
+
+    class Sent:
+        value = zlib.compress(pickle.dumps(m), 1)
+
+    out = lm.counted(Plain(), Sent())
+    assert sum(calls) == 18 * 201
+    words = [(r.word, getattr(r, "n_train"), r.n_all) for o in out for r in o.itertuples() if r.word is not None]
+    assert sorted({w for w, *_ in words}) == ["c", "zz"] and sum(n for w, n, _ in words if w == "zz") == 18 * 40 and sum(n for w, _, n in words if w == "zz") == 20 * 40
+    lexicon = lm.Lexicon(m, {b"zz": 7, b"a": 3})
+    for again in range(2):
+        numbers = [lexicon[w] for w in (b"a", b"c", b"zz", b"new", b"new")] + [-1]
+        symbol, sign, told, row = (x[numbers].tolist() for x in lexicon.settled())
+        assert symbol == [0, 3, 3, 3, 3, 4] and sign == [1, 0, 1, 1, 1, 1] and row == [3, -1, 7, -1, -1, -1] and told[3] == told[4] != told[0] and lexicon.others() == 1
+        lexicon.forget(1)
+        assert lexicon.others() == 0 and len(lexicon.words) == len(lexicon)
+
+
+def test_indicators_are_lower_cased_as_tokens_are(spark):
+    """A-Z alone are lower-cased, as in what is counted later: an indicator that no token equals is none."""
+    held = spark.createDataFrame([(i, "\u00c4B a\u0085b \u0130") for i in range(3)] + [(4, None)], "doc_id long, text string")
+    assert lm.indicators_of(held) == sorted("\u00c4b a\u0085b \u0130".encode().split(b" "))
