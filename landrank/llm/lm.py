@@ -5,15 +5,15 @@ from __future__ import annotations
 import heapq
 import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landrank.llm.common import small_batches, written
@@ -29,6 +29,8 @@ CLASSES, INDICATORS = 8, 254
 CLASS_BITS, WORD_BITS, SPELL_BITS = 15, (20, 21), (18, 20, 20)
 #: Tokens after which a text's own mixing weights are moved.
 STEP = 128
+#: Texts that are scored side by side.
+TOGETHER = 32
 #: Words that a task spells at a time, about; words whose counts and costs every task knows; slots of a block of a table.
 SPELLED, COMMON, BLOCK_BITS = 20_000, 100_000, 16
 #: Groups in which tasks' weights are added up.
@@ -58,7 +60,9 @@ def _whole(logit: np.ndarray) -> np.ndarray:
 
 
 def _logits(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    return _at(table, slots).astype(np.float32) * np.float32(1 / FINE)
+    out = table[slots.astype(np.intp)].astype(np.float32)
+    out *= np.float32(1 / FINE)
+    return out
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -90,7 +94,7 @@ class Code:
         self.start = (np.cumsum(self.length) - self.length).astype(np.int32)
         steps = np.array([s for p in paths for s in p], np.int64).reshape(-1, 2)
         self.node, self.bit = steps[:, 0].astype(_H) * _SPREAD, steps[:, 1].astype(np.float32)
-        self.gate = np.minimum(np.arange(len(steps)) - np.repeat(self.start, self.length), DEPTHS - 1).astype(np.int32) * LEVELS
+        self.gate = np.minimum(np.arange(len(steps)) - np.repeat(self.start, self.length), DEPTHS - 1).astype(np.intp) * LEVELS
 
     def steps(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The number of steps of each symbol, and where they are in node, bit and depth."""
@@ -101,6 +105,19 @@ class Code:
         return n, at
 
 
+def tokens(texts: list | pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """How many words each text has, and all of them as bytes one after the other; A-Z lower-cased, null without words."""
+    if isinstance(texts, pa.Array):
+        whole = pc.fill_null(texts.cast(pa.large_string()), "")
+    else:
+        whole = pa.array([b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts], pa.large_binary()).view(pa.large_string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(whole))
+    words, n = split.flatten(), np.diff(split.offsets.to_numpy())
+    some = pc.greater(pc.binary_length(words), 0)  # before the first and after the last white space there is none
+    doc = np.repeat(np.arange(len(texts)), n)[some.to_numpy(zero_copy_only=False)]
+    return np.bincount(doc, minlength=len(texts)), words.filter(some).view(pa.large_binary())
+
+
 class Lexicon(dict):
     """Numbers of words in the order in which a task meets them, and what a model knows of each.
 
@@ -148,14 +165,16 @@ class Text:
     """A batch of texts as numbers: for each token its word's, -1 being the end, and its text and place in it."""
 
     def __init__(self, texts: list, lexicon: Lexicon) -> None:
-        split = [[] if t is None else t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        n = np.fromiter(map(len, split), np.int64, len(split))
+        n, words = tokens(texts)
+        words = words.dictionary_encode()
+        met = words.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(lexicon.__getitem__, met.tolist()), np.int32, len(met))
         self.size = n + 1
         self.start = np.cumsum(self.size) - self.size
-        words = np.ones(int(self.size.sum()), bool)
-        words[self.start + n] = False
-        self.token = np.full(len(words), -1, np.int32)
-        self.token[words] = np.fromiter(map(lexicon.__getitem__, chain.from_iterable(split)), np.int32, int(n.sum()))
+        inner = np.ones(int(self.size.sum()), bool)
+        inner[self.start + n] = False
+        self.token = np.full(len(inner), -1, np.int32)
+        self.token[inner] = number[words.indices.to_numpy()]
         self.symbol, self.sign, self.hash, self.row = (x[self.token] for x in lexicon.settled())
         self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.size)
         self.place = np.arange(len(self.doc), dtype=np.int32) - self.start[self.doc].astype(np.int32)
@@ -209,9 +228,9 @@ class Mix:
         return out
 
     def mixed(self, x: list[np.ndarray], key: np.ndarray) -> np.ndarray:
-        z = _at(self.w[-1], key)
+        z = self.w[-1][key]
         for w, own in zip(self.w, x, strict=False):
-            part = _at(w, key)
+            part = w[key]
             part *= own
             z += part
         return z
@@ -219,24 +238,32 @@ class Mix:
     def refined(self, z: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
         """The probability of a one: the mean of the mixed one and of what the map makes of it; and the mixed one itself."""
         z = np.minimum(np.maximum(z, np.float32(-8)), np.float32(8))
-        f = (z + np.float32(8)) * np.float32((APM - 1) / 16)
-        low = np.minimum(f.astype(np.int32), np.int32(APM - 2))
-        f -= low
-        at = key * np.int32(APM) + low
+        f = z + np.float32(8)
+        f *= np.float32((APM - 1) / 16)
+        at = f.astype(np.intp)
+        np.minimum(at, APM - 2, out=at)
+        f -= at.astype(np.float32)
+        at += key * APM
         flat = self.map.ravel()
-        under = _at(flat, at)
-        own = under + (_at(flat, at + 1) - under) * f
-        p = 1 / (1 + np.exp(-z))
-        return np.float32(0.5) * (own + p), p, (at, f, own)
-
-    def learn(self, x: list[np.ndarray], key: np.ndarray, err: np.ndarray, rate: float, weight: np.ndarray | None = None) -> None:
+        under = flat[at]
+        own = flat[1:][at]
+        own -= under
+        own *= f
+        own += under
+        p = np.exp(np.negative(z, out=z), out=z)
+        p += 1
+        np.reciprocal(p, out=p)
+        mean = own + p
+        mean *= np.float32(0.5)
+        return mean, p, (at, f, own)
+
+    def learn(self, x: list[np.ndarray], key: np.ndarray, err: np.ndarray, rate: float) -> None:
         """A gradient step of the weights, of one size however many bits of a gate there are."""
-        own = err if weight is None else err * weight
-        n = np.bincount(key, weight)
+        n = np.bincount(key)
         step = (rate / np.sqrt(n + 1.0)).astype(np.float32)
         for w, v in zip(self.w, x, strict=False):
-            w[:len(n)] += step * np.bincount(key, own * v)
-        self.w[-1][:len(n)] += step * np.bincount(key, own)
+            w[:len(n)] += step * np.bincount(key, err * v)
+        self.w[-1][:len(n)] += step * np.bincount(key, err)
 
     def adapt(self, spot: tuple, bit: np.ndarray, rate: float) -> None:
         """Moves the map at the nearer of each bit's two points towards the bit."""
@@ -290,12 +317,21 @@ class Model:
 
     def slots(self, bases: list[np.ndarray], of: np.ndarray, n: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
         """Of each step of the tokens `of` the slot in each table."""
-        node, token = _at(self.code.node, at), np.repeat(of, n)
-        return [((_at(b, token) + node) * _STIR) >> _H(32 - bits) for b, bits in zip(bases, self.bits, strict=True)]
+        node, out = _at(self.code.node, at), []
+        for b, bits in zip(bases, self.bits, strict=True):
+            own = np.repeat(b[of], n)
+            own += node
+            own *= _STIR
+            own >>= _H(32 - bits)
+            out.append(own)
+        return out
 
     def gate(self, at: np.ndarray, x: list[np.ndarray]) -> np.ndarray:
         """By depth in the code, and by whether one and two words before are known."""
-        return _at(self.code.gate, at) + (x[1] != 0) + (x[3] != 0)
+        out = _at(self.code.gate, at)
+        out += x[1] != 0
+        out += x[3] != 0
+        return out
 
     def scores(self, texts: list, lexicon: Lexicon) -> tuple[np.ndarray, Text, np.ndarray]:
         """log2 probability of each text's code, without what is spelled; and the text's numbers and classes.
@@ -306,29 +342,31 @@ class Model:
         t = Text(texts, lexicon)
         c = self.classes(t)
         bases = self.bases(t, c)
-        block = t.place // STEP
-        order = np.argsort(block, kind="stable")
-        cuts = np.searchsorted(block[order], np.arange(int(block.max()) + 2)) if len(block) else [0]
-        # the longest first: those that go on are always the first ones, and only their weights are looked at
-        rank = np.empty(len(texts), np.int32)
-        rank[np.argsort(-t.size, kind="stable")] = np.arange(len(texts), dtype=np.int32)
-        out, own, gates = np.zeros(len(texts)), self.mix.copies(len(texts)), DEPTHS * LEVELS
-        for b in range(len(cuts) - 1):
-            tokens = order[cuts[b]:cuts[b + 1]]
-            n, at = self.code.steps(t.symbol[tokens])
-            x = list(map(_logits, self.tables, self.slots(bases, tokens, n, at)))
-            doc, bit = np.repeat(rank[t.doc[tokens]], n), _at(self.code.bit, at)
-            key = doc * np.int32(gates) + self.gate(at, x)
-            p, plain, spot = own.refined(own.mixed(x, key), key)
-            got = np.bincount(doc, np.log(np.abs(p - (1 - bit))))
-            out[:len(got)] += got
-            if b + 2 < len(cuts):
-                more = doc < np.count_nonzero(t.size > (b + 1) * STEP)  # texts that end here need no new weights
-                if not more.all():
-                    x, key, bit, plain, spot = [v[more] for v in x], key[more], bit[more], plain[more], tuple(v[more] for v in spot)
-                own.learn(x, key, bit - plain, RATE)
-                own.adapt(spot, bit, MAP_RATE)
-        return out[rank] / np.log(2.0), t, c
+        # the longest first, a few at a time: those that go on are always the first ones, and what is looked at stays near
+        longest, gates = np.argsort(-t.size, kind="stable"), DEPTHS * LEVELS
+        out = np.zeros(len(texts))
+        for first in range(0, len(texts), TOGETHER):
+            docs = longest[first:first + TOGETHER]
+            own, size, start = self.mix.copies(len(docs)), t.size[docs], t.start[docs]
+            for b in range(0, int(size[0]), STEP):
+                left = np.minimum(size[:np.count_nonzero(size > b)] - b, STEP)
+                ends = np.cumsum(left)
+                of = np.repeat(start[:len(left)] + b - (ends - left), left) + np.arange(ends[-1])
+                n, at = self.code.steps(t.symbol[of])
+                x = list(map(_logits, self.tables, self.slots(bases, of, n, at)))
+                bits = np.add.reduceat(n, ends - left)  # of each text, one after the other
+                bit, key = _at(self.code.bit, at), self.gate(at, x)
+                key += np.repeat(np.arange(len(left)) * gates, bits)
+                p, plain, spot = own.refined(own.mixed(x, key), key)
+                p -= 1
+                p += bit
+                out[docs[:len(left)]] += np.add.reduceat(np.log(np.abs(p, out=p), out=p), np.cumsum(bits) - bits, dtype=np.float64)
+                more = int(bits[:np.count_nonzero(size > b + STEP)].sum())  # texts that end here need no new weights
+                if more:
+                    err, key = bit[:more] - plain[:more], key[:more]
+                    own.learn([v[:more] for v in x], key, err, RATE)
+                    own.adapt(tuple(v[:more] for v in spot), bit[:more], MAP_RATE)
+        return out / np.log(2.0), t, c
 
     # -- spelling ----------------------------------------------------------------------------------------------------
 
@@ -424,28 +462,30 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 class Tables:
-    """A task's counts of zeros and ones, for tables that follow each other; events are added up by the millions."""
+    """A task's counts of zeros and ones, for tables that follow each other; logits are made of them by the millions of events."""
 
     def __init__(self, bits: tuple[int, ...]) -> None:
         self.base = np.concatenate([[0], np.cumsum([1 << b for b in bits])])
-        self.n = np.zeros((2, int(self.base[-1])), np.uint32)
+        self.flat = np.zeros(2 * int(self.base[-1]), np.uint32)  # zeros and ones of a slot are neighbours
+        self.n = self.flat.reshape(-1, 2).T
         self.said = np.zeros(self.n.shape[1], np.int8)
-        self.held: list[list[np.ndarray]] = [[] for _ in bits]
         self.events = 0
 
     def add(self, slots: list[np.ndarray], bit: np.ndarray) -> None:
-        for own, s in zip(self.held, slots, strict=True):
-            own.append(s << _H(1) | bit.astype(_H))
+        one = bit.astype(np.intp)
+        for a, s in zip(self.base.tolist(), slots, strict=False):
+            at = s.astype(np.intp)
+            at += a
+            at <<= 1
+            at |= one
+            np.add.at(self.flat, at, np.uint32(1))
         self.events += len(bit)
         if self.events > 3_000_000:  # tables are gone through as a whole each time
             self.settle()
 
     def settle(self) -> None:
-        for k, own in enumerate(self.held):
-            if own:
-                a, b = int(self.base[k]), int(self.base[k + 1])
-                self.n[:, a:b] += np.bincount(np.concatenate(own), minlength=2 * (b - a)).reshape(-1, 2).T.astype(np.uint32)
-                own.clear()
+        if self.events:
+            for a, b in zip(self.base[:-1].tolist(), self.base[1:].tolist(), strict=True):
                 self.said[a:b] = _whole(_logit(*self.n[:, a:b].astype(np.float32)))
         self.events = 0
 
@@ -503,58 +543,75 @@ def most_frequent(df: DataFrame, n: str, key: list[str], k: int) -> DataFrame:
     return df.filter((F.col(n) > least) | ((F.col(n) == least) & some)).orderBy(F.col(n).desc(), *key).limit(k)
 
 
-def indicators_of(docs: DataFrame) -> list[bytes]:
-    """Words that most of the documents hold, all of them counted: those whose co-occurrence is counted next."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        flush = lambda: pd.DataFrame({"w": list(held), "n": list(held.values())})
+def words_of(docs: DataFrame) -> DataFrame:
+    """Distinct words of all texts as their bytes: n, how often they occur, and held, by how many texts they are held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: list[pa.Table] = []
+
+        def added() -> pa.Table:
+            out = pa.concat_tables(met).group_by("word", use_threads=False).aggregate([("n", "sum"), ("held", "sum")])
+            met[:] = [out.rename_columns({"n_sum": "n", "held_sum": "held"})]
+            return met[0]
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            yield from added().cast(pa.schema({"word": pa.binary(), "n": pa.int64(), "held": pa.int64()})).to_batches(max_chunksize=65_536)
+            met.clear()
+
         for b in batches:
-            for text in b["text"]:
-                if text is not None:
-                    held.update(set(text.encode("utf-8", "surrogatepass").lower().split()))
-            if len(held) > 300_000:
-                yield flush()
-                held.clear()
-        yield flush()
+            size, words = tokens(b.column("text"))
+            words = words.dictionary_encode()
+            k, own = len(words.dictionary), words.indices.to_numpy().astype(np.int64)
+            pair = np.repeat(np.arange(len(size), dtype=np.int64) << 32, size) | own
+            pair.sort()
+            once = pair[np.diff(pair, prepend=-1) != 0] & 0xFFFFFFFF
+            met.append(pa.table({"word": words.dictionary, "n": np.bincount(own, minlength=k), "held": np.bincount(once, minlength=k)}))
+            if sum(map(len, met)) > 1_000_000 and len(added()) > 500_000:
+                yield from rows()
+        if met:
+            yield from rows()
 
-    words = docs.select("text").mapInPandas(run, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return [bytes(r["w"]) for r in words.orderBy(F.col("n").desc(), "w").limit(INDICATORS).collect()]
+    return docs.select("text").mapInArrow(run, "word binary, n long, held long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
-def vocabulary_of(texts: DataFrame, indicators: list[bytes] = ()) -> DataFrame:
-    """Distinct words of all texts as their bytes with their counts, and rows (null, i, data) of how often the i-th
-    indicator meets each."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter = Counter()
-        number, k = {w: i for i, w in enumerate(indicators)}, len(indicators)
-        together = np.zeros((k, k), np.float32)
+def indicators_of(docs: DataFrame, words: DataFrame | None = None) -> list[bytes]:
+    """Words that most of the documents hold, all of them counted (in words, if they are): those whose co-occurrence is counted next."""
+    words = words_of(docs) if words is None else words
+    return [bytes(r["word"]) for r in words.orderBy(F.col("held").desc(), "word").select("word").limit(INDICATORS).collect()]
 
-        def flush() -> pd.DataFrame:
-            return pd.DataFrame({"word": list(held), "n": list(held.values())}).assign(together=None)
 
+def meetings(docs: DataFrame, indicators: list[bytes]) -> np.ndarray:
+    """How many texts hold both of two indicators."""
+    k = len(indicators)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, total = pa.array(indicators, pa.large_binary()), np.zeros((k, k), np.float64)
         for b in batches:
-            has = np.zeros((len(b), k), np.float32)
-            for i, text in enumerate(b["text"]):
-                if text is not None:
-                    words = text.encode("utf-8", "surrogatepass").lower().split()
-                    held.update(words)
-                    has[i, [number[w] for w in number.keys() & words]] = 1
-            together += has.T @ has
-            if len(held) > 300_000:
-                yield flush()
-                held.clear()
-        yield flush()
-        if k:
-            yield pd.DataFrame({"word": [None] * k, "n": np.arange(k), "together": [zlib.compress(x.astype(np.float64).tobytes(), 1) for x in together]})
+            size, words = tokens(b.column("text"))
+            at = pc.fill_null(pc.index_in(words, known), k).to_numpy()
+            has = np.zeros((len(size), k + 1), np.float32)
+            has[np.repeat(np.arange(len(size)), size), at] = 1
+            total += has[:, :k].T @ has[:, :k]
+        yield pa.RecordBatch.from_pydict({"i": np.arange(k), "together": [zlib.compress(x.tobytes(), 1) for x in total]})
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(x), np.float64) for x in pdf["together"])
+        return pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "together": [total.tobytes()]})
+
+    out = np.zeros((k, k))
+    if k:
+        rows = docs.select("text").mapInArrow(run, "i long, together binary").groupBy("i").applyInPandas(add, "i long, together binary")
+        for r in rows.collect():  # one for each indicator
+            out[r["i"]] = np.frombuffer(r["together"], np.float64)
+    return out
 
-    return texts.select("text").mapInPandas(run, "word binary, n long, together binary")
 
+def fitted_counts(docs: DataFrame, indicators: list[bytes] = (), words: DataFrame | None = None) -> tuple:
+    """What Model takes, of docs (text): codes' and classes' counts, over all of them; and the number of words.
 
-def fitted_counts(docs: DataFrame, indicators: list[bytes] = ()) -> tuple:
-    """What Model takes, of docs (text): codes' and classes' counts, over all of them; and the number of words."""
-    seen, spark = Observation(), docs.sparkSession
-    held = written(vocabulary_of(docs.observe(seen, F.count(F.lit(1)).alias("n")), indicators), "vocabulary")
-    words = written(held.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "all-words")
+    words is what words_of() gives of docs, if it is known.
+    """
+    spark = docs.sparkSession
+    words = written(words_of(docs), "all-words") if words is None else words
     sums = words.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
     top = [(bytes(r["word"]), r["n"]) for r in most_frequent(words, "n", ["word"], n_symbols(sums["v"])).collect()]
     own = spark.sparkContext.broadcast({w for w, _ in top})
@@ -572,16 +629,7 @@ def fitted_counts(docs: DataFrame, indicators: list[bytes] = ()) -> tuple:
     for r in words.mapInPandas(run, "letter int, n double").groupBy("letter").agg(F.sum("n").alias("n")).collect():
         letters[r["letter"]] = r["n"]
     own.destroy()
-    together = np.zeros((len(indicators), len(indicators)))
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(x), np.float64) for x in pdf["together"])
-        return pd.DataFrame({"i": [int(pdf["i"].iloc[0])], "together": [total.tobytes()]})
-
-    rows = held.filter("word is null").select(F.col("n").alias("i"), "together").groupBy("i").applyInPandas(add, "i long, together binary")
-    for r in rows.collect():  # one for each indicator
-        together[r["i"]] = np.frombuffer(r["together"], np.float64)
-    return top, (sums["n"] or 0) - sum(c for _, c in top), seen.get["n"], letters, sums["v"], list(indicators), together
+    return top, (sums["n"] or 0) - sum(c for _, c in top), docs.count(), letters, sums["v"], list(indicators), meetings(docs, indicators)
 
 
 def taught(rows: DataFrame) -> tuple:
@@ -729,7 +777,8 @@ def mixing_scores(docs: DataFrame) -> DataFrame:
     sent = lambda x: spark.sparkContext.broadcast(zlib.compress(pickle.dumps(x), 1))
     docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", (fold(F.col("doc_id"), 10) == 0).alias("held_out"))
     training = docs.filter(~F.col("held_out"))
-    top, escapes, ends, letters, vocabulary, indicators, meet = fitted_counts(training, indicators_of(training))
+    met = written(words_of(training), "all-words")
+    top, escapes, ends, letters, vocabulary, indicators, meet = fitted_counts(training, indicators_of(training, met), met)
     n_train = escapes + sum(c for _, c in top) + ends
     below = n_train + 0.1 * (vocabulary + (1 if ends else 0) + 1)
     m = Model(top, escapes, ends, letters, vocabulary, indicators, meet)

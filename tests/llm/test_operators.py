@@ -868,3 +868,21 @@ def test_indicators_are_lower_cased_as_tokens_are(spark):
     """A-Z alone are lower-cased, as in what is counted later: an indicator that no token equals is none."""
     held = spark.createDataFrame([(i, "\u00c4B a\u0085b \u0130") for i in range(3)] + [(4, None)], "doc_id long, text string")
     assert lm.indicators_of(held) == sorted("\u00c4b a\u0085b \u0130".encode().split(b" "))
+
+
+def test_words_are_counted_in_one_pass(spark):
+    """Words of odd texts, how often they occur and how many texts hold them, as plain Python has them; indicators come of these
+    counts without another look at the texts, and co-occurrence is that of whole words."""
+    odd = ["a  B\n\x0bc\td ", " \x0c\r", "", None, "Äb a\u0085b İ a\x1cb", "a a a", "x\x00y A", "w" * 70_000] + [f"k{i % 9} a k{i % 4}" for i in range(1200)]
+    split = [(t or "").encode().lower().split() for t in odd]
+    n, words = lm.tokens(odd)
+    assert n.tolist() == list(map(len, split)) and words.to_pylist() == [w for s in split for w in s]
+    assert lm.tokens([])[0].tolist() == [] and lm.tokens(["\ud800 a"])[1].to_pylist() == ["\ud800".encode("utf-8", "surrogatepass"), b"a"]
+    docs = spark.createDataFrame([(t,) for t in odd], "text string")
+    got = lm.words_of(docs.repartition(3)).collect()
+    often, held = Counter(w for s in split for w in s), Counter(w for s in split for w in set(s))
+    assert sorted((bytes(r["word"]), r["n"], r["held"]) for r in got) == sorted((w, k, held[w]) for w, k in often.items())
+    marks = lm.indicators_of(None, spark.createDataFrame(got))
+    assert marks == sorted(held, key=lambda w: (-held[w], w))[:lm.INDICATORS] == lm.indicators_of(docs)
+    some = [b"a", b"k1", b"b"]
+    assert lm.meetings(docs, some).tolist() == [[sum(x in s and y in s for s in split) for y in some] for x in some]
