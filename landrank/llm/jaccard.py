@@ -8,15 +8,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from landrank.llm.common import attach, freed, removed, scratch, small_batches, written
+from landrank.llm.common import attach, dropped, freed, removed, scratch, small_batches, written
 from landrank.llm.components import components
 from landrank.llm.vectors import Forest
 
-#: Ratio of the largest to the smallest set of a size band, and classes over those that are needed and often empty.
-BAND, SPARE = 1.5, 2
+#: Ratio of the largest to the smallest set of a size band, classes over those that are needed and often empty, and
+#: classes for each that is needed, at least.
+BAND, SPARE, ROOM = 1.5, 2, 1.15
 #: Documents in which frequent shingles are sought, about, in how many of them one must occur, and how many are kept.
 SAMPLE, FREQUENT, MOST_FREQUENT = 8000, 4, 100_000
 #: Text bytes for each bucket of cells, and buckets at least and at most.  A tie is repeated in each bucket in which two
@@ -29,6 +30,10 @@ TASK_SHINGLES, SET_WEIGHT = 2_000_000, 50
 AT_ONCE = 1000
 #: Pivots of a region, members below which all pairs are looked at, and splits of a cluster over tasks.
 PIVOTS, LEAF, SPLITS = 8, 64, 3
+#: A cluster is split by pivots if no part has more than SHRUNK of its shingles and all have no more than GROWN times those.
+SHRUNK, GROWN = 0.7, 1.5
+#: Shingles that are told apart at a time.
+APART = 200_000
 
 _U = np.uint64
 
@@ -72,6 +77,11 @@ def differing(total: int, threshold: float) -> int:
     return int(total * (1 - threshold) / (1 + threshold) + 1e-9)
 
 
+def least_shared(n: np.ndarray, threshold: float) -> np.ndarray:
+    """Shingles that sets of n share with any partner, at least."""
+    return -(-n * round(100 * threshold) // 100)
+
+
 def bands(n: int, threshold: float) -> list[tuple[int, int, int]]:
     """(band, largest size, classes) of the bands in which a set of n shingles looks for partners: its own, and the
     next above if a partner may be there."""
@@ -84,7 +94,7 @@ def bands(n: int, threshold: float) -> list[tuple[int, int, int]]:
         most = int(BAND ** (b + 1))
         classes = differing(2 * most, threshold) + 1
         empty = classes * np.exp(-most / classes)  # classes that are empty in a set of the largest size, on average
-        found.append((b, most, classes + int(np.ceil(empty + 4 * np.sqrt(empty))) + SPARE))
+        found.append((b, most, max(classes + int(np.ceil(empty + 4 * np.sqrt(empty))) + SPARE, int(np.ceil(ROOM * classes)))))
     return found
 
 
@@ -93,9 +103,12 @@ def cells(hashes: np.ndarray, threshold: float, frequent: np.ndarray | None = No
 
     Frequent shingles are left out first, from all sets the same ones: sets then differ by no more than before, and
     passages that many documents quote don't bring those together.  The hash range is cut into more classes than linked
-    sets of the band have differing shingles, so some classes hold the same shingles in both.  A key is band, class and the class's shingles.  If all classes that are the same are
-    empty, then every other class differs, so the empty ones are at least all classes less the most shingles in which
-    the set can differ from a partner; only sets with so many empty classes, which are rare, get keys for those too.
+    sets of the band have differing shingles, so at least the rest hold the same shingles in both.  A key is band, class and the class's shingles.
+
+    Classes of few shingles fall together by chance, in numbers that grow with the square of the documents, so each set
+    leaves out the classes of up to j shingles, for the largest j with fewer of those than classes that it must share
+    with any partner.  Of two linked sets, the one with the larger j then has a shared class above it, and a shared class
+    is as large in the other, so both have its key.
     """
     n, out = len(hashes), []
     if not n or differing(n + int(n / threshold), threshold) < 1:
@@ -107,8 +120,9 @@ def cells(hashes: np.ndarray, threshold: float, frequent: np.ndarray | None = No
         edges = (np.arange(1, classes, dtype=np.float64) * (2.0 ** 64 / classes)).astype(_U)
         at = np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
         keys = mixed(mixed(sums[at[1:]] - sums[at[:-1]]) + _U(band * 1_000_003) + np.arange(classes, dtype=_U) * _U(0x9E3779B97F4A7C15))
-        full = at[1:] > at[:-1]
-        out.append(keys if (~full).sum() >= classes - differing(n + min(most, int(n / threshold)), threshold) else keys[full])
+        held = np.diff(at)
+        same = classes - differing(n + min(most, int(n / threshold)), threshold)
+        out.append(keys[held >= np.searchsorted(np.cumsum(np.bincount(held)), same)])
     return np.concatenate(out)
 
 
@@ -126,7 +140,32 @@ class Region:
         _, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
         self.mark = np.zeros(int(self.flat.max()) + 1, bool)
-        self.threshold, self.forest = threshold, Forest(len(sets))
+        self.threshold, self.root = threshold, np.arange(len(sets))
+
+    def clusters(self) -> list[np.ndarray]:
+        """Members of which linked ones are together: those that hang together by shingles that are rare here.
+
+        With shingles put in order, the rarest first, two linked sets share one of the first n less the least number that
+        a set of n shares with a partner, and one more.
+        """
+        n_sets, held = len(self.sizes), np.bincount(self.flat)
+        rank = np.empty(len(held), np.int64)
+        rank[np.argsort(held, kind="stable")] = np.arange(len(held))
+        own = np.repeat(np.arange(n_sets), self.sizes)
+        at = np.sort(own * len(held) + rank[self.flat]) - own * len(held)
+        early = np.arange(len(at)) - self.starts[own] <= (self.sizes - least_shared(self.sizes, self.threshold))[own]
+        early &= np.sort(held)[at] > 1
+        at, own = at[early], own[early]
+        order = np.argsort(at, kind="stable")
+        at, own = at[order], own[order]
+        first = np.concatenate([[True], at[1:] != at[:-1]])[:len(at)]
+        lead = own[first][np.cumsum(first) - 1]
+        forest = Forest(n_sets)
+        for tie in np.unique(own * n_sets + lead).tolist():
+            forest.join(*divmod(tie, n_sets))
+        root = np.array([forest.root(i) for i in range(n_sets)], np.int64)
+        order = np.argsort(root, kind="stable")
+        return [x for x in np.split(order, np.flatnonzero(np.diff(root[order])) + 1) if len(x) > 1]
 
     def shared(self, one: int, others: np.ndarray) -> np.ndarray:
         """Sizes of the intersections of one set with others."""
@@ -144,13 +183,11 @@ class Region:
         both = self.shared(one, others)
         union = self.sizes[one] + self.sizes[others] - both
         # in whole numbers, as the threshold is given in hundredths
-        for i in others[100 * both >= round(100 * self.threshold) * union].tolist():
-            self.forest.join(one, i)
+        roots = np.unique(self.root[[one, *others[100 * both >= round(100 * self.threshold) * union]]])
+        if len(roots) > 1:
+            self.root[np.isin(self.root, roots)] = roots[0]
         return 1 - both / union
 
-    def roots(self, members: np.ndarray) -> np.ndarray:
-        return np.array([self.forest.root(i) for i in members.tolist()], np.int64)
-
     def pairs(self, members: np.ndarray, core: np.ndarray, apart: np.ndarray | None = None) -> None:
         """Looks at each core member against all members that may be near it and don't hang together with it yet."""
         eps = 1 - self.threshold + 1e-9
@@ -163,7 +200,7 @@ class Region:
                 may &= (np.abs(apart - apart[k]) <= eps).all(1)
             others = members[may]
             if len(others):
-                others = others[self.roots(others) != self.forest.root(one)]
+                others = others[self.root[others] != self.root[one]]
             if len(others):
                 self.meet(one, others)
 
@@ -175,6 +212,8 @@ class Region:
         the other regions is replicated into p's, and the region is joined in the same way.  Where that does not shrink
         a region, the pairs that its windows leave are looked at.
         """
+        if (self.root[members] == self.root[members[0]]).all():
+            return None
         if len(members) <= LEAF:
             return self.pairs(members, core)
         eps = 1 - self.threshold + 1e-9
@@ -206,10 +245,10 @@ def region_links(ids: np.ndarray, sets: list[np.ndarray], threshold: float) -> l
         return []
     order = np.argsort(ids, kind="stable")
     region = Region([sets[i] for i in order], threshold)
-    everyone = np.arange(len(sets))
-    region.join(everyone, np.ones(len(sets), bool))
+    for members in region.clusters() if len(sets) > LEAF else [np.arange(len(sets))]:
+        region.join(members, np.ones(len(members), bool))
     ids = ids[order]
-    return [(int(ids[i]), int(ids[r])) for i, r in enumerate(region.roots(everyone).tolist()) if i != r]
+    return [(int(ids[i]), int(ids[r])) for i, r in enumerate(region.root.tolist()) if i != r]
 
 
 # -- the join over tasks ---------------------------------------------------------------------------------------------
@@ -321,17 +360,22 @@ def linked_regions(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
 def joined(sets: DataFrame, threshold: float) -> DataFrame:
     """Links of sets (region, cid, n, digest, shingles binary) within each region, as ties (a, b) of cids.
 
-    Small regions go together to tasks; one of more than TASK_SHINGLES is cut by pivots into Voronoi regions with
-    windows, as in Region.join(), up to SPLITS times; if some are still larger, blocks of it meet pairwise.
+    Small regions go together to tasks.  One of more than TASK_SHINGLES is first cut by rare shingles, see parted(), then
+    by pivots into Voronoi regions with windows, as in Region.join(), where that makes it smaller, up to SPLITS - 1 times;
+    of what is larger still, blocks meet pairwise.
     """
     sets = written(sets, "sets")
     ties = None
     for level in range(SPLITS + 1):
-        size = sets.groupBy("region").agg(F.sum(F.col("n") + SET_WEIGHT).alias("weight"), F.count(F.lit(1)).alias("n_sets"))
+        size = sets.groupBy("region").agg(F.sum(F.col("n") + SET_WEIGHT).alias("weight"), F.count(F.lit(1)).alias("n_all"))
         size = written(size, "sizes")
-        rows = attach(sets, size.withColumnRenamed("n_sets", "n_all").withColumn("n", F.col("n_all")), "region", "cid", max(1, sets.count()), n="n").drop("n_all")
+        total = size.agg(F.sum("weight").alias("w"), F.max("weight").alias("m"), F.sum("n_all").alias("n")).first()
+
+        def sized(facts: DataFrame, sets: DataFrame = sets, n: int = total["n"] or 1) -> DataFrame:
+            return attach(sets, facts.withColumn("n", F.col("n_all")), "region", "cid", n, n="n").drop("n_all")
+
+        rows = sized(size)
         few = rows.filter(F.col("weight") <= TASK_SHINGLES)
-        total = size.agg(F.sum("weight").alias("w"), F.max("weight").alias("m")).first()
         tasks = max(1, -(-(total["w"] or 0) // TASK_SHINGLES)) * 4
         few = few.withColumn("task", F.pmod(F.xxhash64("region"), F.lit(tasks)))
 
@@ -340,8 +384,20 @@ def joined(sets: DataFrame, threshold: float) -> DataFrame:
 
         met = few.select("task", "region", "cid", "shingles").groupBy("task").applyInPandas(run, "a long, b long")
         many = rows.filter(F.col("weight") > TASK_SHINGLES)
-        large = (total["m"] or 0) > TASK_SHINGLES
-        if large and level == SPLITS:
+        large, after = (total["m"] or 0) > TASK_SHINGLES, None
+        if large and level == 0:
+            after = parted(many, threshold)
+        elif large:
+            cut = None
+            if level < SPLITS:
+                placed = written(voronoi(many, threshold, level), "placed")
+                part = placed.groupBy("region", "to").agg(F.sum(F.col("n") + SET_WEIGHT).alias("w"))
+                part = part.groupBy("region").agg(F.max("w").alias("most"), F.sum("w").alias("all"))
+                cut = size.join(part, "region").filter((F.col("most") <= SHRUNK * F.col("weight")) & (F.col("all") <= GROWN * F.col("weight")))
+                cut = written(cut.select("region", "n_all", F.lit(True).alias("cut")), "cut")
+                after = sets.join(placed.select("region", "cid", "to"), ["region", "cid"]).join(cut.select("region"), "region", "left_semi")
+                after = after.select(F.col("to").alias("region"), "cid", "n", "digest", "shingles")
+                many = sized(size.join(cut.drop("n_all"), "region", "left")).filter((F.col("weight") > TASK_SHINGLES) & F.col("cut").isNull())
             # blocks by hash; a pair of blocks is a region of its own
             many = many.withColumn("blocks", F.ceil(2 * F.col("weight") / F.lit(TASK_SHINGLES)))
             many = many.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
@@ -351,14 +407,46 @@ def joined(sets: DataFrame, threshold: float) -> DataFrame:
             met = met.unionByName(blocks.groupBy("task").applyInPandas(run, "a long, b long"))
         met = written(met, "ties")
         ties = met if ties is None else ties.unionByName(met)
-        if not large or level == SPLITS:
-            return ties
-        sets = written(voronoi(many, threshold, level), "sets")
+        if after is None:
+            break
+        after = written(after, "sets")
+        dropped(sets)
+        freed(sets.sparkSession)
+        sets = after
     return ties
 
 
+def parted(many: DataFrame, threshold: float) -> DataFrame:
+    """Cuts regions into what hangs together by rare shingles, as Region.clusters() does: linked sets stay together.
+
+    Sets that share no such shingle have no links and are left out.
+    """
+    def apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            held, got = [], 0
+            for k, (region, cid, shingles) in enumerate(zip(b["region"], b["cid"], b["shingles"], strict=True)):
+                h = mixed(np.frombuffer(shingles, _U) ^ mixed(np.array([region], np.int64).view(_U)))
+                held.append((cid, h))
+                got += len(h)
+                if got >= APART or k == len(b) - 1:
+                    n = np.array([len(h) for _, h in held])
+                    yield pd.DataFrame({"cid": np.repeat(np.array([c for c, _ in held], np.int64), n), "n": np.repeat(n, n), "h": np.concatenate([h for _, h in held]).view(np.int64)})
+                    held, got = [], 0
+
+    rows = many.select("region", "cid", "shingles").mapInPandas(apart, "cid long, n long, h long")
+    shared = rows.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("held > 1")
+    own = Window.partitionBy("cid")
+    shared = shared.withColumn("shared", F.count(F.lit(1)).over(own)).withColumn("nth", F.row_number().over(own.orderBy("held", "h")))
+    # those that no other set holds come first, so they are left out of both counts
+    least = F.ceil(F.col("n") * round(100 * threshold) / 100)
+    early = shared.filter(F.col("nth") <= F.col("shared") - least + 1).select("cid", "h")
+    ties = early.select(F.col("cid").alias("a"), F.min("cid").over(Window.partitionBy("h")).alias("b"))
+    parts = components(ties.filter("a <> b").distinct()).select(F.col("node").alias("cid"), F.col("component").alias("part"))
+    return many.join(parts, "cid").select(F.col("part").alias("region"), "cid", "n", "digest", "shingles")
+
+
 def voronoi(many: DataFrame, threshold: float, level: int) -> DataFrame:
-    """Cuts regions by pivots: each set goes to its nearest pivot's region and to those of whose window it is part."""
+    """Places sets by pivots: (region, cid, n, to) for its nearest pivot's region and for those of whose window it is part."""
     order = F.xxhash64(F.lit(level), "cid")
     chunk = many.withColumn("chunk", F.pmod(F.xxhash64("cid"), F.greatest(F.lit(1), F.ceil(4 * F.col("weight") / F.lit(TASK_SHINGLES)))))
     # pivots: of each of PIVOTS hash classes the set with the least hash
@@ -369,9 +457,8 @@ def voronoi(many: DataFrame, threshold: float, level: int) -> DataFrame:
     eps2 = 2 * (1 - threshold) + 1e-9
 
     def cut(members: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
-        names = ["region", "cid", "n", "digest", "shingles"]
         if not len(members) or not len(pivots):
-            return pd.DataFrame({c: [] for c in names})
+            return pd.DataFrame({c: [] for c in ("region", "cid", "n", "to")})
         pivots = pivots.sort_values("k")
         own = [np.frombuffer(x, _U) for x in members["shingles"]]
         d = np.ones((len(own), len(pivots)))
@@ -380,13 +467,12 @@ def voronoi(many: DataFrame, threshold: float, level: int) -> DataFrame:
             both = np.array([np.isin(s, p, assume_unique=True).sum() for s in own])
             d[:, j] = 1 - both / (np.array([len(s) for s in own]) + len(p) - both)
         i, j = np.nonzero(d <= d.min(1, keepdims=True) + eps2)
-        out = members.iloc[i][names].reset_index(drop=True)
+        out = members.iloc[i][["region", "cid", "n"]].reset_index(drop=True)
         salt = int(xxhash.xxh64_intdigest(str(members["region"].iloc[0]).encode(), seed=level)) >> 1
-        out["region"] = [(salt + int(k) * 0x9E3779B97F4A7C15) & (1 << 63) - 1 for k in pivots["k"].to_numpy()[j]]
+        out["to"] = [(salt + int(k) * 0x9E3779B97F4A7C15) & (1 << 63) - 1 for k in pivots["k"].to_numpy()[j]]
         return out
 
-    return chunk.groupBy("region", "chunk").cogroup(pivots.groupBy("p_region", "p_chunk")).applyInPandas(
-        cut, "region long, cid long, n long, digest string, shingles binary")
+    return chunk.groupBy("region", "chunk").cogroup(pivots.groupBy("p_region", "p_chunk")).applyInPandas(cut, "region long, cid long, n long, to long")
 
 
 def jaccard_groups(docs: DataFrame, size: int = 3, threshold: float = 0.9) -> DataFrame:

@@ -592,6 +592,66 @@ def test_cells_share_a_key():
                     assert set(jaccard.cells(a, threshold, frequent).tolist()) & set(jaccard.cells(b, threshold, frequent).tolist())
 
 
+def test_cells_of_whole_range_share_a_key():
+    """As above, of hashes over all 64 bits and sets that differ both ways."""
+    rng = np.random.default_rng(6)
+    for threshold in (0.8, 0.9):
+        for n in (12, 40, 150, 700, 3000):
+            for _ in range(20):
+                a = np.unique(rng.integers(0, 2 ** 64, n, np.uint64))
+                k = int((1 - threshold) / (1 + threshold) * n)
+                drop = int(rng.integers(0, k + 1))
+                b = np.unique(np.concatenate([np.delete(a, rng.choice(len(a), drop, replace=False)), rng.integers(0, 2 ** 64, k - drop, np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                for frequent in (None, np.sort(rng.choice(a, len(a) // 2, replace=False))):
+                    if len(a) != both and 100 * both >= round(100 * threshold) * (len(a) + len(b) - both):
+                        assert set(jaccard.cells(a, threshold, frequent).tolist()) & set(jaccard.cells(b, threshold, frequent).tolist())
+
+
+def test_unrelated_sets_stay_apart():
+    """Long sets that share a few shingles with each other don't hang together by cells."""
+    rng = np.random.default_rng(7)
+    some = rng.integers(0, 2 ** 64, 20, np.uint64)
+    sets = [np.unique(np.concatenate([rng.integers(0, 2 ** 64, 3000, np.uint64), some])) for _ in range(60)]
+    held = Counter(key for own in sets for key in set(jaccard.cells(own, 0.8).tolist()))
+    assert sum(n - 1 for n in held.values()) < 30
+
+
+def set_table(spark, sets):
+    rows = [(1, i, len(s), jaccard.digest(s), s.tobytes()) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "region long, cid long, n long, digest string, shingles binary")
+
+
+def linked(sets, ties, threshold):
+    """What hangs together by ties, and by brute force."""
+    out = []
+    for edges in ([(r["a"], r["b"]) for r in ties.collect()], [(a, b) for a in range(len(sets)) for b in range(a) if 100 * (k := len(np.intersect1d(sets[a], sets[b]))) >= threshold * (len(sets[a]) + len(sets[b]) - k)]):
+        up = list(range(len(sets)))
+        for a, b in edges:
+            x, y = up[a], up[b]
+            up = [min(x, y) if u in (x, y) else u for u in up]
+        out.append(up)
+    return out
+
+
+@pytest.mark.parametrize("kind", ["apart", "family"])
+def test_large_clusters_are_not_multiplied(spark, monkeypatch, kind):
+    """Sets that no pivot tells apart, all far from each other or all near, don't go to all regions at each level."""
+    rng = np.random.default_rng(8)
+    some = rng.integers(0, 2 ** 64, 200, np.uint64)
+    if kind == "apart":
+        sets = [np.unique(np.concatenate([rng.integers(0, 2 ** 64, 200, np.uint64), some[:4]])) for _ in range(50)]
+        sets += [np.concatenate([x[:-2], np.array([2 ** 64 - 1 - i, 2 ** 64 - 1], np.uint64)]) for i, x in enumerate(sets[:10], 1)]
+    else:
+        sets = [np.unique(np.concatenate([np.delete(some, rng.choice(200, 6, replace=False)), rng.integers(0, 2 ** 64, 6, np.uint64)])) for _ in range(60)]
+    seen, real = [], jaccard.written
+    monkeypatch.setattr(jaccard, "TASK_SHINGLES", 4000)
+    monkeypatch.setattr(jaccard, "written", lambda df, name: (out := real(df, name), seen.append(out.count()) if name == "sets" else None)[0])
+    got, want = linked(sets, jaccard.joined(set_table(spark, sets), 0.9), 90)
+    assert got == want and len(set(want)) < len(sets)
+    assert max(seen) <= 2 * len(sets)
+
+
 # -- 9 ---------------------------------------------------------------------------------------------------------------
 
 def test_segmentations(docs, empty):
