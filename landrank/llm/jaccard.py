@@ -32,6 +32,9 @@ AT_ONCE = 1000
 PIVOTS, LEAF, SPLITS = 8, 64, 3
 #: A cluster is split by pivots if no part has more than SHRUNK of its shingles and all have no more than GROWN times those.
 SHRUNK, GROWN = 0.7, 1.5
+#: Cells of a table of members and the shingles that they share, at most, its shingles for each that a member has on
+#: average, and its rows that are multiplied at a time.
+TABLE, WIDE, ROWS = 1 << 24, 16, 256
 #: Shingles that are told apart at a time.
 APART = 200_000
 
@@ -183,13 +186,48 @@ class Region:
         both = self.shared(one, others)
         union = self.sizes[one] + self.sizes[others] - both
         # in whole numbers, as the threshold is given in hundredths
-        roots = np.unique(self.root[[one, *others[100 * both >= round(100 * self.threshold) * union]]])
-        if len(roots) > 1:
-            self.root[np.isin(self.root, roots)] = roots[0]
+        near = others[100 * both >= round(100 * self.threshold) * union]
+        self.tie(np.full(len(near), one), near)
         return 1 - both / union
 
+    def tie(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Puts a[i] and b[i] together, for every i; the least of what hangs together is its root."""
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            up = np.arange(len(self.root))
+            np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+            while (up[up] != up).any():
+                up = up[up]
+            self.root = up[self.root]
+
+    def table(self, members: np.ndarray) -> np.ndarray | None:
+        """Members by the shingles that several of them hold, 1 where one does; none if that is too large."""
+        n = self.sizes[members]
+        begin = np.concatenate([[0], np.cumsum(n)[:-1]])
+        spots = np.arange(int(n.sum())) - np.repeat(begin - self.starts[members], n)
+        _, at, held = np.unique(self.flat[spots], return_inverse=True, return_counts=True)
+        wide = int((held > 1).sum())
+        if wide * len(members) > TABLE or wide > WIDE * n.mean():
+            return None
+        use = (held > 1)[at]
+        out = np.zeros((len(members), wide), np.float32)
+        out[np.repeat(np.arange(len(members)), n)[use], (np.cumsum(held > 1) - 1)[at[use]]] = 1
+        return out
+
     def pairs(self, members: np.ndarray, core: np.ndarray, apart: np.ndarray | None = None) -> None:
         """Looks at each core member against all members that may be near it and don't hang together with it yet."""
+        if (whole := self.table(members)) is not None:
+            n, every = self.sizes[members], np.flatnonzero(core)
+            for rows in np.split(every, range(ROWS, len(every), ROWS)) if len(every) else []:
+                first = int(rows[0]) if len(every) == len(members) else 0
+                both = np.rint(whole[rows] @ whole[first:].T).astype(np.int64)
+                i, j = np.nonzero(100 * both >= round(100 * self.threshold) * (n[rows][:, None] + n[first:] - both))
+                self.tie(members[rows[i]], members[first + j])
+            return
         eps = 1 - self.threshold + 1e-9
         for k in np.nonzero(core)[0]:
             one = int(members[k])
@@ -210,7 +248,7 @@ class Region:
         Pivots drawn from the members cut them into Voronoi regions.  If x is nearest to pivot p and y is linked with
         x, then d(y, p) <= d(y, q) + 2 eps for every pivot q, and d(x, q) and d(y, q) differ by eps at most: so much of
         the other regions is replicated into p's, and the region is joined in the same way.  Where that does not shrink
-        a region, the pairs that its windows leave are looked at.
+        all regions, the pairs that the windows leave are looked at.
         """
         if (self.root[members] == self.root[members[0]]).all():
             return None
@@ -220,23 +258,22 @@ class Region:
         pivots = members[np.random.default_rng(depth).choice(len(members), PIVOTS, replace=False)]
         d = np.stack([self.meet(int(p), members) for p in pivots], axis=1)
         nearest, home = d.min(1), d.argmin(1)
+        parts = []
         for k in range(PIVOTS):
             mine = home == k
-            inner = mine & core
             if not mine.any():
                 continue
             low, high = d[mine].min(0) - eps, d[mine].max(0) + eps
             window = ~mine & (d[:, k] <= nearest + 2 * eps) & ((d >= low) & (d <= high)).all(1)
             # pairs of a core member here with any member of the window, and of a core member there with one here, are
             # both met if the window's core members are looked at from here
-            new_core = inner | (window & core)
             keep = mine | window
-            if not new_core.any() or keep.sum() < 2:
-                continue
-            if keep.sum() <= 0.7 * len(members) and depth < 12:
-                self.join(members[keep], new_core[keep], depth + 1)
-            else:
-                self.pairs(members[keep], new_core[keep], d[keep])
+            if (keep & core).any() and keep.sum() > 1:
+                parts.append(keep)
+        if depth == 12 or any(keep.sum() > 0.7 * len(members) for keep in parts):
+            return self.pairs(members, core, d)
+        for keep in parts:
+            self.join(members[keep], core[keep], depth + 1)
 
 
 def region_links(ids: np.ndarray, sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:

@@ -652,6 +652,29 @@ def test_large_clusters_are_not_multiplied(spark, monkeypatch, kind):
     assert max(seen) <= 2 * len(sets)
 
 
+def test_family_is_met_at_once(monkeypatch):
+    """Many near copies of one text are told apart by few looks at all of them, not by one look for each."""
+    rng = np.random.default_rng(9)
+    some = rng.integers(0, 2 ** 64, 100, np.uint64)
+    sets = [np.unique(np.concatenate([np.delete(some, rng.choice(100, 4, replace=False)), rng.integers(0, 2 ** 64, 3, np.uint64)])) for _ in range(300)]
+    looks, real = [], jaccard.Region.shared
+    monkeypatch.setattr(jaccard.Region, "shared", lambda self, one, others: looks.append(one) or real(self, one, others))
+    for table in (jaccard.TABLE, 0):
+        monkeypatch.setattr(jaccard, "TABLE", table)
+        got = np.arange(300)
+        for i, r in jaccard.region_links(np.arange(300), sets, 0.9):
+            got[i] = r
+        want = list(range(300))
+        for a in range(300):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if want[a] != want[b] and 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = want[a], want[b]
+                    want = [min(x, y) if u in (x, y) else u for u in want]
+        assert got.tolist() == want and 1 < len(set(want)) < 300
+        assert not table or len(looks) < 30
+
+
 # -- 9 ---------------------------------------------------------------------------------------------------------------
 
 def test_segmentations(docs, empty):
